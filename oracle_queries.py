@@ -43,9 +43,13 @@ g as (select * from f where cve_id is not null and published_at is not null and
 silver as (select * from g qualify row_number() over (partition by cve_id order by modified_at desc, h desc) = 1)
 """
 
+def _stamp(name: str) -> str:
+    return f"""strftime("{name}", '%Y-%m-%d %H:%M:%S.%f') as "{name}\""""
+
+
 _CWES = "coalesce(array_to_string(list_filter(cwes, lambda x: x is not null), ','), '') as cwe_ids"
 _SILVER_COLUMNS = f"""
-cve_id, published_at, modified_at, vuln_status, source_identifier, description_en, cvss_v31_score, cvss_v31_severity,
+cve_id, {_stamp('published_at')}, {_stamp('modified_at')}, vuln_status, source_identifier, description_en, cvss_v31_score, cvss_v31_severity,
 cvss_v31_vector, cvss_v30_score, cvss_v30_severity, cvss_v2_score, cvss_v2_severity, {_CWES}, reference_urls, ingest_file
 """
 _SEVERITY = "coalesce(cvss_v31_severity, cvss_v30_severity, cvss_v2_severity)"
@@ -131,8 +135,8 @@ def all_sql() -> dict[str, str]:
         "cves_flat": flat + ", position from f",
         "description_first_en": _ALL + "select ingest_file, position, cve_id, description_en from f",
         "cwe_ids_distinct": _ALL
-        + f"select ingest_file, position, cve_id, {_CWES}, cast(len(cwes) as int) as cwe_entries from f",
-        "reference_counts": _ALL + "select ingest_file, position, cve_id, nrefs as reference_count from f",
+        + f"select ingest_file, position, cve_id, {_CWES}, cast(len(cwes) as varchar) as cwe_entries from f",
+        "reference_counts": _ALL + "select ingest_file, position, cve_id, cast(nrefs as varchar) as reference_count from f",
         "cves_valid": flat + ", position from g",
         "dq_expectation_metrics": _ALL + _COUNTS,
         "dq_event_log": _ALL + _COUNTS,
@@ -147,9 +151,9 @@ def all_sql() -> dict[str, str]:
         + f"""select cast(cast(published_at as date) as varchar) as day, coalesce({_SEVERITY}, 'UNKNOWN') as severity,
                count(*) as cve_count from silver group by all""",
         "cve_recent_critical": _ALL
-        + f"""select cve_id, published_at, modified_at, {_SCORE} as cvss_score, {_SEVERITY} as cvss_severity,
+        + f"""select cve_id, {_stamp('published_at')}, {_stamp('modified_at')}, {_SCORE} as cvss_score, {_SEVERITY} as cvss_severity,
                cvss_v31_vector as cvss_vector, substring(description_en, 1, 280) as description_short, {_CWES},
-               nrefs as reference_count, vuln_status
+               cast(nrefs as varchar) as reference_count, vuln_status
              from silver where {_SEVERITY} = 'CRITICAL' and published_at >= date '2024-01-31' - 20""",
         "cve_cwe_top": _ALL
         + r"""select c as cwe_id, count(*) as cve_count from (select unnest(cwes) as c from silver)
@@ -185,24 +189,24 @@ def all_sql() -> dict[str, str]:
                     cast(chunk_start - prev as int) as gap_days
              from o where prev < chunk_start""",
         "incremental_window": _ALL
-        + """select cve_id, modified_at from silver
+        + f"""select cve_id, {_stamp('modified_at')} from silver
              where modified_at between timestamp '2024-01-19 00:00:00' and timestamp '2024-01-20 00:00:00'""",
         "backfill_window": _ALL
-        + """select cve_id, modified_at from silver
+        + f"""select cve_id, {_stamp('modified_at')} from silver
              where modified_at between timestamp '2024-01-06 12:00:00' and timestamp '2024-01-20 12:00:00'""",
         "chunk_counts": _ALL
         + """, w as (select i as chunk, timestamp '2024-01-01' + to_days(cast(7 * i as int)) as b,
                             least(timestamp '2024-01-01' + to_days(cast(7 * i + 7 as int)), timestamp '2024-02-04') as t
                      from range(5) r(i))
              select chunk, strftime(b, '%Y-%m-%dT%H:%M:%S.000') as chunk_start, strftime(t, '%Y-%m-%dT%H:%M:%S.000') as chunk_end,
-                    count(*) as "rows", min(modified_at) as first_ts, max(modified_at) as last_ts
+                    count(*) as "rows", strftime(min(modified_at), '%Y-%m-%d %H:%M:%S.%f') as first_ts, strftime(max(modified_at), '%Y-%m-%d %H:%M:%S.%f') as last_ts
              from w join g on modified_at between b and t group by chunk, b, t""",
         "duplicate_versions": _ALL
-        + """select cve_id, modified_at, count(*) as occurrences, count(distinct ingest_file) as files,
+        + f"""select cve_id, {_stamp('modified_at')}, count(*) as occurrences, count(distinct ingest_file) as files,
                min(ingest_file) as first_file, max(ingest_file) as last_file
-             from g group by cve_id, modified_at having count(*) > 1""",
-        "conformed_events": _EVENTS + 'select "timestamp", source, asset, indicator, severity, raw from c',
-        "conformed_distinct": _EVENTS + 'select distinct "timestamp", source, asset, indicator, severity, raw from c',
+             from g group by cve_id, g.modified_at having count(*) > 1""",
+        "conformed_events": _EVENTS + f'select {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
+        "conformed_distinct": _EVENTS + f'select distinct {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
         "detection_alerts": _EVENTS + "select alert_id, rule_id, severity, asset, day, matched_rows from alerts",
         "cve_alerts": _ALL
         + f""", m as (
@@ -218,15 +222,15 @@ def all_sql() -> dict[str, str]:
         "top_iocs": _EVENTS
         + "select indicator, count(*) as sightings from c group by 1 order by sightings desc, indicator limit 20",
         "triage_enriched": _TRIAGE,
-        "retained": "select event_id, ts from events where ts >= date '2024-01-31' - 10",
-        "masked_view": """select event_id, ts, sha256(cast(user_id as varchar)) as user_id, event_type,
+        "retained": f"select event_id, {_stamp('ts')} from events where ts >= date '2024-01-31' - 10",
+        "masked_view": f"""select event_id, {_stamp('ts')}, sha256(cast(user_id as varchar)) as user_id, event_type,
                cast(null as double) as value, cast(null as varchar) as props
              from events where event_type <> 'purchase'""",
-        "zeek_conformed": """select date_trunc('second', ts) as "timestamp", 'zeek' as source, '10.0.' || (user_id % 250) || '.7' as asset,
+        "zeek_conformed": """select strftime(ts, '%Y-%m-%d %H:%M:%S.000000') as "timestamp", 'zeek' as source, '10.0.' || (user_id % 250) || '.7' as asset,
                '192.0.2.' || (event_id % 250) || ':' || case when event_type = 'error' then '22' else '443' end as indicator,
                case when event_type = 'error' then 'MEDIUM' else 'LOW' end as severity
              from events""",
-        "sysmon_conformed": """select date_trunc('millisecond', ts) as "timestamp", 'sysmon' as source, 'HOST-' || user_id as asset,
+        "sysmon_conformed": """select strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'sysmon' as source, 'HOST-' || user_id as asset,
                'C:\\bin\\' || event_type || '.exe' as indicator, case when event_type = 'error' then 'HIGH' else 'MEDIUM' end as severity
              from events""".replace("\\\\", "\\"),
         "attack_techniques": """select 'T' || event_id as technique_id, event_type || ' ' || event_id as name, event_type as tactics,

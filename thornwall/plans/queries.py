@@ -1,7 +1,7 @@
 """The registered queries: each takes (spark, sf_dir) and covers the whole input.
 
-Timestamps are shown without a zone, dates and arrays as text, so that results
-compare across engines.
+Timestamps, dates, arrays and counts that may be missing are shown as text, so
+that results compare across engines. The operators themselves return them typed.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ def registered() -> dict[str, Query]:
 # --- presentation ------------------------------------------------------------
 
 
-def _naive(name: str) -> Column:
-    return F.col(name).cast("timestamp_ntz").alias(name)
+def _stamp(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
 
 
 def _text(name: str) -> Column:
@@ -62,10 +62,11 @@ def _place() -> list[Column]:
 
 
 _SHOWN_SILVER = {
-    "published_at": _naive,
-    "modified_at": _naive,
+    "published_at": _stamp,
+    "modified_at": _stamp,
     "cwe_ids": _joined,
     "reference_urls": _joined,
+    "reference_count": _text,
 }
 
 
@@ -132,13 +133,13 @@ def description_first_en(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cwe_ids_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flatten(occurrences(_raw(spark, sf_dir, "id", "weaknesses")), "cve_id", "cwe_ids", position=True)
-    return rows.select(*_place(), "cve_id", _joined("cwe_ids"), F.array_size("cwe_ids").alias("cwe_entries"))
+    return rows.select(*_place(), "cve_id", _joined("cwe_ids"), F.array_size("cwe_ids").cast("string").alias("cwe_entries"))
 
 
 @query
 def reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flatten(occurrences(_raw(spark, sf_dir, "id", "references")), "cve_id", "reference_urls", position=True)
-    return rows.select(*_place(), "cve_id", F.array_size("reference_urls").alias("reference_count"))
+    return rows.select(*_place(), "cve_id", F.array_size("reference_urls").cast("string").alias("reference_count"))
 
 
 # --- expectations --------------------------------------------------------------
@@ -273,13 +274,13 @@ def window_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = audit.incremental_window(_cves(spark, sf_dir), as_of="2024-01-20 00:00:00")
-    return rows.select("cve_id", _naive("modified_at"))
+    return rows.select("cve_id", _stamp("modified_at"))
 
 
 @query
 def backfill_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = audit.backfill_window(_cves(spark, sf_dir), days=14, as_of="2024-01-20 12:00:00")
-    return rows.select("cve_id", _naive("modified_at"))
+    return rows.select("cve_id", _stamp("modified_at"))
 
 
 @query
@@ -290,8 +291,8 @@ def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_z(F.col("chunk_start")).alias("chunk_start"),
         iso_z(F.col("chunk_end")).alias("chunk_end"),
         "rows",
-        _naive("first_ts"),
-        _naive("last_ts"),
+        _stamp("first_ts"),
+        _stamp("last_ts"),
     )
 
 
@@ -299,7 +300,7 @@ def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duplicate_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.expect_all_or_drop(_required(spark, sf_dir), EXPECTATIONS)
     found = audit.duplicate_versions(rows.withColumn("_ingest_file", _file()))
-    return found.select("cve_id", _naive("modified_at"), "occurrences", "files", "first_file", "last_file")
+    return found.select("cve_id", _stamp("modified_at"), "occurrences", "files", "first_file", "last_file")
 
 
 # --- detections ----------------------------------------------------------------
@@ -319,13 +320,13 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conformed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conformed(spark, sf_dir).withColumn("timestamp", _naive("timestamp"))
+    return _conformed(spark, sf_dir).withColumn("timestamp", _stamp("timestamp"))
 
 
 @query
 def conformed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = _conformed(spark, sf_dir).unionByName(_conformed(spark, sf_dir))
-    return conform.deduplicated(twice).withColumn("timestamp", _naive("timestamp"))
+    return conform.deduplicated(twice).withColumn("timestamp", _stamp("timestamp"))
 
 
 @query
@@ -363,13 +364,13 @@ def triage_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = govern.retained(workspace.events(spark, sf_dir), AS_OF, 10, ts="ts")
-    return rows.select("event_id", _naive("ts"))
+    return rows.select("event_id", _stamp("ts"))
 
 
 @query
 def masked_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = {"event_id": "public", "ts": "public", "event_type": "public", "user_id": "pii", "props": "sensitive"}
-    return govern.masked_view(workspace.events(spark, sf_dir), tags, "event_type <> 'purchase'").withColumn("ts", _naive("ts"))
+    return govern.masked_view(workspace.events(spark, sf_dir), tags, "event_type <> 'purchase'").withColumn("ts", _stamp("ts"))
 
 
 # --- further sources -------------------------------------------------------------
@@ -400,7 +401,7 @@ def zeek_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return path
 
     rows = telemetry.read_zeek(spark, workspace.once(spark, sf_dir, "zeek", build))
-    return conform.conform(rows, "zeek").select(_naive("timestamp"), "source", "asset", "indicator", "severity")
+    return conform.conform(rows, "zeek").select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
 
 
 @query
@@ -430,7 +431,7 @@ def sysmon_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return path
 
     rows = telemetry.read_sysmon(spark, workspace.once(spark, sf_dir, "sysmon", build))
-    return conform.conform(rows, "sysmon").select(_naive("timestamp"), "source", "asset", "indicator", "severity")
+    return conform.conform(rows, "sysmon").select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
 
 
 @query
