@@ -43,20 +43,19 @@ def matches(df: DataFrame, rules: list[Rule], source: str) -> DataFrame:
     own = [r for r in rules if r.source == source]
     if not own:
         raise ValueError(f"no rule watches {source}")
-    hit = F.array_compact(
-        F.array(
-            *(
-                F.when(
-                    F.expr(r.predicate),
-                    F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("rule_severity")),
-                )
-                for r in own
+    hits = F.array(
+        *(
+            F.when(
+                F.expr(r.predicate),
+                F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("rule_severity")),
             )
+            for r in own
         )
     )
     return (
         df.where(reduce(or_, (F.expr(r.predicate) for r in own)))
-        .withColumn("_rule", F.explode(hit))
+        .withColumn("_rule", F.explode(hits))
+        .where(F.col("_rule").isNotNull())
         .withColumns({"rule_id": F.col("_rule.rule_id"), "rule_severity": F.col("_rule.rule_severity")})
         .drop("_rule")
     )

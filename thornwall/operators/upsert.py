@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _sequence(columns: list[str], prefix: str = "") -> Column:
-    return F.struct(*(F.col(f"{prefix}{c}") for c in columns))
-
-
 def latest_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key: the one with the highest ``order``.
+    """One row per key: the one with the highest ``order``, ties broken by the other columns.
 
-    Each task reduces its rows to one per key before the shuffle, so a key that
-    holds a third of all rows sends one row per task. NULL keys form no group.
+    A plain maximum over the row, sequence first. Each task thus reduces its rows
+    to one per key before the shuffle, so a key that holds a third of all rows
+    sends one row per task. NULL keys form no group.
     """
-    value = F.struct(*(F.col(c) for c in df.columns if c != key))
-    newest = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(value, _sequence(order)).alias("_row"))
+    rest = [c for c in df.columns if c != key and c not in order]
+    newest = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return newest.select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
@@ -27,13 +24,14 @@ def merge_newest(current: DataFrame, changes: DataFrame, key: str, order: list[s
     A full outer join: with both sides hashed alike on the key it moves nothing,
     and with ``hash_changes`` the changes of a partition are held in memory so
     that the much larger current side is not even sorted. At equal order the
-    current row stays.
+    current row stays. Columns are picked one by one, so that a query on few
+    columns reads few.
     """
-    if hash_changes:
-        changes = changes.hint("shuffle_hash")
     columns = current.columns
-    old = current.select(key, F.struct(*columns).alias("_old"))
-    new = changes.select(key, F.struct(*columns).alias("_new"))
-    newer = F.col("_old").isNull() | (_sequence(order, "_new.") > _sequence(order, "_old."))
-    picked = F.when(F.col("_new").isNotNull() & newer, F.col("_new")).otherwise(F.col("_old"))
-    return old.join(new, key, "full_outer").select(picked.alias("_row")).select("_row.*")
+    new = changes.select(*(F.col(c).alias(f"_new_{c}") for c in columns))
+    if hash_changes:
+        new = new.hint("shuffle_hash")
+    joined = current.join(new, F.col(key) == F.col(f"_new_{key}"), "full_outer")
+    newer = F.col(key).isNull() | (F.struct(*(f"_new_{c}" for c in order)) > F.struct(*order))
+    take_new = F.col(f"_new_{key}").isNotNull() & newer
+    return joined.select(*(F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns))

@@ -86,7 +86,11 @@ def page_index(pages: DataFrame) -> DataFrame:
 
 
 def corrupt_pages(pages: DataFrame) -> DataFrame:
-    """Page files that could not be parsed, in whole or in part; ``explode`` alone would lose them silently."""
+    """Page files that could not be parsed, in whole or in part; ``explode`` alone would lose them silently.
+
+    To be used on the stored raw table: Spark finds only the faults of fields a
+    query on the files themselves selects.
+    """
     return pages.where(F.col(CORRUPT).isNotNull()).select(
         "_ingest_file", "_ingest_ts", F.col(CORRUPT).alias("document"), F.col("vulnerabilities").isNull().alias("lost")
     )

@@ -19,7 +19,7 @@ DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def _div(number: Column, by: int) -> Column:
-    return ((number - number % by) / by).cast("bigint")
+    return F.call_function("div", number, F.lit(by))
 
 
 def _texts(*pairs: tuple[str, Column]) -> Column:
@@ -104,7 +104,7 @@ def page_documents(events: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     pages = (
         events.select(_div(F.col("event_id"), page_size).alias("page"), F.struct("event_id", "ts", "user_id", "event_type").alias("e"))
         .groupBy("page")
-        .agg(F.array_sort(F.collect_list("e")).alias("page_events"))
+        .agg(F.sort_array(F.collect_list("e")).alias("page_events"))
     )
     document = F.to_json(
         F.struct(

@@ -20,8 +20,8 @@ One writer at a time is assumed, as for any streaming query's checkpoint.
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,8 @@ from thornwall.sources.files import (
 )
 
 BUCKET_BYTES = 512 << 20
+# Spark allows 100,000.
+MAX_BUCKETS = 65_536
 # Changes of one bucket up to this size (compressed) are hashed in memory; larger ones are sorted, which can spill.
 HASHED_BYTES = 32 << 20
 
@@ -76,7 +78,8 @@ class CurrentState:
         base = self.base.latest()
         volume = sum(size_in_bytes(self.spark, p) for p in sets) + (size_in_bytes(self.spark, base) if base else 0)
         buckets = bucket_count(base) if base else None
-        wanted = max(self.min_buckets, 1 << math.ceil(math.log2(max(1, volume / self.bucket_bytes))))
+        wanted = 1 << math.ceil(math.log2(max(1, volume / self.bucket_bytes)))
+        wanted = min(max(self.min_buckets, wanted), MAX_BUCKETS)
         merged = self._merged(base, sets, buckets or wanted)
         if buckets and wanted >= 2 * buckets:
             # The dataset has outgrown its buckets; this one fold moves it all.
@@ -146,13 +149,13 @@ class CurrentState:
         )
 
     def _table_name(self, path: str) -> str:
-        return f"thornwall_state_{zlib.crc32(path.encode()):08x}"
+        return f"thornwall_state_{hashlib.md5(path.encode()).hexdigest()}"
 
     def _bucketed(self, path: str) -> DataFrame:
         """The base as a bucketed table; only a table can tell Spark how its files are hashed."""
-        name = self._table_name(path)
+        name, location = self._table_name(path), path.replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.schema}) USING parquet "
-            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {bucket_count(path)} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {bucket_count(path)} BUCKETS LOCATION '{location}'"
         )
         return self.spark.table(name)

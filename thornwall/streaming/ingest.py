@@ -80,10 +80,22 @@ def upsert_batch(
 
 
 def _log_counts(spark: SparkSession, path: str, batch_id: int, counts: dict) -> None:
-    # One row per rule.
-    rows = [(batch_id, name, counts["records"] - counts[name], counts[name]) for name in EXPECTATIONS]
-    log = spark.createDataFrame(rows, "batch_id bigint, expectation string, passed_records bigint, failed_records bigint")
-    marked(log.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("overwrite")).parquet(path)
+    """One row per rule."""
+    rows = F.explode(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(batch_id).cast("bigint").alias("batch_id"),
+                    F.lit(name).alias("expectation"),
+                    F.lit(counts["records"] - counts[name]).cast("bigint").alias("passed_records"),
+                    F.lit(counts[name]).cast("bigint").alias("failed_records"),
+                )
+                for name in EXPECTATIONS
+            )
+        )
+    )
+    log = spark.range(1, numPartitions=1).select(rows.alias("r"), F.current_timestamp().alias("logged_at"))
+    marked(log.select("r.*", "logged_at").write.mode("overwrite")).parquet(path)
 
 
 def start_upsert(
