@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The leading columns of a Zeek connection log, in file order.
 ZEEK_CONN = (
@@ -29,13 +30,19 @@ STIX_BUNDLE = (
 def read_zeek(spark: SparkSession, path: str, schema: str = ZEEK_CONN, stream: bool = False, **options) -> DataFrame:
     """Tab-separated log; header lines start with ``#``, ``-`` is unset and ``(empty)`` an empty string."""
     reader = spark.readStream if stream else spark.read
-    return (
+    log = (
         reader.schema(schema)
         .format("csv")
-        .options(sep="\t", comment="#", nullValue="-", emptyValue="(empty)", quote="", mode="PERMISSIVE")
+        .options(sep="\t", comment="#", nullValue="-", quote="", mode="PERMISSIVE")
         .options(**options)
         .load(path)
     )
+    empties = {
+        field.name: F.when(F.col(f"`{field.name}`") == "(empty)", "").otherwise(F.col(f"`{field.name}`"))
+        for field in log.schema
+        if field.dataType == T.StringType()
+    }
+    return log.select(*(empties.get(c, F.col(f"`{c}`")).alias(c) for c in log.columns))
 
 
 def _event_data(name: str):
