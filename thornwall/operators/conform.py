@@ -76,6 +76,12 @@ def _cves() -> list[Column]:
 _SHAPES = {"events": _events, "zeek": _zeek_conn, "sysmon": _sysmon, "cves": _cves}
 
 
+def event_columns() -> dict[str, Column]:
+    """The conformed columns event rules refer to, to be added to the event's own."""
+    shaped = dict(zip(COLUMNS, _events()))
+    return {name: shaped[name] for name in ("asset", "indicator")}
+
+
 def conform(df: DataFrame, source: str) -> DataFrame:
     """Rows of one source in the common shape; rows without the required fields are dropped."""
     shaped = df.select(*(column.alias(name) for name, column in zip(COLUMNS, _SHAPES[source]())))

@@ -16,7 +16,7 @@ from thornwall.schema import DATASETS, EXPECTATIONS, INGEST_COLUMNS, KEY, SEQUEN
 from thornwall.session import configure
 from thornwall.sources.files import Versions, marked, qualified
 from thornwall.sources.landing import evolve_schema, stored_schema
-from thornwall.streaming.current_state import CurrentState
+from thornwall.streaming.current_state import FOLD_RATIO, CurrentState
 from thornwall.streaming.ingest import raw_stream, start_raw, start_upsert
 
 GOLD: dict[str, Callable[..., DataFrame]] = {
@@ -44,15 +44,30 @@ class Medallion:
 
     # --- refresh ---------------------------------------------------------------
 
-    def ingest(self, mode: str = "triggered", evolve: bool = False, **options) -> StreamingQuery:
-        """Start the raw hop. ``evolve`` first widens its schema by new fields found in the landing directory."""
-        schema = evolve_schema(self.spark, self.landing, f"{self.root}/schema") if evolve else None
-        checkpoint = f"{self.root}/checkpoints/raw"
-        return start_raw(self.spark, self.landing, self.raw_path, checkpoint, schema, mode, **options)
+    def ingest(
+        self, mode: str = "triggered", evolve: bool = False, evolve_since: str | None = None, **options
+    ) -> StreamingQuery:
+        """Start the raw hop.
 
-    def upsert(self, mode: str = "triggered", fold_ratio: float | None = 0.1, **options) -> StreamingQuery:
+        ``evolve`` first widens its schema by new fields found in the landing
+        directory, a pass of its own over the pages; ``evolve_since`` limits it
+        to those that landed after a point in time.
+        """
+        schema = None
+        store = f"{self.root}/schema"
+        if evolve:
+            limit = {"modifiedAfter": evolve_since} if evolve_since else {}
+            schema = evolve_schema(self.spark, self.landing, store, **limit)
+        schema = schema or stored_schema(self.spark, store)
+        return start_raw(self.spark, self.landing, self.raw_path, f"{self.root}/checkpoints/raw", schema, mode, **options)
+
+    def upsert(self, mode: str = "triggered", interval: str = "1 minute", **options) -> StreamingQuery:
+        """Start the current-state hop. A continuous one folds its changes as it goes."""
         pages = raw_stream(self.spark, self.raw_path, **options)
-        return start_upsert(pages, self.state, self.log_path, f"{self.root}/checkpoints/cves", mode, fold_ratio=fold_ratio)
+        ratio = FOLD_RATIO if mode == "continuous" else None
+        return start_upsert(
+            pages, self.state, self.log_path, f"{self.root}/checkpoints/cves", mode, interval, fold_ratio=ratio
+        )
 
     def refresh_gold(self, as_of: datetime.date | str | None = None) -> None:
         """Recompute the reporting tables, each into a new version that replaces the old one whole."""
@@ -65,6 +80,7 @@ class Medallion:
         """One triggered pass through all layers, in order."""
         self.ingest(evolve=evolve).awaitTermination()
         self.upsert().awaitTermination()
+        self.state.fold_if_due()
         self.refresh_gold(as_of)
 
     # --- access ----------------------------------------------------------------

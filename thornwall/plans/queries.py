@@ -311,10 +311,7 @@ def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event rules see the event's own columns and the conformed ones."""
-    events = workspace.events(spark, sf_dir)
-    shape = dict(zip(conform.COLUMNS, conform._SHAPES["events"]()))
-    rows = events.withColumns({name: shape[name] for name in ("asset", "indicator")})
+    rows = workspace.events(spark, sf_dir).withColumns(conform.event_columns())
     return detect.alerts(rows, detect.EVENT_RULES, "events", "asset", "ts")
 
 

@@ -60,6 +60,7 @@ def upserted(spark: SparkSession, sf_dir: str) -> Medallion:
     def build() -> Medallion:
         medallion = ingested(spark, sf_dir)
         medallion.upsert().awaitTermination()
+        medallion.state.fold_if_due()
         return medallion
 
     return once(spark, sf_dir, "cves", build)

@@ -15,6 +15,9 @@ from thornwall.sources.files import Versions, marked, qualified
 FILE_GLOB = "cves_*.json"
 FILE_NAME = r"^cves_(\d{8})_(\d{8})_p(\d{3,})_(\w+)\.json$"
 
+# The driver holds the file names of a micro-batch; at 2000 records a page this many make some 600 GB.
+FILES_PER_BATCH = 100_000
+
 
 def read_pages(
     spark: SparkSession, landing: str, schema: str | T.StructType | None = None, stream: bool = False, **options
@@ -24,9 +27,12 @@ def read_pages(
     Directories that start with ``_`` (pages being written) are hidden from
     Spark. A file cut short becomes a row with NULL fields and its text in the
     corrupt-record column. ``options`` go to the reader, for instance
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
+    ``maxFilesPerTrigger``, or ``cleanSource`` to move pages taken in out of the
+    directory, which keeps it quick to list.
     """
     reader = spark.readStream if stream else spark.read
+    if stream and "maxBytesPerTrigger" not in options:
+        options.setdefault("maxFilesPerTrigger", FILES_PER_BATCH)
     return (
         reader.schema(schema or page_schema())
         .format("json")

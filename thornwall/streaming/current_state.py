@@ -43,6 +43,7 @@ from thornwall.sources.files import (
 BUCKET_BYTES = 512 << 20
 # Spark allows 100,000.
 MAX_BUCKETS = 65_536
+FOLD_RATIO = 0.25
 # Changes of one bucket up to this size (compressed) are hashed in memory; larger ones are sorted, which can spill.
 HASHED_BYTES = 32 << 20
 
@@ -92,11 +93,14 @@ class CurrentState:
         )
         return path
 
-    def fold_if_due(self, ratio: float = 0.1) -> str | None:
-        """Fold once the changes reach a share of the base: each row of the base is rewritten that rarely."""
-        base = self.base.latest()
-        pending = sum(size_in_bytes(self.spark, p) for p in self._change_sets())
-        if pending and (base is None or pending >= ratio * size_in_bytes(self.spark, base)):
+    def fold_if_due(self, ratio: float = FOLD_RATIO, max_sets: int = 200) -> str | None:
+        """Fold once the changes reach a share of the base, or many change sets have gathered.
+
+        Growing by that share from fold to fold, a row is rewritten about 1 / ratio times.
+        """
+        base, sets = self.base.latest(), self._change_sets()
+        pending = sum(size_in_bytes(self.spark, p) for p in sets)
+        if sets and (base is None or len(sets) >= max_sets or pending >= ratio * size_in_bytes(self.spark, base)):
             return self.fold()
         return base
 

@@ -15,6 +15,11 @@ from thornwall.sources.files import marked
 from thornwall.sources.landing import read_pages
 from thornwall.streaming.current_state import CurrentState
 
+# Of the usual 128 MB each, somewhat more than 1 TB per micro-batch.
+RAW_FILES_PER_BATCH = 10_000
+# Pages shrink about fivefold in Parquet: this makes files of some 100 MB.
+RAW_SPLIT_BYTES = 512 << 20
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 # Ties on the time of modification go to the later file, then to the later place in it.
 BATCH_SEQUENCE = [SEQUENCE[0], "_ingest_file", POSITION]
 
@@ -45,23 +50,32 @@ def start_raw(
     old pages leave the table.
     """
     pages = read_pages(spark, landing, schema, stream=True, **options)
-    return (
+    writer = (
         pages.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .options(**(sink_options or {}))
         .trigger(**trigger(mode, interval))
-        .start(table)
     )
+    # A task writes one file, so more pages per task make larger files without a shuffle.
+    # The query keeps a copy of the settings it starts with.
+    usual = spark.conf.get(_SPLIT)
+    spark.conf.set(_SPLIT, RAW_SPLIT_BYTES)
+    try:
+        return writer.start(table)
+    finally:
+        spark.conf.set(_SPLIT, usual)
 
 
 def raw_stream(spark: SparkSession, table: str, **options) -> DataFrame:
     """New rows of the raw table, with just the fields the upsert reads."""
+    if "maxBytesPerTrigger" not in options:
+        options.setdefault("maxFilesPerTrigger", RAW_FILES_PER_BATCH)
     return spark.readStream.schema(f"{page_schema()}, {INGEST_COLUMNS}").options(**options).parquet(table)
 
 
 def upsert_batch(
-    state: CurrentState, log: str, fold_ratio: float | None = 0.1
+    state: CurrentState, log: str, fold_ratio: float | None
 ) -> Callable[[DataFrame, int], None]:
     """One micro-batch: count the expectations, drop what fails, store the newest row per CVE."""
 
@@ -105,9 +119,14 @@ def start_upsert(
     checkpoint: str,
     mode: str = "triggered",
     interval: str = "1 minute",
-    fold_ratio: float | None = 0.1,
+    fold_ratio: float | None = None,
 ) -> StreamingQuery:
-    """Keep the newest version of each CVE; older versions that come late change nothing."""
+    """Keep the newest version of each CVE; older versions that come late change nothing.
+
+    With a ``fold_ratio`` the changes are folded into the base on the way, each
+    time they reach that share of it: right for a query that runs on. One that
+    takes in what there is and stops is better folded once, afterwards.
+    """
     return (
         pages.writeStream.foreachBatch(upsert_batch(state, log, fold_ratio))
         .option("checkpointLocation", checkpoint)
