@@ -149,6 +149,17 @@ def test_every_rule_has_its_cases():
     assert set(CVE_CASES) == {r.rule_id for r in detect.CVE_RULES}
 
 
+def test_rules_from_files(spark, tmp_path):
+    (tmp_path / "r2.json").write_text(json.dumps({"rule_id": "R2", "severity": "LOW", "source": "events", "predicate": "value > 1"}))
+    (tmp_path / "r1.json").write_text(
+        json.dumps([{"rule_id": "R1", "severity": "HIGH", "source": "cves", "predicate": "true", "technique": "T1"}], indent=1)
+    )
+    assert detect.read_rules(spark, str(tmp_path)) == [
+        Rule("R1", "HIGH", "cves", "true", "T1"),
+        Rule("R2", "LOW", "events", "value > 1"),
+    ]
+
+
 @pytest.mark.parametrize("rule", detect.EVENT_RULES, ids=lambda r: r.rule_id)
 def test_event_rule(spark, rule):
     rows = [(*case, str(i), None) for i, case in enumerate(CASES[rule.rule_id])]

@@ -261,6 +261,21 @@ def test_medallion_end_to_end(spark, tmp_path):
     assert total == m.table("cves").count()
 
 
+def test_batch_without_any_valid_cve(spark, tmp_path):
+    landing = tmp_path / "landing"
+    page(landing, 0)
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    m.run(as_of="2024-01-31")
+    page(landing, 1, cve(None))
+    m.run(as_of="2024-01-31")
+    assert m.table("cves").count() == 0 and m.table("cve_severity_daily").count() == 0
+    failed = m.expectation_log().where("failed_records > 0").collect()
+    assert [(r["expectation"], r["failed_records"]) for r in failed] == [("valid_cve_id", 1)]
+    page(landing, 2, cve("CVE-1"))
+    m.run(as_of="2024-01-31")
+    assert m.table("cves").count() == 1
+
+
 def test_new_fields_join_on_restart(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1"))

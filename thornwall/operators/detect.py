@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,13 @@ CVE_RULES = [
 ]
 
 
+def read_rules(spark: SparkSession, path: str) -> list[Rule]:
+    """Rules from JSON documents, one rule per file or several in an array: as many as people have written."""
+    schema = "rule_id string, severity string, source string, predicate string, technique string"
+    rows = spark.read.schema(schema).option("multiLine", "true").json(path).orderBy("rule_id")
+    return [Rule(**row.asDict()) for row in rows.toLocalIterator()]
+
+
 def matches(df: DataFrame, rules: list[Rule], source: str) -> DataFrame:
     """One row per (row, rule that holds), with ``rule_id`` and ``rule_severity`` added.
 

@@ -182,18 +182,19 @@ def cves_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cves_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files in four or more micro-batches, newest files first; changes folded into the base on the way."""
 
-    def build() -> CurrentState:
-        medallion = workspace.landed(spark, sf_dir)
-        root = workspace.folder(spark, sf_dir, "stream")
+    medallion = workspace.landed(spark, sf_dir)
+    root = workspace.folder(spark, sf_dir, "stream")
+    state = CurrentState(spark, f"{root}/cves", SILVER_SCHEMA, KEY, SEQUENCE)
+
+    def build() -> None:
         files = landing.landing_totals(spark, medallion.landing).first()["files"]
-        state = CurrentState(spark, f"{root}/cves", SILVER_SCHEMA, KEY, SEQUENCE)
         pages = landing.read_pages(
             spark, medallion.landing, stream=True, maxFilesPerTrigger=max(1, math.ceil(files / 4)), latestFirst="true"
         )
         start_upsert(pages, state, f"{root}/log", f"{root}/checkpoint", fold_ratio=0.5).awaitTermination()
-        return state
 
-    return _shown(workspace.once(spark, sf_dir, "stream", build).read())
+    workspace.once(spark, sf_dir, "stream", build)
+    return _shown(state.read())
 
 
 # --- reporting -----------------------------------------------------------------

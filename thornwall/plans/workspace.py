@@ -16,7 +16,8 @@ _built: dict[tuple[str, str, str], object] = {}
 
 
 def once(spark: SparkSession, sf_dir: str, what: str, build):
-    """``build()`` the first time, its result from then on."""
+    """``build()`` the first time in this application, its result from then on."""
+    configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir, what)
     with _lock:
         if key not in _built:
@@ -32,35 +33,31 @@ def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{workdir(spark)}/{zlib.crc32(sf_dir.encode()):08x}/{name}"
 
 
-def landed(spark: SparkSession, sf_dir: str) -> Medallion:
-    """The derived feed as page files in a landing directory; nothing read yet."""
+def medallion(spark: SparkSession, sf_dir: str) -> Medallion:
+    return Medallion(spark, folder(spark, sf_dir, "tables"), folder(spark, sf_dir, "landing"))
 
-    def build() -> Medallion:
-        medallion = Medallion(spark, folder(spark, sf_dir, "tables"), folder(spark, sf_dir, "landing"))
-        sample_feed.land(events(spark, sf_dir), medallion.landing)
-        return medallion
 
-    return once(spark, sf_dir, "landing", build)
+def landed(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The derived feed as page files in a landing directory; nothing read yet."""
+    found = medallion(spark, sf_dir)
+    once(spark, sf_dir, "landing", lambda: sample_feed.land(events(spark, sf_dir), found.landing))
+    return found
 
 
 def ingested(spark: SparkSession, sf_dir: str) -> Medallion:
     """... and the raw table filled from it."""
-
-    def build() -> Medallion:
-        medallion = landed(spark, sf_dir)
-        medallion.ingest().awaitTermination()
-        return medallion
-
-    return once(spark, sf_dir, "raw", build)
+    found = landed(spark, sf_dir)
+    once(spark, sf_dir, "raw", lambda: found.ingest().awaitTermination())
+    return found
 
 
 def upserted(spark: SparkSession, sf_dir: str) -> Medallion:
     """... and the current-state table."""
+    found = ingested(spark, sf_dir)
 
-    def build() -> Medallion:
-        medallion = ingested(spark, sf_dir)
-        medallion.upsert().awaitTermination()
-        medallion.state.fold_if_due()
-        return medallion
+    def build() -> None:
+        found.upsert().awaitTermination()
+        found.state.fold_if_due()
 
-    return once(spark, sf_dir, "cves", build)
+    once(spark, sf_dir, "cves", build)
+    return found
