@@ -158,6 +158,13 @@ def all_sql() -> dict[str, str]:
         "cve_cwe_top": _ALL
         + r"""select c as cwe_id, count(*) as cve_count from (select unnest(cwes) as c from silver)
               where regexp_matches(c, '^CWE-\d+$') group by 1""",
+        "gold_published": _ALL
+        + rf"""select 'cve_severity_daily' as report, count(distinct (cast(published_at as date), coalesce({_SEVERITY}, 'UNKNOWN'))) as "rows",
+               count(*) as counted from silver
+             union all select 'cve_recent_critical', count(*), count(*) from silver
+               where {_SEVERITY} = 'CRITICAL' and published_at >= date '2024-01-31' - 90
+             union all select 'cve_cwe_top', count(distinct c), count(*) from (select unnest(cwes) as c from silver)
+               where regexp_matches(c, '^CWE-\d+$')""",
         "cvss_best": _ALL
         + """select cve_id,
                case when cvss_v31_score is not null then '3.1' when cvss_v30_score is not null then '3.0' when cvss_v2_score is not null then '2.0' end as cvss_version,
@@ -222,7 +229,11 @@ def all_sql() -> dict[str, str]:
         "top_iocs": _EVENTS
         + "select indicator, count(*) as sightings from c group by 1 order by sightings desc, indicator limit 20",
         "triage_enriched": _TRIAGE,
+        "alerts_triaged": _TRIAGE,
         "retained": f"select event_id, {_stamp('ts')} from events where ts >= date '2024-01-31' - 10",
+        "conformed_retained": _EVENTS
+        + f"""select {_stamp("timestamp")}, asset, indicator, severity, cast(cast(c."timestamp" as date) as varchar) as day
+             from c where c."timestamp" >= date '2024-01-31' - 14""",
         "masked_view": f"""select event_id, {_stamp('ts')}, sha256(cast(user_id as varchar)) as user_id, event_type,
                cast(null as double) as value, cast(null as varchar) as props
              from events where event_type <> 'purchase'""",

@@ -7,13 +7,12 @@ import pytest
 import __spark_entry__ as contract
 from conftest import TESTDATA
 from thornwall.operators import conform, detect, triage
-from thornwall.plans import workspace
-from pyspark.sql import functions as F
+from thornwall.plans import queries, workspace
 
 SF = str(TESTDATA / "sf0.001")
 # What may reach a single task: counters, one row per task; and the windows of the
 # one run in the derived data, at most one row per calendar day.
-BOUNDED = {"dq_expectation_metrics", "landing_totals", "window_gaps"}
+BOUNDED = {"dq_expectation_metrics", "landing_totals", "window_gaps", "gold_published"}
 
 
 def plan_of(df):
@@ -57,8 +56,7 @@ def test_sorted_report_scans_once(spark):
 
 
 def test_triage_is_the_same_without_broadcast(spark):
-    user = F.substring_index("asset", "-", -1).cast("bigint")
-    source = F.concat(F.lit("src"), (user % 10).cast("string"), F.lit("@example.org"))
+    source = queries._cve_source()
 
     def result():
         context = triage.cve_context(workspace.upserted(spark, SF).table("cves"))

@@ -249,3 +249,19 @@ def test_retention_and_masking(spark, tmp_path):
     assert [f.dataType for f in shown.schema][0] == df.schema["_ingest_ts"].dataType
     with pytest.raises(ValueError):
         govern.masked_view(df, {"who": "secret"})
+
+
+def test_stored_days_expire_whole(spark, tmp_path):
+    path = str(tmp_path / "days")
+    # two thirds of the rows on one day
+    df = spark.sql(
+        "select timestamp'2024-01-10 00:00:00' + make_dt_interval(if(id % 3 = 0, id % 10, 0)) timestamp, id from range(3000)"
+    ).repartition(6)
+    govern.store_by_day(df, path)
+    govern.store_by_day(df.limit(0), path)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").glob("day=*")}
+    assert len(files) == 10 and set(files.values()) == {1}
+    assert govern.drop_expired(spark, path, "2024-02-01", 20) == ["day=2024-01-10", "day=2024-01-11"]
+    left = spark.read.parquet(path)
+    assert left.count() == df.where("timestamp >= timestamp'2024-01-12'").count()
+    assert govern.drop_expired(spark, path, "2024-02-01", 20) == []

@@ -7,8 +7,9 @@ import random
 import pytest
 from feed import cve, page, v3
 
+from thornwall.operators import audit
 from thornwall.operators.flatten import flatten, occurrences
-from thornwall.operators.quality import expect_all_or_drop
+from thornwall.operators.quality import expect_all_or_drop, observed
 from thornwall.operators.upsert import latest_by_key
 from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
@@ -261,6 +262,39 @@ def test_medallion_end_to_end(spark, tmp_path):
     assert total == m.table("cves").count()
 
 
+def test_flattening_a_stream_counts_in_its_progress(spark, tmp_path):
+    landing = landing_of(tmp_path, 3)
+    stream = flatten(occurrences(read_pages(spark, str(landing), stream=True, maxFilesPerTrigger=3)))
+    query = (
+        expect_all_or_drop(observed(stream, "expectations", EXPECTATIONS), EXPECTATIONS)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["expectations"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(seen) == 3 and sum(m["records"] for m in seen) == 120
+    flat = flatten(occurrences(read_pages(spark, str(landing))))
+    assert sum(m["valid_published"] for m in seen) == flat.where("published_at is null").count() > 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == expect_all_or_drop(flat, EXPECTATIONS).count()
+
+
+def test_audit_and_vacuum_of_the_stored_layers(spark, tmp_path):
+    landing = tmp_path / "landing"
+    page(landing, 0, cve("CVE-1"), cve("CVE-2"), total=5)
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    m.run(as_of="2024-01-31")
+    incomplete = audit.page_completeness(m.page_index(), 2).collect()
+    assert [(r["pages"], r["expected_pages"], r["records"], r["total"]) for r in incomplete] == [(1, 3, 2, 5)]
+    for n in range(1, 4):
+        page(landing, n, cve(f"CVE-{n + 2}"))
+        m.run(as_of="2024-01-31")
+    m.vacuum()
+    assert len(m._versions("cve_cwe_top").listed()) == 2
+    assert m.table("cves").count() == 5 and m.table("cve_severity_daily").first()["cve_count"] == 5
+
+
 def test_batch_without_any_valid_cve(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0)

@@ -1,13 +1,17 @@
-"""Retention and column/row protection as plain projections."""
+"""Retention, and protection of columns and rows by plain projections."""
 
 from __future__ import annotations
 
 import datetime
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thornwall.sources.files import file_system, hadoop_path, subdirectories
+
 RETENTION_DAYS = 90
+_DAY = re.compile(r"^day=\d{4}-\d{2}-\d{2}$")
 
 # Column tags.
 PII, SENSITIVE, PUBLIC = "pii", "sensitive", "public"
@@ -19,6 +23,29 @@ def retained(df: DataFrame, as_of: datetime.date | str | None = None, days: int
     return df.where(F.col(ts) >= F.date_sub(day, days))
 
 
+def store_by_day(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "append") -> None:
+    """Write one directory per UTC day, in files of even size.
+
+    Rows are brought together by day first, or every task would write a small
+    file for every day. Adaptive execution splits a day that is too large for
+    one task and merges small ones.
+    """
+    by_day = df.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
+    by_day.write.mode(mode).partitionBy("day").parquet(path)
+
+
+def drop_expired(
+    spark: SparkSession, path: str, as_of: datetime.date | str | None = None, days: int = RETENTION_DAYS
+) -> list[str]:
+    """Delete the day directories older than the retention, without reading or rewriting any row."""
+    today = datetime.date.fromisoformat(str(as_of)) if as_of else datetime.datetime.now(datetime.timezone.utc).date()
+    oldest = (today - datetime.timedelta(days=days)).isoformat()
+    gone = [name for name in subdirectories(spark, path) if _DAY.match(name) and name[len("day=") :] < oldest]
+    for name in gone:
+        file_system(spark, path).delete(hadoop_path(spark, f"{path}/{name}"), True)
+    return gone
+
+
 def _shown(name: str, tag: str) -> Column:
     column = F.col(f"`{name}`")
     if tag == PUBLIC:

@@ -5,17 +5,19 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from thornwall.operators import detect, triage
+from thornwall.operators.detect import Rule
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.operators.quality import expect_all_or_drop
 from thornwall.plans import gold
 from thornwall.schema import DATASETS, EXPECTATIONS, INGEST_COLUMNS, KEY, SEQUENCE, SILVER_SCHEMA, page_schema
 from thornwall.session import configure
 from thornwall.sources.files import Versions, marked, qualified
-from thornwall.sources.landing import evolve_schema, stored_schema
+from thornwall.sources.landing import evolve_schema, page_index, stored_schema
 from thornwall.streaming.current_state import FOLD_RATIO, CurrentState
 from thornwall.streaming.ingest import raw_stream, start_raw, start_upsert
 
@@ -26,6 +28,9 @@ GOLD: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+VERSIONED = [*GOLD, "alerts", "alerts_triaged"]
+
+
 class Medallion:
     """Landing directory -> raw pages -> current CVEs -> reporting tables.
 
@@ -74,7 +79,19 @@ class Medallion:
         cves = self.state.read()
         for name, compute in GOLD.items():
             rows = compute(cves, as_of=as_of) if name == "cve_recent_critical" else compute(cves)
-            marked(rows.write).parquet(Versions(self.spark, f"{self.root}/{name}").next())
+            marked(rows.write).parquet(self._versions(name).next())
+
+    def refresh_alerts(
+        self, rows: DataFrame, rules: list[Rule], source: str, asset: str, ts: str, cve_source: Column
+    ) -> None:
+        """Recompute ``alerts`` from the rules over ``rows``, and ``alerts_triaged`` from those and the current CVEs.
+
+        ``cve_source`` gives, from an alert's columns, the reporting source whose CVEs concern it.
+        """
+        alerts = detect.alerts(rows, rules, source, asset, ts)
+        marked(alerts.write).parquet(self._versions("alerts").next())
+        triaged = triage.triage(self.table("alerts"), triage.cve_context(self.state.read()), cve_source, rules)
+        marked(triaged.write).parquet(self._versions("alerts_triaged").next())
 
     def run(self, as_of: datetime.date | str | None = None, evolve: bool = False) -> None:
         """One triggered pass through all layers, in order."""
@@ -85,6 +102,9 @@ class Medallion:
 
     # --- access ----------------------------------------------------------------
 
+    def _versions(self, name: str) -> Versions:
+        return Versions(self.spark, f"{self.root}/{name}")
+
     def table(self, name: str) -> DataFrame:
         if name == "nvd_cves_raw":
             # Given, not merged from the footers of all files; files older than a field show NULL for it.
@@ -95,13 +115,24 @@ class Medallion:
             return expect_all_or_drop(flatten(occurrences(self.table("nvd_cves_raw"))), EXPECTATIONS)
         if name == "cves":
             return self.state.read()
-        if name in GOLD:
-            path = Versions(self.spark, f"{self.root}/{name}").latest()
+        if name in VERSIONED:
+            path = self._versions(name).latest()
             if path is None:
                 raise LookupError(f"{name} has not been refreshed yet")
             return self.spark.read.parquet(path)
         raise LookupError(name)
 
+    def page_index(self) -> DataFrame:
+        """One row per page in the raw table, for the audits; of the records, only ids are read."""
+        raw = self.spark.read.schema(f"{page_schema('id')}, {INGEST_COLUMNS}").parquet(self.raw_path)
+        return page_index(raw)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete superseded versions of the stored datasets. Readers of the newest ``keep`` are not disturbed."""
+        self.state.vacuum(keep)
+        for name in VERSIONED:
+            self._versions(name).vacuum(keep)
+
     def expectation_log(self) -> DataFrame:
         """Passed and failed records per batch and rule."""
         return self.spark.read.option("recursiveFileLookup", "true").parquet(self.log_path)
@@ -119,7 +150,7 @@ class Medallion:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name in GOLD:
             layer, text = DATASETS[name]
-            path = Versions(self.spark, f"{self.root}/{name}").latest()
+            path = self._versions(name).latest()
             if self.spark.catalog.tableExists(f"{database}.{name}"):
                 self.spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{path}'")
                 self.spark.catalog.refreshTable(f"{database}.{name}")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,6 +221,23 @@ def cve_cwe_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.cwe_top(_cves(spark, sf_dir))
 
 
+@query
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored reports, each summed up in one row."""
+    medallion = workspace.upserted(spark, sf_dir)
+    workspace.once(spark, sf_dir, "gold", lambda: medallion.refresh_gold(AS_OF))
+    counts = {
+        "cve_severity_daily": F.sum("cve_count"),
+        "cve_recent_critical": F.count("cve_id"),
+        "cve_cwe_top": F.sum("cve_count"),
+    }
+    rows = [
+        medallion.table(name).agg(F.count(F.lit(1)).alias("rows"), counted.alias("counted")).select(F.lit(name).alias("report"), "*")
+        for name, counted in counts.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def cvss_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.cvss_best(_cves(spark, sf_dir))
@@ -348,12 +366,30 @@ def top_iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.top_iocs(_conformed(spark, sf_dir), 20)
 
 
+def _cve_source() -> Column:
+    """The reporting source that stands for the user an alert is about."""
+    user = F.substring_index("asset", "-", -1).cast("bigint")
+    return F.concat(F.lit("src"), (user % 10).cast("string"), F.lit("@example.org"))
+
+
 @query
 def triage_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.substring_index("asset", "-", -1).cast("bigint")
-    source = F.concat(F.lit("src"), (user % 10).cast("string"), F.lit("@example.org"))
     context = triage.cve_context(_cves(spark, sf_dir))
-    return triage.triage(_alerts(spark, sf_dir), context, source, detect.EVENT_RULES).withColumn("day", _text("day"))
+    rows = triage.triage(_alerts(spark, sf_dir), context, _cve_source(), detect.EVENT_RULES)
+    return rows.withColumn("day", _text("day"))
+
+
+@query
+def alerts_triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, stored and read back: alerts first, then triage on the stored alerts."""
+    medallion = workspace.upserted(spark, sf_dir)
+
+    def build() -> None:
+        rows = workspace.events(spark, sf_dir).withColumns(conform.event_columns())
+        medallion.refresh_alerts(rows, detect.EVENT_RULES, "events", "asset", "ts", _cve_source())
+
+    workspace.once(spark, sf_dir, "alerts", build)
+    return medallion.table("alerts_triaged").withColumn("day", _text("day"))
 
 
 # --- governance ----------------------------------------------------------------
@@ -365,6 +401,19 @@ def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", _stamp("ts"))
 
 
+@query
+def conformed_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed rows stored by day, the days past retention dropped."""
+    path = workspace.folder(spark, sf_dir, "conformed")
+
+    def build() -> None:
+        govern.store_by_day(_conformed(spark, sf_dir), path)
+        govern.drop_expired(spark, path, AS_OF, 14)
+
+    workspace.once(spark, sf_dir, "conformed", build)
+    return spark.read.parquet(path).select(_stamp("timestamp"), "asset", "indicator", "severity", _text("day"))
+
+
 @query
 def masked_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = {"event_id": "public", "ts": "public", "event_type": "public", "user_id": "pii", "props": "sensitive"}
