@@ -213,6 +213,9 @@ def all_sql() -> dict[str, str]:
                min(ingest_file) as first_file, max(ingest_file) as last_file
              from g group by cve_id, g.modified_at having count(*) > 1""",
         "conformed_events": _EVENTS + f'select {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
+        "conformed_cves": _ALL
+        + f"""select strftime(modified_at, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'cves' as source, source_identifier as asset,
+               cve_id as indicator, {_SEVERITY} as severity from silver""",
         "conformed_distinct": _EVENTS + f'select distinct {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
         "detection_alerts": _EVENTS + "select alert_id, rule_id, severity, asset, day, matched_rows from alerts",
         "cve_alerts": _ALL

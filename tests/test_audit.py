@@ -110,6 +110,20 @@ def test_chunks_share_their_boundary(spark):
     assert {str(r["chunk_end"] - r["chunk_start"]) for r in rows if r["chunk"] == 2} == {"3 days, 0:00:00"}
 
 
+def test_request_windows(spark):
+    utc = datetime.timezone.utc
+    start = datetime.datetime(2023, 4, 28, 23, 0, 0, 123456, tzinfo=utc)
+    rows = audit.request_windows(spark, start, start + datetime.timedelta(days=365)).collect()
+    assert [(r["request_start"], r["request_end"]) for r in rows] == [
+        ("2023-04-28T23:00:00.000", "2023-08-26T23:00:00.000"),
+        ("2023-08-26T23:00:00.000", "2023-12-24T23:00:00.000"),
+        ("2023-12-24T23:00:00.000", "2024-04-22T23:00:00.000"),
+        ("2024-04-22T23:00:00.000", "2024-04-27T23:00:00.000"),
+    ]
+    assert audit.request_windows(spark, start, start + datetime.timedelta(days=240)).count() == 2
+    assert audit.request_windows(spark, start, start).count() == 0
+
+
 def test_range_of_whole_chunks_has_no_extra_one(spark):
     df = times(spark, "2024-01-14 00:00:00", "2024-01-15 00:00:00")
     rows = audit.chunk_counts(df, "2024-01-01 00:00:00", "2024-01-15 00:00:00", 7).collect()

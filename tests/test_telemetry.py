@@ -58,6 +58,21 @@ def test_zeek(spark, tmp_path):
     assert json.loads(shaped[0]["raw"])["uid"] == "C1"
 
 
+def test_telemetry_as_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.log").write_text(ZEEK)
+    (tmp_path / "in" / "b.log").write_text(ZEEK)
+    rows = conform.deduplicated(conform.conform(telemetry.read_zeek(spark, str(tmp_path / "in"), stream=True), "zeek"))
+    query = (
+        rows.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 def test_sysmon_xml_and_json(spark, tmp_path):
     (tmp_path / "e.xml").write_text(SYSMON)
     (tmp_path / "e.json").write_text(

@@ -7,10 +7,13 @@ one per landed page file.
 from __future__ import annotations
 
 import datetime
+import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from thornwall.functions.cve import iso_z
+
 CHUNK = ["run_ts", "chunk_start", "chunk_end"]
 
 # Limits of the feed.
@@ -19,6 +22,8 @@ MAX_CHUNK_DAYS = 120
 BACKFILL_DAYS = 365
 INCREMENTAL_HOURS = 24
 
+DAY_MICROS = 86_400_000_000
+
 
 def instant(as_of: datetime.datetime | str | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
@@ -83,6 +88,29 @@ def backfill_window(
     return incremental_window(df, 24 * days, as_of, ts)
 
 
+def request_windows(
+    spark: SparkSession, start: datetime.datetime, end: datetime.datetime, max_days: int = MAX_CHUNK_DAYS
+) -> DataFrame:
+    """The windows a run has to ask the feed for, with their bounds in request format."""
+    windows = math.ceil((end - start) / datetime.timedelta(days=max_days))
+    begins, ends = _bounds(F.col("chunk"), instant(start), instant(end), max_days)
+    return (
+        spark.range(windows)
+        .withColumnRenamed("id", "chunk")
+        .withColumns({"chunk_start": begins, "chunk_end": ends})
+        .withColumns({"request_start": iso_z(F.col("chunk_start")), "request_end": iso_z(F.col("chunk_end"))})
+    )
+
+
+def _bounds(chunk: Column, first: Column, last: Column, max_days: int) -> tuple[Column, Column]:
+    """Window number ``chunk`` of a range; the last one ends with the range."""
+
+    def cut(number: Column) -> Column:
+        return F.timestamp_micros(F.unix_micros(first) + number * F.lit(max_days * DAY_MICROS))
+
+    return cut(chunk), F.least(cut(chunk + 1), last)
+
+
 def chunk_assign(
     df: DataFrame,
     start: datetime.datetime | str,
@@ -97,7 +125,7 @@ def chunk_assign(
     both, once each.
     """
     first, last = instant(start), instant(end)
-    width = max_days * 86_400_000_000
+    width = max_days * DAY_MICROS
     into = F.unix_micros(F.col(ts)) - F.unix_micros(first)
     number = F.floor(into / F.lit(width)).cast("bigint")
     on_boundary = (into % F.lit(width) == 0) & (number > 0)
@@ -106,8 +134,7 @@ def chunk_assign(
         .when(on_boundary, F.array(number - 1, number))
         .otherwise(F.array(number))
     )
-    begins = F.timestamp_micros(F.unix_micros(first) + F.col("chunk") * F.lit(width))
-    ends = F.least(F.timestamp_micros(F.unix_micros(first) + (F.col("chunk") + 1) * F.lit(width)), last)
+    begins, ends = _bounds(F.col("chunk"), first, last, max_days)
     return (
         df.where(F.col(ts).between(first, last))
         .withColumn("chunk", F.explode(chunks))

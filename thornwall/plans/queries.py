@@ -189,8 +189,9 @@ def cves_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> None:
         files = landing.landing_totals(spark, medallion.landing).first()["files"]
+        per_batch = min(max(1, math.ceil(files / 4)), landing.FILES_PER_BATCH)
         pages = landing.read_pages(
-            spark, medallion.landing, stream=True, maxFilesPerTrigger=max(1, math.ceil(files / 4)), latestFirst="true"
+            spark, medallion.landing, stream=True, maxFilesPerTrigger=per_batch, latestFirst="true"
         )
         start_upsert(pages, state, f"{root}/log", f"{root}/checkpoint", fold_ratio=0.5).awaitTermination()
 
@@ -339,6 +340,12 @@ def conformed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conformed(spark, sf_dir).withColumn("timestamp", _stamp("timestamp"))
 
 
+@query
+def conformed_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conform.conform(_cves(spark, sf_dir), "cves")
+    return rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
+
+
 @query
 def conformed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = _conformed(spark, sf_dir).unionByName(_conformed(spark, sf_dir))

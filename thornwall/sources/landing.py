@@ -156,7 +156,13 @@ def write_pages(pages: DataFrame, landing: str) -> DataFrame:
                 body = document.encode()
                 with store.open_output_stream(aside) as out:
                     out.write(body)
-                store.move(aside, f"{root}/{name}")
+                try:
+                    store.move(aside, f"{root}/{name}")
+                except OSError:
+                    # Not every store renames over a file; an earlier attempt has published the same one.
+                    if store.get_file_info(f"{root}/{name}").type != fs.FileType.File:
+                        raise
+                    store.delete_file(aside)
                 sizes.append(len(body))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["file_name", "bytes"])
 
