@@ -295,6 +295,19 @@ def test_audit_and_vacuum_of_the_stored_layers(spark, tmp_path):
     assert m.table("cves").count() == 5 and m.table("cve_severity_daily").first()["cve_count"] == 5
 
 
+def test_page_with_an_old_file_time_is_not_skipped(spark, tmp_path):
+    landing = tmp_path / "landing"
+    page(landing, 0, cve("CVE-1"))
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    m.run(as_of="2024-01-31")
+    page(landing, 1, cve("CVE-2"))
+    m.run(as_of="2024-01-31")
+    old = page(landing, 2, cve("CVE-3"))
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    m.run(as_of="2024-01-31")
+    assert m.table("cves").count() == 3
+
+
 def test_batch_without_any_valid_cve(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0)

@@ -93,9 +93,11 @@ def conform_all(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def deduplicated(df: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Each conformed row once. A stream forgets rows older than ``delay``; a batch has no such limit.
+    """Each conformed row once.
 
-    The stream's state holds a digest per row rather than the raw text.
+    A stream can only remember so much: it keeps a digest per row for ``delay``
+    of event time, and drops rows that come later than that. A batch has no such
+    limit.
     """
     if not df.isStreaming:
         return df.dropDuplicates(COLUMNS)

@@ -19,6 +19,18 @@ FILE_NAME = r"^cves_(\d{8})_(\d{8})_p(\d{3,})_(\w+)\.json$"
 FILES_PER_BATCH = 100_000
 
 
+def stream_options(options: dict, files_per_batch: int) -> dict:
+    """Reader options of a file stream, with two defaults of its own.
+
+    Batches are bounded. And no file counts as too old: by default a file whose
+    time lies a week behind the newest one is skipped without a word, which
+    happens to pages that were moved or copied into place late. The price is
+    that the driver remembers all names; set ``maxFileAge`` to bound that.
+    """
+    limits = {} if "maxBytesPerTrigger" in options else {"maxFilesPerTrigger": files_per_batch}
+    return {"maxFileAge": "36500d"} | limits | options
+
+
 def read_pages(
     spark: SparkSession, landing: str, schema: str | T.StructType | None = None, stream: bool = False, **options
 ) -> DataFrame:
@@ -31,8 +43,8 @@ def read_pages(
     directory, which keeps it quick to list.
     """
     reader = spark.readStream if stream else spark.read
-    if stream and "maxBytesPerTrigger" not in options:
-        options.setdefault("maxFilesPerTrigger", FILES_PER_BATCH)
+    if stream:
+        options = stream_options(options, FILES_PER_BATCH)
     return (
         reader.schema(schema or page_schema())
         .format("json")

@@ -12,7 +12,7 @@ from thornwall.operators.flatten import flatten, occurrences
 from thornwall.operators.quality import expect_all_or_drop, observed
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, POSITION, SEQUENCE, page_schema
 from thornwall.sources.files import marked
-from thornwall.sources.landing import read_pages
+from thornwall.sources.landing import read_pages, stream_options
 from thornwall.streaming.current_state import CurrentState
 
 # Of the usual 128 MB each, somewhat more than 1 TB per micro-batch.
@@ -69,8 +69,7 @@ def start_raw(
 
 def raw_stream(spark: SparkSession, table: str, **options) -> DataFrame:
     """New rows of the raw table, with just the fields the upsert reads."""
-    if "maxBytesPerTrigger" not in options:
-        options.setdefault("maxFilesPerTrigger", RAW_FILES_PER_BATCH)
+    options = stream_options(options, RAW_FILES_PER_BATCH)
     return spark.readStream.schema(f"{page_schema()}, {INGEST_COLUMNS}").options(**options).parquet(table)
 
 
