@@ -14,7 +14,7 @@ from thornwall.operators.upsert import latest_by_key
 from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
 from thornwall.sources.files import file_system, hadoop_path
-from thornwall.sources.landing import read_pages
+from thornwall.sources.landing import evolve_schema, read_pages
 from thornwall.streaming.current_state import CurrentState
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
 
@@ -327,15 +327,24 @@ def test_new_fields_join_on_restart(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1"))
     m = Medallion(spark, str(tmp_path / "root"), str(landing))
-    m.run(evolve=True)
+    m.run()
     assert "format" not in m.table("nvd_cves_raw").columns
     page(landing, 1, cve("CVE-2", cveTags=["disputed"]), format="NVD_CVE")
-    m.run(evolve=True)
+    m.run(evolve=False)
+    assert "format" not in m.table("nvd_cves_raw").columns
+    page(landing, 2, cve("CVE-3"))
+    os.utime(landing / page(landing, 3, cve("CVE-4", tooOld=1)).name, (1_600_000_000, 1_600_000_000))
+    m.run()
+    assert "tooOld" not in m.table("nvd_cves_raw").schema.simpleString()
+    page(landing, 4, cve("CVE-5", cveTags=["disputed"]), format="NVD_CVE")
+    m.run()
     raw = m.table("nvd_cves_raw")
-    assert sorted(str(r["format"]) for r in raw.collect()) == ["NVD_CVE", "None"]
+    assert sorted(str(r["format"]) for r in raw.collect()) == ["NVD_CVE", "None", "None", "None", "None"]
     tags = raw.selectExpr("explode(vulnerabilities.cve) c").selectExpr("c.id", "c.cveTags").collect()
-    assert sorted((r["id"], r["cveTags"]) for r in tags) == [("CVE-1", None), ("CVE-2", ["disputed"])]
-    assert m.table("cves").count() == 2
+    assert sorted((r["id"], r["cveTags"]) for r in tags)[-1] == ("CVE-5", ["disputed"])
+    assert m.table("cves").count() == 5
+    wide = evolve_schema(spark, str(landing), str(tmp_path / "root" / "schema"), everything=True)
+    assert "tooOld" in wide.simpleString() and "cveTags" in wide.simpleString()
 
 
 def test_continuous_mode(spark, tmp_path):

@@ -49,21 +49,15 @@ class Medallion:
 
     # --- refresh ---------------------------------------------------------------
 
-    def ingest(
-        self, mode: str = "triggered", evolve: bool = False, evolve_since: str | None = None, **options
-    ) -> StreamingQuery:
+    def ingest(self, mode: str = "triggered", evolve: bool = True, **options) -> StreamingQuery:
         """Start the raw hop.
 
-        ``evolve`` first widens its schema by new fields found in the landing
-        directory, a pass of its own over the pages; ``evolve_since`` limits it
-        to those that landed after a point in time.
+        Its schema is first widened by new fields of pages that landed since the
+        last time. That takes a pass over those pages; ``evolve=False`` saves it
+        where no new fields are expected (or wanted).
         """
-        schema = None
         store = f"{self.root}/schema"
-        if evolve:
-            limit = {"modifiedAfter": evolve_since} if evolve_since else {}
-            schema = evolve_schema(self.spark, self.landing, store, **limit)
-        schema = schema or stored_schema(self.spark, store)
+        schema = evolve_schema(self.spark, self.landing, store) if evolve else stored_schema(self.spark, store)
         return start_raw(self.spark, self.landing, self.raw_path, f"{self.root}/checkpoints/raw", schema, mode, **options)
 
     def upsert(self, mode: str = "triggered", interval: str = "1 minute", **options) -> StreamingQuery:
@@ -93,7 +87,7 @@ class Medallion:
         triaged = triage.triage(self.table("alerts"), triage.cve_context(self.state.read()), cve_source, rules)
         marked(triaged.write).parquet(self._versions("alerts_triaged").next())
 
-    def run(self, as_of: datetime.date | str | None = None, evolve: bool = False) -> None:
+    def run(self, as_of: datetime.date | str | None = None, evolve: bool = True) -> None:
         """One triggered pass through all layers, in order."""
         self.ingest(evolve=evolve).awaitTermination()
         self.upsert().awaitTermination()

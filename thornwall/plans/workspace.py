@@ -47,7 +47,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Medallion:
 def ingested(spark: SparkSession, sf_dir: str) -> Medallion:
     """... and the raw table filled from it."""
     found = landed(spark, sf_dir)
-    once(spark, sf_dir, "raw", lambda: found.ingest().awaitTermination())
+    once(spark, sf_dir, "raw", lambda: found.ingest(evolve=False).awaitTermination())
     return found
 
 

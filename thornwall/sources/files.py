@@ -37,6 +37,11 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return file_system(spark, path).getContentSummary(hadoop_path(spark, path)).getLength()
 
 
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970."""
+    return file_system(spark, path).getFileStatus(hadoop_path(spark, path)).getModificationTime() / 1000
+
+
 def marked(writer: DataFrameWriter) -> DataFrameWriter:
     """Make sure the writer leaves the marker, also where the cluster turned it off."""
     return writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thornwall.schema import CORRUPT, page_schema
-from thornwall.sources.files import Versions, marked, qualified
+from thornwall.sources.files import Versions, marked, modified_at, qualified
 
 # File name pattern of landed pages.
 FILE_GLOB = "cves_*.json"
@@ -114,11 +115,11 @@ def corrupt_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def _files(spark: SparkSession, landing: str) -> DataFrame:
+def _files(spark: SparkSession, landing: str, **options) -> DataFrame:
     # The file content is not selected, so it is not read.
     return (
         spark.read.format("binaryFile")
-        .options(pathGlobFilter=FILE_GLOB, recursiveFileLookup="true")
+        .options(pathGlobFilter=FILE_GLOB, recursiveFileLookup="true", **options)
         .load(landing)
         .select("path", "modificationTime", "length")
     )
@@ -215,18 +216,25 @@ def stored_schema(spark: SparkSession, store: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(spark.read.text(last, wholetext=True).first()[0])) if last else None
 
 
-def evolve_schema(spark: SparkSession, landing: str, store: str, **options) -> T.StructType:
+def evolve_schema(spark: SparkSession, landing: str, store: str, everything: bool = False) -> T.StructType:
     """Widen the stored page schema by whatever new fields have landed, and store it.
 
     To be called before a query starts: a running one keeps its schema, and a
-    restart on the same checkpoint takes the wider one up. ``modifiedAfter`` in
-    ``options`` limits the pass to files that came since the last call.
+    restart on the same checkpoint takes the wider one up. Looks at pages since
+    a day before the last call, or at ``everything``.
     """
-    stored = stored_schema(spark, store)
-    known = stored or T.StructType.fromDDL(page_schema())
-    wider = with_new_fields(known, infer_pages(spark, landing, **options))
-    if wider != stored:
-        # One small row: the schema itself, not data.
-        text = spark.createDataFrame([(wider.json(),)], "value string").coalesce(1)
-        marked(text.write).text(Versions(spark, store).next())
+    versions = Versions(spark, store)
+    known, last = stored_schema(spark, store), versions.latest()
+    options = {}
+    if last and not everything:
+        since = datetime.datetime.fromtimestamp(modified_at(spark, f"{last}/_SUCCESS"), datetime.timezone.utc)
+        options["modifiedAfter"] = (since - datetime.timedelta(days=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    known = known or T.StructType.fromDDL(page_schema())
+    wider = known
+    if not _files(spark, landing, **options).isEmpty():
+        wider = with_new_fields(known, infer_pages(spark, landing, **options))
+    # One small row, written even if nothing is new: its time says how far this call has looked.
+    text = spark.createDataFrame([(wider.json(),)], "value string").coalesce(1)
+    marked(text.write).text(versions.next())
+    versions.vacuum()
     return wider

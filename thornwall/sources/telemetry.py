@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from thornwall.sources.landing import FILES_PER_BATCH, stream_options
+
 # The leading columns of a Zeek connection log, in file order.
 ZEEK_CONN = (
     "ts double, uid string, `id.orig_h` string, `id.orig_p` int, `id.resp_h` string, `id.resp_p` int, "
@@ -27,9 +29,13 @@ STIX_BUNDLE = (
 )
 
 
+def _reader(spark: SparkSession, stream: bool, options: dict):
+    return (spark.readStream, stream_options(options, FILES_PER_BATCH)) if stream else (spark.read, options)
+
+
 def read_zeek(spark: SparkSession, path: str, schema: str = ZEEK_CONN, stream: bool = False, **options) -> DataFrame:
     """Tab-separated log; header lines start with ``#``, ``-`` is unset and ``(empty)`` an empty string."""
-    reader = spark.readStream if stream else spark.read
+    reader, options = _reader(spark, stream, options)
     log = (
         reader.schema(schema)
         .format("csv")
@@ -51,7 +57,7 @@ def _event_data(name: str):
 
 def read_sysmon(spark: SparkSession, path: str, fmt: str = "xml", stream: bool = False, **options) -> DataFrame:
     """Endpoint events as ``event_id, computer, utc_time, image, target, user``, from XML or JSON lines."""
-    reader = spark.readStream if stream else spark.read
+    reader, options = _reader(spark, stream, options)
     if fmt == "json":
         return (
             reader.schema(SYSMON_JSON)
@@ -86,7 +92,7 @@ def read_sysmon(spark: SparkSession, path: str, fmt: str = "xml", stream: bool =
 
 def read_techniques(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:
     """ATT&CK techniques in force: ``technique_id, name, tactics, stix_id``, from STIX bundles (one document per file)."""
-    reader = spark.readStream if stream else spark.read
+    reader, options = _reader(spark, stream, options)
     objects = (
         reader.schema(STIX_BUNDLE)
         .format("json")
