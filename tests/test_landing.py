@@ -99,6 +99,18 @@ def test_versions_count_from_their_marker_on(spark, tmp_path):
     assert versions.latest().endswith("v000002")
 
 
+def test_session_with_other_settings(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", 7)
+    try:
+        other = session.same_settings(spark, {"spark.sql.files.maxPartitionBytes": 1 << 20})
+        assert other.conf.get("spark.sql.shuffle.partitions") == "7"
+        assert other.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert other.conf.get("spark.sql.files.maxPartitionBytes") == "1048576"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "1048576"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_working_folder_follows_the_session(spark, monkeypatch):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert session.workdir(spark).startswith(shared)

@@ -32,6 +32,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def same_settings(spark: SparkSession, but: dict[str, object]) -> SparkSession:
+    """Another session of the same application, with the same settings but for the given ones."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key) and other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    for key, value in but.items():
+        other.conf.set(key, value)
+    return other
+
+
 def workdir(spark: SparkSession) -> str:
     """A folder of this application's own that all executors can reach.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.operators.quality import expect_all_or_drop, observed
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, POSITION, SEQUENCE, page_schema
+from thornwall.session import same_settings
 from thornwall.sources.files import marked
 from thornwall.sources.landing import read_pages, stream_options
 from thornwall.streaming.current_state import CurrentState
@@ -19,7 +20,6 @@ from thornwall.streaming.current_state import CurrentState
 RAW_FILES_PER_BATCH = 10_000
 # Pages shrink about fivefold in Parquet: this makes files of some 100 MB.
 RAW_SPLIT_BYTES = 512 << 20
-_SPLIT = "spark.sql.files.maxPartitionBytes"
 # Ties on the time of modification go to the later file, then to the later place in it.
 BATCH_SEQUENCE = [SEQUENCE[0], "_ingest_file", POSITION]
 
@@ -49,22 +49,18 @@ def start_raw(
     ``sink_options`` may set ``retention`` (for instance ``90d``), after which
     old pages leave the table.
     """
-    pages = read_pages(spark, landing, schema, stream=True, **options)
-    writer = (
+    # A task writes one file, so more pages per task make larger files without a shuffle.
+    # The scan looks this up in the session of its reader, for every batch: hence one of its own.
+    wide = same_settings(spark, {"spark.sql.files.maxPartitionBytes": RAW_SPLIT_BYTES})
+    pages = read_pages(wide, landing, schema, stream=True, **options)
+    return (
         pages.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .options(**(sink_options or {}))
         .trigger(**trigger(mode, interval))
+        .start(table)
     )
-    # A task writes one file, so more pages per task make larger files without a shuffle.
-    # The query keeps a copy of the settings it starts with.
-    usual = spark.conf.get(_SPLIT)
-    spark.conf.set(_SPLIT, RAW_SPLIT_BYTES)
-    try:
-        return writer.start(table)
-    finally:
-        spark.conf.set(_SPLIT, usual)
 
 
 def raw_stream(spark: SparkSession, table: str, **options) -> DataFrame:
