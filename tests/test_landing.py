@@ -43,7 +43,7 @@ def test_inventory(spark, tmp_path):
     (tmp_path / "notes.json").write_text("{}")
     totals = landing.landing_totals(spark, str(tmp_path)).first()
     assert totals["files"] == 25 and totals["bytes"] == sum(p.stat().st_size for p in tmp_path.glob("cves_*"))
-    recent = landing.landing_recent(spark, str(tmp_path)).collect()
+    recent = landing.landing_inventory(spark, str(tmp_path)).collect()
     assert [r["file_name"] for r in recent] == [NAME.format(page=i) for i in range(24, 4, -1)]
 
 

@@ -11,7 +11,7 @@ from conftest import TESTDATA
 SF = str(TESTDATA / "sf0.001")
 ORACLES = contract.oracle_sql()
 # Depends on file times.
-ROWS_ONLY = {"landing_recent"}
+ROWS_ONLY = {"landing_inventory"}
 
 
 @pytest.fixture(scope="module")
@@ -50,8 +50,8 @@ def test_matches_sql(spark, duck, name):
     assert actual[1] == expected[1]
 
 
-def test_landing_recent(spark):
-    rows = contract.queries()["landing_recent"](spark, SF).collect()
+def test_landing_inventory(spark):
+    rows = contract.queries()["landing_inventory"](spark, SF).collect()
     assert len(rows) == 2 and all(r["size_kb"] > 1 for r in rows)
 
 
@@ -59,3 +59,20 @@ def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == ["day", "severity", "cve_count"]
     assert rows.count() == 124
+
+
+def test_known_sizes(spark):
+    queries = contract.queries()
+
+    def rows(name):
+        return queries[name](spark, SF)
+
+    sizes = {"bronze_pages": 2, "cves_scd1": 334, "cve_severity_daily": 124, "cve_recent_critical": 22, "cve_cwe_top": 15}
+    sizes |= {"page_completeness": 4, "window_gaps": 3}
+    assert {name: rows(name).count() for name in sizes} == sizes
+    by_severity = rows("cve_severity_daily").groupBy("severity").sum("cve_count").collect()
+    assert dict(tuple(r) for r in by_severity) == {"CRITICAL": 35, "HIGH": 61, "MEDIUM": 99, "LOW": 127, "UNKNOWN": 12}
+    alerts = rows("detection_alerts").groupBy("rule_id").agg({"*": "count", "matched_rows": "sum"}).collect()
+    found = {r["rule_id"]: (r["count(1)"], r["sum(matched_rows)"]) for r in alerts}
+    assert found == {"R1": (73, 79), "R2": (118, 136), "R3": (2, 2)}
+    assert rows("ingest_summary").agg({"files": "sum"}).first()[0] == 94

@@ -255,9 +255,19 @@ def test_medallion_end_to_end(spark, tmp_path):
     m.publish("reports")
     detail = {r["col_name"]: r["data_type"] for r in spark.sql("describe extended reports.cve_cwe_top").collect()}
     assert "quality=gold" in detail["Table Properties"] and detail["Comment"]
-    page(landing, 99, cve("CVE-999", published="2024-01-05T00:00:00"))
+    assert spark.table("reports.cves").count() == m.table("cves").count()
+    assert spark.table("reports.nvd_cves_raw").count() == 16
+    layers = {
+        name: spark.sql(f"show tblproperties reports.{name} ('quality')").first()["value"]
+        for name in ("nvd_cves_raw", "cves", "cve_severity_daily")
+    }
+    assert layers == {"nvd_cves_raw": "bronze", "cves": "silver", "cve_severity_daily": "gold"}
+    page(landing, 99, cve("CVE-999", published="2024-01-05T00:00:00"), **{"feed-note": "new"})
     m.run(as_of="2024-01-31")
     m.publish("reports")
+    assert spark.sql("select max(`feed-note`) n from reports.nvd_cves_raw").first()["n"] == "new"
+    assert spark.table("reports.nvd_cves_raw").count() == 17
+    assert spark.table("reports.cves").where("cve_id = 'CVE-999'").count() == 1
     total = spark.sql("select sum(cve_count) n from reports.cve_severity_daily").first()["n"]
     assert total == m.table("cves").count()
 

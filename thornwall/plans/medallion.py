@@ -137,20 +137,27 @@ class Medallion:
             self.table(name).createOrReplaceTempView(name)
 
     def publish(self, database: str) -> None:
-        """Put the reporting tables in a catalog, with description and layer, at their newest version.
+        """Put the stored datasets in a catalog, with description and layer, as they are now.
 
-        Moving an existing table to its new version is one change of its location.
+        Pending changes of ``cves`` are folded in first. A table that is there
+        already, with the same columns, is moved to its new version by one change
+        of its location.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name in GOLD:
-            layer, text = DATASETS[name]
-            path = self._versions(name).latest()
-            if self.spark.catalog.tableExists(f"{database}.{name}"):
-                self.spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{path}'")
-                self.spark.catalog.refreshTable(f"{database}.{name}")
-            else:
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.table(name).schema)
-                self.spark.sql(
-                    f"CREATE TABLE {database}.{name} ({columns}) USING parquet COMMENT '{text}' "
-                    f"TBLPROPERTIES ('quality' = '{layer}') LOCATION '{path}'"
-                )
+        paths = {"nvd_cves_raw": self.raw_path, "cves": self.state.fold()}
+        paths |= {name: self._versions(name).latest() for name in GOLD}
+        for name, path in paths.items():
+            if path is None:
+                continue
+            self._publish_table(f"{database}.{name}", path, self.table(name).schema, *DATASETS[name])
+
+    def _publish_table(self, table: str, path: str, schema: T.StructType, layer: str, text: str) -> None:
+        catalog = self.spark.catalog
+        if catalog.tableExists(table) and self.spark.table(table).schema.names == schema.names:
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            catalog.refreshTable(table)
+            return
+        # Dropping an external table leaves its files alone.
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        catalog.createTable(table, path=path, source="parquet", schema=schema, description=text)
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{layer}')")

@@ -20,7 +20,7 @@ from thornwall.plans import gold, workspace
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SILVER_SCHEMA, SEQUENCE, page_schema
 from thornwall.sources import landing, sample_feed, telemetry
 from thornwall.streaming.current_state import CurrentState
-from thornwall.streaming.ingest import BATCH_SEQUENCE, raw_stream, start_upsert
+from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
 
 AS_OF = "2024-01-31"
 RECENT_DAYS = 20
@@ -264,8 +264,8 @@ def landing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def landing_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.landing_recent(spark, workspace.landed(spark, sf_dir).landing)
+def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.landing_inventory(spark, workspace.landed(spark, sf_dir).landing)
 
 
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,7 +131,7 @@ def landing_totals(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
-def landing_recent(spark: SparkSession, landing: str, n: int = 20) -> DataFrame:
+def landing_inventory(spark: SparkSession, landing: str, n: int = 20) -> DataFrame:
     """The n page files modified last."""
     name = file_name(F.col("path"))
     return (
