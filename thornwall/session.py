@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]):
+    """Settings for the actions inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def same_settings(spark: SparkSession, but: dict[str, object]) -> SparkSession:
     """Another session of the same application, with the same settings but for the given ones."""
     other = spark.newSession()

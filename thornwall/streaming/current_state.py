@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thornwall.operators.upsert import latest_by_key, merge_newest
+from thornwall.session import settings
 from thornwall.sources.files import (
     Versions,
     bucket_count,
@@ -86,11 +87,14 @@ class CurrentState:
             # The dataset has outgrown its buckets; this one fold moves it all.
             buckets, merged = wanted, merged.repartition(wanted, self.key)
         path = self.base.next(buckets or wanted)
-        (
-            marked(merged.write.format("parquet").bucketBy(buckets or wanted, self.key).sortBy(self.key))
-            .option("path", path)
-            .saveAsTable(self._table_name(path))
-        )
+        # A task holds the rows of one bucket and so needs one open file. Without this
+        # setting Spark sorts all rows by bucket before it writes them.
+        with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
+            (
+                marked(merged.write.format("parquet").bucketBy(buckets or wanted, self.key))
+                .option("path", path)
+                .saveAsTable(self._table_name(path))
+            )
         return path
 
     def fold_if_due(self, ratio: float = FOLD_RATIO, max_sets: int = 200) -> str | None:
@@ -160,6 +164,6 @@ class CurrentState:
         name, location = self._table_name(path), path.replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.schema}) USING parquet "
-            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {bucket_count(path)} BUCKETS LOCATION '{location}'"
+            f"CLUSTERED BY ({self.key}) INTO {bucket_count(path)} BUCKETS LOCATION '{location}'"
         )
         return self.spark.table(name)
