@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from thornwall.operators import conform, detect, govern, trends, triage
 from thornwall.operators.detect import Rule
+from thornwall.session import settings
 from thornwall.sources import telemetry
 
 ZEEK = """#separator \\x09
@@ -280,3 +281,15 @@ def test_stored_days_expire_whole(spark, tmp_path):
     left = spark.read.parquet(path)
     assert left.count() == df.where("timestamp >= timestamp'2024-01-12'").count()
     assert govern.drop_expired(spark, path, "2024-02-01", 20) == []
+
+
+def test_large_day_is_split_over_files(spark, tmp_path):
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 200_000}):
+        df = spark.sql(
+            "select timestamp'2024-01-10 00:00:00' + make_dt_interval(if(id % 3 = 0, 1 + id % 5, 0)) timestamp, uuid() raw "
+            "from range(0, 60000, 1, 8)"
+        )
+        govern.store_by_day(df, str(tmp_path / "days"))
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").glob("day=*")}
+    assert len(files) == 6 and files["day=2024-01-10"] > 3
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 60_000

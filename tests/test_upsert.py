@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from feed import cve, page, v3
 
 from thornwall.operators import audit
@@ -16,6 +17,7 @@ from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
 from thornwall.sources.files import file_system, hadoop_path
 from thornwall.sources.landing import evolve_schema, read_pages
 from thornwall.streaming.current_state import CurrentState
+from thornwall.streaming import ingest
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
 
 SCHEMA = "k string, m int, f string, v int"
@@ -212,6 +214,34 @@ def test_stream_equals_batch_shuffled_and_replayed(spark, tmp_path, seed):
         assert comparable(state.read()) == comparable(batch_result(spark, landing))
 
 
+def test_crash_after_the_rows_were_stored(spark, tmp_path, monkeypatch):
+    """The batch was written but not committed: it runs again, under the same tag, and nothing is doubled or lost."""
+    landing = landing_of(tmp_path, 9)
+    state = CurrentState(spark, str(tmp_path / "cves"), SILVER_SCHEMA, KEY, SEQUENCE)
+    calls, real = [], ingest._log_counts
+
+    def dies_on_the_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost driver")
+        real(*args)
+
+    monkeypatch.setattr(ingest, "_log_counts", dies_on_the_second)
+
+    def run():
+        pages = read_pages(spark, str(landing), stream=True, maxFilesPerTrigger=3)
+        start_upsert(pages, state, str(tmp_path / "log"), str(tmp_path / "cp")).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert len(state._change_sets()) == 2
+    run()
+    assert len(state._change_sets()) == 3
+    assert comparable(state.read()) == comparable(batch_result(spark, landing))
+    log = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "log"))
+    assert log.where("expectation = 'valid_cve_id'").selectExpr("sum(passed_records + failed_records)").first()[0] == 120
+
+
 def test_equal_sequence_goes_to_the_later_file_and_place(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1", vulnStatus="f0"), cve("CVE-2", vulnStatus="p0"), cve("CVE-2", vulnStatus="p1"))
@@ -357,6 +387,19 @@ def test_new_fields_join_on_restart(spark, tmp_path):
     assert "tooOld" in wide.simpleString() and "cveTags" in wide.simpleString()
 
 
+def test_pages_taken_in_can_be_moved_away(spark, tmp_path):
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    for n in range(3):
+        page(landing, n, cve(f"CVE-{n}"))
+        m.ingest(cleanSource="archive", sourceArchiveDir=str(archive)).awaitTermination()
+        m.upsert().awaitTermination()
+    assert m.table("cves").count() == 3 and m.table("nvd_cves_raw").count() == 3
+    left = {p.name for p in landing.glob("cves_*.json")}
+    moved = {p.name for p in archive.rglob("cves_*.json")}
+    assert len(moved) >= 1 and len(left | moved) == 3 and not left & moved
+
+
 def test_continuous_mode(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1"))

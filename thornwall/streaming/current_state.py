@@ -46,7 +46,7 @@ BUCKET_BYTES = 512 << 20
 MAX_BUCKETS = 65_536
 FOLD_RATIO = 0.25
 # Changes of one bucket up to this size (compressed) are hashed in memory; larger ones are sorted, which can spill.
-HASHED_BYTES = 32 << 20
+HASHED_BYTES = 16 << 20
 
 
 class CurrentState:
