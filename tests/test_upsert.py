@@ -6,12 +6,13 @@ import random
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Observation
 from feed import cve, page, v3
 
 from thornwall.operators import audit
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.operators.quality import expect_all_or_drop, observed
-from thornwall.operators.upsert import latest_by_key
+from thornwall.operators.upsert import latest_by_key, latest_valid_by_key
 from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
 from thornwall.sources.files import file_system, hadoop_path
@@ -56,6 +57,29 @@ def test_batch_keeps_the_highest_sequence(spark, seed):
     assert rows_of(latest_by_key(df, "k", ["m", "f", "v"])) == expected(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_valid_rows_and_counts_in_one_pass(spark, seed):
+    rng = random.Random(seed)
+    rows = [(k, rng.choice([m, None]), f, v) for k, m, f, v in versions(rng, ["x", "y", None], 50)]
+    rules = {"has_key": "k IS NOT NULL", "has_m": "m IS NOT NULL", "small": "v < 40"}
+    counts = Observation()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = rows_of(latest_valid_by_key(df, "k", ["m", "f", "v"], rules, counts))
+    assert found == expected([r for r in rows if r[1] is not None and r[3] < 40])
+    assert counts.get == {
+        "records": 50,
+        "has_key": sum(r[0] is None for r in rows),
+        "has_m": sum(r[1] is None for r in rows),
+        "small": sum(r[3] >= 40 for r in rows),
+    }
+
+
+def test_counts_are_taken_after_the_shuffle(spark):
+    df = spark.range(10).selectExpr("cast(id as string) k", "1 m", "'a' f", "0 v")
+    plan = latest_valid_by_key(df, "k", ["m"], {"r": "v = 0"}, Observation())._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(0, 90_000, numPartitions=8).selectExpr(
         "if(id % 3 = 0, 'hot', concat('k', id % 50)) k", "cast(id as int) m", "'f' f", "cast(id as int) v"

@@ -14,8 +14,12 @@ def holds(predicate: str) -> Column:
     return F.coalesce(F.expr(predicate), F.lit(False))
 
 
+def all_hold(rules: dict[str, str]) -> Column:
+    return reduce(and_, (holds(p) for p in rules.values()))
+
+
 def expect_all_or_drop(df: DataFrame, rules: dict[str, str]) -> DataFrame:
-    return df.where(reduce(and_, (holds(p) for p in rules.values())))
+    return df.where(all_hold(rules))
 
 
 def quarantine(df: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -50,6 +54,7 @@ def rule_counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 def observed(df: DataFrame, name: str | Observation, rules: dict[str, str]) -> DataFrame:
     """Count rows and failures on the way through, without a pass of its own.
 
-    With a string name the counts appear in a streaming query's progress.
+    With a string name the counts appear in a streaming query's progress. Tasks
+    in front of a shuffle that run again, after an executor is lost, count again.
     """
     return df.observe(name, F.count(F.lit(1)).alias("records"), *(c.alias(n) for n, c in _failures(rules).items()))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from thornwall.operators.quality import all_hold, holds
+
 
 def latest_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key: the one with the highest ``order``, ties broken by the other columns.
@@ -18,6 +20,27 @@ def latest_by_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return newest.select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
+def latest_valid_by_key(df: DataFrame, key: str, order: list[str], rules: dict[str, str], counts: Observation) -> DataFrame:
+    """``latest_by_key`` of the rows that meet all rules, with ``counts`` of all records and of failures per rule.
+
+    Rows that fail travel as counters only. The counters are added up after the
+    shuffle, in the stage that delivers the result: there Spark takes each task's
+    contribution once, also when an executor is lost and tasks run again.
+    """
+    rest = [c for c in df.columns if c != key and c not in order]
+    row = F.when(all_hold(rules) & F.col(key).isNotNull(), F.struct(*order, *rest))
+    grouped = df.groupBy(key).agg(
+        F.max(row).alias("_row"),
+        F.count(F.lit(1)).alias("_records"),
+        *(F.count_if(~holds(predicate)).alias(f"_failed_{name}") for name, predicate in rules.items()),
+    )
+    counted = grouped.observe(
+        counts, F.sum("_records").alias("records"), *(F.sum(f"_failed_{name}").alias(name) for name in rules)
+    )
+    kept = counted.where(F.col("_row").isNotNull())
+    return kept.select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
+
+
 def merge_newest(current: DataFrame, changes: DataFrame, key: str, order: list[str], hash_changes: bool) -> DataFrame:
     """``current`` with every newer row of ``changes`` put in. Both hold one row per key.
 

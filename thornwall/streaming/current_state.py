@@ -69,8 +69,12 @@ class CurrentState:
 
     def add_changes(self, rows: DataFrame, tag: str, order: list[str] | None = None) -> None:
         """Store the newest row per key of one batch. The same tag again replaces the batch's rows."""
-        reduced = latest_by_key(rows, self.key, order or self.order).select(*T.StructType.fromDDL(self.schema).names)
-        marked(reduced.write.mode("overwrite")).parquet(f"{self._changes_dir()}/{tag}")
+        self.add_reduced(latest_by_key(rows, self.key, order or self.order), tag)
+
+    def add_reduced(self, rows: DataFrame, tag: str) -> None:
+        """``add_changes`` of rows that hold each key once."""
+        kept = rows.select(*T.StructType.fromDDL(self.schema).names)
+        marked(kept.write.mode("overwrite")).parquet(f"{self._changes_dir()}/{tag}")
 
     def fold(self) -> str | None:
         """Write the next base from the last one and the changes; returns its path."""

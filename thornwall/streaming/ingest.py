@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from thornwall.operators.flatten import flatten, occurrences
-from thornwall.operators.quality import expect_all_or_drop, observed
-from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, POSITION, SEQUENCE, page_schema
+from thornwall.operators.upsert import latest_valid_by_key
+from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SEQUENCE, page_schema
 from thornwall.session import same_settings
 from thornwall.sources.files import marked
 from thornwall.sources.landing import read_pages, stream_options
@@ -72,20 +72,15 @@ def raw_stream(spark: SparkSession, table: str, **options) -> DataFrame:
 def upsert_batch(
     state: CurrentState, log: str, fold_ratio: float | None
 ) -> Callable[[DataFrame, int], None]:
-    """One micro-batch: count the expectations, drop what fails, store the newest row per CVE.
-
-    The counts come along with the rows, at no extra pass. Tasks that run again
-    after an executor is lost are counted again; ``quality.rule_counts`` on the
-    raw table has no such flaw.
-    """
+    """One micro-batch: drop and count what fails the expectations, store the newest row per CVE, in one pass."""
 
     def run(pages: DataFrame, batch_id: int) -> None:
         spark = pages.sparkSession
         # A checkpoint numbers its batches from 0; the query id tells checkpoints apart.
         tag = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:09d}"
         counts = Observation()
-        flat = observed(flatten(occurrences(pages), position=True), counts, EXPECTATIONS)
-        state.add_changes(expect_all_or_drop(flat, EXPECTATIONS), tag, BATCH_SEQUENCE)
+        flat = flatten(occurrences(pages), position=True)
+        state.add_reduced(latest_valid_by_key(flat, KEY, BATCH_SEQUENCE, EXPECTATIONS, counts), tag)
         _log_counts(spark, f"{log}/{tag}", batch_id, counts.get)
         if fold_ratio is not None:
             state.fold_if_due(fold_ratio)
@@ -101,8 +96,8 @@ def _log_counts(spark: SparkSession, path: str, batch_id: int, counts: dict) ->
                 F.struct(
                     F.lit(batch_id).cast("bigint").alias("batch_id"),
                     F.lit(name).alias("expectation"),
-                    F.lit(counts["records"] - counts[name]).cast("bigint").alias("passed_records"),
-                    F.lit(counts[name]).cast("bigint").alias("failed_records"),
+                    F.lit((counts["records"] or 0) - (counts[name] or 0)).cast("bigint").alias("passed_records"),
+                    F.lit(counts[name] or 0).cast("bigint").alias("failed_records"),
                 )
                 for name in EXPECTATIONS
             )
