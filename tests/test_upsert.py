@@ -424,17 +424,24 @@ def test_pages_taken_in_can_be_moved_away(spark, tmp_path):
     assert len(moved) >= 1 and len(left | moved) == 3 and not left & moved
 
 
-def test_continuous_mode(spark, tmp_path):
+def test_both_hops_running_on(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1"))
     m = Medallion(spark, str(tmp_path / "root"), str(landing))
-    query = m.ingest(mode="continuous", interval="200 milliseconds")
+    raw = m.ingest(mode="continuous", interval="200 milliseconds")
+    raw.processAllAvailable()
+    current = m.upsert(mode="continuous", interval="200 milliseconds")
     try:
-        query.processAllAvailable()
-        page(landing, 1, cve("CVE-2"))
-        query.processAllAvailable()
+        for n in range(1, 4):
+            page(landing, n, cve(f"CVE-{n}", modified=f"2024-02-0{n}T00:00:00"), cve("CVE-0", modified=f"2024-02-0{n}T00:00:00"))
+            raw.processAllAvailable()
+            current.processAllAvailable()
+            assert m.table("cves").count() == n + 1
     finally:
-        query.stop()
-    assert m.table("nvd_cves_raw").count() == 2
+        raw.stop()
+        current.stop()
+    assert m.state.base.latest() is not None
+    newest = m.table("cves").where("cve_id = 'CVE-0'").selectExpr("cast(modified_at as string) t").first()
+    assert newest["t"] == "2024-02-03 00:00:00"
     with pytest.raises(ValueError):
         m.ingest(mode="sometimes")
