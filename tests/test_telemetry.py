@@ -15,7 +15,7 @@ ZEEK = """#separator \\x09
 #path\tconn
 #fields\tts\tuid\tid.orig_h\tid.orig_p\tid.resp_h\tid.resp_p\tproto\tservice\tduration\torig_bytes\tresp_bytes\tconn_state
 #types\ttime\tstring\taddr\tport\taddr\tport\tenum\tstring\tinterval\tcount\tcount\tstring
-1704164645.500000\tC1\t10.0.0.1\t40000\t192.0.2.1\t22\ttcp\tssh\t-\t-\t-\tREJ
+1704164645.123457\tC1\t10.0.0.1\t40000\t192.0.2.1\t22\ttcp\tssh\t-\t-\t-\tREJ
 1704164646.000000\tC2\t10.0.0.2\t40001\t192.0.2.2\t443\ttcp\t(empty)\t1.5\t10\t20\tSF
 #close\t2024-01-02-04-00-00
 """
@@ -55,7 +55,7 @@ def test_zeek(spark, tmp_path):
     rows = {r["uid"]: r for r in df.collect()}
     assert set(rows) == {"C1", "C2"} and rows["C1"]["duration"] is None and rows["C2"]["service"] == ""
     shaped = conform.conform(df, "zeek").withColumn("timestamp", F.col("timestamp").cast("string")).orderBy("asset").collect()
-    assert tuple(shaped[0])[:5] == ("2024-01-02 03:04:05.5", "zeek", "10.0.0.1", "192.0.2.1:22", "MEDIUM")
+    assert tuple(shaped[0])[:5] == ("2024-01-02 03:04:05.123457", "zeek", "10.0.0.1", "192.0.2.1:22", "MEDIUM")
     assert json.loads(shaped[0]["raw"])["uid"] == "C1"
 
 

@@ -41,7 +41,7 @@ def _events() -> list[Column]:
 
 def _zeek_conn() -> list[Column]:
     return [
-        F.timestamp_micros((F.col("ts") * 1_000_000).cast("bigint")),
+        F.timestamp_micros(F.round(F.col("ts") * 1_000_000).cast("bigint")),
         F.lit("zeek"),
         F.col("`id.orig_h`"),
         F.concat_ws(":", "`id.resp_h`", F.col("`id.resp_p`").cast("string")),
