@@ -88,6 +88,8 @@ def test_known_fields_keep_their_type():
     known = T.StructType.fromDDL("a double, b array<struct<c:int>>")
     found = T.StructType.fromDDL("a string, b array<struct<c:string,d:string>>, e int")
     assert landing.with_new_fields(known, found) == T.StructType.fromDDL("a double, b array<struct<c:int,d:string>>, e int")
+    found = T.StructType([T.StructField(name, T.StringType()) for name in ("A", "e", "E")])
+    assert landing.with_new_fields(known, found).names in (["a", "b", "e"], ["a", "b", "E"])
 
 
 def test_versions_count_from_their_marker_on(spark, tmp_path):

@@ -160,7 +160,7 @@ def write_pages(pages: DataFrame, landing: str) -> DataFrame:
         if target.startswith("file:"):
             store, root = fs.LocalFileSystem(), "/" + target[len("file:") :].lstrip("/")
         else:
-            store, root = fs.FileSystem.from_uri(target)
+            store, root = fs.FileSystem.from_uri(target.replace("s3a://", "s3://", 1))
         store.create_dir(f"{root}/_tmp", recursive=True)
         for batch in batches:
             names, sizes = batch.column(0).to_pylist(), []
@@ -199,13 +199,11 @@ def infer_pages(spark: SparkSession, landing: str, **options) -> T.StructType:
 def with_new_fields(known: T.DataType, found: T.DataType) -> T.DataType:
     """``known`` plus the fields only ``found`` has, at any depth. A known field keeps its type."""
     if isinstance(known, T.StructType) and isinstance(found, T.StructType):
-        theirs = {f.name: f for f in found}
-        kept = [
-            T.StructField(f.name, with_new_fields(f.dataType, theirs[f.name].dataType) if f.name in theirs else f.dataType)
-            for f in known
-        ]
-        mine = set(known.names)
-        return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in found if f.name not in mine])
+        # Names that differ in case only would be one column to Spark.
+        theirs = {f.name.lower(): f.dataType for f in found}
+        kept = [T.StructField(f.name, with_new_fields(f.dataType, theirs.pop(f.name.lower(), f.dataType))) for f in known]
+        new = {name: f for f in found if (name := f.name.lower()) in theirs}
+        return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in new.values()])
     if isinstance(known, T.ArrayType) and isinstance(found, T.ArrayType):
         return T.ArrayType(with_new_fields(known.elementType, found.elementType))
     return known
