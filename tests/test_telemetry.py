@@ -260,6 +260,8 @@ def test_retention_and_masking(spark, tmp_path):
     shown = govern.masked_view(df, {"who": "pii", "shown": "public", "secret": "sensitive"}, "who = '3'")
     row = shown.first()
     assert shown.count() == 1 and row["secret"] is None and row["shown"] == "p" and len(row["who"]) == 64
+    salted = govern.masked_view(df, {"who": "pii"}, "who = '3'", salt="s").first()["who"]
+    assert salted != row["who"] and len(salted) == 64
     # an untagged column is not shown
     assert row["_ingest_ts"] is None
     assert [f.dataType for f in shown.schema][0] == df.schema["_ingest_ts"].dataType

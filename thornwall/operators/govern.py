@@ -46,28 +46,29 @@ def drop_expired(
     return gone
 
 
-def _shown(name: str, tag: str) -> Column:
+def _shown(name: str, tag: str, salt: str) -> Column:
     column = F.col(f"`{name}`")
     if tag == PUBLIC:
         return column
     if tag == PII:
         # Still joins and counts, but does not tell who it is.
-        return F.sha2(column.cast("string"), 256).alias(name)
+        return F.sha2(F.concat(F.lit(salt), column.cast("string")), 256).alias(name)
     if tag == SENSITIVE:
         return F.lit(None).alias(name)
     raise ValueError(f"unknown tag: {tag}")
 
 
-def masked_view(df: DataFrame, tags: dict[str, str], row_filter: str | None = None) -> DataFrame:
+def masked_view(df: DataFrame, tags: dict[str, str], row_filter: str | None = None, salt: str = "") -> DataFrame:
     """Public columns as they are, personal ones hashed, sensitive ones blank.
 
     A column without a tag is treated as sensitive. ``row_filter`` is applied to
-    the unmasked rows.
+    the unmasked rows. Without a secret ``salt``, hashes of values from a small
+    range can be found out by trying.
     """
     visible = df if row_filter is None else df.where(row_filter)
     shown = []
     for field in df.schema:
-        column = _shown(field.name, tags.get(field.name, SENSITIVE))
+        column = _shown(field.name, tags.get(field.name, SENSITIVE), salt)
         if tags.get(field.name, SENSITIVE) == SENSITIVE:
             column = column.cast(field.dataType).alias(field.name)
         shown.append(column)
