@@ -64,7 +64,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def row_key(id_col: Column, digest: Column) -> Column:
     """One string for an id and a digest of the text; a null id has a key of its own."""
-    return F.concat(F.coalesce(F.concat(F.lit("v"), id_col.cast("string")), F.lit("n")), F.lit(":"), digest)
+    return F.concat(F.coalesce(F.concat(F.lit("v"), id_col.cast("string")), F.lit("n")), F.lit(":"), F.coalesce(digest, F.lit("")))
 
 
 def keep_one(docs: DataFrame, key: Column, keepers: DataFrame) -> DataFrame:

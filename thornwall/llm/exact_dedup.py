@@ -16,13 +16,13 @@ DataFrame operations only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thornwall.llm.common import SPACE, Scratch, named, ranked, repeated
 
 
-def normalised(text_col: str):
+def normalised(text_col: str) -> Column:
     """Runs of ASCII white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(named(text_col), F.lit("")), f"{SPACE}+", " ")
 

@@ -184,4 +184,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = 2000) -> DataFrame:
     """The rows that no rule rejects, with the columns they came with."""
     df, cols = cascade(docs, plan(docs, rules, text_col, sample_rows), text_col)
-    return df.filter(cols["kept"]).select(*map(named, docs.columns))
+    # The filter depends on a row number, or the optimizer would push it below the features and repeat them in it.
+    (row,) = fresh(df, "_row")
+    return df.withColumn(row, F.monotonically_increasing_id()).filter(cols["kept"] & (named(row) >= 0)).select(*map(named, docs.columns))

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +84,14 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def text_key(id_col: str, text_col: str) -> Column:
+    """What tells rows of one id and different texts apart."""
+    return row_key(named(id_col), F.sha2(F.coalesce(named(text_col), F.lit("")), 256))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, key, fp): a row per row of ``docs``; ``key`` tells rows of one id and different texts apart."""
-    text = named(text_col)
-    rows = docs.select(
-        named(id_col).alias("id"), row_key(named(id_col), F.sha2(F.coalesce(text, F.lit("")), 256)).alias("key"), text.alias("text")
-    )
+    """(id, key, fp): a row per row of ``docs``; ``key`` is ``text_key``."""
+    rows = docs.select(named(id_col).alias("id"), text_key(id_col, text_col).alias("key"), named(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,8 +19,7 @@ filled as (
          sum(w) over (order by 3 * n / w, source nulls last rows between current row and unbounded following) as open_w
   from sources),
 level as (
-  select min(rest / open_w) filter (where not (cap * open_w < rest * w)) as none,
-         arg_min(rest, 3 * n / w) filter (where not (cap * open_w < rest * w)) as rest,
+  select arg_min(rest, 3 * n / w) filter (where not (cap * open_w < rest * w)) as rest,
          arg_min(open_w, 3 * n / w) filter (where not (cap * open_w < rest * w)) as open_w
   from filled),
 goals as (
@@ -84,9 +83,53 @@ select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept,
 """
 
 
+_WARC = r"""
+with pages_ as (select page_id, coalesce(url, '') as url, html from pages),
+copies as (
+  select page_id, url, html,
+         case when page_id % 97 = 5 then '~' || substr(html, 2)
+              when page_id % 389 = 7 then left(html, cast(floor(length(html) / 2) as int)) else html end as other,
+         page_id % 1009 is distinct from 11 as there
+  from pages_),
+written as (
+  select page_id, there,
+         'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:' || coalesce(cast(page_id as varchar), '') || '>\r\nWARC-Target-URI: ' || url
+           || '\r\nContent-Type: text/html\r\nContent-Length: ' as head,
+         coalesce(html, '') as html, coalesce(other, '') as other from copies),
+whole as (
+  select page_id, there, replace(replace(head || strlen(html) || '\r\n\r\n', '\r', chr(13)), '\n', chr(10)) || html || chr(13) || chr(10) || chr(13) || chr(10) as record,
+         replace(replace(head || strlen(other) || '\r\n\r\n', '\r', chr(13)), '\n', chr(10)) || other || chr(13) || chr(10) || chr(13) || chr(10) as copy
+  from written),
+placed as (
+  select *, strlen(record) as length, (row_number() over (order by page_id nulls first) - 1) // 1000 as file from whole)
+select page_id, file, cast(sum(length) over (partition by file order by page_id nulls first) - length as bigint) as start, length, sha256(record) as sha256,
+       case when not there then 'missing' when record = copy then 'intact' when strlen(copy) < length then 'truncated' else 'altered' end as status
+from placed
+"""
+
+_CHAT = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized as (
+  select *, length(role) + length(text) + (length(role) - length(replace(role, '\', ''))) + (length(text) - length(replace(text, '\', '')))
+    + (length(role) - length(replace(role, chr(10), '')))
+    + 2 * len(regexp_extract_all(text, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<\|startoftext\|>|<\|system\|>|<\|user\|>|<\|assistant\|>|<s>|</s>|<unk>|<pad>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+    + length('<|im_start|>') + length('<|im_end|>') + 2 as chars
+  from turns),
+joined as (
+  select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text) as whole,
+         coalesce(string_agg(text, '' order by turn nulls last, text) filter (where role = 'assistant'), '') as loss, cast(sum(chars) as bigint) as formatted_chars
+  from sized group by conv_id)
+select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars from joined
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "op10_chat_formatting": _CHAT,
         "op2_mixing": _MIXING,
+        "op3_warc_fixity": _WARC,
         "op4_quality_rules": _QUALITY,
         "op7_url_filters": _URLS,
         "op9_exact_dedup": _EXACT,
