@@ -19,7 +19,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries.registered()))
 def test_no_plan_gathers_multiplies_or_leaves_the_jvm(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"):
@@ -30,7 +30,7 @@ def test_no_plan_gathers_multiplies_or_leaves_the_jvm(spark, name):
         assert "partial_" in plan
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries.registered()))
 def test_every_count_is_reduced_before_its_shuffle(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF))
     aggregates = re.findall(r"(?:Hash|Sort|ObjectHash)Aggregate\(.*", plan)
