@@ -87,6 +87,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession)
     found = identities(scratch, docs, id_col, text_col, block_bytes, hash_bits)
     groups = found.groupBy("round", "name").agg(F.min("id").alias("keep_id"), F.sum("rows").alias("group_size"))
+    groups = scratch.keep(groups)  # a join of two shuffled sides, so that a large group can be split
     return found.join(groups, ["round", "name"]).select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "sha", "rows")
 
 
