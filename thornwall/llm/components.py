@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from thornwall.llm.common import Scratch
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour (or the node itself)."""
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", "m")).filter("u != v").distinct()
 
@@ -37,8 +37,8 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         # A root that has a parent itself, or a node with two, is not settled.
         if parents.join(roots.withColumn("is_root", F.lit(True)), "u", "left").filter("n > 1 or is_root").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        middle = scratch.keep(_large_star(edges))
-        after = scratch.keep(_small_star(middle))
+        middle = scratch.keep(_large_star(scratch, edges))
+        after = scratch.keep(_small_star(scratch, middle))
         scratch.drop(edges)
         scratch.drop(middle)
         edges = after

@@ -126,7 +126,7 @@ def links(scratch: Scratch, fps: DataFrame, radius: int = 3, crowd: int = 64) ->
     """
     tables = F.array(*[F.struct(F.lit(v).alias("v"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for v, m in enumerate(masks(radius))])
     keys = fps.select("fp", F.inline(tables))
-    shared = keys.groupBy("v", "k").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = scratch.keep(keys.groupBy("v", "k").agg(F.count("*").alias("n")).filter("n > 1"))
     members = scratch.keep(keys.join(shared, ["v", "k"]))
 
     sparse = members.filter(F.col("n") <= crowd).select("v", "k", "fp")
@@ -144,12 +144,14 @@ def links(scratch: Scratch, fps: DataFrame, radius: int = 3, crowd: int = 64) ->
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, crowd: int = 64) -> DataFrame:
-    """(id, key, fp, component_id): a row per row of ``docs``, repeated rows included.
+    """(id, key, fp, component_id, root): a row per row of ``docs``, repeated rows included.
 
     Null and empty texts have fingerprint zero and link like others; a text of
     fewer words than a shingle counts as one shingle. ``component_id`` is the
     smallest id reachable over links, null ids aside (null if there is no other).
     Equal fingerprints are one node, so copies are never compared with each other.
+    Sums by group are stored before they are joined: a join of two shuffled sides
+    can be split where one group is large.
     """
     scratch = Scratch(docs.sparkSession)
     rows = scratch.keep(fingerprints(docs, id_col, text_col, shingle))
@@ -157,8 +159,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(scratch, links(scratch, classes.select("fp"), radius, crowd))
     placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = scratch.keep(placed)
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = placed.join(least, "root").select("fp", "component_id", "root")
+    least = scratch.keep(placed.groupBy("root").agg(F.min("least").alias("component_id")))
+    of = scratch.keep(placed.join(least, "root").select("fp", "component_id", "root"))
     return rows.join(of, "fp").select("id", "key", "fp", "component_id", "root")
 
 
