@@ -124,22 +124,42 @@ class Transducer:
             return [self.ranks[piece]]
         if len(self._states) > self.max_states:
             self._reset()
-        moves, state, out, base = self._moves, 0, [], 0
-        lengths: list[int] = []
         try:
-            for at, byte in enumerate(piece):
-                move = moves.get(state << 8 | byte) or self._move(state, byte)
-                state = move >> 16
-                lengths.append(move & 0xFFFF)
-                if at - base >= _LOOKAHEAD:
-                    # What the walks of all open prefixes share is certain.
-                    rest, open_, _ = self._states[state]
-                    walks = [self._walk(lengths, len(lengths) - len(rest) + j) for j in open_]
-                    sure = max(set(walks[0]).intersection(*walks[1:]))
-                    out += self._emit(piece[base:], [x for x in walks[-1] if x <= sure])
-                    base, lengths = base + sure, lengths[sure:]
+            return self._short(piece) if len(piece) <= _LOOKAHEAD else self._long(piece)
         except LookupError:  # a vocabulary whose tokens are not the merges of each other
             return [self.ranks[part] for part in self.merged(piece)]
+
+    def _short(self, piece: bytes) -> list[int]:
+        """All bytes, then back over the borders from the end."""
+        moves, state, out = self._moves, 0, []
+        lengths: list[int] = []
+        for byte in piece:
+            move = moves.get(state << 8 | byte) or self._move(state, byte)
+            state = move >> 16
+            lengths.append(move & 0xFFFF)
+        end, ranks = len(piece), self.ranks
+        while end:
+            begin = end - lengths[end - 1]
+            out.append(ranks[piece[begin:end]])
+            end = begin
+        out.reverse()
+        return out
+
+    def _long(self, piece: bytes) -> list[int]:
+        """As the short way, but tokens that are certain go out and are forgotten."""
+        moves, state, out, base = self._moves, 0, [], 0
+        lengths: list[int] = []
+        for at, byte in enumerate(piece):
+            move = moves.get(state << 8 | byte) or self._move(state, byte)
+            state = move >> 16
+            lengths.append(move & 0xFFFF)
+            if at - base >= _LOOKAHEAD:
+                # What the walks of all open prefixes share is certain.
+                rest, open_, _ = self._states[state]
+                walks = [self._walk(lengths, len(lengths) - len(rest) + j) for j in open_]
+                sure = max(set(walks[0]).intersection(*walks[1:]))
+                out += self._emit(piece[base : base + sure], [x for x in walks[-1] if x <= sure])
+                base, lengths = base + sure, lengths[sure:]
         return out + self._emit(piece[base:], self._walk(lengths, len(lengths)))
 
 
@@ -181,7 +201,7 @@ class _Pieces(dict):
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 300_000, max_pieces: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 300_000, max_pieces: int = 600_000):
         self._pieces, self._max = _Pieces(Transducer(ranks, max_states)), max_pieces
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
         self._split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
