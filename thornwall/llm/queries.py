@@ -99,7 +99,8 @@ URL_RULES = [
 
 @query
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    said = [F.struct(*(F.lit(x).alias(n) for x, n in zip(rule, ("host", "path", "verdict"), strict=True))) for rule in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*said)))
     judged = url_rules.judge(_table(spark, sf_dir, "pages"), rules)
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
