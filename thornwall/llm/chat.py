@@ -139,15 +139,16 @@ def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     ranks = scratch.keep(ends.select("conv", "leaf").join(leaves, "leaf").select("conv", "rank"))
     owners = steps.select("conv", "node").join(ranks, "conv").groupBy("node").agg(F.min("rank").alias("owner"))
 
-    own = ["tree", "parent", "depth", "position", "length", "segment", "learn_from", "learn_to"]
-    nodes = steps.groupBy("node").agg(*(F.first(c).alias(c) for c in own)).join(owners, "node")
-    nodes = scratch.keep(nodes)
-    order = ranked(scratch, nodes.select("node", "owner", "depth", "length"), "owner", "depth")
-    starts = running(order, "length", "start").select("node", "start")
-    nodes = scratch.keep(nodes.join(starts, "node"))
+    # Texts are moved once: what is needed for the layout is worked out without them.
+    own = ["tree", "parent", "depth", "position", "length"]
+    narrow = scratch.keep(steps.groupBy("node").agg(*(F.first(c).alias(c) for c in own)).join(owners, "node"))
+    order = ranked(scratch, narrow.select("node", "owner", "depth", "length"), "owner", "depth")
+    starts = scratch.keep(narrow.join(running(order, "length", "start").select("node", "start"), "node"))
+    segments = steps.groupBy("node").agg(*(F.first(c).alias(c) for c in ["segment", "learn_from", "learn_to"]))
+    nodes = scratch.keep(segments.join(starts, "node"))
 
     # One row per conversation and owner: its nodes there are neighbours.
-    places = nodes.select("node", "owner", "start", (F.col("start") + F.col("length")).alias("end"))
+    places = starts.select("node", "owner", "start", (F.col("start") + F.col("length")).alias("end"))
     paths = steps.select("conv", "node").join(places, "node").groupBy("conv", "owner").agg(F.min("start").alias("begin"), F.max("end").alias("end"))
     paths = scratch.keep(paths)
     example = leaves.select(F.col("example").alias("conv"), F.col("rank").alias("owner_of"))

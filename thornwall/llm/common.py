@@ -15,7 +15,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 
-_BUCKET_ROWS = 65_536
+_BUCKET_ROWS = 16_384
 
 
 class Scratch:
