@@ -15,9 +15,11 @@ thrown away when there are too many.
 from __future__ import annotations
 
 import base64
+import struct
 import sys
 import types
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -31,6 +33,7 @@ from thornwall.llm.common import named
 _PIECE = 1 << 20
 _BATCH_CHARS = 1 << 22
 _LOOKAHEAD = 4096
+_CHUNK = 1 << 16
 _NONE = 1 << 60
 
 
@@ -41,27 +44,42 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """States: the bytes since the first open prefix, and the last token of each open prefix."""
+    """States: the bytes since the first open prefix, and the last token of each open prefix.
+
+    They are packed, and moves kept in a hash table of two plain arrays, since a
+    worker may hold hundreds of thousands.
+    """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
         self.ranks, self.max_states = ranks, max_states
         self.starts = {token[:k] for token in ranks for k in range(1, len(token))}
+        self._tokens = {rank: token for token, rank in ranks.items()}
+        self._mask = (1 << max(13, (3 * max_states).bit_length())) - 1
         self._reset()
 
     def _reset(self) -> None:
-        self._pairs: dict[tuple[bytes | None, bytes], bool] = {}
-        self._numbers: dict[tuple, int] = {}
-        self._states: list[tuple[bytes, tuple[int, ...], tuple[bytes | None, ...]]] = []
-        self._moves: dict[int, int] = {}
-        self._number((b"", (0,), (None,)))
-
-    def _number(self, state: tuple) -> int:
+        self._pairs: dict[int, bool] = {}
+        self._numbers: dict[bytes, int] = {}
+        self._states: list[bytes] = []
+        self._from = array("q", [-1]) * (self._mask + 1)
+        self._to = array("q", [0]) * (self._mask + 1)
+        self._moves = 0
+        self._number((0,), (0,), b"")
+
+    def _number(self, open_: Sequence[int], lefts: Sequence[int], rest: bytes) -> int:
+        """``lefts``: the last tokens' ids plus one, 0 for none."""
+        state = struct.pack(f"<B{len(open_)}H{len(open_)}I", len(open_), *open_, *lefts) + rest
         number = self._numbers.get(state)
         if number is None:
             number = self._numbers[state] = len(self._states)
             self._states.append(state)
         return number
 
+    def _unpack(self, number: int) -> tuple[tuple[int, ...], tuple[int, ...], bytes]:
+        state = self._states[number]
+        n = state[0]
+        return struct.unpack_from(f"<{n}H", state, 1), struct.unpack_from(f"<{n}I", state, 1 + 2 * n), state[1 + 6 * n :]
+
     def merged(self, piece: bytes) -> list[bytes]:
         """The definition: merge the adjacent pair of lowest rank, the first of equals, until none is a token."""
         rank = self.ranks.get
@@ -77,16 +95,20 @@ class Transducer:
                 pairs[at] = rank(parts[at] + parts[at + 1], _NONE)
         return parts
 
-    def _stand(self, left: bytes | None, token: bytes) -> bool:
+    def _stand(self, left: int, token: bytes) -> bool:
         """Whether both stay as they are next to each other."""
-        known = self._pairs.get((left, token))
+        pair = left << 32 | self.ranks[token]
+        known = self._pairs.get(pair)
         if known is None:
-            known = self._pairs[left, token] = self.merged((left or b"") + token) == ([left, token] if left else [token])
+            if len(self._pairs) > self.max_states // 3:
+                self._pairs.clear()
+            before = [self._tokens[left - 1]] if left else []
+            known = self._pairs[pair] = self.merged(b"".join(before) + token) == [*before, token]
         return known
 
-    def _move(self, number: int, byte: int) -> int:
-        """The next state, and in the lowest 16 bits the length of the longer prefix's last token."""
-        rest, open_, lefts = self._states[number]
+    def _move(self, number: int, byte: int, at: int) -> int:
+        """The next state, and in the lowest 16 bits the length of the longer prefix's last token; kept at ``at``."""
+        open_, lefts, rest = self._unpack(number)
         rest += bytes((byte,))
         ranks, starts, token, stay_at, stay_left = self.ranks, self.starts, None, [], []
         for j, left in zip(open_, lefts, strict=True):
@@ -101,28 +123,19 @@ class Transducer:
         if token is None:
             raise LookupError(rest)
         stay_at.append(len(rest))
-        stay_left.append(token)
+        stay_left.append(ranks[token] + 1)
         if cut := stay_at[0]:
             stay_at = [j - cut for j in stay_at]
-        move = self._number((rest[cut:], tuple(stay_at), tuple(stay_left))) << 16 | len(token)
-        self._moves[number << 8 | byte] = move
+        move = self._number(stay_at, stay_left, rest[cut:]) << 16 | len(token)
+        self._from[at], self._to[at] = number << 8 | byte, move
+        self._moves += 1
         return move
 
-    def _walk(self, lengths: list[int], end: int) -> list[int]:
-        """The borders of the encoding of the prefix, from its end down."""
-        walk = [end]
-        while walk[-1] > 0:
-            walk.append(walk[-1] - lengths[walk[-1] - 1])
-        return walk
-
-    def _emit(self, piece: bytes, walk: list[int]) -> list[int]:
-        return [self.ranks[piece[a:b]] for b, a in zip(walk[-2::-1], walk[:0:-1], strict=True)]
-
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece; a piece that is a token is that token."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self._states) > self.max_states:
+        if self._full():
             self._reset()
         try:
             return self._short(piece) if len(piece) <= _LOOKAHEAD else self._long(piece)
@@ -131,13 +144,8 @@ class Transducer:
 
     def _short(self, piece: bytes) -> list[int]:
         """All bytes, then back over the borders from the end."""
-        moves, state, out = self._moves, 0, []
-        lengths: list[int] = []
-        for byte in piece:
-            move = moves.get(state << 8 | byte) or self._move(state, byte)
-            state = move >> 16
-            lengths.append(move & 0xFFFF)
-        end, ranks = len(piece), self.ranks
+        lengths, _ = self._read(piece, 0)
+        end, ranks, out = len(piece), self.ranks, []
         while end:
             begin = end - lengths[end - 1]
             out.append(ranks[piece[begin:end]])
@@ -145,23 +153,51 @@ class Transducer:
         out.reverse()
         return out
 
-    def _long(self, piece: bytes) -> list[int]:
-        """As the short way, but tokens that are certain go out and are forgotten."""
-        moves, state, out, base = self._moves, 0, [], 0
-        lengths: list[int] = []
-        for at, byte in enumerate(piece):
-            move = moves.get(state << 8 | byte) or self._move(state, byte)
+    def _read(self, piece: bytes, state: int) -> tuple[list[int], int]:
+        """The length of the last token after each byte, and the state in the end."""
+        keys, to, mask, lengths = self._from, self._to, self._mask, []
+        for byte in piece:
+            key = state << 8 | byte
+            at = key * 2654435761 >> 16 & mask
+            while (held := keys[at]) != key and held >= 0:
+                at = at + 1 & mask
+            move = to[at] if held == key else self._move(state, byte, at)
             state = move >> 16
             lengths.append(move & 0xFFFF)
-            if at - base >= _LOOKAHEAD:
-                # What the walks of all open prefixes share is certain.
-                rest, open_, _ = self._states[state]
-                walks = [self._walk(lengths, len(lengths) - len(rest) + j) for j in open_]
-                sure = max(set(walks[0]).intersection(*walks[1:]))
-                out += self._emit(piece[base : base + sure], [x for x in walks[-1] if x <= sure])
-                base, lengths = base + sure, lengths[sure:]
+        return lengths, state
+
+    def _long(self, piece: bytes) -> list[int]:
+        """As the short way, a part at a time: tokens that are certain after a part go out and are forgotten."""
+        out, base, state = [], 0, 0
+        lengths: list[int] = []
+        for at in range(0, len(piece), _LOOKAHEAD):
+            if self._full():
+                kept = self._unpack(state)
+                self._reset()
+                state = self._number(*kept)
+            more, state = self._read(piece[at : at + _LOOKAHEAD], state)
+            lengths += more
+            # What the walks of all open prefixes share is certain.
+            open_, _, rest = self._unpack(state)
+            walks = [self._walk(lengths, len(lengths) - len(rest) + j) for j in open_]
+            sure = max(set(walks[0]).intersection(*walks[1:]))
+            out += self._emit(piece[base : base + sure], [x for x in walks[-1] if x <= sure])
+            base, lengths = base + sure, lengths[sure:]
         return out + self._emit(piece[base:], self._walk(lengths, len(lengths)))
 
+    def _walk(self, lengths: list[int], end: int) -> list[int]:
+        """The borders of the encoding of the prefix, from its end down."""
+        walk = [end]
+        while walk[-1] > 0:
+            walk.append(walk[-1] - lengths[walk[-1] - 1])
+        return walk
+
+    def _emit(self, piece: bytes, walk: list[int]) -> list[int]:
+        return [self.ranks[piece[a:b]] for b, a in zip(walk[-2::-1], walk[:0:-1], strict=True)]
+
+    def _full(self) -> bool:
+        return len(self._states) > self.max_states or 4 * self._moves > 3 * self._mask
+
 
 class Utf8Stream:
     """Bytes in, characters out: a sequence cut off at the end waits for its other bytes."""
@@ -187,22 +223,26 @@ class Utf8Stream:
 
 
 class _Pieces(dict):
-    """The tokens of pieces met before."""
+    """The tokens of pieces met lately: those of the last ``most`` new ones, and of as many before."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, transducer: Transducer, most: int):
         super().__init__()
-        self.transducer = transducer
+        self.transducer, self.most = transducer, most
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        found = tuple(self.transducer.encode(piece.encode()))
+        found = self.before.get(piece) or tuple(self.transducer.encode(piece.encode()))
         if len(piece) <= 64:
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
             self[piece] = found
         return found
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 300_000, max_pieces: int = 600_000):
-        self._pieces, self._max = _Pieces(Transducer(ranks, max_states)), max_pieces
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 300_000, max_pieces: int = 120_000):
+        self._pieces = _Pieces(Transducer(ranks, max_states), max_pieces)
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
         self._split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self._border = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
@@ -210,8 +250,6 @@ class Codec:
 
     def encode(self, text: str) -> np.ndarray:
         """Whole texts, a megabyte at a time: before white space that follows something else, every piece ends."""
-        if len(self._pieces) > self._max:
-            self._pieces.clear()
         out, at = [], 0
         while at < len(text):
             cut = self._border.search(text, at + _PIECE) if len(text) - at > _PIECE else None
@@ -223,8 +261,8 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> str:
         stream, found = Utf8Stream(), []
-        for at in range(0, len(ids), _PIECE):
-            found.append(stream.feed(b"".join(map(self._bytes.__getitem__, ids[at : at + _PIECE].tolist()))))
+        for at in range(0, len(ids), _CHUNK):
+            found.append(stream.feed(b"".join(map(self._bytes.__getitem__, ids[at : at + _CHUNK].tolist()))))
         return "".join(found) + stream.close()
 
 
