@@ -15,8 +15,12 @@ thrown away when there are too many.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
+import gc
 import struct
 import sys
+import threading
 import types
 from array import array
 from collections.abc import Iterator, Sequence
@@ -28,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import named
+from thornwall.llm.common import named, small_batches
 
 _PIECE = 1 << 20
 _BATCH_CHARS = 1 << 22
@@ -266,14 +270,34 @@ class Codec:
         return "".join(found) + stream.close()
 
 
+_IDLE_S = 3.0
+
+
 def _codec(key: tuple, ranks: dict[bytes, int], pattern: str) -> Codec:
     """One codec a Python worker, so that tasks find the states and pieces of earlier ones."""
     home = sys.modules.setdefault("_thornwall_codecs", types.ModuleType("_thornwall_codecs"))
+    if timer := getattr(home, "timer", None):
+        timer.cancel()
     if getattr(home, "key", None) != key:
         home.key, home.codec = key, Codec(ranks, pattern)
     return home.codec
 
 
+def _rest() -> None:
+    """A worker that gets no other task soon gives the codec's memory back; other stages may need it."""
+    home = sys.modules["_thornwall_codecs"]
+
+    def drop() -> None:
+        home.key = home.codec = None
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    home.timer = threading.Timer(_IDLE_S, drop)
+    home.timer.daemon = True
+    home.timer.start()
+
+
 def _lists(found: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32()))
@@ -292,6 +316,7 @@ def _parts(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
 
 
 def _run(rows: DataFrame, path: str, pattern: str, step, columns: str) -> DataFrame:
+    small_batches(rows)
     ranks = read_ranks(path)
     shared, key = rows.sparkSession.sparkContext.broadcast(ranks), (path, len(ranks), pattern)
     kind = rows.schema["id"].dataType.simpleString()
@@ -302,6 +327,8 @@ def _run(rows: DataFrame, path: str, pattern: str, step, columns: str) -> DataFr
             for part in _parts(batch, _sizes(batch)):
                 found = step(codec, part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *found.values()], names=["id", *found])
+        del codec
+        _rest()
 
     return rows.mapInArrow(run, f"id {kind}, {columns}")
 

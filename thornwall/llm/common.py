@@ -45,6 +45,11 @@ class Scratch:
         file_system(self.spark, path).delete(hadoop_path(self.spark, path), True)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Python workers get about 8 MB at a time in this session, rather than 64: texts can be long, and a worker's memory is not Spark's."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def named(column: str) -> Column:
     """The column of this very name, dots and all."""
     return F.col("`" + column.replace("`", "``") + "`")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import named
+from thornwall.llm.common import named, small_batches
 
 UNKNOWN = "und"
 BITS = 12
@@ -94,6 +94,8 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     rows = rows.select(named(id_col).cast("string").alias("id"), named(text_col).alias("text"), named(lang_col).alias("lang")).filter("text is not null and lang is not null")
 
+    small_batches(rows)
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = np.zeros(_SIZE, np.int64), 0
         for batch in batches:
@@ -142,6 +144,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     ``und`` and 0. ``rejected`` marks texts farther from the centroid than
     its own; of centroids equally near, the first language in order counts.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.idf, model.centroids, model.reach))  # languages x centroids x 4096 floats
     rows = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

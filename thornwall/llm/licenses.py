@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from thornwall.llm.common import named
+from thornwall.llm.common import named, small_batches
 
 #: Phrases any caller may rely on.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -172,6 +172,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", permit
         ("expressions", pa.list_(pa.struct([("postfix", pa.string()), ("permitted", pa.bool_())]))), ("labels", pa.list_(pa.string())), ("score", pa.float64()),
     ])
 
+    small_batches(rows)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = automaton([*NOTICES, TAG])
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from thornwall.llm.common import Scratch, named, row_key
+from thornwall.llm.common import Scratch, named, row_key, small_batches
 from thornwall.llm.components import components
 
 SEED = 42
@@ -93,6 +93,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, key, fp): a row per row of ``docs``; ``key`` is ``text_key``."""
     rows = docs.select(named(id_col).alias("id"), text_key(id_col, text_col).alias("key"), named(text_col).alias("text"))
 
+    small_batches(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = pa.array([signed(simhash(text.as_py(), shingle)) for text in batch.column(2)], pa.int64())
