@@ -1,0 +1,455 @@
+"""Every operator against brute force, on small tables with all irregularities."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from thornwall.llm import bpe, chat, exact_dedup, language, licenses, mixing, quality, simhash, url_rules, warc
+from thornwall.llm.common import Scratch, keep_one, ranked, repeated, running
+from thornwall.llm.components import components
+
+LONG = "palabra larga " * 9000
+TEXTS = [
+    None, "", " \t\n", "one", "a b", "A  b\n", "a b ", "x y z", LONG, LONG + " ", LONG + "!", "X Y Z", "é è\u00a0ê", "\x1c \x0b\x0c", "tie", "tie",
+    "the quick brown fox jumps over the lazy dog", "the quick brown fox jumps over the lazy dog", "word " * 70, "\n".join(["same line here"] * 30),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, H string, size int, `a.b` string, rank int, key string"
+
+
+def table(spark, texts=TEXTS, ids=None):
+    ids = ids or list(range(len(texts)))
+    return spark.createDataFrame([(i, t, None, None if i is None or i % 5 == 0 else f"s{i % 3}", 1, "h", 2, "c", 3, "k") for i, t in zip(ids, texts, strict=True)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ids = [None, *range(1, len(TEXTS))]
+    ids[7], ids[11] = 5, 5  # one id, several texts
+    rows = table(spark, TEXTS, ids)
+    return rows.union(rows.filter("doc_id in (14, 16)")).cache()
+
+
+def rows(df):
+    return [r.asDict(recursive=True) for r in df.collect()]
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# --- helpers ---
+
+
+def test_rank_and_running_total(spark):
+    scratch = Scratch(spark)
+    values = list(range(500))
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame([(v, v % 7) for v in values], "v long, w long").repartition(7)
+    found = sorted((r["v"], r["rank"], r["t"]) for r in rows(running(ranked(scratch, df, "v"), "w", "t")))
+    assert [f[1] for f in found] == list(range(500))
+    assert [f[2] for f in found] == [sum(v % 7 for v in range(k)) for k in range(500)]
+
+
+def test_repeats(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 70_000)], "block string, i long")
+    assert dict(Counter(r["block"] for r in rows(repeated(df, "i")))) == {"b": 1, "c": 70_000}
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(60)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    found = {r["node"]: r["root"] for r in rows(components(Scratch(spark), spark.createDataFrame(edges, "u long, v long")))}
+    assert found == {x: find(x) for x in parent if find(x) != x}
+
+
+# --- 1 licence scans ---
+
+
+def brute_scan(text):
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    hits = [(label, phrase, k) for phrase, (label, _) in licenses.NOTICES.items() for k in range(len(found)) if found[k : k + len(phrase.split())] == phrase.split()]
+    return len(found), sorted(hits)
+
+
+def test_licenses_against_brute_force(spark):
+    texts = [*TEXTS, "CC BY, cc-by cc by nc; All rights reserved. all RIGHTS reserved", "GNU General Public License, version 3", "ccby cc bye écc by", "cc by cc by cc by"]
+    for r, text in zip(sorted(rows(licenses.scan(table(spark, texts))), key=lambda r: r["id"]), texts, strict=True):
+        assert (r["n_words"], sorted((h["label"], h["phrase"], h["word"]) for h in r["hits"])) == brute_scan(text)
+        assert 0 <= r["score"] <= 1 and r["labels"] == sorted({h["label"] for h in r["hits"]})
+    assert rows(licenses.scan(table(spark, []))) == []
+
+
+def test_license_expressions():
+    for line, expected in {
+        "MIT": True, "GPL-2.0 OR MIT": True, "GPL-2.0 AND MIT": False, "MIT AND (GPL-2.0 OR ISC)": True, "GPL-2.0 WITH Classpath-exception-2.0 OR MIT": True,
+        "gpl-2.0 or mit and gpl-3.0": False, "MIT */": True, "(MIT": None, "OR MIT": None, "MIT OR": None, "": None,
+    }.items():
+        postfix = licenses.parse(line)
+        assert (licenses.evaluate(postfix) if postfix else None) is expected or line == "MIT OR" and postfix == ["mit"], line
+    found = licenses.scan_text("/* SPDX-License-Identifier: (Apache-2.0 OR MIT) */\ncode", licenses.automaton([*licenses.NOTICES, licenses.TAG]))
+    assert found["labels"] == ["apache-2.0", "mit"] and found["expressions"] == [{"postfix": "apache-2.0 mit or", "permitted": True}] and found["score"] > 0.9
+
+
+# --- 2 mixing ---
+
+
+def brute_targets(sizes, weights=(1, 2, 3)):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % 3] for k, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in capped)
+        open_ = sum(weight[s] for s in order if s not in capped)
+        more = {s for s in order if s not in capped and rest * weight[s] > 3 * sizes[s] * open_}
+        if not more:
+            return {s: 3.0 * sizes[s] if s in capped else rest * weight[s] / open_ for s in order}
+        capped |= more
+
+
+def test_mix_against_brute_force(spark, docs):
+    rng = random.Random(5)
+    many = [("w " * rng.randrange(1, 60), rng.choice(["big"] * 12 + ["b", "c", "d", None])) for _ in range(900)]
+    many += [("only", "small"), ("", "empty")]
+    df = spark.createDataFrame([(k, t, s) for k, (t, s) in enumerate(many)], "doc_id long, text string, source string")
+    for frame, data in ((df, many), (docs, [(r["text"], r["source"]) for r in rows(docs)])):
+        sizes = Counter()
+        for text, source in data:
+            sizes[source] += len(words(text))
+        found, target = rows(mixing.mix(frame)), brute_targets(sizes)
+        assert len(found) == len(data)
+        assert rows(mixing.mix(frame.repartition(3)).orderBy("id", "size", "copies")) == rows(mixing.mix(frame).orderBy("id", "size", "copies"))
+        taken = Counter()
+        for r in found:
+            taken[r["source"]] += r["copies"] * r["size"]
+            assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(target[r["source"]]) and 0 <= r["copies"] <= 3
+        if frame is df:
+            assert all(abs(taken[s] - target[s]) <= 60 for s in sizes)
+    smaller = {r["id"]: r["copies"] for r in rows(mixing.mix(df, share=0.5))}
+    assert all(smaller[r["id"]] <= r["copies"] for r in rows(mixing.mix(df)) if r["source"] == "big")
+    assert Counter(r["doc_id"] for r in rows(mixing.mixed(df))) == Counter({r["id"]: r["copies"] for r in rows(mixing.mix(df)) if r["copies"]})
+    assert mixing.mixed(docs).columns == docs.columns
+    assert rows(mixing.mix(table(spark, []))) == []
+
+
+# --- 3 WARC ---
+
+
+def test_fixity(spark):
+    pages = spark.createDataFrame([(k, f"http://x/{k}", "page " * (k % 9)) for k in range(300)] + [(None, None, None)], "page_id long, url string, html string")
+    sound = rows(warc.audit(warc.records(pages), warc.records(pages), fanout=4, file_records=50))
+    assert len(sound) == 301 and {r["status"] for r in sound} == {"intact"}
+    other = pages.filter("page_id is null or page_id != 17").withColumn(
+        "html", F.when(F.col("page_id") == 40, "Page " * 4).when(F.col("page_id") == 44, "page").otherwise(F.col("html"))
+    )
+    other = other.union(spark.createDataFrame([(900, "u", "new")], "page_id long, url string, html string"))
+    found = rows(warc.audit(warc.records(pages), warc.records(other), fanout=4, file_records=50))
+    assert {r["id"]: r["status"] for r in found if r["status"] != "intact"} == {17: "missing", 40: "altered", 44: "truncated", 900: "extra"}
+    record = {r["id"]: bytes(r["record"]) for r in rows(warc.records(pages))}
+    ours = sorted((r for r in found if r["status"] != "extra"), key=lambda r: (r["id"] is not None, r["id"]))
+    offset, file = 0, 0
+    for k, r in enumerate(ours):
+        offset = 0 if k % 50 == 0 else offset
+        assert (r["file"], r["start"], r["length"], r["sha"]) == (k // 50, offset, len(record[r["id"]]), hashlib.sha256(record[r["id"]]).hexdigest())
+        offset += r["length"]
+    assert rows(warc.audit(warc.records(pages.limit(0)), warc.records(pages.limit(0)))) == []
+
+
+# --- 4 quality ---
+
+
+def brute_quality(text):
+    found = words(text)
+    windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+    twice = {w for w, n in Counter(windows).items() if n > 1}
+    covered = {i + k for i, w in enumerate(windows) if w in twice for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    symbols, dup = sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines))
+    n, chars = len(found), sum(map(len, found))
+    bad = n < 50 or 100 * len(covered) > 50 * n or 10 * symbols > n or 2 * dup > len(lines) or chars < 3 * n or chars > 10 * n or 2 * (text or "").count("!") > n
+    return n, chars, symbols, dup, len(covered), not bad
+
+
+GOOD = " ".join(f"word{k}" for k in range(80))
+
+
+def test_quality_against_brute_force(spark, docs):
+    texts = [GOOD, GOOD + " $#" * 9, "\n".join([GOOD] + ["line"] * 6), " ".join(f"w{k}!!" for k in range(60)), " ".join("x" * 11 + str(k) for k in range(60)), "a b c d a b c " + GOOD]
+    frame = docs.union(table(spark, texts, list(range(50, 50 + len(texts)))))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    found = rows(quality.judge(frame, features=names))
+    expected = Counter((r["doc_id"], *brute_quality(r["text"])) for r in rows(frame))
+    assert Counter((r["id"], *(r[n] for n in names), r["kept"]) for r in found) == expected
+    assert all(r["kept"] == (r["rejected_by"] is None) for r in found)
+    kept = quality.keep_good(frame)
+    assert kept.columns == frame.columns
+    assert Counter(r["doc_id"] for r in rows(kept)) == Counter(r["id"] for r in found if r["kept"])
+    assert rows(quality.judge(table(spark, []))) == []
+
+
+def test_cascade_puts_cheap_strong_rules_first(spark):
+    frame = table(spark, [GOOD] * 10 + ["a b"] * 30)
+    steps = quality.plan(frame)
+    assert steps[0].rule.name == "few_words" and steps[0].rejects == 0.75
+    assert {s.rule.name for s in steps} == {r.name for r in quality.RULES}
+    assert [s.rule.name for s in quality.plan(frame)] == [s.rule.name for s in steps]
+
+
+# --- 5 SimHash ---
+
+
+def brute_simhash(text):
+    found = (text or "").encode().lower().split()
+    shingles = [b" ".join(found[i : i + 3]) for i in range(max(1, len(found) - 2))] if found else []
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps, ids):
+    parent = list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= 3:
+                parent[find(a)] = find(b)
+    members = {}
+    for k in range(len(fps)):
+        members.setdefault(find(k), []).append(ids[k])
+    return [min((i for i in members[find(k)] if i is not None), default=None) for k in range(len(fps))]
+
+
+def test_covering_masks():
+    found = simhash.masks(3)
+    assert len(found) == 15 and all(30 <= m.bit_count() <= 36 for m in found)
+    rng = random.Random(2)
+    for _ in range(3000):
+        difference = sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 4)))
+        assert any(not difference & m for m in found)
+
+
+def test_simhash_pieces(monkeypatch):
+    text = " ".join(random.Random(4).choices(["Aa", "b", "cé", "d\n", "\t"], k=3000))
+    whole = simhash.simhash(text)
+    assert whole == brute_simhash(text)
+    monkeypatch.setattr(simhash, "_PIECE", 7)
+    assert simhash.simhash(text) == whole
+
+
+@pytest.mark.parametrize("crowd", [64, 4])
+def test_links_against_all_pairs(spark, crowd):
+    rng = random.Random(crowd)
+    fps = set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 6))) for _ in range(25)}
+    fps = sorted(fps)
+    scratch = Scratch(spark)
+    frame = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long")
+    roots = {r["node"]: r["root"] for r in rows(components(scratch, simhash.links(scratch, frame, crowd=crowd)))}
+    own = [roots.get(simhash.signed(f), simhash.signed(f)) for f in fps]
+    assert own == brute_components(fps, [simhash.signed(f) for f in fps])
+
+
+def test_near_groups_against_brute_force(spark, docs):
+    near = [GOOD * 20 + f" tail {k}" for k in range(6)]
+    frame = docs.union(table(spark, near, [300, 299, 301, 302, None, 303]))
+    found, data = rows(simhash.near_groups(frame)), rows(frame)
+    fps = [brute_simhash(r["text"]) for r in data]
+    expected = Counter(zip([r["doc_id"] for r in data], [simhash.signed(f) for f in fps], brute_components(fps, [r["doc_id"] for r in data]), strict=True))
+    assert Counter((r["id"], r["fp"], r["component_id"]) for r in found) == expected
+    groups = simhash.near_groups(frame)
+    kept = rows(keep_one(frame, simhash.text_key("doc_id", "text"), simhash.keepers(groups)))
+    assert len(kept) == len({r["root"] for r in found})
+    assert rows(simhash.near_groups(table(spark, []))) == []
+
+
+# --- 6 language ---
+
+
+def test_language_held_out(spark):
+    rng = random.Random(8)
+    syllables = {"en": ["the", "ing", "and", "wh"], "fr": ["eau", "ou", "é", "qu"], "de": ["sch", "ü", "ung", "cht"]}
+    texts = [(" ".join("".join(rng.choices(s, k=3)) for _ in range(rng.randrange(3, 60))), lang) for lang, s in syllables.items() for _ in range(60)]
+    rng.shuffle(texts)
+    train = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(texts[:120])], "doc_id long, text string, lang string")
+    model = language.fit(train.union(spark.createDataFrame([(900, None, "en"), (901, "xyz", None), (902, "12 3", "zz")], train.schema)))
+    assert set(model.languages) == {"en", "fr", "de"} and len(model.languages) == 12
+    test = [*texts[120:], (None, "und"), ("", "und"), ("12 ?", "und")]
+    found = sorted(rows(language.predict(table(spark, [t for t, _ in test]), model)), key=lambda r: r["id"])
+    assert [r["lang"] for r in found] == [lang for _, lang in test]
+    assert all(0 <= r["score"] <= 1 for r in found) and found[-1]["score"] == 0
+    nothing = language.fit(train.limit(0))
+    assert {r["lang"] for r in rows(language.predict(table(spark), nothing))} == {"und"}
+
+
+def test_language_counts_pieces(monkeypatch):
+    whole = language.counts(LONG + "É")
+    monkeypatch.setattr(language, "_PIECE", 11)
+    assert np.array_equal(language.counts(LONG + "É"), whole)
+
+
+# --- 7 URL rules ---
+
+
+def test_url_rules_against_brute_force(spark):
+    rng = random.Random(9)
+    hosts, paths = ["org", "example.org", "a.example.org", "com", "x.com", "xcom", "ab.example.org"], ["/", "/e", "/es/", "/es/1", "/en"]
+    said = {(rng.choice(hosts), rng.choice(paths)): rng.choice(["allow", "block"]) for _ in range(18)}
+    urls = [None, "", "no scheme", "http://", "http://Example.ORG", "HTTP://A.example.org/es/1?q#f", "http://example.org#x/y", "http://a..org/e", "x://y://z/e"]
+    urls += [f"http://{rng.choice(['', 'w.', 'b.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'x', '?/es/'])}" for _ in range(300)]
+    pages = spark.createDataFrame([(k, u, "rule") for k, u in enumerate(urls)], "page_id long, url string, rule string")
+    rules = spark.createDataFrame([(h, p, v) for (h, p), v in said.items()], "host string, path string, verdict string")
+
+    def brute(url):
+        rest = (url or "").partition("://")[2]
+        host = re.match("[^/?#]*", rest)[0]
+        path = re.match("[^?#]*", rest[len(host) :])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        fits = [(len(h) + len(p), len(h), h + p, v) for (h, p), v in said.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return (host, path, *(max(fits)[2:] if fits else (None, "allow")))
+
+    for sweep_rows in (8192, 1):
+        found = sorted(rows(url_rules.judge(pages, rules, sweep_rows=sweep_rows)), key=lambda r: r["id"])
+        assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in found] == [brute(u) for u in urls]
+    assert {r["verdict"] for r in rows(url_rules.judge(pages, rules.limit(0), default="block"))} == {"block"}
+    assert rows(url_rules.judge(pages.limit(0), rules)) == []
+
+
+# --- 8 BPE ---
+
+tiktoken = pytest.importorskip("tiktoken")
+tokenizers = pytest.importorskip("public_tokenizers")
+PATH, PATTERN = tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN
+HARD = [*TEXTS, "a" * 9000, "ab" * 5000, " " * 3000 + "x", "Ünïcödé 中文字 🎉🎉 ’s I'll 123456789", "\u2028\u00a0\x1c\x1f\x85 x", "".join(map(chr, range(0x2000, 0x3000)))]
+
+
+def test_bpe_equals_the_library(spark):
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    found = sorted(rows(bpe.round_trip(table(spark, HARD), PATH, PATTERN)), key=lambda r: r["id"])
+    for r, text in zip(found, HARD, strict=True):
+        assert r["ids"] == library.encode_ordinary(text or "") and r["decoded"] == (text or "")
+    tokens = bpe.encode(table(spark, HARD), PATH, PATTERN)
+    assert [r["text"] for r in sorted(rows(bpe.decode(tokens, PATH, PATTERN)), key=lambda r: r["id"])] == [t or "" for t in HARD]
+    assert rows(bpe.round_trip(table(spark, []), PATH, PATTERN)) == []
+
+
+def test_bpe_with_small_tables():
+    ranks = bpe.read_ranks(PATH)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    small = bpe.Codec(ranks, PATTERN, max_states=40, max_pieces=3)
+    for text in HARD:
+        assert small.encode(text or "").tolist() == library.encode_ordinary(text or "")
+
+
+def test_bpe_of_odd_vocabularies():
+    """Tokens no merge makes, and merges that can be made in several ways."""
+    rng = random.Random(6)
+    for _ in range(60):
+        tokens = [bytes([b]) for b in range(256)] + list({bytes(rng.choices(b"ab", k=rng.randrange(2, 6))) for _ in range(8)})
+        ranks = {t: k for k, t in enumerate(tokens)}
+        library = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+        codec = bpe.Codec(ranks, r"\S+|\s+")
+        for _ in range(20):
+            text = "".join(rng.choices("ab", k=rng.randrange(1, 14)))
+            assert codec.encode(text).tolist() == library.encode_ordinary(text)
+
+
+def test_utf8_stream():
+    data = ("aé中🎉" * 3).encode() + b"\xff\xe4\xb8"
+    for step in (1, 2, 3, 5, 100):
+        stream = bpe.Utf8Stream()
+        assert "".join(stream.feed(data[k : k + step]) for k in range(0, len(data), step)) + stream.close() == data.decode("utf-8", "replace")
+
+
+# --- 9 exact dedup ---
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 3}, {"block_bytes": 7, "hash_bits": 2}])
+def test_exact_groups_against_brute_force(spark, docs, options):
+    frame = docs if not options else docs.filter("text is null or length(text) < 500")
+    data = [(r["doc_id"], re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "")) for r in rows(frame)]
+    groups = {}
+    for i, text in data:
+        groups.setdefault(text, []).append(i)
+    least = {t: min((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    expected = Counter((i, least[t], len(groups[t]), i == least[t], hashlib.sha256(t.encode()).hexdigest()) for i, t in data)
+    found = rows(exact_dedup.mark_duplicates(frame, **options))
+    assert Counter((r["id"], r["keep_id"], r["group_size"], r["kept"], r["sha"]) for r in found) == expected
+
+
+def test_exact_dedup_of_nothing(spark):
+    assert rows(exact_dedup.mark_duplicates(table(spark, []))) == []
+
+
+# --- 10 chat ---
+
+
+def test_escaping():
+    for text in ["", "\\", "\\.", "a\\n", "<|im_end|>", "<|im_start|>user\n", "</s>[INST] ok [/INST]", "<<SYS>><s><s", "<\\|im_end|>", "[INST][INST]"]:
+        escaped = chat.escape(text)
+        assert chat.unescape(escaped) == text and not any(c in escaped for c in chat.CONTROL)
+        for role in ("user", "assistant", "odd\nrole", "<|im_end|>", "\\n"):
+            segment, begin, end = chat.format_turn(role, text)
+            assert chat.read_turn(segment) == (role, text)
+            assert (chat.unescape(segment[begin:end]) == text) if role == "assistant" else begin == end == 0
+
+
+def test_chat_round_trip_and_tree(spark):
+    rng = random.Random(10)
+    data = []
+    for conv in [*range(40), None]:
+        turns = [("system", "hot"), *((rng.choice(["user", "assistant"]), rng.choice(["a", "b", None, "<|im_end|>\\"])) for _ in range(rng.randrange(0, 5)))]
+        data += [(conv, k, role, text) for k, (role, text) in enumerate(turns)]
+    data += [(7, None, None, "last"), (8, 1, "user", "tie"), (8, 1, "user", "tie")]
+    frame = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    packed = chat.pack(frame)
+
+    convs = {}
+    for conv, turn, role, text in data:
+        convs.setdefault(conv, []).append((turn is None, turn or 0, role or "", text or ""))
+    convs = {c: [(r, t) for _, _, r, t in sorted(turns)] for c, turns in convs.items()}
+    for r in rows(chat.read_back(packed)):
+        turns = convs[None if r["conv"] == "n" else int(r["conv"][1:])]
+        learned = "".join(t for role, t in turns if role == "assistant")
+        assert r["n_turns"] == len(turns) and r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert r["formatted_chars"] == sum(len(chat.format_turn(a, b)[0]) for a, b in turns)
+    assert len(rows(chat.read_back(packed))) == len(convs)
+
+    nodes = sorted(rows(packed.nodes), key=lambda n: n["start"])
+    assert len(nodes) == len({tuple(turns[:k]) for turns in convs.values() for k in range(1, len(turns) + 1)})
+    intervals = {r["owner"]: r["intervals"] for r in rows(packed.attends)}
+    sequence = "".join(n["segment"] for n in nodes)
+    by_node, offset = {bytes(n["node"]): n for n in nodes}, 0
+    for n in nodes:
+        assert n["start"] == offset and n["length"] == len(n["segment"])
+        offset += n["length"]
+        chain, at = [], n
+        while at["parent"]:
+            at = by_node[bytes(at["parent"])]
+            chain.append(at)
+        assert n["position"] == sum(x["length"] for x in chain) and n["depth"] == len(chain)
+        first = min(x["start"] for x in nodes if x["owner"] == n["owner"])
+        seen = "".join(sequence[i["begin"] : i["end"]] for i in intervals[n["owner"]]) + sequence[first : n["start"]]
+        assert seen == "".join(x["segment"] for x in reversed(chain))
+    assert rows(chat.read_back(chat.pack(frame.limit(0)))) == []
