@@ -125,7 +125,10 @@ def test_late_older_version_is_ignored(spark, state):
 def test_replayed_batch_replaces_its_rows(spark, state):
     state.add_changes(spark.createDataFrame([("x", 5, "a", 1)], SCHEMA), "1")
     state.add_changes(spark.createDataFrame([("x", 5, "a", 1)], SCHEMA), "1")
-    assert len(state._change_sets()) == 1
+    assert len(state._change_sets(state.base.latest())) == 1
+    state.fold()
+    state.add_changes(spark.createDataFrame([("x", 7, "a", 7)], SCHEMA), "1")
+    assert rows_of(state.read()) == [("x", 7, "a", 7)]
 
 
 @pytest.mark.parametrize("hashed", [True, False])
@@ -169,7 +172,7 @@ def test_unfinished_output_is_ignored(spark, state):
     state.add_changes(df, "1")
     base = state.fold()
     state.add_changes(spark.createDataFrame([("x", 9, "a", 9)], SCHEMA), "dead")
-    dead = state._change_sets()[0]
+    dead = state._change_sets(state.base.latest())[0]
     file_system(spark, dead).delete(hadoop_path(spark, f"{dead}/_SUCCESS"), False)
     spark.createDataFrame([("x", 8, "a", 8)], SCHEMA).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
@@ -189,7 +192,54 @@ def test_vacuum_keeps_the_newest(spark, state):
     assert len(state.vacuum(keep=2)) == 2
     assert state.vacuum(keep=2) == []
     assert len(rows_of(state.read())) == 4
-    assert sorted(os.listdir(f"{state.root}/changes".removeprefix("file:"))) == ["v000003-b00008"]
+    assert sorted(os.listdir(f"{state.root}/changes".removeprefix("file:"))) == ["3"]
+    assert len(os.listdir(f"{state.root}/folded".removeprefix("file:"))) == 2
+
+
+def test_a_batch_stored_during_a_fold_is_kept(spark, state, monkeypatch):
+    state.add_changes(spark.createDataFrame([("a", 1, "f", 1)], SCHEMA), "1")
+    state.fold()
+    state.add_changes(spark.createDataFrame([("b", 1, "f", 2)], SCHEMA), "2")
+    merged = state._merged
+
+    def meanwhile(base, sets, buckets):
+        found = merged(base, sets, buckets)
+        state.add_changes(spark.createDataFrame([("c", 1, "f", 3)], SCHEMA), "3")
+        return found
+
+    monkeypatch.setattr(state, "_merged", meanwhile)
+    state.fold()
+    monkeypatch.undo()
+    assert [r[0] for r in rows_of(state.read())] == ["a", "b", "c"]
+    state.fold()
+    assert [r[0] for r in rows_of(state.read())] == ["a", "b", "c"]
+
+
+def test_a_reader_settles_on_one_base(spark, state, monkeypatch):
+    state.add_changes(spark.createDataFrame([("a", 1, "f", 1)], SCHEMA), "1")
+    state.fold()
+    state.add_changes(spark.createDataFrame([("b", 1, "f", 2)], SCHEMA), "2")
+    listed = state._change_sets
+
+    def after_a_fold(base):
+        monkeypatch.undo()
+        state.fold()
+        return listed(base)
+
+    monkeypatch.setattr(state, "_change_sets", after_a_fold)
+    assert [r[0] for r in rows_of(state.read())] == ["a", "b"]
+
+
+def test_many_small_batches_leave_the_base_alone(spark, state):
+    state.add_changes(spark.range(3000).selectExpr("uuid() k", "1 m", "'a' f", "0 v"), "first")
+    base = state.fold()
+    for i in range(25):
+        state.add_changes(spark.createDataFrame([("k", i, "a", i), (f"k{i}", 1, "a", i)], SCHEMA), f"s{i:02d}")
+        state.fold_if_due(max_sets=10)
+    assert state.base.latest() == base and len(state._change_sets(base)) < 10
+    assert state.read().count() == 3026 and state.read().where("k = 'k'").first()["v"] == 24
+    assert state.fold() != base and state.read().count() == 3026
+    assert state._change_sets(state.base.latest()) == []
 
 
 # --- through the stream --------------------------------------------------------
@@ -258,9 +308,9 @@ def test_crash_after_the_rows_were_stored(spark, tmp_path, monkeypatch):
 
     with pytest.raises(StreamingQueryException):
         run()
-    assert len(state._change_sets()) == 2
+    assert len(state._change_sets(state.base.latest())) == 2
     run()
-    assert len(state._change_sets()) == 3
+    assert len(state._change_sets(state.base.latest())) == 3
     assert comparable(state.read()) == comparable(batch_result(spark, landing))
     log = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "log"))
     assert log.where("expectation = 'valid_cve_id'").selectExpr("sum(passed_records + failed_records)").first()[0] == 120

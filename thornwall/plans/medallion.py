@@ -139,12 +139,13 @@ class Medallion:
     def publish(self, database: str) -> None:
         """Put the stored datasets in a catalog, with description and layer, as they are now.
 
-        Pending changes of ``cves`` are folded in first. A table that is there
-        already, with the same columns, is moved to its new version by one change
+        ``cves`` is the last base: nothing is folded for it, so another process may
+        keep upserting; ``publish`` after ``state.fold()`` shows the very last
+        changes too. A table that is there already, with the same columns, is moved to its new version by one change
         of its location.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        paths = {"nvd_cves_raw": self.raw_path, "cves": self.state.fold()}
+        paths = {"nvd_cves_raw": self.raw_path, "cves": self.state.base.latest() or self.state.fold()}
         paths |= {name: self._versions(name).latest() for name in GOLD}
         for name, path in paths.items():
             if path is None:

@@ -5,23 +5,29 @@ being read loses rows when the job dies between deleting and renaming. So
 nothing is overwritten here::
 
     <root>/base/v000007-b00064/                 one row per key, bucketed by it
-    <root>/changes/v000007/<query>-<batch>/     one row per key of that batch
+    <root>/folded/v000007-b00064                the change sets that base has taken in
+    <root>/changes/<query>-<batch>/             one row per key of that batch
+    <root>/merged/<name>/, <root>/sources/<name>  several change sets in one, and which
 
 A micro-batch costs what it holds: it is reduced to one row per key and written
-beside the base. Readers put the newer rows over the base. Now and then the
-changes are folded into the next base. Both go through a join in which only the
-changes are shuffled; the base is read bucket by bucket, as it lies.
+beside the base. Readers put the newer rows over the base. Many small change
+sets are merged among themselves; only once their volume is a share of the
+base's are they folded into the next base. Both go through a join in which only
+the changes are shuffled; the base is read bucket by bucket, as it lies.
+
+A change set belongs to no version: the newest base says which sets it holds,
+and every other set is read beside it. So a batch stored while another process
+folds is neither lost nor read too late, and a reader settles on one base first. Folds themselves are assumed to run one at a time.
 
 The merge takes the highest sequence, so it may see a batch twice or in any
 order: a replayed batch, or one that was already folded, changes nothing.
-
-One writer at a time is assumed, as for any streaming query's checkpoint.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +48,8 @@ from thornwall.sources.files import (
 )
 
 BUCKET_BYTES = 512 << 20
-# Spark allows 100,000.
-MAX_BUCKETS = 65_536
+# Change sets beyond this many are merged into one.
+MANY_SETS = 200
 FOLD_RATIO = 0.25
 # Changes of one bucket up to this size (compressed) are hashed in memory; larger ones are sorted, which can spill.
 HASHED_BYTES = 16 << 20
@@ -72,28 +78,37 @@ class CurrentState:
         self.add_reduced(latest_by_key(rows, self.key, order or self.order), tag)
 
     def add_reduced(self, rows: DataFrame, tag: str) -> None:
-        """``add_changes`` of rows that hold each key once."""
+        """``add_changes`` of rows that hold each key once.
+
+        If the base holds a set of this tag already, the rows are kept beside it
+        under another name: a replay changes nothing, and nothing is lost.
+        """
+        if tag in self._folded(self.base.latest()):
+            tag = f"{tag}-again-{uuid.uuid4().hex[:8]}"
         kept = rows.select(*T.StructType.fromDDL(self.schema).names)
-        marked(kept.write.mode("overwrite")).parquet(f"{self._changes_dir()}/{tag}")
+        marked(kept.write.mode("overwrite")).parquet(f"{self.root}/changes/{tag}")
 
     def fold(self) -> str | None:
         """Write the next base from the last one and the changes; returns its path."""
-        sets = self._change_sets()
-        if not sets:
-            return self.base.latest()
         base = self.base.latest()
+        sets = self._change_sets(base)
+        if not sets:
+            return base
         volume = sum(size_in_bytes(self.spark, p) for p in sets) + (size_in_bytes(self.spark, base) if base else 0)
         buckets = bucket_count(base) if base else None
         wanted = 1 << math.ceil(math.log2(max(1, volume / self.bucket_bytes)))
-        wanted = min(max(self.min_buckets, wanted), MAX_BUCKETS)
+        wanted = max(self.min_buckets, wanted)
         merged = self._merged(base, sets, buckets or wanted)
         if buckets and wanted >= 2 * buckets:
             # The dataset has outgrown its buckets; this one fold moves it all.
             buckets, merged = wanted, merged.repartition(wanted, self.key)
-        path = self.base.next(buckets or wanted)
         # A task holds the rows of one bucket and so needs one open file. Without this
         # setting Spark sorts all rows by bucket before it writes them.
-        with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
+        limit = max(100_000, buckets or wanted)
+        path = self.base.next(buckets or wanted)
+        # Before the base counts: it must never be read without the list of what it holds.
+        self._write_list(f"{self.root}/folded/{path.rsplit('/', 1)[-1]}", self._folded(base) | self._tags(sets))
+        with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 8, "spark.sql.sources.bucketing.maxBuckets": limit}):
             (
                 marked(merged.write.format("parquet").bucketBy(buckets or wanted, self.key))
                 .option("path", path)
@@ -101,35 +116,55 @@ class CurrentState:
             )
         return path
 
-    def fold_if_due(self, ratio: float = FOLD_RATIO, max_sets: int = 200) -> str | None:
-        """Fold once the changes reach a share of the base, or many change sets have gathered.
+    def merge_changes(self) -> str | None:
+        """Write the pending change sets as one; the base is left alone. Returns its path.
+
+        The sets it came from are named beside it and read no more.
+        """
+        sets = self._change_sets(self.base.latest())
+        if len(sets) < 2:
+            return None
+        volume = sum(size_in_bytes(self.spark, p) for p in sets)
+        name = f"merged-{uuid.uuid4().hex}"
+        self._write_list(f"{self.root}/sources/{name}", self._tags(sets))
+        rows = self._merged(None, sets, max(1, math.ceil(volume / self.bucket_bytes)))
+        marked(rows.write).parquet(f"{self.root}/merged/{name}")
+        return f"{self.root}/merged/{name}"
+
+    def fold_if_due(self, ratio: float = FOLD_RATIO, max_sets: int = MANY_SETS) -> str | None:
+        """Fold once the changes reach a share of the base; merge them into one set if there are many.
 
-        Growing by that share from fold to fold, a row is rewritten about 1 / ratio times.
+        Growing by that share from fold to fold, a row of the base is rewritten about 1 / ratio times.
         """
-        base, sets = self.base.latest(), self._change_sets()
+        base = self.base.latest()
+        sets = self._change_sets(base)
         pending = sum(size_in_bytes(self.spark, p) for p in sets)
-        if sets and (base is None or len(sets) >= max_sets or pending >= ratio * size_in_bytes(self.spark, base)):
+        if sets and (base is None or pending >= ratio * size_in_bytes(self.spark, base)):
             return self.fold()
+        if len(sets) >= max_sets:
+            self.merge_changes()
         return base
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Remove superseded bases and the change sets folded since, down to the newest ``keep`` versions."""
+        """Remove superseded bases down to the newest ``keep``, and the change sets that all of those hold."""
         gone = self.base.vacuum(keep)
         for path in gone:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
-        kept = [name for _, name in self.base.listed()]
-        if gone:
-            for name in subdirectories(self.spark, f"{self.root}/changes"):
-                if name not in kept:
-                    where = f"{self.root}/changes/{name}"
-                    file_system(self.spark, where).delete(hadoop_path(self.spark, where), True)
+            self._delete(f"{self.root}/folded/{path.rsplit('/', 1)[-1]}")
+        bases = [f"{self.base.root}/{name}" for _, name in self.base.listed() if is_complete(self.spark, f"{self.base.root}/{name}")]
+        if gone and bases:
+            held = set.intersection(*(self._folded(path) for path in bases))
+            for tag in held:
+                for folder in ("changes", "merged"):
+                    self._delete(f"{self.root}/{folder}/{tag}")
         return gone
 
     # --- reading ---------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """One row per key, as of now."""
-        base, sets = self.base.latest(), self._change_sets()
+        base = self.base.latest()
+        sets = self._change_sets(base)
         if sets:
             volume = sum(size_in_bytes(self.spark, p) for p in sets)
             fresh = max(self.min_buckets, math.ceil(volume / self.bucket_bytes))
@@ -140,14 +175,39 @@ class CurrentState:
 
     # --- parts -----------------------------------------------------------------
 
-    def _changes_dir(self) -> str:
-        base = self.base.latest()
-        return f"{self.root}/changes/{base.rsplit('/', 1)[-1] if base else 'v000000'}"
+    def _write_list(self, path: str, names: set[str]) -> None:
+        rows = self.spark.createDataFrame([(name,) for name in sorted(names)], "name string").coalesce(1)
+        marked(rows.write.mode("overwrite")).text(path)
+
+    def _read_list(self, path: str) -> set[str]:
+        return {r[0] for r in self.spark.read.text(path).collect()} if is_complete(self.spark, path) else set()
+
+    def _delete(self, path: str) -> None:
+        file_system(self.spark, path).delete(hadoop_path(self.spark, path), True)
 
-    def _change_sets(self) -> list[str]:
-        where = self._changes_dir()
-        paths = (f"{where}/{name}" for name in subdirectories(self.spark, where))
-        return [p for p in paths if is_complete(self.spark, p)]
+    def _folded(self, base: str | None) -> set[str]:
+        """The tags of the change sets in a base."""
+        return self._read_list(f"{self.root}/folded/{base.rsplit('/', 1)[-1]}") if base else set()
+
+    def _sources(self, merged: str) -> set[str]:
+        return self._read_list(f"{self.root}/sources/{merged}")
+
+    def _tags(self, sets: list[str]) -> set[str]:
+        """The names of the sets and of all that merged ones came from."""
+        names = {p.rsplit("/", 1)[-1] for p in sets}
+        return names.union(*(self._sources(n) for n in names if n.startswith("merged-")))
+
+    def _change_sets(self, base: str | None) -> list[str]:
+        """The complete sets that neither the base nor a merged set holds.
+
+        Sets are listed before merged ones: a set that is merged in between is
+        then read twice, which changes nothing, rather than not at all.
+        """
+        held = self._folded(base)
+        found = [p for n in subdirectories(self.spark, f"{self.root}/changes") if n not in held and is_complete(self.spark, p := f"{self.root}/changes/{n}")]
+        merged = [p for n in subdirectories(self.spark, f"{self.root}/merged") if n not in held and is_complete(self.spark, p := f"{self.root}/merged/{n}")]
+        inside = set().union(*(self._sources(p.rsplit("/", 1)[-1]) for p in merged))
+        return [p for p in found + merged if p.rsplit("/", 1)[-1] not in inside]
 
     def _merged(self, base: str | None, sets: list[str], buckets: int) -> DataFrame:
         # Hashed once into the base's buckets; reducing them and joining the base need no further shuffle.
