@@ -449,7 +449,9 @@ def test_new_fields_join_on_restart(spark, tmp_path):
     page(landing, 2, cve("CVE-3"))
     os.utime(landing / page(landing, 3, cve("CVE-4", tooOld=1)).name, (1_600_000_000, 1_600_000_000))
     m.run()
-    assert "tooOld" not in m.table("nvd_cves_raw").schema.simpleString()
+    # Its file time is years old; its new field joins all the same.
+    old = m.table("nvd_cves_raw").selectExpr("explode(vulnerabilities.cve) c").selectExpr("c.id", "c.tooOld").collect()
+    assert {r["id"]: r["tooOld"] for r in old}["CVE-4"] == 1
     page(landing, 4, cve("CVE-5", cveTags=["disputed"]), format="NVD_CVE")
     m.run()
     raw = m.table("nvd_cves_raw")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thornwall.schema import CORRUPT, page_schema
-from thornwall.sources.files import Versions, marked, modified_at, qualified
+from thornwall.sources.files import Versions, marked, qualified
 
 # File name pattern of landed pages.
 FILE_GLOB = "cves_*.json"
@@ -185,7 +184,7 @@ def write_pages(pages: DataFrame, landing: str) -> DataFrame:
 # --- schema inference and evolution -------------------------------------------------
 
 
-def infer_pages(spark: SparkSession, landing: str, **options) -> T.StructType:
+def infer_pages(spark: SparkSession, landing: str | list[str], **options) -> T.StructType:
     """Typed columns found in the landed documents: one distributed pass over them."""
     return (
         spark.read.format("json")
@@ -218,21 +217,41 @@ def evolve_schema(spark: SparkSession, landing: str, store: str, everything: boo
     """Widen the stored page schema by whatever new fields have landed, and store it.
 
     To be called before a query starts: a running one keeps its schema, and a
-    restart on the same checkpoint takes the wider one up. Looks at pages since
-    a day before the last call, or at ``everything``.
+    restart on the same checkpoint takes the wider one up. The pages are a stream
+    of their own, with its checkpoint in the store: each is looked at once,
+    whatever its file time, and none twice, unless ``everything`` is asked for.
+    A page that lands between this call and the query's start is taken in with
+    the schema as it is; the next call widens it for those that follow.
     """
     versions = Versions(spark, store)
-    known, last = stored_schema(spark, store), versions.latest()
-    options = {}
-    if last and not everything:
-        since = datetime.datetime.fromtimestamp(modified_at(spark, f"{last}/_SUCCESS"), datetime.timezone.utc)
-        options["modifiedAfter"] = (since - datetime.timedelta(days=1)).strftime("%Y-%m-%dT%H:%M:%S")
-    known = known or T.StructType.fromDDL(page_schema())
-    wider = known
-    if not _files(spark, landing, **options).isEmpty():
-        wider = with_new_fields(known, infer_pages(spark, landing, **options))
-    # One small row, written even if nothing is new: its time says how far this call has looked.
-    text = spark.createDataFrame([(wider.json(),)], "value string").coalesce(1)
-    marked(text.write).text(versions.next())
-    versions.vacuum()
-    return wider
+    now = {"known": stored_schema(spark, store) or T.StructType.fromDDL(page_schema()), "stored": versions.latest() is not None}
+
+    def widen(found: T.StructType) -> None:
+        wider = with_new_fields(now["known"], found)
+        if now["stored"] and wider == now["known"]:
+            return
+        text = spark.createDataFrame([(wider.json(),)], "value string").coalesce(1)
+        marked(text.write).text(versions.next())
+        versions.vacuum()
+        now.update(known=wider, stored=True)
+
+    def batch(pages: DataFrame, batch_id: int) -> None:
+        # The batch is bounded in files, and so are their names.
+        files = [r["file"] for r in pages.collect()]
+        if files:
+            widen(infer_pages(spark, files))
+
+    if everything:
+        if not _files(spark, landing).isEmpty():
+            widen(infer_pages(spark, landing))
+        return now["known"]
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")  # only the path is asked for
+        .options(pathGlobFilter=FILE_GLOB, recursiveFileLookup="true", **stream_options({}, FILES_PER_BATCH))
+        .load(landing)
+        .select(F.col("path").alias("file"))
+    )
+    query = names.writeStream.foreachBatch(batch).option("checkpointLocation", f"{store}/_checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return now["known"]
