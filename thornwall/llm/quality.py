@@ -168,7 +168,10 @@ def cascade(docs: DataFrame, steps: Sequence[Step], text_col: str = "text", feat
         (why,) = fresh(df, "_rejected_by")
         df = df.withColumn(why, by)
         alive, by = named(flag), named(why)
-    return df, cols | {"kept": alive, "rejected_by": by}
+    # The verdict depends on a row number, or the optimizer would push filters on it below the features and repeat them there.
+    (row,) = fresh(df, "_row")
+    df = df.withColumn(row, F.monotonically_increasing_id())
+    return df, cols | {"kept": F.when(named(row) >= 0, alive), "rejected_by": F.when(named(row) >= 0, by)}
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES, features: Sequence[str] = (), sample_rows: int = 2000) -> DataFrame:
@@ -184,6 +187,4 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = 2000) -> DataFrame:
     """The rows that no rule rejects, with the columns they came with."""
     df, cols = cascade(docs, plan(docs, rules, text_col, sample_rows), text_col)
-    # The filter depends on a row number, or the optimizer would push it below the features and repeat them in it.
-    (row,) = fresh(df, "_row")
-    return df.withColumn(row, F.monotonically_increasing_id()).filter(cols["kept"] & (named(row) >= 0)).select(*map(named, docs.columns))
+    return df.filter(cols["kept"]).select(*map(named, docs.columns))
