@@ -122,6 +122,19 @@ from j
 )
 
 
+_CONFORMED_CVE = f"""strftime(modified_at, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'cves' as source, source_identifier as asset,
+               cve_id as indicator, {_SEVERITY} as severity"""
+_CONFORMED_ZEEK = """strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'zeek' as source, '10.0.' || (user_id % 250) || '.7' as asset,
+               '192.0.2.' || (event_id % 250) || ':' || case when event_type = 'error' then '22' else '443' end as indicator,
+               case when event_type = 'error' then 'MEDIUM' else 'LOW' end as severity"""
+_IMAGE = r"'C:\bin\' || event_type || '.exe'"
+_CONFORMED_SYSMON = f"""strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'sysmon' as source, 'HOST-' || user_id as asset,
+               {_IMAGE} as indicator, case when event_type = 'error' then 'HIGH' else 'MEDIUM' end as severity"""
+_TECHNIQUES = """select 'T' || event_id as technique_id, event_type || ' ' || event_id as name, event_type as tactics,
+               'attack-pattern--' || event_id as stix_id
+             from events where event_id % 5 <> 4 and event_id % 7 <> 0 and event_id % 11 <> 0"""
+
+
 def all_sql() -> dict[str, str]:
     flat = _ALL + f"select {_SILVER_COLUMNS}"
     return {
@@ -159,12 +172,12 @@ def all_sql() -> dict[str, str]:
         + r"""select c as cwe_id, count(*) as cve_count from (select unnest(cwes) as c from silver)
               where regexp_matches(c, '^CWE-\d+$') group by 1""",
         "gold_published": _ALL
-        + rf"""select 'cve_severity_daily' as report, count(distinct (cast(published_at as date), coalesce({_SEVERITY}, 'UNKNOWN'))) as "rows",
-               count(*) as counted from silver
-             union all select 'cve_recent_critical', count(*), count(*) from silver
+        + rf"""select 'cve_severity_daily' as report, cast(cast(published_at as date) as varchar) || '|' || coalesce({_SEVERITY}, 'UNKNOWN') as item,
+               count(*) as counted from silver group by all
+             union all select 'cve_recent_critical', concat_ws('|', cve_id, vuln_status, substring(description_en, 1, 280)), 1 from silver
                where {_SEVERITY} = 'CRITICAL' and published_at >= date '2024-01-31' - 90
-             union all select 'cve_cwe_top', count(distinct c), count(*) from (select unnest(cwes) as c from silver)
-               where regexp_matches(c, '^CWE-\d+$')""",
+             union all select 'cve_cwe_top', c, count(*) from (select unnest(cwes) as c from silver)
+               where regexp_matches(c, '^CWE-\d+$') group by c""",
         "cvss_best": _ALL
         + """select cve_id,
                case when cvss_v31_score is not null then '3.1' when cvss_v30_score is not null then '3.0' when cvss_v2_score is not null then '2.0' end as cvss_version,
@@ -213,9 +226,12 @@ def all_sql() -> dict[str, str]:
                min(ingest_file) as first_file, max(ingest_file) as last_file
              from g group by cve_id, g.modified_at having count(*) > 1""",
         "conformed_events": _EVENTS + f'select {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
-        "conformed_cves": _ALL
-        + f"""select strftime(modified_at, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'cves' as source, source_identifier as asset,
-               cve_id as indicator, {_SEVERITY} as severity from silver""",
+        "conformed_cves": _ALL + f"select {_CONFORMED_CVE}, {_SILVER_COLUMNS} from silver",
+        "conformed_all": _then(_ALL, _EVENTS)
+        + f"""select {_CONFORMED_CVE} from silver
+             union all select {_stamp("timestamp")}, source, asset, indicator, severity from c
+             union all select {_CONFORMED_ZEEK} from events
+             union all select {_CONFORMED_SYSMON} from events""",
         "conformed_distinct": _EVENTS + f'select distinct {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
         "detection_alerts": _EVENTS + "select alert_id, rule_id, severity, asset, day, matched_rows from alerts",
         "cve_alerts": _ALL
@@ -237,17 +253,21 @@ def all_sql() -> dict[str, str]:
         "conformed_retained": _EVENTS
         + f"""select {_stamp("timestamp")}, asset, indicator, severity, cast(cast(c."timestamp" as date) as varchar) as day
              from c where c."timestamp" >= date '2024-01-31' - 14""",
-        "masked_view": f"""select event_id, {_stamp('ts')}, sha256(cast(user_id as varchar)) as user_id, event_type,
+        "masked_view": f"""select event_id, {_stamp('ts')}, sha256('example' || user_id) as user_id, event_type,
                cast(null as double) as value, cast(null as varchar) as props
              from events where event_type <> 'purchase'""",
-        "zeek_conformed": """select strftime(ts, '%Y-%m-%d %H:%M:%S.000000') as "timestamp", 'zeek' as source, '10.0.' || (user_id % 250) || '.7' as asset,
-               '192.0.2.' || (event_id % 250) || ':' || case when event_type = 'error' then '22' else '443' end as indicator,
-               case when event_type = 'error' then 'MEDIUM' else 'LOW' end as severity
+        "zeek_conformed": f"""select {_CONFORMED_ZEEK}, 'C' || event_id as uid, value as duration, 'T,F,' || event_id || ',ShADad' as more
              from events""",
-        "sysmon_conformed": """select strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'sysmon' as source, 'HOST-' || user_id as asset,
-               'C:\\bin\\' || event_type || '.exe' as indicator, case when event_type = 'error' then 'HIGH' else 'MEDIUM' end as severity
-             from events""".replace("\\\\", "\\"),
-        "attack_techniques": """select 'T' || event_id as technique_id, event_type || ' ' || event_id as name, event_type as tactics,
-               'attack-pattern--' || event_id as stix_id
-             from events where event_id % 5 <> 4 and event_id % 7 <> 0 and event_id % 11 <> 0""",
+        "sysmon_conformed": f"""select {_CONFORMED_SYSMON}, 'CommandLine=run --id ' || event_id || ';DestinationIp=192.0.2.9;Image=' || {_IMAGE}
+               || ';User=u' || user_id as items
+             from events""",
+        "sysmon_json_conformed": f"""select {_CONFORMED_SYSMON}, 'CommandLine=run --id ' || event_id || ';Computer=HOST-' || user_id || ';EventID='
+               || case when event_type = 'error' then '8' else '1' end || ';Image=' || {_IMAGE}
+               || ';UtcTime=' || strftime(ts, '%Y-%m-%d %H:%M:%S.%g') as items
+             from events""",
+        "attack_techniques": _TECHNIQUES,
+        "triage_techniques": f"""with t as ({_TRIAGE}),
+             x as (select * replace (case technique when 'TECH-1' then 'T1' when 'TECH-2' then 'T4' when 'TECH-3' then 'T3' else 'T2' end as technique) from t),
+             k as ({_TECHNIQUES})
+             select x.*, k.name as technique_name, coalesce(k.tactics, '') as tactics from x left join k on technique = technique_id""",
     }

@@ -59,6 +59,37 @@ def test_zeek(spark, tmp_path):
     assert json.loads(shaped[0]["raw"])["uid"] == "C1"
 
 
+def test_zeek_fields_without_a_column(spark, tmp_path):
+    (tmp_path / "conn.log").write_text("1.5\tC1\t10.0.0.1\tno\t-\n\n2.5\tC2" + "\t-" * 10 + "\tT\t-\tShADad\n")
+    rows = {r["uid"]: r for r in telemetry.read_zeek(spark, str(tmp_path)).collect()}
+    assert rows["C1"]["id.orig_p"] is None and rows["C1"]["proto"] is None and rows["C1"]["more"] is None
+    assert rows["C2"]["conn_state"] is None and rows["C2"]["more"] == ["T", "-", "ShADad"]
+
+
+def test_raw_holds_every_item(spark, tmp_path):
+    (tmp_path / "e.xml").write_text(SYSMON.replace("</EventData>", '<Data Name="CommandLine">a -b</Data></EventData>'))
+    (tmp_path / "e.json").write_text('{"EventID": 1, "Computer": "H", "UtcTime": "2024-01-02 03:04:07", "Odd": {"a": 1}}\n{broken\n')
+    xml = conform.conform(telemetry.read_sysmon(spark, str(tmp_path / "e.xml")), "sysmon").orderBy("asset").collect()
+    items = [{d["name"]: d["value"] for d in json.loads(r["raw"])["data"]} for r in xml]
+    assert items[0] == {"Image": "C:\\bin\\x.exe", "User": "bob", "CommandLine": "a -b"} and items[1]["CommandLine"] == "a -b"
+    lines = conform.conform(telemetry.read_sysmon(spark, str(tmp_path / "e.json"), "json"), "sysmon").collect()
+    assert [{d["name"]: d["value"] for d in json.loads(r["raw"])["data"]}["Odd"] for r in lines] == ['{"a":1}']
+
+
+def test_techniques_of_rules(spark):
+    rules = [Rule("R1", "HIGH", "events", "true", "T1"), Rule("R2", "LOW", "events", "true", "T9"), Rule("R3", "LOW", "events", "true")]
+    catalogue = spark.createDataFrame(
+        [("T1", "Phishing", ["a"]), ("T1", "Phishing", ["a"]), ("T2", "Other", ["b"]), (None, "x", None)],
+        "technique_id string, name string, tactics array<string>",
+    )
+    found = triage.rule_techniques(spark, rules, catalogue).select("rule_id", "technique", "technique_name", "tactics")
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("R1", "T1", "Phishing", ["a"]),
+        ("R2", "T9", None, None),
+        ("R3", None, None, None),
+    ]
+
+
 def test_telemetry_as_a_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.log").write_text(ZEEK)
@@ -257,7 +288,7 @@ def test_retention_and_masking(spark, tmp_path):
         "select timestamp'2024-01-31 00:00:00' - make_dt_interval(id) _ingest_ts, cast(id as string) who, 1 secret, 'p' shown from range(120)"
     )
     assert govern.retained(df, "2024-01-31").count() == 91
-    shown = govern.masked_view(df, {"who": "pii", "shown": "public", "secret": "sensitive"}, "who = '3'")
+    shown = govern.masked_view(df, {"who": "pii", "shown": "public", "secret": "sensitive"}, "who = '3'", salt="t")
     row = shown.first()
     assert shown.count() == 1 and row["secret"] is None and row["shown"] == "p" and len(row["who"]) == 64
     salted = govern.masked_view(df, {"who": "pii"}, "who = '3'", salt="s").first()["who"]
@@ -266,7 +297,9 @@ def test_retention_and_masking(spark, tmp_path):
     assert row["_ingest_ts"] is None
     assert [f.dataType for f in shown.schema][0] == df.schema["_ingest_ts"].dataType
     with pytest.raises(ValueError):
-        govern.masked_view(df, {"who": "secret"})
+        govern.masked_view(df, {"who": "secret"}, salt="t")
+    with pytest.raises(ValueError):
+        govern.masked_view(df, {"who": "pii"}, salt="")
 
 
 def test_stored_days_expire_whole(spark, tmp_path):

@@ -12,6 +12,9 @@ from thornwall.operators.quality import expect_all_or_drop
 
 COLUMNS = ["timestamp", "source", "asset", "indicator", "severity", "raw"]
 
+#: How timestamps are written in ``raw`` documents: no digit is lost.
+RAW_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
+
 # Required of every conformed row.
 REQUIRED = {
     "valid_timestamp": "timestamp IS NOT NULL",
@@ -69,7 +72,7 @@ def _cves() -> list[Column]:
         F.col("source_identifier"),
         F.col("cve_id"),
         severity_any(),
-        F.to_json(F.struct("*")),
+        F.to_json(F.struct("*"), RAW_FORMAT),
     ]
 
 

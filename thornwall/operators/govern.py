@@ -58,13 +58,15 @@ def _shown(name: str, tag: str, salt: str) -> Column:
     raise ValueError(f"unknown tag: {tag}")
 
 
-def masked_view(df: DataFrame, tags: dict[str, str], row_filter: str | None = None, salt: str = "") -> DataFrame:
+def masked_view(df: DataFrame, tags: dict[str, str], row_filter: str | None = None, *, salt: str) -> DataFrame:
     """Public columns as they are, personal ones hashed, sensitive ones blank.
 
     A column without a tag is treated as sensitive. ``row_filter`` is applied to
-    the unmasked rows. Without a secret ``salt``, hashes of values from a small
-    range can be found out by trying.
+    the unmasked rows. ``salt`` is a secret and never empty: without one, hashes
+    of values from a small range can be found out by trying.
     """
+    if not salt:
+        raise ValueError("hashed columns need a salt")
     visible = df if row_filter is None else df.where(row_filter)
     shown = []
     for field in df.schema:

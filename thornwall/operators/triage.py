@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thornwall.functions.cve import score_any, severity_any
@@ -28,22 +28,43 @@ def _rank(severity: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, RANKS)), severity)
 
 
-def triage(alert_rows: DataFrame, context: DataFrame, alert_source: Column, rules: list[Rule]) -> DataFrame:
+def rule_techniques(spark: SparkSession, rules: list[Rule], catalogue: DataFrame | None = None) -> DataFrame:
+    """One row per rule: its technique, and with a catalogue that one's name and tactics.
+
+    Only techniques that a rule names are read. A technique listed several times
+    counts once; one the catalogue does not know keeps its id.
+    """
+    own = spark.createDataFrame([(r.rule_id, r.technique) for r in rules], "rule_id string, technique string")
+    if catalogue is None:
+        return own
+    named = sorted({r.technique for r in rules if r.technique})
+    known = (
+        catalogue.where(F.col("technique_id").isin(named))
+        .groupBy(F.col("technique_id").alias("technique"))
+        .agg(F.min(F.struct("name", "tactics")).alias("_t"))
+        .select("technique", F.col("_t.name").alias("technique_name"), F.col("_t.tactics").alias("tactics"))
+    )
+    return own.join(known, "technique", "left")
+
+
+def triage(
+    alert_rows: DataFrame, context: DataFrame, alert_source: Column, rules: list[Rule], catalogue: DataFrame | None = None
+) -> DataFrame:
     """Deterministic triage: every alert once, context or none.
 
     - An alert on a source with critical CVEs goes up one grade.
     - Confidence is 40 percent, 10 more per matched row up to 30, 20 more with critical CVEs around.
 
-    The techniques come from the rule set: one row per rule. The context is
-    joined without a hint: Spark broadcasts it when its size, known at run time,
-    allows that, and otherwise splits skewed sources.
+    The techniques come from the rule set: one row per rule, looked up in the
+    ``catalogue`` (``technique_id, name, tactics``) if there is one. All is
+    joined without a hint: Spark broadcasts what its size, known at run time,
+    allows, and otherwise splits skewed sources.
     """
-    spark = alert_rows.sparkSession
-    techniques = spark.createDataFrame([(r.rule_id, r.technique) for r in rules], "rule_id string, technique string")
+    techniques = rule_techniques(alert_rows.sparkSession, rules, catalogue)
     joined = (
         alert_rows.withColumn("source_identifier", alert_source)
         .join(context, "source_identifier", "left")
-        .join(F.broadcast(techniques), "rule_id", "left")
+        .join(techniques, "rule_id", "left")
         .fillna(0, ["related_cves", "critical_cves"])
     )
     raised = F.least(_rank(F.col("severity")) + (F.col("critical_cves") > 0).cast("int"), F.lit(len(RANKS)))
@@ -74,6 +95,7 @@ def triage(alert_rows: DataFrame, context: DataFrame, alert_source: Column, rule
         "day",
         "matched_rows",
         "technique",
+        *(("technique_name", "tactics") if catalogue is not None else ()),
         "related_cves",
         "critical_cves",
         "worst_score",

@@ -76,15 +76,23 @@ class Medallion:
             marked(rows.write).parquet(self._versions(name).next())
 
     def refresh_alerts(
-        self, rows: DataFrame, rules: list[Rule], source: str, asset: str, ts: str, cve_source: Column
+        self,
+        rows: DataFrame,
+        rules: list[Rule],
+        source: str,
+        asset: str,
+        ts: str,
+        cve_source: Column,
+        catalogue: DataFrame | None = None,
     ) -> None:
         """Recompute ``alerts`` from the rules over ``rows``, and ``alerts_triaged`` from those and the current CVEs.
 
-        ``cve_source`` gives, from an alert's columns, the reporting source whose CVEs concern it.
+        ``cve_source`` gives, from an alert's columns, the reporting source whose CVEs concern it;
+        a ``catalogue`` of techniques adds their names and tactics.
         """
         alerts = detect.alerts(rows, rules, source, asset, ts)
         marked(alerts.write).parquet(self._versions("alerts").next())
-        triaged = triage.triage(self.table("alerts"), triage.cve_context(self.state.read()), cve_source, rules)
+        triaged = triage.triage(self.table("alerts"), triage.cve_context(self.state.read()), cve_source, rules, catalogue)
         marked(triaged.write).parquet(self._versions("alerts_triaged").next())
 
     def run(self, as_of: datetime.date | str | None = None, evolve: bool = True) -> None:

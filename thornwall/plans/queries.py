@@ -6,6 +6,8 @@ that results compare across engines. The operators themselves return them typed.
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import math
 from collections.abc import Callable
 from functools import reduce
@@ -224,17 +226,17 @@ def cve_cwe_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored reports, each summed up in one row."""
+    """The rows of the stored reports: what each is about, and what it counts."""
     medallion = workspace.upserted(spark, sf_dir)
     workspace.once(spark, sf_dir, "gold", lambda: medallion.refresh_gold(AS_OF))
-    counts = {
-        "cve_severity_daily": F.sum("cve_count"),
-        "cve_recent_critical": F.count("cve_id"),
-        "cve_cwe_top": F.sum("cve_count"),
+    shown = {
+        "cve_severity_daily": (F.concat_ws("|", F.col("day").cast("string"), "severity"), F.col("cve_count")),
+        "cve_recent_critical": (F.concat_ws("|", "cve_id", "vuln_status", "description_short"), F.lit(1).cast("bigint")),
+        "cve_cwe_top": (F.col("cwe_id"), F.col("cve_count")),
     }
     rows = [
-        medallion.table(name).agg(F.count(F.lit(1)).alias("rows"), counted.alias("counted")).select(F.lit(name).alias("report"), "*")
-        for name, counted in counts.items()
+        medallion.table(name).select(F.lit(name).alias("report"), item.alias("item"), counted.alias("counted"))
+        for name, (item, counted) in shown.items()
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -342,8 +344,10 @@ def conformed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conformed_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With all columns of the record, read back from ``raw``."""
     rows = conform.conform(_cves(spark, sf_dir), "cves")
-    return rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
+    record = F.from_json("raw", SILVER_SCHEMA, conform.RAW_FORMAT).alias("r")
+    return _shown(rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity", record).select("*", "r.*").drop("r"))
 
 
 @query
@@ -424,21 +428,21 @@ def conformed_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def masked_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = {"event_id": "public", "ts": "public", "event_type": "public", "user_id": "pii", "props": "sensitive"}
-    return govern.masked_view(workspace.events(spark, sf_dir), tags, "event_type <> 'purchase'").withColumn("ts", _stamp("ts"))
+    shown = govern.masked_view(workspace.events(spark, sf_dir), tags, "event_type <> 'purchase'", salt="example")
+    return shown.withColumn("ts", _stamp("ts"))
 
 
 # --- further sources -------------------------------------------------------------
 
 
-@query
-def zeek_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as connection logs, read back and conformed."""
+def _zeek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as connection logs with four fields more than the schema names, read back."""
 
     def build() -> str:
         path = workspace.folder(spark, sf_dir, "zeek")
         user, host = F.col("user_id"), F.col("event_id") % 250
         log = workspace.events(spark, sf_dir).select(
-            (F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")).alias("ts"),
+            (F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)").alias("ts"),
             F.concat(F.lit("C"), F.col("event_id")).alias("uid"),
             F.concat(F.lit("10.0."), user % 250, F.lit(".7")).alias("orig_h"),
             (F.lit(30000) + user % 1000).cast("int").alias("orig_p"),
@@ -450,17 +454,35 @@ def zeek_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("bigint").alias("orig_bytes"),
             F.lit(None).cast("bigint").alias("resp_bytes"),
             F.when(F.col("event_type") == "error", "REJ").otherwise("SF").alias("conn_state"),
+            F.lit("T").alias("local_orig"),
+            F.lit("F").alias("local_resp"),
+            F.col("event_id").alias("missed_bytes"),
+            F.lit("ShADad").alias("history"),
         )
         log.write.options(sep="\t", nullValue="-", quote="").csv(path)
         return path
 
-    rows = telemetry.read_zeek(spark, workspace.once(spark, sf_dir, "zeek", build))
-    return conform.conform(rows, "zeek").select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
+    return telemetry.read_zeek(spark, workspace.once(spark, sf_dir, "zeek", build))
 
 
 @query
-def sysmon_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as endpoint XML, read back and conformed."""
+def zeek_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With fields of the record, read back from ``raw``: two that have a column, and those that have none."""
+    r = F.from_json("raw", "uid string, duration double, more array<string>")
+    rows = conform.conform(_zeek(spark, sf_dir), "zeek").withColumn("r", r)
+    shown = (F.col("r.uid").alias("uid"), F.col("r.duration").alias("duration"), F.concat_ws(",", "r.more").alias("more"))
+    return rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity", *shown)
+
+
+def _with_items(conformed: DataFrame) -> DataFrame:
+    """With all items of the event, read back from ``raw``."""
+    items = F.from_json("raw", "data array<struct<name:string,value:string>>")["data"]
+    pairs = F.array_sort(F.transform(items, lambda x: F.concat_ws("=", x["name"], x["value"])))
+    return conformed.select(_stamp("timestamp"), "source", "asset", "indicator", "severity", F.concat_ws(";", pairs).alias("items"))
+
+
+def _sysmon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as endpoint XML, read back."""
 
     def build() -> str:
         path = workspace.folder(spark, sf_dir, "sysmon")
@@ -478,19 +500,57 @@ def sysmon_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.array(
                     data("Image", F.concat(F.lit("C:\\bin\\"), F.col("event_type"), F.lit(".exe"))),
                     data("User", F.concat(F.lit("u"), F.col("user_id"))),
+                    data("CommandLine", F.concat(F.lit("run --id "), F.col("event_id"))),
+                    data("DestinationIp", F.lit("192.0.2.9")),
                 ).alias("Data")
             ).alias("EventData"),
         )
         rows.write.format("xml").options(rootTag="Events", rowTag="Event").save(path)
         return path
 
-    rows = telemetry.read_sysmon(spark, workspace.once(spark, sf_dir, "sysmon", build))
-    return conform.conform(rows, "sysmon").select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
+    return telemetry.read_sysmon(spark, workspace.once(spark, sf_dir, "sysmon", build))
 
 
 @query
-def attack_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Technique bundles derived from the events, one small document per user block, read back."""
+def sysmon_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_items(conform.conform(_sysmon(spark, sf_dir), "sysmon"))
+
+
+@query
+def sysmon_json_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as endpoint JSON lines, read back and conformed."""
+
+    def build() -> str:
+        path = workspace.folder(spark, sf_dir, "sysmon-json")
+        rows = workspace.events(spark, sf_dir).select(
+            F.when(F.col("event_type") == "error", 8).otherwise(1).alias("EventID"),
+            F.concat(F.lit("HOST-"), F.col("user_id")).alias("Computer"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("UtcTime"),
+            F.concat(F.lit("C:\\bin\\"), F.col("event_type"), F.lit(".exe")).alias("Image"),
+            F.concat(F.lit("run --id "), F.col("event_id")).alias("CommandLine"),
+        )
+        rows.write.json(path)
+        return path
+
+    rows = telemetry.read_sysmon(spark, workspace.once(spark, sf_dir, "sysmon-json", build), "json")
+    return _with_items(conform.conform(rows, "sysmon"))
+
+
+@query
+def conformed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources in one shape."""
+    sources = {
+        "events": workspace.events(spark, sf_dir),
+        "zeek": _zeek(spark, sf_dir),
+        "sysmon": _sysmon(spark, sf_dir),
+        "cves": _cves(spark, sf_dir),
+    }
+    rows = conform.conform_all(sources)
+    return rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity")
+
+
+def _techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Technique bundles derived from the events, one small document per block of ids, read back."""
 
     def build() -> str:
         path = workspace.folder(spark, sf_dir, "stix")
@@ -517,5 +577,30 @@ def attack_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing.write_pages(documents, path).count()
         return path
 
-    rows = telemetry.read_techniques(spark, workspace.once(spark, sf_dir, "stix", build))
-    return rows.select("technique_id", "name", _joined("tactics"), "stix_id")
+    return telemetry.read_techniques(spark, workspace.once(spark, sf_dir, "stix", build))
+
+
+@query
+def attack_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _techniques(spark, sf_dir).select("technique_id", "name", _joined("tactics"), "stix_id")
+
+
+@query
+def triage_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triage by rules kept in files, their techniques looked up in the catalogue; it does not know that of R2."""
+    technique = {"R1": "T1", "R2": "T4", "R3": "T3", "R4": "T2"}
+
+    def build() -> str:
+        path = workspace.folder(spark, sf_dir, "rules")
+        documents = [
+            (f"{r.rule_id}.json", json.dumps(dataclasses.asdict(r) | {"technique": technique[r.rule_id]})) for r in detect.EVENT_RULES
+        ]
+        landing.write_pages(spark.createDataFrame(documents, "file_name string, document string"), path).count()
+        return path
+
+    rules = detect.read_rules(spark, workspace.once(spark, sf_dir, "rules", build))
+    rows = workspace.events(spark, sf_dir).withColumns(conform.event_columns())
+    found = detect.alerts(rows, rules, "events", "asset", "ts")
+    context = triage.cve_context(_cves(spark, sf_dir))
+    triaged = triage.triage(found, context, _cve_source(), rules, _techniques(spark, sf_dir))
+    return triaged.withColumns({"day": F.col("day").cast("string"), "tactics": F.concat_ws(",", "tactics")})

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import threading
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +30,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return f"{workdir(spark)}/{zlib.crc32(sf_dir.encode()):08x}/{name}"
+    return f"{workdir(spark)}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:24]}/{name}"
 
 
 def medallion(spark: SparkSession, sf_dir: str) -> Medallion:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import threading
 import uuid
@@ -61,16 +63,18 @@ def workdir(spark: SparkSession) -> str:
     """A folder of this application's own that all executors can reach.
 
     It lies below ``spark.checkpoint.dir``. Only a local session may go without
-    that setting: a temporary folder of one machine is lost, or never seen, on
-    a cluster.
+    that setting, and then leaves nothing behind: a temporary folder of one
+    machine is lost, or never seen, on a cluster.
     """
     app = spark.sparkContext.applicationId
     with _lock:
         if app not in _workdirs:
             shared = spark.conf.get("spark.checkpoint.dir", None)
             if not shared:
-                if not spark.sparkContext.master.startswith("local"):
+                master = spark.sparkContext.master
+                if master != "local" and not master.startswith("local["):
                     raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
                 shared = tempfile.mkdtemp(prefix="thornwall-")
+                atexit.register(shutil.rmtree, shared, ignore_errors=True)
             _workdirs[app] = f"{shared.rstrip('/')}/thornwall/{app}-{uuid.uuid4().hex[:8]}"
         return _workdirs[app]

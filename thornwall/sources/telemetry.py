@@ -14,12 +14,13 @@ ZEEK_CONN = (
     "proto string, service string, duration double, orig_bytes bigint, resp_bytes bigint, conn_state string"
 )
 
-# The parts of a Sysmon event that are read.
+# The parts of a Windows event.
 SYSMON_XML = (
-    "System struct<EventID:int,Computer:string,TimeCreated:struct<_SystemTime:string>>, "
+    "System struct<Provider:struct<_Name:string,_Guid:string>,EventID:int,Version:int,Level:int,Task:int,Opcode:int,"
+    "Keywords:string,TimeCreated:struct<_SystemTime:string>,EventRecordID:bigint,Correlation:struct<_ActivityID:string>,"
+    "Execution:struct<_ProcessID:bigint,_ThreadID:bigint>,Channel:string,Computer:string,Security:struct<_UserID:string>>, "
     "EventData struct<Data:array<struct<_Name:string,_VALUE:string>>>"
 )
-SYSMON_JSON = "EventID int, Computer string, UtcTime string, Image string, TargetFilename string, User string"
 
 # The parts of a STIX bundle that are read.
 STIX_BUNDLE = (
@@ -34,43 +35,61 @@ def _reader(spark: SparkSession, stream: bool, options: dict):
 
 
 def read_zeek(spark: SparkSession, path: str, schema: str = ZEEK_CONN, stream: bool = False, **options) -> DataFrame:
-    """Tab-separated log; header lines start with ``#``, ``-`` is unset and ``(empty)`` an empty string."""
+    """Tab-separated log; header lines start with ``#``, ``-`` is unset and ``(empty)`` an empty string.
+
+    Fields behind those of the schema are kept as they stand, in the array
+    ``more``; a field that does not read as its type is null.
+    """
     reader, options = _reader(spark, stream, options)
-    log = (
-        reader.schema(schema)
-        .format("csv")
-        .options(sep="\t", comment="#", nullValue="-", quote="", mode="PERMISSIVE")
-        .options(**options)
-        .load(path)
-    )
-    empties = {
-        field.name: F.when(F.col(f"`{field.name}`") == "(empty)", "").otherwise(F.col(f"`{field.name}`"))
-        for field in log.schema
-        if field.dataType == T.StringType()
-    }
-    return log.select(*(empties.get(c, F.col(f"`{c}`")).alias(c) for c in log.columns))
+    lines = reader.format("text").options(**options).load(path)
+    lines = lines.where((F.length("value") > 0) & ~F.startswith("value", F.lit("#")))
+    fields = T.StructType.fromDDL(schema).fields
+    parts = F.split("value", "\t")
+
+    def typed(i: int, field: T.StructField):
+        text = F.nullif(F.get(parts, F.lit(i)), F.lit("-"))
+        if field.dataType == T.StringType():
+            return F.when(text == "(empty)", "").otherwise(text)
+        return text.try_cast(field.dataType)
+
+    known = len(fields)
+    more = F.when(F.size(parts) > known, F.slice(parts, F.lit(known + 1), F.size(parts) - known))
+    return lines.select(*(typed(i, field).alias(field.name) for i, field in enumerate(fields)), more.alias("more"))
 
 
 def _event_data(name: str):
     return F.get(F.filter("EventData.Data", lambda d: d["_Name"] == name), F.lit(0))["_VALUE"]
 
 
+def _item(name: str, kind: str = "string"):
+    return F.try_variant_get("record", f"$.{name}", kind)
+
+
 def read_sysmon(spark: SparkSession, path: str, fmt: str = "xml", stream: bool = False, **options) -> DataFrame:
-    """Endpoint events as ``event_id, computer, utc_time, image, target, user``, from XML or JSON lines."""
+    """Endpoint events as ``event_id, computer, utc_time, image, target, user``, from XML or JSON lines.
+
+    ``data`` holds all items of the event by name, those six columns included
+    where the source lists them; XML has its ``system`` part besides.
+    """
     reader, options = _reader(spark, stream, options)
     if fmt == "json":
         return (
-            reader.schema(SYSMON_JSON)
+            reader.schema("record variant")
             .format("json")
+            .options(singleVariantColumn="record")
             .options(**options)
             .load(path)
             .select(
-                F.col("EventID").alias("event_id"),
-                F.col("Computer").alias("computer"),
-                F.col("UtcTime").alias("utc_time"),
-                F.col("Image").alias("image"),
-                F.col("TargetFilename").alias("target"),
-                F.col("User").alias("user"),
+                _item("EventID", "int").alias("event_id"),
+                _item("Computer").alias("computer"),
+                _item("UtcTime").alias("utc_time"),
+                _item("Image").alias("image"),
+                _item("TargetFilename").alias("target"),
+                _item("User").alias("user"),
+                F.transform(
+                    F.map_entries(F.try_variant_get("record", "$", "map<string,string>")),
+                    lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")),
+                ).alias("data"),
             )
         )
     return (
@@ -86,6 +105,8 @@ def read_sysmon(spark: SparkSession, path: str, fmt: str = "xml", stream: bool =
             _event_data("Image").alias("image"),
             _event_data("TargetFilename").alias("target"),
             _event_data("User").alias("user"),
+            F.transform("EventData.Data", lambda d: F.struct(d["_Name"].alias("name"), d["_VALUE"].alias("value"))).alias("data"),
+            F.col("System").alias("system"),
         )
     )
 
