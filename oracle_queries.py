@@ -233,6 +233,7 @@ def all_sql() -> dict[str, str]:
              union all select {_CONFORMED_ZEEK} from events
              union all select {_CONFORMED_SYSMON} from events""",
         "conformed_distinct": _EVENTS + f'select distinct {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
+        "conformed_distinct_stream": _EVENTS + f'select distinct {_stamp("timestamp")}, source, asset, indicator, severity, raw from c',
         "detection_alerts": _EVENTS + "select alert_id, rule_id, severity, asset, day, matched_rows from alerts",
         "cve_alerts": _ALL
         + f""", m as (

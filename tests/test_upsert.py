@@ -324,6 +324,26 @@ def test_equal_sequence_goes_to_the_later_file_and_place(spark, tmp_path):
     assert rows == {"CVE-1": "f1", "CVE-2": "p1"}
 
 
+def test_equal_sequence_goes_to_the_later_run(spark, tmp_path):
+    """Whatever the window in front of it says, and also where one version lies in the base and one beside it."""
+    for early_first in (True, False):
+        root = tmp_path / str(early_first)
+        runs = {"cves_20240301_20240302_p000_20240302T000000Z.json": "early", "cves_20240101_20240102_p000_20240501T000000Z.json": "late"}
+        state = CurrentState(spark, str(root / "cves"), SILVER_SCHEMA, KEY, SEQUENCE)
+        for i, (name, status) in enumerate(sorted(runs.items(), reverse=early_first)):
+            (root / f"landing{i}").mkdir(parents=True)
+            (root / f"landing{i}" / name).write_text(json.dumps({"vulnerabilities": [cve("CVE-1", vulnStatus=status)]}))
+            pages = read_pages(spark, str(root / f"landing{i}"), stream=True)
+            start_upsert(pages, state, str(root / "log"), str(root / f"cp{i}")).awaitTermination()
+            if i == 0:
+                state.fold()
+        assert [r["vuln_status"] for r in state.read().collect()] == ["late"]
+        state.fold()
+        assert [r["vuln_status"] for r in state.read().collect()] == ["late"]
+        both = read_pages(spark, f"{root}/landing*")
+        assert [r["vuln_status"] for r in latest_by_key(flatten(occurrences(both), position=True), KEY, BATCH_SEQUENCE).collect()] == ["late"]
+
+
 def test_invalid_newest_version_leaves_the_last_valid_one(spark, tmp_path):
     landing = tmp_path / "landing"
     page(landing, 0, cve("CVE-1", modified="2024-01-01T00:00:00"))

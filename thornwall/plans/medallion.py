@@ -140,8 +140,10 @@ class Medallion:
         return self.spark.read.option("recursiveFileLookup", "true").parquet(self.log_path)
 
     def register_views(self) -> None:
-        """Make every dataset known to SQL under its name."""
+        """Make every dataset known to SQL under its name; alerts only once there are some."""
         for name in DATASETS:
+            if name not in GOLD and name in VERSIONED and self._versions(name).latest() is None:
+                continue
             self.table(name).createOrReplaceTempView(name)
 
     def publish(self, database: str) -> None:
@@ -154,7 +156,7 @@ class Medallion:
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         paths = {"nvd_cves_raw": self.raw_path, "cves": self.state.base.latest() or self.state.fold()}
-        paths |= {name: self._versions(name).latest() for name in GOLD}
+        paths |= {name: self._versions(name).latest() for name in VERSIONED}
         for name, path in paths.items():
             if path is None:
                 continue

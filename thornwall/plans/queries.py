@@ -356,6 +356,24 @@ def conformed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.deduplicated(twice).withColumn("timestamp", _stamp("timestamp"))
 
 
+@query
+def conformed_distinct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed rows streamed, then all of them landed and streamed once more: the second time adds nothing."""
+    root = workspace.folder(spark, sf_dir, "distinct")
+
+    def build() -> None:
+        rows = _conformed(spark, sf_dir)
+        for _ in range(2):
+            rows.write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+            # Longer than the events span: as the batch form, it then forgets nothing.
+            distinct = conform.deduplicated(stream, "60 days").writeStream.format("parquet")
+            distinct.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+
+    workspace.once(spark, sf_dir, "distinct", build)
+    return spark.read.schema(_conformed(spark, sf_dir).schema).parquet(f"{root}/out").withColumn("timestamp", _stamp("timestamp"))
+
+
 @query
 def detection_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir).withColumn("day", _text("day"))

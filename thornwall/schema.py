@@ -25,7 +25,9 @@ CORRUPT = "_corrupt_record"
 INGEST_COLUMNS = "_ingest_ts timestamp, _ingest_file string"
 
 KEY = "cve_id"
-SEQUENCE = ["modified_at", "_ingest_file"]
+#: The run a page belongs to, as its file name says.
+RUN = "regexp_extract(_ingest_file, '_p[0-9]{3,}_([A-Za-z0-9_]+)[.]json$', 1)"
+SEQUENCE = ["modified_at", RUN, "_ingest_file"]
 POSITION = "_position"
 
 SILVER_SCHEMA = (
@@ -50,6 +52,8 @@ DATASETS = {
     "cve_severity_daily": ("gold", "CVEs per publication day and severity"),
     "cve_recent_critical": ("gold", "Critical CVEs of the trailing window"),
     "cve_cwe_top": ("gold", "Weakness categories by number of CVEs"),
+    "alerts": ("gold", "Rows that match a detection rule, counted per rule, asset and day"),
+    "alerts_triaged": ("gold", "Alerts with CVE and technique context, calibrated severity and confidence"),
 }
 
 

@@ -20,8 +20,8 @@ from thornwall.streaming.current_state import CurrentState
 RAW_FILES_PER_BATCH = 10_000
 # Pages shrink about fivefold in Parquet: this makes files of some 100 MB.
 RAW_SPLIT_BYTES = 512 << 20
-# Ties on the time of modification go to the later file, then to the later place in it.
-BATCH_SEQUENCE = [SEQUENCE[0], "_ingest_file", POSITION]
+# Ties on the time of modification go to the later run, then to the later file and place in it.
+BATCH_SEQUENCE = [*SEQUENCE, POSITION]
 
 
 def trigger(mode: str = "triggered", interval: str = "1 minute") -> dict:
