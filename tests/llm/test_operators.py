@@ -302,6 +302,17 @@ def test_language_held_out(spark):
     assert {r["lang"] for r in rows(language.predict(table(spark), nothing))} == {"und"}
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    texts = [(f"{word} number {i} and more words", word) for word in ("alpha", "beta") for i in range(3000)]
+    many = table(spark, [t for t, _ in texts]).withColumn("lang", F.element_at(F.split("text", " "), 1))
+    hot = many.union(many.filter("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n"))
+    seen = []
+    cluster = language._cluster
+    monkeypatch.setattr(language, "_cluster", lambda x, k: seen.append(len(x)) or cluster(x, k))
+    language.fit(hot, sample_rows=100)
+    assert len(seen) == 2 and all(20 <= n <= 90 for n in seen)
+
+
 def test_language_counts_pieces(monkeypatch):
     whole = language.counts(LONG + "É")
     monkeypatch.setattr(language, "_PIECE", 11)

@@ -89,8 +89,9 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """A model of rows with a language and a letter; others are left out.
 
     Document frequencies are counted over all rows. Clusters are fitted on about
-    ``sample_rows`` rows in all (at least 20 a language), chosen by a hash of the
-    id, each with its whole text: at most that many vectors come to the driver.
+    ``sample_rows`` rows in all (at least 20 a language), chosen by a hash of id
+    and text, each with its whole text: about that many vectors come to the
+    driver, at any size of the input. Equal rows share a hash and count once.
     """
     rows = rows.select(named(id_col).cast("string").alias("id"), named(text_col).alias("text"), named(lang_col).alias("lang")).filter("text is not null and lang is not null")
 
@@ -112,7 +113,8 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     each = max(20, sample_rows // max(1, len(sizes)))
     share = rows.sparkSession.createDataFrame([(lang, min(1.0, each / n)) for lang, n in sorted(sizes.items())], "l string, share double")
-    dice = F.pmod(F.xxhash64(F.lit("sample"), F.col("id")), F.lit(1_000_000)) / 1_000_000
+    # All 53 bits a double holds: a coarser dice could not show the share of a sample in billions of rows.
+    dice = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col("id"), F.col("text")), 11) / float(1 << 53)
     sample = rows.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(dice < F.col("share"))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +123,7 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             found = pa.array([counts(batch.column(2)[i].as_py()).astype(np.int32).tobytes() for i in at], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), found], names=["id", "lang", "counts"])
 
-    texts = sample.select("id", "lang", "text").mapInArrow(sampled, "id string, lang string, counts binary").collect()
+    texts = sample.select("id", "lang", "text").mapInArrow(sampled, "id string, lang string, counts binary").distinct().collect()
     texts.sort(key=lambda r: (r["lang"], r["id"], r["counts"]))
     model = Model([], idf, np.zeros((0, _SIZE), np.float32), np.zeros(0))
     found, names, reach = [], [], []

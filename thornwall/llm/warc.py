@@ -35,7 +35,8 @@ def listing(scratch: Scratch, archive: DataFrame) -> DataFrame:
     """
     hashed = archive.select("id", "name", F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"))
     rows = scratch.keep(ranked(scratch, hashed, F.col("id").asc_nulls_first(), "name", "sha", "length"))
-    first = rows.groupBy("name").agg(F.min("rank").alias("first"))
+    # Stored before the join, so that a name many records share can be split.
+    first = scratch.keep(rows.groupBy("name").agg(F.min("rank").alias("first")))
     return rows.join(first, "name").select("rank", "id", "name", (F.col("rank") - F.col("first")).alias("nth"), "sha", "length")
 
 
