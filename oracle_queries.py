@@ -63,7 +63,7 @@ from (select 'valid_cve_id' as expectation, cve_id is not null as ok from f
 group by 1
 """
 
-# One row per landed page of the one-window-per-day run.
+# One row per landed page of the two runs with one window per day; of a page cut short, nothing but its name is known.
 _INDEX = """
 with e as (
   select event_id, cast(ts as date) as d, cast(ts as date) - date '2024-01-01' as n,
@@ -71,9 +71,15 @@ with e as (
          count(*) over (partition by cast(ts as date)) as total
   from events),
 p as (
-  select '20240131T000000Z' as run_ts, d as chunk_start, d + 1 as chunk_end, n, cast((rn - 1) // 10 as int) as page, total, count(*) as records
+  select d as chunk_start, d + 1 as chunk_end, n, cast((rn - 1) // 10 as int) as page, total, count(*) as records
   from e group by all),
-idx as (select * from p where not (n % 7 = 3 and page = 1) and n % 11 <> 5)
+idx as (
+  select '20240131T000000Z' as run_ts, chunk_start, chunk_end, page, n % 13 = 4 and page = 0 as cut,
+         case when n % 13 = 4 and page = 0 then null else total end as total,
+         case when n % 13 = 4 and page = 0 or n % 13 = 6 and page = 2 then 0 else records end as records
+  from p where not (n % 7 = 3 and page = 1) and n % 11 <> 5
+  union all
+  select '20240201T000000Z', chunk_start, chunk_end, page, false, total, records from p where n % 9 = 0)
 """
 
 _EVENTS = """
@@ -160,6 +166,7 @@ def all_sql() -> dict[str, str]:
              from f where cve_id is null or published_at is null or modified_at is null""",
         "cves_scd1": flat + " from silver",
         "cves_scd1_stream": flat + " from silver",
+        "cves_continuous": flat + " from silver",
         "cve_severity_daily": _ALL
         + f"""select cast(cast(published_at as date) as varchar) as day, coalesce({_SEVERITY}, 'UNKNOWN') as severity,
                count(*) as cve_count from silver group by all""",
@@ -201,13 +208,26 @@ def all_sql() -> dict[str, str]:
                      max(total) as total, sum(records)::bigint as records, count(*) filter (records = 0) as empty_pages,
                      cast(ceil(max(total) / 10.0) as bigint) as expected_pages
                      from idx group by all)
-             select * from c where pages < expected_pages or records < total""",
+             select * from c where pages < expected_pages or records < total or total is null""",
         "window_gaps": _INDEX
         + """, o as (select run_ts, chunk_start, lag(chunk_end) over (partition by run_ts order by chunk_start) as prev
                      from (select distinct run_ts, chunk_start, chunk_end from idx))
              select run_ts, cast(prev as varchar) as gap_start, cast(chunk_start as varchar) as gap_end,
                     cast(chunk_start - prev as int) as gap_days
              from o where prev < chunk_start""",
+        "window_gaps_across_runs": _INDEX
+        + """, o as (select chunk_start, lag(chunk_end) over (order by chunk_start) as prev from (select distinct chunk_start, chunk_end from idx))
+             select cast(prev as varchar) as gap_start, cast(chunk_start as varchar) as gap_end, cast(chunk_start - prev as int) as gap_days
+             from o where prev < chunk_start""",
+        "corrupt_pages": _INDEX
+        + """select 'cves_' || strftime(chunk_start, '%Y%m%d') || '_' || strftime(chunk_end, '%Y%m%d') || '_p' || lpad(cast(page as varchar), 3, '0')
+                    || '_' || run_ts || '.json' as ingest_file, true as lost, true as kept_text from idx where cut""",
+        "schema_evolved": _ALL
+        + """select ingest_file, position, cve_id, case when pg % 2 = 1 then 'CVE_PAGE' end as format,
+               case when pg % 2 = 1 then event_type else '' end as cve_tags
+             from f join events on event_id = h""",
+        "ingest_clock": """select cast((event_id // 500) % 2 as int) as step, count(distinct event_id // 500) as pages,
+               count(distinct event_id // 500) as clocked, cast(1 as bigint) as clocks from events group by 1""",
         "incremental_window": _ALL
         + f"""select cve_id, {_stamp('modified_at')} from silver
              where modified_at between timestamp '2024-01-19 00:00:00' and timestamp '2024-01-20 00:00:00'""",
@@ -250,6 +270,18 @@ def all_sql() -> dict[str, str]:
         + "select indicator, count(*) as sightings from c group by 1 order by sightings desc, indicator limit 20",
         "triage_enriched": _TRIAGE,
         "alerts_triaged": _TRIAGE,
+        "catalog_tables": _then(_ALL, _EVENTS)
+        + rf"""select 'nvd_cves_raw' as dataset, 'bronze' as quality, 'Landed CVE pages as read, one row per page file' as description,
+               count(distinct pg) as "rows" from f
+             union all select 'cves', 'silver', 'Current version of each CVE', count(*) from silver
+             union all select 'cve_severity_daily', 'gold', 'CVEs per publication day and severity',
+               count(distinct (cast(published_at as date), coalesce({_SEVERITY}, 'UNKNOWN'))) from silver
+             union all select 'cve_recent_critical', 'gold', 'Critical CVEs of the trailing window', count(*) from silver
+               where {_SEVERITY} = 'CRITICAL' and published_at >= date '2024-01-31' - 90
+             union all select 'cve_cwe_top', 'gold', 'Weakness categories by number of CVEs', count(distinct c)
+               from (select unnest(cwes) as c from silver) where regexp_matches(c, '^CWE-\d+$')
+             union all select 'alerts', 'gold', 'Rows that match a detection rule, counted per rule, asset and day', count(*) from alerts
+             union all select 'alerts_triaged', 'gold', 'Alerts with CVE and technique context, calibrated severity and confidence', count(*) from alerts""",
         "retained": f"select event_id, {_stamp('ts')} from events where ts >= date '2024-01-31' - 10",
         "conformed_retained": _EVENTS
         + f"""select {_stamp("timestamp")}, asset, indicator, severity, cast(cast(c."timestamp" as date) as varchar) as day

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from thornwall.operators import audit
-from thornwall.sources.sample_feed import daily_page_index
+from thornwall.sources.sample_feed import daily_page_index, page_documents
 
 INDEX = "run_ts string, chunk_start date, chunk_end date, page int, total bigint, records bigint"
 
@@ -159,3 +159,16 @@ def test_page_index_by_counts_equals_numbering_the_rows(spark, block):
         for r in daily_page_index(events, 10, block).collect()
     }
     assert found == expected
+
+
+def test_repeated_event_ids_fail_loudly(spark):
+    events = spark.createDataFrame([(1, "click"), (2, "view"), (2, "view")], "event_id bigint, event_type string")
+    events = events.selectExpr("event_id", "timestamp '2024-01-01' ts", "1 user_id", "event_type")
+    with pytest.raises(Exception, match="event ids must be unique"):
+        page_documents(events).collect()
+    assert page_documents(events.distinct()).count() == 1
+
+
+def test_windows_without_a_known_total_are_shown(index):
+    found = audit.page_completeness(index(("a", 0, 1, 0, None, 0), ("a", 1, 2, 0, 5, 5)), 10).collect()
+    assert [r["chunk_start"] for r in found] == [day(0)]

@@ -99,11 +99,11 @@ def test_known_sizes(spark):
         return queries[name](spark, SF)
 
     sizes = {"bronze_pages": 2, "cves_scd1": 334, "cve_severity_daily": 124, "cve_recent_critical": 22, "cve_cwe_top": 15}
-    sizes |= {"page_completeness": 4, "window_gaps": 3}
+    sizes |= {"page_completeness": 7, "window_gaps": 6, "window_gaps_across_runs": 2, "corrupt_pages": 2}
     assert {name: rows(name).count() for name in sizes} == sizes
     by_severity = rows("cve_severity_daily").groupBy("severity").sum("cve_count").collect()
     assert dict(tuple(r) for r in by_severity) == {"CRITICAL": 35, "HIGH": 61, "MEDIUM": 99, "LOW": 127, "UNKNOWN": 12}
     alerts = rows("detection_alerts").groupBy("rule_id").agg({"*": "count", "matched_rows": "sum"}).collect()
     found = {r["rule_id"]: (r["count(1)"], r["sum(matched_rows)"]) for r in alerts}
     assert found == {"R1": (73, 79), "R2": (118, 136), "R3": (2, 2)}
-    assert rows("ingest_summary").agg({"files": "sum"}).first()[0] == 94
+    assert rows("ingest_summary").agg({"files": "sum"}).first()[0] == 110

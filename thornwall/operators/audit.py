@@ -35,7 +35,10 @@ def ingest_summary(index: DataFrame, by: list[str] = CHUNK) -> DataFrame:
 
 
 def page_completeness(index: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Request windows with pages or records missing, against the total the feed announced."""
+    """Request windows with pages or records missing, against the total the feed announced.
+
+    A window of which no page says the total (all are cut short) is shown too.
+    """
     per_chunk = index.groupBy(*CHUNK).agg(
         F.count(F.lit(1)).alias("pages"),
         F.max("total").alias("total"),
@@ -44,7 +47,7 @@ def page_completeness(index: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
     )
     expected = F.ceil(F.col("total") / F.lit(page_size)).cast("bigint")
     return per_chunk.withColumn("expected_pages", expected).where(
-        (F.col("pages") < F.col("expected_pages")) | (F.col("records") < F.col("total"))
+        (F.col("pages") < F.col("expected_pages")) | (F.col("records") < F.col("total")) | F.col("total").isNull()
     )
 
 

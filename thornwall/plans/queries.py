@@ -7,6 +7,7 @@ that results compare across engines. The operators themselves return them typed.
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import json
 import math
 from collections.abc import Callable
@@ -19,6 +20,7 @@ from thornwall.functions.cve import iso_z
 from thornwall.operators import audit, conform, detect, govern, quality, trends, triage, upsert
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.plans import gold, workspace
+from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SILVER_SCHEMA, SEQUENCE, page_schema
 from thornwall.sources import landing, sample_feed, telemetry
 from thornwall.streaming.current_state import CurrentState
@@ -201,6 +203,12 @@ def cves_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(state.read())
 
 
+@query
+def cves_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both hops in continuous mode, stopped once they have taken in what there is."""
+    return _shown(workspace.continuous(spark, sf_dir).table("cves"))
+
+
 # --- reporting -----------------------------------------------------------------
 
 
@@ -224,11 +232,16 @@ def cve_cwe_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.cwe_top(_cves(spark, sf_dir))
 
 
+def _reported(spark: SparkSession, sf_dir: str) -> Medallion:
+    medallion = workspace.upserted(spark, sf_dir)
+    workspace.once(spark, sf_dir, "gold", lambda: medallion.refresh_gold(AS_OF))
+    return medallion
+
+
 @query
 def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the stored reports: what each is about, and what it counts."""
-    medallion = workspace.upserted(spark, sf_dir)
-    workspace.once(spark, sf_dir, "gold", lambda: medallion.refresh_gold(AS_OF))
+    medallion = _reported(spark, sf_dir)
     shown = {
         "cve_severity_daily": (F.concat_ws("|", F.col("day").cast("string"), "severity"), F.col("cve_count")),
         "cve_recent_critical": (F.concat_ws("|", "cve_id", "vuln_status", "description_short"), F.lit(1).cast("bigint")),
@@ -270,27 +283,54 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.landing_inventory(spark, workspace.landed(spark, sf_dir).landing)
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_feed.daily_page_index(workspace.events(spark, sf_dir))
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumns({name: F.col(name).cast("string") for name in ("chunk_start", "chunk_end")})
 
 
 @query
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.ingest_summary(_index(spark, sf_dir)).withColumns(
-        {"chunk_start": F.col("chunk_start").cast("string"), "chunk_end": F.col("chunk_end").cast("string")}
-    )
+    return _dates_as_text(audit.ingest_summary(workspace.audited(spark, sf_dir).page_index()))
 
 
 @query
 def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.page_completeness(_index(spark, sf_dir), page_size=10).withColumns(
-        {"chunk_start": F.col("chunk_start").cast("string"), "chunk_end": F.col("chunk_end").cast("string")}
-    )
+    return _dates_as_text(audit.page_completeness(workspace.audited(spark, sf_dir).page_index(), page_size=10))
 
 
 @query
 def window_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.window_gaps(_index(spark, sf_dir)).select("run_ts", _text("gap_start"), _text("gap_end"), "gap_days")
+    rows = audit.window_gaps(workspace.audited(spark, sf_dir).page_index())
+    return rows.select("run_ts", _text("gap_start"), _text("gap_end"), "gap_days")
+
+
+@query
+def window_gaps_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = audit.window_gaps(workspace.audited(spark, sf_dir).page_index(), across_runs=True)
+    return rows.select(_text("gap_start"), _text("gap_end"), "gap_days")
+
+
+@query
+def corrupt_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = landing.corrupt_pages(workspace.audited(spark, sf_dir).table("nvd_cves_raw"))
+    return rows.select(_file(), "lost", (F.length("document") > 0).alias("kept_text"))
+
+
+@query
+def schema_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that only the pages of a second landing have, of pages and of records."""
+    raw = workspace.evolved(spark, sf_dir).table("nvd_cves_raw")
+    rows = raw.select("_ingest_file", "format", F.posexplode("vulnerabilities.cve").alias(POSITION, "cve"))
+    return rows.select(*_place(), F.col("cve.id").alias("cve_id"), "format", F.concat_ws(",", "cve.cveTags").alias("cve_tags"))
+
+
+@query
+def ingest_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page has the time it was taken in, one time for all of a batch."""
+    raw = workspace.evolved(spark, sf_dir).table("nvd_cves_raw")
+    step = landing.file_parts(landing.file_name(F.col("_ingest_file")))["page"] % 2
+    return raw.groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count("_ingest_ts").alias("clocked"), F.count_distinct("_ingest_ts").alias("clocks")
+    )
 
 
 @query
@@ -408,9 +448,7 @@ def triage_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("day", _text("day"))
 
 
-@query
-def alerts_triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, stored and read back: alerts first, then triage on the stored alerts."""
+def _alerted(spark: SparkSession, sf_dir: str) -> Medallion:
     medallion = workspace.upserted(spark, sf_dir)
 
     def build() -> None:
@@ -418,7 +456,34 @@ def alerts_triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
         medallion.refresh_alerts(rows, detect.EVENT_RULES, "events", "asset", "ts", _cve_source())
 
     workspace.once(spark, sf_dir, "alerts", build)
-    return medallion.table("alerts_triaged").withColumn("day", _text("day"))
+    return medallion
+
+
+@query
+def alerts_triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, stored and read back: alerts first, then triage on the stored alerts."""
+    return _alerted(spark, sf_dir).table("alerts_triaged").withColumn("day", _text("day"))
+
+
+@query
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored datasets in a catalog: layer and description of each, and its number of rows."""
+    medallion = _alerted(spark, sf_dir)
+    _reported(spark, sf_dir)
+    location = workspace.folder(spark, sf_dir, "catalog")
+    database = f"thornwall_{hashlib.sha256(location.encode()).hexdigest()[:12]}"
+
+    def build() -> None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+        medallion.publish(database)
+
+    workspace.once(spark, sf_dir, "catalog", build)
+    found = []
+    for table in spark.catalog.listTables(database):
+        (quality_,) = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{table.name} ('quality')").collect()]
+        about = [F.lit(x).alias(n) for n, x in (("dataset", table.name), ("quality", quality_), ("description", table.description))]
+        found.append(spark.table(f"{database}.{table.name}").agg(F.count(F.lit(1)).alias("rows")).select(*about, "rows"))
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- governance ----------------------------------------------------------------
@@ -587,10 +652,10 @@ def _techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(F.lit("mitre-attack").alias("kill_chain_name"), F.col("event_type").alias("phase_name"))
             ).alias("kill_chain_phases"),
         )
-        bundles = workspace.events(spark, sf_dir).groupBy(F.floor(h / 1000).alias("b")).agg(F.collect_list(item).alias("objects"))
+        bundles = sample_feed.paged(workspace.events(spark, sf_dir), 1000, item)
         documents = bundles.select(
-            F.format_string("enterprise_%s.json", F.col("b").cast("string")).alias("file_name"),
-            F.to_json(F.struct(F.lit("bundle").alias("type"), "objects")).alias("document"),
+            F.format_string("enterprise_%s.json", F.col("page").cast("string")).alias("file_name"),
+            F.to_json(F.struct(F.lit("bundle").alias("type"), F.col("items").alias("objects"))).alias("document"),
         )
         landing.write_pages(documents, path).count()
         return path

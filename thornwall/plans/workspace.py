@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from thornwall.plans.medallion import Medallion
 from thornwall.session import configure, workdir
-from thornwall.sources import sample_feed
+from thornwall.sources import landing, sample_feed
 
 _lock = threading.RLock()
 _built: dict[tuple[str, str, str], object] = {}
@@ -61,3 +61,44 @@ def upserted(spark: SparkSession, sf_dir: str) -> Medallion:
 
     once(spark, sf_dir, "cves", build)
     return found
+
+
+def audited(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The raw table of two runs with one window per day, in which pages and days are missing, empty or cut short."""
+    found = Medallion(spark, folder(spark, sf_dir, "daily/tables"), folder(spark, sf_dir, "daily/landing"))
+
+    def build() -> None:
+        landing.write_pages(sample_feed.daily_documents(events(spark, sf_dir)), found.landing).count()
+        found.ingest(evolve=False).awaitTermination()
+
+    once(spark, sf_dir, "daily", build)
+    return found
+
+
+def evolved(spark: SparkSession, sf_dir: str) -> Medallion:
+    """A raw table filled in two steps: the pages of the second have fields the first has not."""
+    found = Medallion(spark, folder(spark, sf_dir, "evolved/tables"), folder(spark, sf_dir, "evolved/landing"))
+
+    def build() -> None:
+        for odd_pages in (False, True):
+            sample_feed.land_with_new_fields(events(spark, sf_dir), found.landing, odd_pages)
+            found.ingest().awaitTermination()
+
+    once(spark, sf_dir, "evolved", build)
+    return found
+
+
+def continuous(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The current-state table as two hops that run on keep it."""
+    found = Medallion(spark, folder(spark, sf_dir, "continuous"), landed(spark, sf_dir).landing)
+
+    def build() -> None:
+        for hop in (lambda: found.ingest("continuous", evolve=False, interval="200 milliseconds"), lambda: found.upsert("continuous", "200 milliseconds")):
+            running = hop()
+            try:
+                running.processAllAvailable()
+            finally:
+                running.stop()
+
+    once(spark, sf_dir, "continuous", build)
+    return found

@@ -7,13 +7,16 @@ are missing, empty, malformed or repeated by fixed rules on the event id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thornwall.sources.landing import page_file_name, write_pages
+from thornwall.sources.landing import file_parts, page_file_name, write_pages
 
 # Fixed values of the derived feed.
 CHUNK_START, CHUNK_END, RUN_TS = "2024-01-01", "2024-01-30", "20240131T000000Z"
+RERUN_TS = "20240201T000000Z"
 PAGE_SIZE = 500
 DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
@@ -38,8 +41,8 @@ def _v3(score: Column, vector: Column | None = None) -> Column:
     return F.array(F.struct(F.struct(*data).alias("cvssData")))
 
 
-def record(event: Column) -> Column:
-    """The CVE record of one event."""
+def record(event: Column, **more: Column) -> Column:
+    """The CVE record of one event, with further fields."""
     h, ts, user, kind = event["event_id"], event["ts"], event["user_id"], event["event_type"]
     k = _div(h, 3)
     score = (h * 13 % 101).cast("double") / 10
@@ -90,28 +93,48 @@ def record(event: Column) -> Column:
             ),
         ),
     }
-    return F.struct(*(column.alias(name) for name, column in fields.items()))
+    return F.struct(*(column.alias(name) for name, column in (fields | more).items()))
+
+
+def paged(events: DataFrame, page_size: int, item: Column) -> DataFrame:
+    """(page, items) of consecutive events.
+
+    A list has at most ``page_size`` items, as ids are unique. Where they are
+    not, the job fails: repeated rows are counted, never collected.
+    """
+    once = F.when(F.col("n") == 1, F.col("item")).otherwise(F.raise_error(F.lit("event ids must be unique")))
+    return (
+        events.select(_div(F.col("event_id"), page_size).alias("page"), "event_id", item.alias("item"))
+        .repartition("page")
+        .groupBy("page", "event_id")
+        .agg(F.first("item").alias("item"), F.count(F.lit(1)).alias("n"))
+        .groupBy("page")
+        .agg(F.sort_array(F.collect_list(once)).alias("items"))
+    )
 
 
-def page_documents(events: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def page_documents(
+    events: DataFrame,
+    page_size: int = PAGE_SIZE,
+    page_fields: dict[str, Column] | None = None,
+    record_fields: Callable[[Column], dict[str, Column]] | None = None,
+) -> DataFrame:
     """(file_name, document) per page of consecutive events.
 
-    The narrow event columns are shuffled; records are built after it. A page has
-    at most ``page_size`` events, so no group is large.
+    The narrow event columns are shuffled; records are built after it. Further
+    fields may be given for pages (of ``page``) and records (of the event); where
+    they are NULL, the document does not have them.
     """
     total = events.count()
     last_page = max(0, (total - 1) // page_size)
-    pages = (
-        events.select(_div(F.col("event_id"), page_size).alias("page"), F.struct("event_id", "ts", "user_id", "event_type").alias("e"))
-        .groupBy("page")
-        .agg(F.sort_array(F.collect_list("e")).alias("page_events"))
-    )
+    pages = paged(events, page_size, F.struct("event_id", "ts", "user_id", "event_type")).withColumnRenamed("items", "page_events")
     document = F.to_json(
         F.struct(
             F.lit(page_size).alias("resultsPerPage"),
             (F.col("page") * page_size).alias("startIndex"),
             F.lit(total).alias("totalResults"),
-            F.transform("page_events", lambda e: F.struct(record(e).alias("cve"))).alias("vulnerabilities"),
+            F.transform("page_events", lambda e: F.struct(record(e, **(record_fields(e) if record_fields else {})).alias("cve"))).alias("vulnerabilities"),
+            *(column.alias(field) for field, column in (page_fields or {}).items()),
         )
     )
     name = page_file_name(
@@ -125,10 +148,24 @@ def land(events: DataFrame, landing: str, page_size: int = PAGE_SIZE) -> int:
     return write_pages(page_documents(events, page_size), landing).count()
 
 
-def daily_page_index(events: DataFrame, page_size: int = 10, block: int = 100_000) -> DataFrame:
-    """Page index of a run that asked for one window per day, with pages and whole days left out.
+def land_with_new_fields(events: DataFrame, landing: str, odd_pages: bool, page_size: int = PAGE_SIZE) -> int:
+    """Publish the even pages, or the odd ones, which have a field of the page and one of the records more."""
 
-    Page 1 is missing on days n with n % 7 = 3, the whole day when n % 11 = 5.
+    def of_odd(page: Column, value: Column) -> Column:
+        return F.when(page % 2 == 1, value)
+
+    documents = page_documents(
+        events,
+        page_size,
+        {"format": of_odd(F.col("page"), F.lit("CVE_PAGE"))},
+        lambda e: {"cveTags": of_odd(_div(e["event_id"], page_size), F.array(e["event_type"]))},
+    )
+    page = file_parts(F.col("file_name"))["page"]
+    return write_pages(documents.where(page % 2 == int(odd_pages)), landing).count()
+
+
+def _daily_pages(events: DataFrame, page_size: int, block: int) -> DataFrame:
+    """(chunk_start, n, page, total, records): the pages of a run that asks for one window per day, n counting days.
 
     Pages follow the event id within the day. No day is sorted for that: events
     are counted per block of ids, and a block's pages follow from its count and
@@ -155,11 +192,49 @@ def daily_page_index(events: DataFrame, page_size: int = 10, block: int = 100_00
         .agg(F.sum("part").alias("records"))
     )
     n = F.date_diff("chunk_start", F.lit(CHUNK_START).cast("date"))
-    return pages.where(~((n % 7 == 3) & (page == 1)) & (n % 11 != 5)).select(
-        F.lit(RUN_TS).alias("run_ts"),
-        "chunk_start",
-        F.date_add("chunk_start", 1).alias("chunk_end"),
-        page.cast("int").alias("page"),
-        "total",
-        "records",
+    return pages.select("chunk_start", n.alias("n"), page.cast("int").alias("page"), "total", "records")
+
+
+def daily_page_index(events: DataFrame, page_size: int = 10, block: int = 100_000) -> DataFrame:
+    """Page index of a run that asked for one window per day, with pages and whole days left out.
+
+    Page 1 is missing on days n with n % 7 = 3, the whole day when n % 11 = 5.
+    """
+    n = F.col("n")
+    return (
+        _daily_pages(events, page_size, block)
+        .where(~((n % 7 == 3) & (F.col("page") == 1)) & (n % 11 != 5))
+        .select(F.lit(RUN_TS).alias("run_ts"), "chunk_start", F.date_add("chunk_start", 1).alias("chunk_end"), "page", "total", "records")
+    )
+
+
+def daily_documents(events: DataFrame, page_size: int = 10, block: int = 100_000) -> DataFrame:
+    """(file_name, document) of two runs with one window per day.
+
+    The first leaves out what ``daily_page_index`` says; its page 0 is cut short
+    on days n with n % 13 = 4, its page 2 empty when n % 13 = 6. The second asks
+    again for the days with n % 9 = 0 and gets all their pages.
+    """
+    again = _daily_pages(events, page_size, block).where(F.col("n") % 9 == 0)
+    again = again.select(F.lit(RERUN_TS).alias("run_ts"), "chunk_start", F.date_add("chunk_start", 1).alias("chunk_end"), "page", "total", "records")
+    pages = daily_page_index(events, page_size, block).union(again)
+    n = F.date_diff("chunk_start", F.lit(CHUNK_START).cast("date"))
+    first, page = F.col("run_ts") == RUN_TS, F.col("page")
+    begin = page * page_size
+    ids = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), "records"),
+        lambda i: F.struct(F.struct(F.concat_ws("-", F.lit("CVE"), F.date_format("chunk_start", "yyyyMMdd"), (begin + i).cast("string")).alias("id")).alias("cve")),
+    )
+    document = F.to_json(
+        F.struct(
+            F.lit(page_size).alias("resultsPerPage"),
+            begin.alias("startIndex"),
+            F.col("total").alias("totalResults"),
+            F.when(first & (n % 13 == 6) & (page == 2), F.slice(ids, 1, 0)).otherwise(ids).alias("vulnerabilities"),
+        )
+    )
+    cut = F.substr(document, F.lit(1), (F.length(document) / 2).cast("int"))
+    return pages.select(
+        page_file_name(F.col("chunk_start"), F.col("chunk_end"), page, F.col("run_ts")).alias("file_name"),
+        F.when(first & (n % 13 == 4) & (page == 0), cut).otherwise(document).alias("document"),
     )
