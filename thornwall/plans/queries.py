@@ -478,12 +478,12 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         medallion.publish(database)
 
     workspace.once(spark, sf_dir, "catalog", build)
-    found = []
-    for table in spark.catalog.listTables(database):
-        (quality_,) = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{table.name} ('quality')").collect()]
-        about = [F.lit(x).alias(n) for n, x in (("dataset", table.name), ("quality", quality_), ("description", table.description))]
-        found.append(spark.table(f"{database}.{table.name}").agg(F.count(F.lit(1)).alias("rows")).select(*about, "rows"))
-    return reduce(DataFrame.unionByName, found)
+    tables = spark.catalog.listTables(database)
+    layers = {t.name: spark.sql(f"SHOW TBLPROPERTIES {database}.{t.name} ('quality')").first()["value"] for t in tables}
+    about = spark.createDataFrame([(t.name, layers[t.name], t.description) for t in tables], "dataset string, quality string, description string")
+    rows = reduce(DataFrame.union, [spark.table(f"{database}.{t.name}").select(F.lit(t.name).alias("dataset")) for t in tables])
+    counts = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    return about.join(counts, "dataset", "left").fillna(0, ["rows"])
 
 
 # --- governance ----------------------------------------------------------------
