@@ -313,6 +313,23 @@ def test_language_sample_is_bounded(spark, monkeypatch):
     assert len(seen) == 2 and all(20 <= n <= 90 for n in seen)
 
 
+def test_language_sample_counts_distinct_texts(spark, monkeypatch):
+    texts = [(k, f"alpha number {k} and more words", "alpha") for k in range(300)]
+    few = [f"beta text of kind {'x' * k}" for k in range(1, 31)]
+    texts += [(k, few[0], "beta") for k in range(1000, 4000)] + [(None, few[1], "beta")] * 3000 + [(5000 + k, t, "beta") for k, t in enumerate(few)]
+    texts += [(None, "gamma once", "gamma")] * 500 + [(k, "12 3", "gamma") for k in range(6000, 6500)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(5)
+    seen = []
+    cluster = language._cluster
+    monkeypatch.setattr(language, "_cluster", lambda x, k: seen.append(len(x)) or cluster(x, k))
+    model = language.fit(frame, sample_rows=75)
+    assert seen == [25, 25, 1] and set(model.languages) == {"alpha", "beta", "gamma"}
+    again = language.fit(frame.repartition(3), sample_rows=75)
+    assert np.array_equal(again.centroids, model.centroids)
+    language.fit(frame, sample_rows=150)
+    assert seen[6:] == [50, 30, 1]
+
+
 def test_language_counts_pieces(monkeypatch):
     whole = language.counts(LONG + "É")
     monkeypatch.setattr(language, "_PIECE", 11)

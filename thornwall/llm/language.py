@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import named, small_batches
+from thornwall.llm.common import Scratch, named, small_batches
 
 UNKNOWN = "und"
 BITS = 12
@@ -85,46 +85,80 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nd
     return centroids, np.array(reach)
 
 
+def _limits(distinct: DataFrame, sizes: dict[str, int], each: int) -> DataFrame:
+    """(l, upto): of each language, the digests up to it are the ``each`` smallest, or all.
+
+    The digests of a share somewhat larger come to the driver; if it holds too few, of a share twice as large.
+    """
+    session, wide, last = distinct.sparkSession, 2 * each, (1 << 63) - 1
+    found = {lang: last for lang, n in sizes.items() if n <= each}
+    while open_ := sorted(sizes.keys() - found.keys()):
+        wide *= 2
+        upto = [(lang, min(last, (wide << 64) // sizes[lang] - (1 << 63))) for lang in open_]
+        near = distinct.join(F.broadcast(session.createDataFrame(upto, "l string, upto long")), F.col("lang") == F.col("l")).filter("digest <= upto")
+        smallest: dict[str, list[int]] = {lang: [] for lang in open_}
+        for r in near.select("lang", "digest").collect():
+            smallest[r["lang"]].append(r["digest"])
+        found |= {lang: sorted(digests)[each - 1] for lang, digests in smallest.items() if len(digests) >= each}
+    return session.createDataFrame(sorted(found.items()), "l string, upto long")
+
+
 def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", centroids: int = 4, sample_rows: int = 2000) -> Model:
     """A model of rows with a language and a letter; others are left out.
 
-    Document frequencies are counted over all rows. Clusters are fitted on about
-    ``sample_rows`` rows in all (at least 20 a language), chosen by a hash of id
-    and text, each with its whole text: about that many vectors come to the
-    driver, at any size of the input. Equal rows share a hash and count once.
+    Document frequencies are counted over all rows. Clusters are fitted on
+    distinct texts, each whole: of every language ``sample_rows`` / languages, 20
+    at least, or all it has. Those with the smallest hashes are taken, so that
+    neither copies nor repeated rows change a language's share, and about that
+    many vectors come to the driver, at any size of the input. Ids play no part.
     """
-    rows = rows.select(named(id_col).cast("string").alias("id"), named(text_col).alias("text"), named(lang_col).alias("lang")).filter("text is not null and lang is not null")
+    rows = rows.select(F.xxhash64(F.lit("sample"), named(text_col)).alias("digest"), named(lang_col).alias("lang"), named(text_col).alias("text"))
+    rows = rows.filter("text is not null and lang is not null")
+    scratch = Scratch(rows.sparkSession)
 
     small_batches(rows)
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def looked_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per text with a letter, and the document frequencies of all of them."""
+        names = ["digest", "lang", "gram", "docs"]
         found, n = np.zeros(_SIZE, np.int64), 0
         for batch in batches:
-            for text in batch.column(0):
+            at = []
+            for i, text in enumerate(batch.column(2)):
                 if has_letter(text.as_py()):
                     found += counts(text.as_py()) > 0
-                    n += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SIZE + 1)), pa.array(np.append(found, n))], names=["gram", "docs"])
-
-    summed = rows.select("text").mapInArrow(frequencies, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs")).orderBy("gram").collect()
+                    at.append(i)
+            n += len(at)
+            none = pa.nulls(len(at), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(at, pa.int64())) for k in (0, 1)), none, none], names=names)
+        none = [pa.nulls(_SIZE + 1, kind) for kind in (pa.int64(), pa.string())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(_SIZE + 1)), pa.array(np.append(found, n))], names=names)
+
+    seen = scratch.keep(rows.mapInArrow(looked_at, "digest long, lang string, gram long, docs long"))
+    summed = seen.filter("gram is not null").groupBy("gram").agg(F.sum("docs").alias("docs")).orderBy("gram").collect()
     docs = np.array([r["docs"] for r in summed] or [0] * (_SIZE + 1), np.float64)
     idf = (np.log((1 + docs[-1]) / (1 + docs[:-1])) + 1).astype(np.float32)
 
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    distinct = scratch.keep(seen.filter("lang is not null").select("lang", "digest").distinct())
+    sizes = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
     each = max(20, sample_rows // max(1, len(sizes)))
-    share = rows.sparkSession.createDataFrame([(lang, min(1.0, each / n)) for lang, n in sorted(sizes.items())], "l string, share double")
-    # All 53 bits a double holds: a coarser dice could not show the share of a sample in billions of rows.
-    dice = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col("id"), F.col("text")), 11) / float(1 << 53)
-    sample = rows.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(dice < F.col("share"))
+    limits = _limits(distinct, sizes, each)
+    sample = rows.join(F.broadcast(limits), F.col("lang") == F.col("l")).filter("digest <= upto")
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in batches:
-            at = [i for i, t in enumerate(batch.column(2)) if has_letter(t.as_py())]
-            found = pa.array([counts(batch.column(2)[i].as_py()).astype(np.int32).tobytes() for i in at], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), found], names=["id", "lang", "counts"])
-
-    texts = sample.select("id", "lang", "text").mapInArrow(sampled, "id string, lang string, counts binary").distinct().collect()
-    texts.sort(key=lambda r: (r["lang"], r["id"], r["counts"]))
+            at, found = [], []
+            for i, (digest, lang, text) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)):
+                if has_letter(text) and (digest, lang, hash(text)) not in done:
+                    done.add((digest, lang, hash(text)))
+                    at.append(i)
+                    found.append(counts(text).astype(np.int32).tobytes())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(found, pa.binary())], names=["digest", "lang", "counts"])
+
+    texts = sample.select("digest", "lang", "text").mapInArrow(sampled, "digest long, lang string, counts binary").distinct().collect()
+    texts.sort(key=lambda r: (r["lang"], r["digest"], r["counts"]))
     model = Model([], idf, np.zeros((0, _SIZE), np.float32), np.zeros(0))
     found, names, reach = [], [], []
     for lang in sorted({r["lang"] for r in texts}):
