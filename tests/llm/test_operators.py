@@ -170,6 +170,25 @@ def test_fixity(spark):
     assert rows(warc.audit(warc.records(pages.limit(0)), warc.records(pages.limit(0)))) == []
 
 
+def test_fixity_of_records_that_share_a_name(spark):
+    pages = [(None, f"http://x/{k}", "page " * (k % 9) + str(k)) for k in range(200)] + [(None, None, "copy")] * 50 + [(3, "u", t) for t in ("aaaa", "bbbbbb", "cc", "cc")]
+    kind = "page_id long, url string, html string"
+    archive = spark.createDataFrame(pages, kind)
+    replica = [p for p in pages if p[1] != "http://x/17"]
+    replica = [(i, u, "P" + t[1:]) if u == "http://x/40" else (i, u, t[:9]) if u == "http://x/44" else (i, u, t) for i, u, t in replica]
+    replica.remove((None, None, "copy"))
+    replica += [(900, "http://y", "new"), (3, "u", "cc")]
+    replica = spark.createDataFrame([(3, "u", "~" + t[1:]) if t in ("aaaa", "bbbbbb") else (i, u, t) for i, u, t in replica], kind)
+    found = rows(warc.audit(warc.records(archive), warc.records(replica), fanout=4, file_records=50))
+    assert len(found) == len(pages) + 2
+    page = {hashlib.sha256(bytes(r["record"])).hexdigest(): bytes(r["record"]).decode() for df in (archive, replica) for r in rows(warc.records(df))}
+    wrong = Counter((re.search("URI: (.*)\r", page[r["sha"]])[1], page[r["sha"]].split("\r\n\r\n")[1], r["status"]) for r in found if r["status"] != "intact")
+    html = {u: t for _, u, t in pages}
+    expected = [("http://x/17", html["http://x/17"], "missing"), ("http://x/40", html["http://x/40"], "altered"), ("http://x/44", html["http://x/44"], "truncated")]
+    expected += [("", "copy", "missing"), ("http://y", "new", "extra"), ("u", "aaaa", "altered"), ("u", "bbbbbb", "altered"), ("u", "cc", "extra")]
+    assert wrong == Counter(expected)
+
+
 # --- 4 quality ---
 
 

@@ -8,10 +8,12 @@ of nodes that differ are compared, down to the records that are damaged.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import Scratch, ranked, running
+from thornwall.llm.common import Scratch, ranked, repeated, running
 
 _MISSING = "missing"
 
@@ -28,16 +30,58 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     return pages.select(F.col(id_col).alias("id"), name.alias("name"), F.concat(head, body, F.lit("\r\n\r\n")).cast("binary").alias("record"))
 
 
+def digested(archive: DataFrame) -> DataFrame:
+    """(id, name, head, sha, length): ``head`` hashes a record up to its content length, so by name and URL."""
+    head = F.xxhash64(F.substring_index(F.col("record").cast("string"), "\r\nContent-Length:", 1))
+    return archive.select("id", "name", head.alias("head"), F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"))
+
+
 def listing(scratch: Scratch, archive: DataFrame) -> DataFrame:
-    """(rank, id, name, nth, sha, length): the records in order of id, name and digest.
+    """(id, name, head, sha, length, rank): the records in order of id, name and digest."""
+    return ranked(scratch, digested(archive), F.col("id").asc_nulls_first(), "name", "sha", "length")
 
-    ``nth`` counts the records of one name, which a sound archive has one of.
-    """
-    hashed = archive.select("id", "name", F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"))
-    rows = scratch.keep(ranked(scratch, hashed, F.col("id").asc_nulls_first(), "name", "sha", "length"))
+
+def copies(records: DataFrame) -> DataFrame:
+    """(name, sha, id, head, length, n): how often each record is there; a sound archive has one of a name."""
+    return records.groupBy("name", "sha").agg(F.min("id").alias("id"), F.min("head").alias("head"), F.min("length").alias("length"), F.count("*").alias("n"))
+
+
+def numbered(scratch: Scratch, rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """``rows`` with ``nth`` 0, 1, 2, ... among those of equal keys."""
+    rows = scratch.keep(ranked(scratch, rows, *keys, *order))
     # Stored before the join, so that a name many records share can be split.
-    first = scratch.keep(rows.groupBy("name").agg(F.min("rank").alias("first")))
-    return rows.join(first, "name").select("rank", "id", "name", (F.col("rank") - F.col("first")).alias("nth"), "sha", "length")
+    first = scratch.keep(rows.groupBy(*keys).agg(F.min("rank").alias("first")))
+    return rows.join(first, keys).withColumn("nth", F.col("rank") - F.col("first")).drop("rank", "first")
+
+
+def unlike(scratch: Scratch, ours: DataFrame, mine: DataFrame, theirs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rank, their_sha, their_length) of the records without an equal one in the replica, and (id, sha, length) of what only that has.
+
+    ``ours``: the listing, ``mine`` and ``theirs``: copies. Equal records are
+    matched first, as many as both sides have. Of what is left of a name, records
+    of one head and length are paired, then of one head, then any, by length.
+    Records that find no partner are lost; theirs is null then.
+    """
+    counted = mine.select("name", "sha", F.col("n").alias("own")).join(theirs, ["name", "sha"], "full")
+    counted = scratch.keep(counted.fillna(0, ["own", "n"]).filter("own != n"))
+    fewer = counted.filter("own > n").select("name", "sha", "n")
+    left = numbered(scratch, ours.withColumnRenamed("rank", "at").join(fewer, ["name", "sha"]), ["name", "sha"], "at").filter("nth >= n")
+    left = scratch.keep(left.select("at", "name", "head", "sha", "length"))
+    others = repeated(counted.filter("n > own").withColumn("more", F.col("n") - F.col("own")), "more")
+    others = scratch.keep(others.select("id", "name", "head", "sha", "length"))
+    found = []
+    for keys in (["name", "head", "length"], ["name", "head"], ["name"]):
+        if left.isEmpty() or others.isEmpty():
+            break
+        a, b = numbered(scratch, left, keys, "length", "sha", "at"), numbered(scratch, others, keys, "length", "sha")
+        b = b.select(*(F.col(c).alias(f"their_{c}") for c in b.columns))
+        same = [F.col(c) == F.col(f"their_{c}") for c in [*keys, "nth"]]
+        both = scratch.keep(a.join(b, same, "full"))
+        found.append(both.filter("at is not null and their_sha is not null").select(F.col("at").alias("rank"), "their_sha", "their_length"))
+        left = both.filter("their_sha is null").select(left.columns)
+        others = both.filter("at is null").select(*(F.col(f"their_{c}").alias(c) for c in others.columns))
+    lost = left.select(F.col("at").alias("rank"), F.lit(None).cast("string").alias("their_sha"), F.lit(None).cast("long").alias("their_length"))
+    return reduce(DataFrame.union, found, lost), others.select("id", "sha", "length")
 
 
 def tree(scratch: Scratch, leaves: DataFrame, fanout: int) -> list[DataFrame]:
@@ -74,13 +118,16 @@ def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records
     ``archive`` and ``replica``: (id, name, record). Records are filed
     ``file_records`` at a time; ``start`` is the offset in the file. ``status``
     is intact, missing, truncated (shorter), altered, or extra (file and start
-    are null then). The replica's tree stands over the archive's order, a lost
-    record leaving its place empty, so one loss does not shift the others.
+    are null then). Records that share a name are told apart by digest, URL and
+    length, so one lost or altered does not shift the others. The replica's tree
+    stands over the archive's order, a lost record leaving its place empty.
     """
     scratch = Scratch(archive.sparkSession)
     ours = scratch.keep(listing(scratch, archive))
-    theirs = scratch.keep(listing(scratch, replica).select("id", "name", "nth", F.col("sha").alias("their_sha"), F.col("length").alias("their_length")))
-    both = scratch.keep(ours.join(theirs.drop("id"), ["name", "nth"], "left"))
+    changed, extra = unlike(scratch, ours, scratch.keep(copies(ours)), scratch.keep(copies(digested(replica))))
+    changed = changed.withColumn("changed", F.lit(True))
+    theirs = [F.when(F.col("changed"), F.col(f"their_{c}")).otherwise(F.col(c)).alias(f"their_{c}") for c in ("sha", "length")]
+    both = scratch.keep(ours.join(changed, "rank", "left").select("rank", "id", "sha", "length", *theirs))
     node = F.col("rank").alias("node")
     own = tree(scratch, both.select(node, F.col("sha").alias("hash"), "length"), fanout)
     copy = tree(scratch, both.select(node, F.coalesce("their_sha", F.lit(_MISSING)).alias("hash"), F.coalesce("their_length", F.lit(0)).alias("length")), fanout)
@@ -95,7 +142,6 @@ def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records
     else:
         marks = damaged.select(F.col("node").alias("rank"), F.lit(True).alias("damaged"))
         placed = placed.join(marks, "rank", "left").withColumn("status", F.when(F.col("damaged"), kind).otherwise("intact"))
-    extra = theirs.join(ours.select("name", "nth"), ["name", "nth"], "left_anti")
     nothing = F.lit(None).cast("long")
-    extra = extra.select("id", nothing.alias("file"), nothing.alias("start"), F.col("their_length").alias("length"), F.col("their_sha").alias("sha"), F.lit("extra").alias("status"))
+    extra = extra.select("id", nothing.alias("file"), nothing.alias("start"), "length", "sha", F.lit("extra").alias("status"))
     return placed.select("id", "file", "start", "length", "sha", "status").union(extra)
