@@ -382,6 +382,21 @@ def test_url_rules_against_brute_force(spark):
     assert rows(url_rules.judge(pages.limit(0), rules)) == []
 
 
+def test_url_rules_without_a_path(spark):
+    said = [("ads.com", "", "block"), ("ok.ads.com", None, "allow"), ("ads.com", "/free/", "allow"), ("com", None, "block"), (None, "/x", "block"), ("", "", "block"), ("Net", "", "block")]
+    rules = spark.createDataFrame(said, "host string, path string, verdict string")
+    expected = {
+        "http://ads.com": ("ads.com", "block"), "http://ads.com/": ("ads.com", "block"), "http://a.b.ads.com?q": ("ads.com", "block"), "http://ads.com/free/1": ("ads.com/free/", "allow"),
+        "http://ok.ads.com/x": ("ok.ads.com", "allow"), "http://x.ok.ads.com": ("ok.ads.com", "allow"), "http://xads.com/x": ("com", "block"), "http://ads.community/": (None, "allow"),
+        "http://community/x": (None, "allow"), "http://a.NET/x": ("net", "block"), "http://ads.com.org/": (None, "allow"), "http:///x": (None, "allow"), "x": (None, "allow"),
+        "http://ads\x01x.com/": ("com", "block"), "http://ads\x01.net": ("net", "block"),
+    }
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(expected)], "page_id long, url string")
+    for sweep_rows in (8192, 1):
+        found = {r["url"]: (r["rule"], r["verdict"]) for r in rows(url_rules.judge(pages, rules, sweep_rows=sweep_rows))}
+        assert found == expected
+
+
 # --- 8 BPE ---
 
 tiktoken = pytest.importorskip("tiktoken")

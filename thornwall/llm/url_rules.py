@@ -1,8 +1,9 @@
 """URL rules by a sort-merge range join.
 
 A rule (host, path) covers its host, all subdomains, and paths that start with
-its path. Keys are canonical: the labels of the host in reverse order, then the
-path, so that a rule is the interval of keys that start with its own key.
+its path: with an empty or null one, all of them. Keys are canonical: the labels
+of the host in reverse order, a separator, then the path, so that a rule is the
+interval of keys that start with its own key.
 Intervals are nested or apart. Rules and URLs are sorted by key together and
 swept: where an interval starts, its rule comes on top of the stack of rules
 that are active; where it ends, the stack below is back; a URL is judged by the
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from thornwall.llm.common import Scratch, named
 
+#: Between host and path of a key; neither part of a URL can hold it, so no key of one host starts with another's.
+_END = "#"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,12 +38,12 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def _key(host: Column, path: Column) -> Column:
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), path)
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(_END), path)
 
 
 def _events(rules: DataFrame) -> DataFrame:
     """(tld, key, kind, stack): where intervals start and end, with the rules that are active from there on, the outermost first."""
-    r = rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").filter("host != '' and path != ''")
+    r = rules.select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").filter("host != ''")
     # Of rules that say the same, blocking wins.
     r = r.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     entry = F.struct(
@@ -62,7 +65,9 @@ def _events(rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", sweep_rows: int = 8192) -> DataFrame:
     """(id, url, host, path, rule, verdict): a row per row of ``pages``.
 
-    ``rules``: (host, path, verdict). ``rule`` is host and path of the longest
+    ``rules``: (host, path, verdict). A rule without a path, empty or null, fits
+    its host and all subdomains; one without a host, empty or null, names no URL
+    and is left out. ``rule`` is host and path of the longest
     that fits, else null, and then the verdict is the default: also for null
     URLs and those without ``://``, whose host and path are empty. Each distinct
     URL is judged once, however often it occurs.
