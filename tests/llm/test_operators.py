@@ -189,6 +189,24 @@ def test_fixity_of_records_that_share_a_name(spark):
     assert wrong == Counter(expected)
 
 
+def test_each_replica_has_a_root(spark):
+    pages = spark.createDataFrame([(k if k % 3 else None, f"http://x/{k % 50}", "page " * (k % 9)) for k in range(300)], "page_id long, url string, html string")
+    more = spark.createDataFrame([(900, "u", "new")], pages.schema)
+    scratch = Scratch(spark)
+
+    def grown(df):
+        return warc.tree(scratch, warc.ranges(warc.copies(warc.digested(warc.records(df))), 60), 60, 4)
+
+    one, same, other = grown(pages), grown(pages.repartition(5)), grown(pages.union(more))
+    assert len(one) == 4 and rows(one[-1]) == rows(same[-1]) != rows(other[-1])
+    assert warc.differing(scratch, one, same, 4) is None
+    assert warc.differing(scratch, one, other, 4).count() == 1
+    assert warc.differing(scratch, grown(pages.limit(0)), grown(more), 4).count() == 1
+    nothing = warc.records(pages.limit(0))
+    assert [r["status"] for r in rows(warc.audit(nothing, warc.records(more)))] == ["extra"]
+    assert {r["status"] for r in rows(warc.audit(warc.records(pages), nothing))} == {"missing"}
+
+
 # --- 4 quality ---
 
 

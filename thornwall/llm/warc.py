@@ -1,9 +1,11 @@
-"""WARC archives and their fixity: Merkle trees over records and ordered ranges.
-
-Records are ordered; a leaf is the digest of a record and its length, a node the
-digest of up to ``fanout`` children in order, and stands for a range of offsets.
-Replicas agree if their roots do. If not, the comparison descends: only children
-of nodes that differ are compared, down to the records that are damaged.
+"""WARC archives and their fixity: a Merkle tree of each replica, over ranges of hashes.
+
+A replica counts its records by name and digest. Their hashes are dealt to
+ranges, whose number alone both sides share; a leaf is the digest of all that is
+in a range, a node the digest of up to ``fanout`` children in order. Each tree is
+built from its own listing, so replicas agree, with nothing lost and nothing
+extra, if their roots do. If not, the comparison descends: only children of nodes
+that differ are compared, and records only within the ranges that do.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from pyspark.sql import functions as F
 
 from thornwall.llm.common import Scratch, ranked, repeated, running
 
-_MISSING = "missing"
-
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """(id, name, record): a WARC record a row, as bytes; nulls are written as empty."""
@@ -55,12 +55,12 @@ def numbered(scratch: Scratch, rows: DataFrame, keys: list[str], *order: str) ->
 
 
 def unlike(scratch: Scratch, ours: DataFrame, mine: DataFrame, theirs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rank, their_sha, their_length) of the records without an equal one in the replica, and (id, sha, length) of what only that has.
+    """(rank, kind) of the records without an equal one in the replica, and (id, sha, length) of what only that has.
 
     ``ours``: the listing, ``mine`` and ``theirs``: copies. Equal records are
     matched first, as many as both sides have. Of what is left of a name, records
     of one head and length are paired, then of one head, then any, by length.
-    Records that find no partner are lost; theirs is null then.
+    Records that find no partner are missing.
     """
     counted = mine.select("name", "sha", F.col("n").alias("own")).join(theirs, ["name", "sha"], "full")
     counted = scratch.keep(counted.fillna(0, ["own", "n"]).filter("own != n"))
@@ -77,35 +77,43 @@ def unlike(scratch: Scratch, ours: DataFrame, mine: DataFrame, theirs: DataFrame
         b = b.select(*(F.col(c).alias(f"their_{c}") for c in b.columns))
         same = [F.col(c) == F.col(f"their_{c}") for c in [*keys, "nth"]]
         both = scratch.keep(a.join(b, same, "full"))
-        found.append(both.filter("at is not null and their_sha is not null").select(F.col("at").alias("rank"), "their_sha", "their_length"))
+        kind = F.when(F.col("their_length") < F.col("length"), "truncated").otherwise("altered")
+        found.append(both.filter("at is not null and their_sha is not null").select(F.col("at").alias("rank"), kind.alias("kind")))
         left = both.filter("their_sha is null").select(left.columns)
         others = both.filter("at is null").select(*(F.col(f"their_{c}").alias(c) for c in others.columns))
-    lost = left.select(F.col("at").alias("rank"), F.lit(None).cast("string").alias("their_sha"), F.lit(None).cast("long").alias("their_length"))
+    lost = left.select(F.col("at").alias("rank"), F.lit("missing").alias("kind"))
     return reduce(DataFrame.union, found, lost), others.select("id", "sha", "length")
 
 
-def tree(scratch: Scratch, leaves: DataFrame, fanout: int) -> list[DataFrame]:
-    """Levels (node, hash, length) from the records up to a single root."""
-    level = scratch.keep(leaves)
+def ranges(copied: DataFrame, size: int) -> DataFrame:
+    """``copied`` with ``node``: the range of each record, of ``size`` ranges."""
+    return copied.withColumn("node", F.pmod(F.xxhash64("name", "sha"), F.lit(size)))
+
+
+def tree(scratch: Scratch, copied: DataFrame, size: int, fanout: int) -> list[DataFrame]:
+    """Levels (node, hash) from ``size`` ranges up to a single root; empty ranges have no node."""
+    said = F.sha2(F.concat_ws(":", "sha", "n", "length", "name"), 256)
+    level = scratch.keep(copied.groupBy("node").agg(F.sha2(F.array_join(F.sort_array(F.collect_list(said)), "\n"), 256).alias("hash")))
     levels = [level]
-    while level.count() > 1:
-        child = F.struct("node", F.concat_ws(":", F.col("node"), F.col("length"), F.col("hash")).alias("said"))
-        parents = level.groupBy(F.floor(F.col("node") / fanout).alias("parent")).agg(
-            F.sha2(F.array_join(F.sort_array(F.collect_list(child))["said"], "\n"), 256).alias("hash"), F.sum("length").alias("length")
-        )
-        level = scratch.keep(parents.select(F.col("parent").alias("node"), "hash", "length"))
+    while size > 1:
+        child = F.struct("node", F.concat_ws(":", F.col("node"), F.col("hash")).alias("said"))
+        parents = level.groupBy(F.floor(F.col("node") / fanout).alias("parent")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(child))["said"], "\n"), 256).alias("hash"))
+        level = scratch.keep(parents.select(F.col("parent").alias("node"), "hash"))
         levels.append(level)
+        size = -(-size // fanout)
     return levels
 
 
 def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fanout: int) -> DataFrame | None:
-    """(node): the leaves that differ, or None if the roots agree."""
+    """(node): the ranges that differ, or None if the roots agree."""
     frontier = None
+
+    def below(level: DataFrame) -> DataFrame:
+        return level if frontier is None else level.withColumn("parent", F.floor(F.col("node") / fanout)).join(frontier, "parent", "left_semi").drop("parent")
+
     for a, b in zip(reversed(one), reversed(other), strict=True):
-        pairs = a.join(b.select("node", F.col("hash").alias("other")), "node")
-        if frontier is not None:
-            pairs = pairs.withColumn("parent", F.floor(F.col("node") / fanout)).join(frontier, "parent", "left_semi")
-        found = scratch.keep(pairs.filter("hash != other").select("node"))
+        pairs = below(a).join(below(b).withColumnRenamed("hash", "other"), "node", "full")
+        found = scratch.keep(pairs.filter(~F.col("hash").eqNullSafe(F.col("other"))).select("node"))
         if found.isEmpty():
             return None
         frontier = found.withColumnRenamed("node", "parent")
@@ -119,29 +127,22 @@ def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records
     ``file_records`` at a time; ``start`` is the offset in the file. ``status``
     is intact, missing, truncated (shorter), altered, or extra (file and start
     are null then). Records that share a name are told apart by digest, URL and
-    length, so one lost or altered does not shift the others. The replica's tree
-    stands over the archive's order, a lost record leaving its place empty.
+    length, so one lost or altered does not shift the others.
     """
     scratch = Scratch(archive.sparkSession)
     ours = scratch.keep(listing(scratch, archive))
-    changed, extra = unlike(scratch, ours, scratch.keep(copies(ours)), scratch.keep(copies(digested(replica))))
-    changed = changed.withColumn("changed", F.lit(True))
-    theirs = [F.when(F.col("changed"), F.col(f"their_{c}")).otherwise(F.col(c)).alias(f"their_{c}") for c in ("sha", "length")]
-    both = scratch.keep(ours.join(changed, "rank", "left").select("rank", "id", "sha", "length", *theirs))
-    node = F.col("rank").alias("node")
-    own = tree(scratch, both.select(node, F.col("sha").alias("hash"), "length"), fanout)
-    copy = tree(scratch, both.select(node, F.coalesce("their_sha", F.lit(_MISSING)).alias("hash"), F.coalesce("their_length", F.lit(0)).alias("length")), fanout)
-    damaged = differing(scratch, own, copy, fanout)
-
-    placed = running(both, "length", "offset").withColumn("file", F.floor(F.col("rank") / file_records))
+    mine, theirs = scratch.keep(copies(ours)), scratch.keep(copies(digested(replica)))
+    size = max(1, -(-mine.count() // fanout))
+    mine, theirs = ranges(mine, size), ranges(theirs, size)
+    damaged = differing(scratch, tree(scratch, mine, size, fanout), tree(scratch, theirs, size, fanout), fanout)
+
+    placed = running(ours, "length", "offset").withColumn("file", F.floor(F.col("rank") / file_records))
     begin = placed.groupBy("file").agg(F.min("offset").alias("begin"))
     placed = placed.join(begin, "file").withColumn("start", F.col("offset") - F.col("begin"))
-    kind = F.when(F.col("their_sha").isNull(), _MISSING).when(F.col("their_length") < F.col("length"), "truncated").otherwise("altered")
     if damaged is None:
-        placed = placed.withColumn("status", F.lit("intact"))
-    else:
-        marks = damaged.select(F.col("node").alias("rank"), F.lit(True).alias("damaged"))
-        placed = placed.join(marks, "rank", "left").withColumn("status", F.when(F.col("damaged"), kind).otherwise("intact"))
+        return placed.select("id", "file", "start", "length", "sha", F.lit("intact").alias("status"))
+    changed, extra = unlike(scratch, ours, *(side.join(damaged, "node", "left_semi") for side in (mine, theirs)))
+    placed = placed.join(changed, "rank", "left").withColumn("status", F.coalesce("kind", F.lit("intact")))
     nothing = F.lit(None).cast("long")
     extra = extra.select("id", nothing.alias("file"), nothing.alias("start"), "length", "sha", F.lit("extra").alias("status"))
     return placed.select("id", "file", "start", "length", "sha", "status").union(extra)
