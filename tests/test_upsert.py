@@ -396,6 +396,32 @@ def test_medallion_end_to_end(spark, tmp_path):
     assert total == m.table("cves").count()
 
 
+def test_pending_changes_are_published(spark, tmp_path):
+    landing = landing_of(tmp_path, 2)
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    m.run(as_of="2024-01-31")
+    m.state.fold()
+    base, key = m.state.base.latest(), m.table("cves").select("cve_id").first()["cve_id"]
+    m.publish("pending_reports")
+    assert spark.table("pending_reports.cves").count() == m.table("cves").count()
+    for k, found in enumerate((cve("CVE-999"), cve(key, modified="2030-01-01T00:00:00"))):
+        page(landing, 90 + k, found)
+        m.ingest().awaitTermination()
+        m.upsert().awaitTermination()
+        m.refresh_gold("2024-01-31")
+        m.publish("pending_reports")
+        published = spark.table("pending_reports.cves")
+        assert sorted(map(str, published.collect())) == sorted(map(str, m.table("cves").collect()))
+        assert m.state.pending() and m.state.base.latest() == base
+        assert published.count() == spark.sql("select sum(cve_count) n from pending_reports.cve_severity_daily").first()["n"]
+    assert spark.table("pending_reports.cves").where("year(modified_at) = 2030").count() == 1
+    m.vacuum(keep=1)
+    assert spark.table("pending_reports.cves").where("cve_id = 'CVE-999'").count() == 1
+    m.state.fold()
+    m.publish("pending_reports")
+    assert not m.state.pending() and spark.table("pending_reports.cves").where("cve_id = 'CVE-999'").count() == 1
+
+
 def test_flattening_a_stream_counts_in_its_progress(spark, tmp_path):
     landing = landing_of(tmp_path, 3)
     stream = flatten(occurrences(read_pages(spark, str(landing), stream=True, maxFilesPerTrigger=3)))

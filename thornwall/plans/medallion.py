@@ -132,7 +132,7 @@ class Medallion:
     def vacuum(self, keep: int = 2) -> None:
         """Delete superseded versions of the stored datasets. Readers of the newest ``keep`` are not disturbed."""
         self.state.vacuum(keep)
-        for name in VERSIONED:
+        for name in [*VERSIONED, "cves_published"]:
             self._versions(name).vacuum(keep)
 
     def expectation_log(self) -> DataFrame:
@@ -149,13 +149,16 @@ class Medallion:
     def publish(self, database: str) -> None:
         """Put the stored datasets in a catalog, with description and layer, as they are now.
 
-        ``cves`` is the last base: nothing is folded for it, so another process may
-        keep upserting; ``publish`` after ``state.fold()`` shows the very last
-        changes too. A table that is there already, with the same columns, is moved to its new version by one change
+        Nothing is folded for ``cves``, so another process may keep upserting: it
+        is the last base or, with changes pending, base and changes merged into a
+        version of their own. A table that is there already, with the same columns, is moved to its new version by one change
         of its location.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        paths = {"nvd_cves_raw": self.raw_path, "cves": self.state.base.latest() or self.state.fold()}
+        cves = self._versions("cves_published").next() if self.state.pending() else None
+        if cves:
+            marked(self.state.read().write).parquet(cves)
+        paths = {"nvd_cves_raw": self.raw_path, "cves": cves or self.state.base.latest() or self.state.fold()}
         paths |= {name: self._versions(name).latest() for name in VERSIONED}
         for name, path in paths.items():
             if path is None:

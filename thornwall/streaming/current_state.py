@@ -173,6 +173,10 @@ class CurrentState:
             return self.spark.read.schema(self.schema).parquet(base)
         return self.spark.createDataFrame([], self.schema)
 
+    def pending(self) -> bool:
+        """Whether there are changes that the base does not hold."""
+        return bool(self._change_sets(self.base.latest()))
+
     # --- parts -----------------------------------------------------------------
 
     def _write_list(self, path: str, names: set[str]) -> None:
