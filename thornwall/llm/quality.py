@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
 A rule rejects a document by a few features of its text. On a bounded sample
-every rule is tried: how often it rejects, and what its features cost (characters
-and words of the sample times a time per unit). Rules are then ordered by
+every rule is tried: how often it rejects. What its features cost is not measured
+but declared: the characters and words of the sample times a time per unit that
+stands in the code (a feature that declares none counts as free). Rules are then ordered by
 rejections per cost; a feature that an earlier rule has computed is free, and
 only what earlier rules leave counts as rejected. In the cascade a feature is
 computed for documents that are still alive, and never for the others. The
@@ -25,7 +26,7 @@ Columns = dict[str, Column]
 
 @dataclass(frozen=True)
 class Feature:
-    """``cost``: nanoseconds a character, a word, and a word and comparison of a sort."""
+    """``cost``, declared: nanoseconds a character, a word, and a word and comparison of a sort; without it, a feature counts as free."""
 
     build: Callable[[Columns], Column]
     needs: tuple[str, ...] = ()
