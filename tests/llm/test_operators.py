@@ -533,3 +533,13 @@ def test_chat_round_trip_and_tree(spark):
         seen = "".join(sequence[i["begin"] : i["end"]] for i in intervals[n["owner"]]) + sequence[first : n["start"]]
         assert seen == "".join(x["segment"] for x in reversed(chain))
     assert rows(chat.read_back(chat.pack(frame.limit(0)))) == []
+
+
+def test_chat_reads_only_its_own_nodes(spark):
+    data = [(0, k, "user", f"turn {k}") for k in range(100)]
+    data += [(conv, k, "user", f"turn {k}" if k < conv % 4 else f"own {conv} {k}") for conv in range(1, 60) for k in range(5)]
+    packed = chat.pack(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"))
+    shared = [c for c in packed.paths.columns if c in packed.nodes.columns]
+    assert packed.paths.join(packed.nodes, shared).count() == len(data)
+    found = {r["conv"]: r["n_turns"] for r in rows(chat.read_back(packed))}
+    assert found == {f"v{c}": n for c, n in Counter(d[0] for d in data).items()}

@@ -109,9 +109,11 @@ def _mapped(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sch
 
 
 class Packed:
-    """``nodes``: (tree, node, parent, depth, owner, start, length, position, segment, learn_from, learn_to);
+    """``nodes``: (tree, node, parent, depth, owner, through, start, length, position, segment, learn_from, learn_to);
     ``attends``: (owner, intervals): what the nodes of an owner attend to before themselves;
-    ``paths``: (conv, owner, begin, end): the intervals of each conversation.
+    ``paths``: (conv, owner, through, begin, end): the intervals of each conversation.
+    ``through`` counts the conversations of a node. It falls along an owner's run where a
+    path leaves, so nodes of one owner and count are in the same conversations.
     """
 
     def __init__(self, nodes: DataFrame, attends: DataFrame, paths: DataFrame):
@@ -137,7 +139,7 @@ def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     leaves = ends.groupBy("leaf").agg(F.first("path").alias("path"), F.min("conv").alias("example"))
     leaves = scratch.keep(ranked(scratch, leaves, "path").select("leaf", "example", "rank"))
     ranks = scratch.keep(ends.select("conv", "leaf").join(leaves, "leaf").select("conv", "rank"))
-    owners = steps.select("conv", "node").join(ranks, "conv").groupBy("node").agg(F.min("rank").alias("owner"))
+    owners = steps.select("conv", "node").join(ranks, "conv").groupBy("node").agg(F.min("rank").alias("owner"), F.count("*").alias("through"))
 
     # Texts are moved once: what is needed for the layout is worked out without them.
     own = ["tree", "parent", "depth", "position", "length"]
@@ -147,12 +149,13 @@ def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     segments = steps.groupBy("node").agg(*(F.first(c).alias(c) for c in ["segment", "learn_from", "learn_to"]))
     nodes = scratch.keep(segments.join(starts, "node"))
 
-    # One row per conversation and owner: its nodes there are neighbours.
-    places = starts.select("node", "owner", "start", (F.col("start") + F.col("length")).alias("end"))
-    paths = steps.select("conv", "node").join(places, "node").groupBy("conv", "owner").agg(F.min("start").alias("begin"), F.max("end").alias("end"))
+    # One row per conversation and part of an owner's run: its nodes there are neighbours.
+    places = starts.select("node", "owner", "through", "start", (F.col("start") + F.col("length")).alias("end"))
+    paths = steps.select("conv", "node").join(places, "node").groupBy("conv", "owner", "through").agg(F.min("start").alias("begin"), F.max("end").alias("end"))
     paths = scratch.keep(paths)
     example = leaves.select(F.col("example").alias("conv"), F.col("rank").alias("owner_of"))
-    before = paths.join(example, "conv").filter("owner != owner_of").groupBy("owner_of").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("intervals"))
+    before = paths.join(example, "conv").filter("owner != owner_of").groupBy("owner_of", "owner").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    before = before.groupBy("owner_of").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("intervals"))
     attends = leaves.select(F.col("rank").alias("owner")).join(before, F.col("owner") == F.col("owner_of"), "left")
     empty = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     return Packed(nodes, attends.select("owner", F.coalesce("intervals", empty).alias("intervals")), paths)
@@ -188,8 +191,8 @@ def read_back(packed: Packed) -> DataFrame:
     A conversation reads the segments in its intervals, one after the other.
     ``conv`` is the id as text after a ``v``, or ``n`` for null.
     """
-    nodes = packed.nodes.select("owner", "start", "segment", "learn_from", "learn_to")
-    found = packed.paths.join(nodes, "owner").filter("start >= begin and start < end")
+    nodes = packed.nodes.select("owner", "through", "start", "segment", "learn_from", "learn_to")
+    found = packed.paths.join(nodes, ["owner", "through"]).filter("start >= begin and start < end")
     found = found.select("conv", "start", "segment", "learn_from", "learn_to").repartition("conv").sortWithinPartitions("conv", "start")
     schema = "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return _mapped(found.select("conv", "segment", "learn_from", "learn_to"), _digested, schema)
