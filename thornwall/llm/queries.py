@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thornwall.llm import bpe, chat, exact_dedup, language, licenses, mixing, quality, simhash, url_rules, warc
+from thornwall.llm import bpe, chat, collocations, exact_dedup, language, licenses, mixing, quality, simhash, url_rules, warc
 from thornwall.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.read_back(chat.pack(conversations))
     conv_id = F.expr("cast(if(conv = 'n', null, substr(conv, 2)) as long)")
     return found.select(conv_id.alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), max_words=3, min_count=10, cover_percent=50, top=2000)

@@ -124,10 +124,38 @@ joined as (
 select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars from joined
 """
 
+_PHRASES = r"""
+with folded as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from folded),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+totals as (select lang, sum(len(words))::bigint as n from cut group by lang),
+counts as (
+  select lang, phrase, count(*) as f from (
+    select lang, unnest(flatten([[array_to_string(words[i:i + k - 1], ' ') for i in range(1, len(words) - k + 2)] for k in [1, 2, 3]])) as phrase from cut)
+  group by lang, phrase),
+candidates as (select lang, phrase, f as a, string_split(phrase, ' ') as w from counts where f >= 10 and contains(phrase, ' ')),
+cuts as (
+  select lang, phrase, a, k, array_to_string(w[:k], ' ') as head, array_to_string(w[k + 1:], ' ') as rest
+  from (select *, unnest(range(1, len(w))) as k from candidates)),
+scored as (
+  select c.*, x.f as l, y.f as r, ((1000000::hugeint * a * a) // (x.f::hugeint * y.f))::bigint as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = c.head join counts y on y.lang = c.lang and y.phrase = c.rest),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+longer as (
+  select lang, part as phrase, max(a) as longer
+  from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as part from candidates where len(w) = 3) group by all),
+kept as (select w.* from weakest w left join longer g using (lang, phrase) where g.longer is null or 100 * g.longer < 50 * w.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join totals using (lang)
+qualify rank <= 2000
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
         "op10_chat_formatting": _CHAT,
+        "op11_phrase_collocations": _PHRASES,
         "op2_mixing": _MIXING,
         "op3_warc_fixity": _WARC,
         "op4_quality_rules": _QUALITY,
