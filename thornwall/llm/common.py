@@ -84,6 +84,15 @@ def keep_one(docs: DataFrame, key: Column, keepers: DataFrame) -> DataFrame:
     return first.join(keepers.select(F.col("key").alias(k)), k, "left_semi").select(*map(named, docs.columns))
 
 
+def measured(df: DataFrame, most_bytes: int = 16 << 20) -> DataFrame:
+    """``df``, to be broadcast if a count of its rows and bytes proves it small; else Spark chooses when it runs."""
+    size = F.count("*") * 16 * len(df.columns)
+    for column, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.sum(F.octet_length(named(column))), F.lit(0))
+    return F.broadcast(df) if df.agg(size).first()[0] <= most_bytes else df
+
+
 def repeated(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as ``times`` says; no array grows beyond 65,536 elements."""
     step = 65_536

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thornwall.llm import bpe, chat, collocations, exact_dedup, language, licenses, mixing, quality, simhash, url_rules, warc
+from thornwall.llm import bpe, chat, collocations, decontamination, exact_dedup, language, licenses, mixing, prefix_trie, quality, simhash, url_rules, warc
+from thornwall.llm.common import Scratch
 from thornwall.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +140,17 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"), max_words=3, min_count=10, cover_percent=50, top=2000)
+
+
+@query
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
+    n_items, joined = F.size("items").cast("long"), F.array_join("items", ",")
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", n_items.alias("n_items"), F.sha2(joined, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    turns = prefix_trie.numbered(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(scratch, prefix_trie.with_openings(scratch, turns, block=100, most=6)).withColumnRenamed("saved", "saved_tokens")

@@ -151,11 +151,69 @@ from kept join totals using (lang)
 qualify rank <= 2000
 """
 
+_LEAKS = r"""
+with docs as (
+  select row_number() over () as row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+starts as (select item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i from items where len(words) > 0),
+windows as (select distinct item_id, array_to_string(words[i:i + 9], ' ') as w, least(len(words), 10) as n from starts),
+lengths as (select distinct n from windows),
+places as (select row, words, unnest(range(1, len(words) + 1)) as i from docs),
+grams as (select row, i, n, array_to_string(words[i:i + n - 1], ' ') as w from places, lengths where i + n - 1 <= len(words)),
+found as (select g.row, g.i, g.n, w.item_id from grams g join windows w on g.w = w.w and g.n = w.n),
+hits as (select row, count(distinct pos) as n_hit from (select row, unnest(range(i, i + n)) as pos from found) group by row),
+held as (select row, list_sort(list(distinct item_id::varchar)) as ids from found where item_id is not null group by row)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(len(ids), 0) as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (row) left join held using (row)
+"""
+
+_TRIE = r"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as nth,
+         coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+-- CRC-32: a byte is mixed in, then eight shifts (-1) follow.
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base,
+         xor(list_reduce(list_concat([4294967295::bigint], flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(conv_id::varchar, '')])),
+           lambda x, y: case when y >= 0 then xor(x, y::bigint) else xor(x >> 1, 3988292384 * (x & 1)) end), 4294967295) % 6 as h
+  from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, 0 as part, t.nth, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.nth <= c.h
+  union all select c.conv_id, 1, t.nth, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.nth > c.h),
+paths as (
+  select conv_id, list(sha256(length(role) || ':' || role || text) order by part, nth) as path, list(length(text) order by part, nth) as sizes from rebuilt group by conv_id),
+whole as (select conv_id, coalesce(path, []) as path, coalesce(sizes, []) as sizes from convs left join paths using (conv_id)),
+steps as (select conv_id, path, sizes, unnest(range(0, len(path) + 1)) as depth from whole),
+members as (
+  select conv_id, depth, depth = len(path) as ends, sha256(array_to_string(path[1:depth], ',')) as node,
+         case when depth > 0 then sha256(array_to_string(path[1:depth - 1], ',')) end as above, case when depth > 0 then sizes[depth] else 0 end as chars
+  from steps),
+nodes as (
+  select node, depth, above, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from members group by node, depth, above),
+children as (select above as node, count(*) as n_children from nodes where above is not null group by above),
+pairs as (select distinct a.node, b.node as other from members a join members b on a.conv_id = b.conv_id and b.depth >= a.depth),
+sums as (
+  select p.node, count(*) filter (where c.node is null) as n_leaves, sum((n.n_convs - 1) * n.chars)::bigint as saved_tokens
+  from pairs p join nodes n on n.node = p.other left join children c on c.node = p.other group by p.node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+from nodes n join sums s using (node) left join children c using (node) left join nodes p on p.node = n.above
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
         "op10_chat_formatting": _CHAT,
         "op11_phrase_collocations": _PHRASES,
+        "op12_benchmark_decontamination": _LEAKS,
+        "op13_conversation_prefix_trie": _TRIE,
         "op2_mixing": _MIXING,
         "op3_warc_fixity": _WARC,
         "op4_quality_rules": _QUALITY,
