@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -425,9 +426,11 @@ HARD = [*TEXTS, "a" * 9000, "ab" * 5000, " " * 3000 + "x", "Ünïcödé 中文
 
 def test_bpe_equals_the_library(spark):
     library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
-    found = sorted(rows(bpe.round_trip(table(spark, HARD), PATH, PATTERN)), key=lambda r: r["id"])
+    found = sorted(rows(bpe.round_trip(table(spark, HARD), PATH, PATTERN, ids=True)), key=lambda r: r["id"])
     for r, text in zip(found, HARD, strict=True):
-        assert r["ids"] == library.encode_ordinary(text or "") and r["decoded"] == (text or "")
+        ids = library.encode_ordinary(text or "")
+        assert r["ids"] == ids and r["n_tokens"] == len(ids) and r["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     tokens = bpe.encode(table(spark, HARD), PATH, PATTERN)
     assert [r["text"] for r in sorted(rows(bpe.decode(tokens, PATH, PATTERN)), key=lambda r: r["id"])] == [t or "" for t in HARD]
     assert rows(bpe.round_trip(table(spark, []), PATH, PATTERN)) == []
@@ -436,9 +439,36 @@ def test_bpe_equals_the_library(spark):
 def test_bpe_with_small_tables():
     ranks = bpe.read_ranks(PATH)
     library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    small = bpe.Codec(ranks, PATTERN, max_states=40, max_pieces=3)
+    small = bpe.Codec(ranks, PATTERN, max_moves=40, max_pairs=10, max_pieces=3)
     for text in HARD:
         assert small.encode(text or "").tolist() == library.encode_ordinary(text or "")
+    transducer = small._pieces.transducer
+    assert len(transducer._moves) <= 40 and len(transducer._pairs) <= 10 and len(small._pieces) <= 3
+
+
+def test_bpe_tables_are_bounded_in_bytes():
+    """A codec that has met very many words holds no more than its tables may."""
+    rng, codec = random.Random(8), bpe.Codec(bpe.read_ranks(PATH), PATTERN)
+    tracemalloc.start()
+    for _ in range(60):
+        codec.encode(" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzéñ", k=rng.randint(2, 9))) for _ in range(2000)))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 60 << 20
+
+
+def test_a_codec_in_use_is_not_dropped():
+    home, made = bpe._Home(), []
+    make = lambda: made.append(object()) or made[-1]
+    first = home.take("k", make)
+    home.drop()
+    assert home.codec is first and home.take("k", make) is first
+    home.leave()
+    home.drop()
+    assert home.codec is first
+    home.leave()
+    home.drop()
+    assert home.codec is None and home.take("k", make) is not first
 
 
 def test_bpe_of_odd_vocabularies():

@@ -7,9 +7,13 @@ to the last token of the longer prefix. Until later bytes decide, several
 prefixes can still be the ones the encoding passes through, namely those whose
 rest could grow into a token: the open prefixes. Their walks share a beginning;
 those tokens are certain and can go out, at the latest after a few thousand
-bytes. The transducer's states are the bytes since the first open prefix and the
-last token of each; they and their transitions are made when first met, and
-thrown away when there are too many.
+bytes.
+
+The set of open prefixes is the transducer's state. It is named by the longest
+rest, which decides all shorter ones, so there are no more states than beginnings
+of tokens. A move yields the tokens that may end at the byte, longest first;
+which of them stands is looked up by it and the last token before it. Moves and
+such pairs are worked out when first met, and kept in tables of bounded size.
 """
 
 from __future__ import annotations
@@ -18,12 +22,12 @@ import base64
 import contextlib
 import ctypes
 import gc
-import struct
+import hashlib
 import sys
 import threading
 import types
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -34,8 +38,8 @@ from pyspark.sql import functions as F
 
 from thornwall.llm.common import named, small_batches
 
-_PIECE = 1 << 20
-_BATCH_CHARS = 1 << 22
+_PIECE = 1 << 18
+_BATCH_CHARS = 1 << 21
 _LOOKAHEAD = 4096
 _CHUNK = 1 << 16
 _NONE = 1 << 60
@@ -47,42 +51,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines) if token}
 
 
-class Transducer:
-    """States: the bytes since the first open prefix, and the last token of each open prefix.
-
-    They are packed, and moves kept in a hash table of two plain arrays, since a
-    worker may hold hundreds of thousands.
-    """
+class Vocabulary:
+    """Tokens by rank and back, their beginnings, and how each is made by merging."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
-        self.ranks, self.max_states = ranks, max_states
-        self.starts = {token[:k] for token in ranks for k in range(1, len(token))}
-        self._tokens = {rank: token for token, rank in ranks.items()}
-        self._mask = (1 << max(13, (3 * max_states).bit_length())) - 1
-        self._reset()
-
-    def _reset(self) -> None:
-        self._pairs: dict[int, bool] = {}
-        self._numbers: dict[bytes, int] = {}
-        self._states: list[bytes] = []
-        self._from = array("q", [-1]) * (self._mask + 1)
-        self._to = array("q", [0]) * (self._mask + 1)
-        self._moves = 0
-        self._number((0,), (0,), b"")
-
-    def _number(self, open_: Sequence[int], lefts: Sequence[int], rest: bytes) -> int:
-        """``lefts``: the last tokens' ids plus one, 0 for none."""
-        state = struct.pack(f"<B{len(open_)}H{len(open_)}I", len(open_), *open_, *lefts) + rest
-        number = self._numbers.get(state)
-        if number is None:
-            number = self._numbers[state] = len(self._states)
-            self._states.append(state)
-        return number
-
-    def _unpack(self, number: int) -> tuple[tuple[int, ...], tuple[int, ...], bytes]:
-        state = self._states[number]
-        n = state[0]
-        return struct.unpack_from(f"<{n}H", state, 1), struct.unpack_from(f"<{n}I", state, 1 + 2 * n), state[1 + 6 * n :]
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.starts = {start: n for n, start in enumerate({token[:k] for token in ranks for k in range(len(token))})}
+        self.names = list(self.starts)
+        # The two tokens each is merged from; -1: not known yet, -2: none.
+        self._left, self._right = array("i", [-1]) * len(self.tokens), array("i", [-1]) * len(self.tokens)
+        self._rising = True
 
     def merged(self, piece: bytes) -> list[bytes]:
         """The definition: merge the adjacent pair of lowest rank, the first of equals, until none is a token."""
@@ -99,48 +80,101 @@ class Transducer:
                 pairs[at] = rank(parts[at] + parts[at + 1], _NONE)
         return parts
 
-    def _stand(self, left: int, token: bytes) -> bool:
-        """Whether both stay as they are next to each other."""
-        pair = left << 32 | self.ranks[token]
-        known = self._pairs.get(pair)
-        if known is None:
-            if len(self._pairs) > self.max_states // 3:
-                self._pairs.clear()
-            before = [self._tokens[left - 1]] if left else []
-            known = self._pairs[pair] = self.merged(b"".join(before) + token) == [*before, token]
-        return known
-
-    def _move(self, number: int, byte: int, at: int) -> int:
-        """The next state, and in the lowest 16 bits the length of the longer prefix's last token; kept at ``at``."""
-        open_, lefts, rest = self._unpack(number)
-        rest += bytes((byte,))
-        ranks, starts, token, stay_at, stay_left = self.ranks, self.starts, None, [], []
-        for j, left in zip(open_, lefts, strict=True):
-            end = rest[j:]
-            if end in ranks and self._stand(left, end):
-                if token:
-                    raise LookupError(rest)
-                token = end
-            if end in starts:
-                stay_at.append(j)
-                stay_left.append(left)
-        if token is None:
-            raise LookupError(rest)
-        stay_at.append(len(rest))
-        stay_left.append(ranks[token] + 1)
-        if cut := stay_at[0]:
-            stay_at = [j - cut for j in stay_at]
-        move = self._number(stay_at, stay_left, rest[cut:]) << 16 | len(token)
-        self._from[at], self._to[at] = number << 8 | byte, move
-        self._moves += 1
-        return move
+    def halves(self, rank: int) -> tuple[int, int]:
+        """The tokens that the last merge makes this one from, -2 for a single byte; LookupError if no merge does."""
+        if self._left[rank] == -1:
+            token, made = self.tokens[rank], (-2, -2)
+            if len(token) > 1:
+                if self.merged(token) != [token]:
+                    raise LookupError(token)
+                at = self._last_merge(token)
+                made = self.ranks[token[:at]], self.ranks[token[at:]]
+                self._rising &= max(made) < rank
+            self._left[rank], self._right[rank] = made
+            for half in made:
+                if half >= 0:
+                    self.halves(half)
+        return self._left[rank], self._right[rank]
+
+    def _last_merge(self, token: bytes) -> int:
+        """Where the last two parts of a token meet."""
+        rank, parts = self.ranks.get, [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            pairs = [rank(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
+            at = pairs.index(min(pairs))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return len(parts[0])
+
+    def stand(self, left: int, right: int) -> bool:
+        """Whether two tokens stay as they are next to each other.
+
+        While they are made, the parts on both sides of the border change in the
+        order of their ranks. Seen from the end, the later made one is undone
+        first; a merge across the border must come before what undid its parts,
+        the left one of two equals first. Where tokens are not made of ones of
+        lower rank, the merges are carried out.
+        """
+        for token in (left, right):
+            if self._left[token] == -1:
+                self.halves(token)
+        # What two tokens are made of has been split already, on their own account.
+        lefts, rights = self._left, self._right
+        tokens, rank, limit, a, b = self.tokens, self.ranks.get, _NONE, left, right
+        while self._rising:
+            if rank(tokens[a] + tokens[b], _NONE) < limit:
+                return False
+            left_of, right_of = lefts[b], rights[a]
+            if right_of >= 0 and (a > b or left_of < 0):
+                limit, a = a, right_of
+            elif left_of >= 0:
+                limit, b = b + 1, left_of
+            else:
+                return True
+        return self.merged(tokens[left] + tokens[right]) == [tokens[left], tokens[right]]
+
+
+class Transducer:
+    """States: beginnings of tokens, the longest that the bytes so far end with.
+
+    At most ``max_moves`` moves and ``max_pairs`` pairs are kept; either table
+    starts anew when it is full.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, max_moves: int = 100_000, max_pairs: int = 150_000):
+        self.vocabulary, self.ranks, self.max_moves, self.max_pairs = vocabulary, vocabulary.ranks, max_moves, max_pairs
+        self._root = vocabulary.starts.get(b"", 0) << 8
+        self._pairs: dict[int, bool] = {}
+        self._moves: dict[int, tuple[int, tuple[tuple[int, int, int], ...]]] = {}
+
+    def merged(self, piece: bytes) -> list[bytes]:
+        return self.vocabulary.merged(piece)
+
+    def _stand(self, pair: int) -> bool:
+        """Whether both tokens (the left one's rank plus one, 0 for none; the right one's) stay as they are next to each other."""
+        if len(self._pairs) >= self.max_pairs:
+            self._pairs.clear()
+        left, token = pair >> 32, pair & 0xFFFFFFFF
+        stands = self._pairs[pair] = not left or self.vocabulary.stand(left - 1, token)
+        return stands
+
+    def _move(self, key: int) -> tuple[int, tuple[tuple[int, int, int], ...]]:
+        """From a state (upper bits) by a byte (lowest eight): the next state, and (length, rank, as in ``lasts``) of the tokens that may end here."""
+        if len(self._moves) >= self.max_moves:
+            self._moves.clear()
+        rest = self.vocabulary.names[key >> 8] + bytes((key & 0xFF,))
+        suffixes = [rest[j:] for j in range(len(rest))]
+        outs = tuple((len(s), rank, rank + 1 << 32) for s in suffixes if (rank := self.ranks.get(s)) is not None)
+        for _, rank, _ in outs:
+            self.vocabulary.halves(rank)
+        starts = self.vocabulary.starts
+        state = next((starts[s] << 8 for s in suffixes if s in starts), self._root)
+        self._moves[key] = state, outs
+        return state, outs
 
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece; a piece that is a token is that token."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if self._full():
-            self._reset()
         try:
             return self._short(piece) if len(piece) <= _LOOKAHEAD else self._long(piece)
         except LookupError:  # a vocabulary whose tokens are not the merges of each other
@@ -148,59 +182,63 @@ class Transducer:
 
     def _short(self, piece: bytes) -> list[int]:
         """All bytes, then back over the borders from the end."""
-        lengths, _ = self._read(piece, 0)
-        end, ranks, out = len(piece), self.ranks, []
+        lasts = [0]
+        self._read(piece, self._root, lasts)
+        end, tokens, out = len(piece), self.vocabulary.tokens, []
         while end:
-            begin = end - lengths[end - 1]
-            out.append(ranks[piece[begin:end]])
-            end = begin
+            token = (lasts[end] >> 32) - 1
+            out.append(token)
+            end -= len(tokens[token])
         out.reverse()
         return out
 
-    def _read(self, piece: bytes, state: int) -> tuple[list[int], int]:
-        """The length of the last token after each byte, and the state in the end."""
-        keys, to, mask, lengths = self._from, self._to, self._mask, []
+    def _read(self, piece: bytes, state: int, lasts: list[int]) -> int:
+        """Append the last token (its rank plus one, shifted) after each byte to ``lasts``; returns the state in the end."""
+        moves, pairs, end, append = self._moves, self._pairs, len(lasts), lasts.append
         for byte in piece:
-            key = state << 8 | byte
-            at = key * 2654435761 >> 16 & mask
-            while (held := keys[at]) != key and held >= 0:
-                at = at + 1 & mask
-            move = to[at] if held == key else self._move(state, byte, at)
-            state = move >> 16
-            lengths.append(move & 0xFFFF)
-        return lengths, state
+            key = state | byte
+            try:
+                state, outs = moves[key]
+            except KeyError:
+                state, outs = self._move(key)
+            for length, token, last in outs:
+                if length > 1:  # of the tokens that may end here one stands, so if no longer one, the byte
+                    pair = lasts[end - length] | token
+                    try:
+                        if not pairs[pair]:
+                            continue
+                    except KeyError:
+                        if not self._stand(pair):
+                            continue
+                append(last)
+                break
+            else:
+                raise LookupError(piece)
+            end += 1
+        return state
 
     def _long(self, piece: bytes) -> list[int]:
         """As the short way, a part at a time: tokens that are certain after a part go out and are forgotten."""
-        out, base, state = [], 0, 0
-        lengths: list[int] = []
+        out, state, lasts = [], self._root, [0]
         for at in range(0, len(piece), _LOOKAHEAD):
-            if self._full():
-                kept = self._unpack(state)
-                self._reset()
-                state = self._number(*kept)
-            more, state = self._read(piece[at : at + _LOOKAHEAD], state)
-            lengths += more
+            state = self._read(piece[at : at + _LOOKAHEAD], state, lasts)
             # What the walks of all open prefixes share is certain.
-            open_, _, rest = self._unpack(state)
-            walks = [self._walk(lengths, len(lengths) - len(rest) + j) for j in open_]
+            rest, end = self.vocabulary.names[state >> 8], len(lasts) - 1
+            walks = [self._walk(lasts, end - len(rest) + j) for j in range(len(rest) + 1) if rest[j:] in self.vocabulary.starts]
             sure = max(set(walks[0]).intersection(*walks[1:]))
-            out += self._emit(piece[base : base + sure], [x for x in walks[-1] if x <= sure])
-            base, lengths = base + sure, lengths[sure:]
-        return out + self._emit(piece[base:], self._walk(lengths, len(lengths)))
+            out += self._emit(lasts, [x for x in walks[-1] if x <= sure])
+            lasts = lasts[sure:]
+        return out + self._emit(lasts, self._walk(lasts, len(lasts) - 1))
 
-    def _walk(self, lengths: list[int], end: int) -> list[int]:
+    def _walk(self, lasts: list[int], end: int) -> list[int]:
         """The borders of the encoding of the prefix, from its end down."""
-        walk = [end]
+        walk, tokens = [end], self.vocabulary.tokens
         while walk[-1] > 0:
-            walk.append(walk[-1] - lengths[walk[-1] - 1])
+            walk.append(walk[-1] - len(tokens[(lasts[walk[-1]] >> 32) - 1]))
         return walk
 
-    def _emit(self, piece: bytes, walk: list[int]) -> list[int]:
-        return [self.ranks[piece[a:b]] for b, a in zip(walk[-2::-1], walk[:0:-1], strict=True)]
-
-    def _full(self) -> bool:
-        return len(self._states) > self.max_states or 4 * self._moves > 3 * self._mask
+    def _emit(self, lasts: list[int], walk: list[int]) -> list[int]:
+        return [(lasts[end] >> 32) - 1 for end in walk[-2::-1]]
 
 
 class Utf8Stream:
@@ -245,12 +283,14 @@ class _Pieces(dict):
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 300_000, max_pieces: int = 120_000):
-        self._pieces = _Pieces(Transducer(ranks, max_states), max_pieces)
+    """Encoder and decoder over one vocabulary; pieces of up to 64 characters are remembered, at most twice ``max_pieces``."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 50_000):
+        self.vocabulary = Vocabulary(ranks)
+        self._pieces = _Pieces(Transducer(self.vocabulary, max_moves, max_pairs), max_pieces)
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
         self._split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self._border = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
-        self._bytes = {rank: token for token, rank in ranks.items()}
 
     def encode(self, text: str) -> np.ndarray:
         """Whole texts, a megabyte at a time: before white space that follows something else, every piece ends."""
@@ -263,40 +303,67 @@ class Codec:
             at = end
         return np.concatenate(out) if out else np.zeros(0, np.int32)
 
+    def decoded(self, ids: np.ndarray) -> Iterator[str]:
+        """The text in parts, none of them longer than a few hundred thousand characters."""
+        stream, tokens = Utf8Stream(), self.vocabulary.tokens
+        for at in range(0, len(ids), _CHUNK):
+            yield stream.feed(b"".join(map(tokens.__getitem__, ids[at : at + _CHUNK].tolist())))
+        yield stream.close()
+
     def decode(self, ids: np.ndarray) -> str:
-        stream, found = Utf8Stream(), []
+        return "".join(self.decoded(ids))
+
+    def digests(self, ids: np.ndarray) -> tuple[str, str]:
+        """SHA-256 of the ids, joined by commas, and of the bytes they decode to; nothing is held whole."""
+        said, text = hashlib.sha256(), hashlib.sha256()
         for at in range(0, len(ids), _CHUNK):
-            found.append(stream.feed(b"".join(map(self._bytes.__getitem__, ids[at : at + _CHUNK].tolist()))))
-        return "".join(found) + stream.close()
+            said.update((("," if at else "") + ",".join(map(str, ids[at : at + _CHUNK].tolist()))).encode())
+        for part in self.decoded(ids):
+            text.update(part.encode())
+        return said.hexdigest(), text.hexdigest()
 
 
 _IDLE_S = 3.0
 
 
-def _codec(key: tuple, ranks: dict[bytes, int], pattern: str) -> Codec:
-    """One codec a Python worker, so that tasks find the states and pieces of earlier ones."""
-    home = sys.modules.setdefault("_thornwall_codecs", types.ModuleType("_thornwall_codecs"))
-    if timer := getattr(home, "timer", None):
-        timer.cancel()
-    if getattr(home, "key", None) != key:
-        home.key, home.codec = key, Codec(ranks, pattern)
-    return home.codec
+class _Home(types.ModuleType):
+    """Where a Python worker keeps its codec, so that a task finds the moves and pieces of earlier ones.
 
+    Code that comes with a query has no globals that outlive its task; modules
+    of the worker do. Without another task for a while, the codec's memory is
+    given back, as other stages may need it.
+    """
 
-def _rest() -> None:
-    """A worker that gets no other task soon gives the codec's memory back; other stages may need it."""
-    home = sys.modules["_thornwall_codecs"]
+    NAME = "_thornwall_codecs"
 
-    def drop() -> None:
-        home.key = home.codec = None
+    def __init__(self) -> None:
+        super().__init__(self.NAME)
+        self.lock, self.users, self.key, self.codec = threading.Lock(), 0, None, None
+
+    def take(self, key: tuple, make: Callable[[], Codec]) -> Codec:
+        with self.lock:
+            if self.key != key:
+                self.key, self.codec = key, make()
+            self.users += 1
+            return self.codec
+
+    def leave(self) -> None:
+        with self.lock:
+            self.users -= 1
+        timer = threading.Timer(_IDLE_S, self.drop)
+        timer.daemon = True
+        timer.start()
+
+    def drop(self) -> None:
+        """Nothing happens while a task has the codec: it is its last task's timer that counts."""
+        with self.lock:
+            if self.users:
+                return
+            self.key = self.codec = None
         gc.collect()
         with contextlib.suppress(OSError, AttributeError):
             ctypes.CDLL(None).malloc_trim(0)
 
-    home.timer = threading.Timer(_IDLE_S, drop)
-    home.timer.daemon = True
-    home.timer.start()
-
 
 def _lists(found: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
@@ -322,13 +389,16 @@ def _run(rows: DataFrame, path: str, pattern: str, step, columns: str) -> DataFr
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(key, shared.value, pattern)
-        for batch in batches:
-            for part in _parts(batch, _sizes(batch)):
-                found = step(codec, part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), *found.values()], names=["id", *found])
-        del codec
-        _rest()
+        home = sys.modules.setdefault(_Home.NAME, _Home())
+        codec = home.take(key, lambda: Codec(shared.value, pattern))
+        try:
+            for batch in batches:
+                for part in _parts(batch, _sizes(batch)):
+                    found = step(codec, part.column(1))
+                    yield pa.RecordBatch.from_arrays([part.column(0), *found.values()], names=["id", *found])
+        finally:
+            del codec
+            home.leave()
 
     return rows.mapInArrow(run, f"id {kind}, {columns}")
 
@@ -357,12 +427,19 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "id", ids_c
     return _run(rows, path, pattern, step, "text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, decoded): tokens, and the text that comes back from them, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256), and ``ids`` if asked for: what each row's text is encoded to, and what that decodes to.
+
+    A null text counts as empty; repeated rows and null ids are rows like others,
+    further columns are left out. Texts are encoded and decoded whole, in one
+    pass, and only their digests leave the worker.
+    """
     rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
 
     def step(codec: Codec, texts: pa.Array) -> dict[str, pa.Array]:
-        ids = [codec.encode(t.as_py()) for t in texts]
-        return {"ids": _lists(ids), "decoded": pa.array([codec.decode(x) for x in ids], pa.string())}
+        found = [codec.encode(t.as_py()) for t in texts]
+        said = [codec.digests(x) for x in found]
+        columns = {"n_tokens": pa.array(map(len, found), pa.int64()), "ids_sha256": pa.array([a for a, _ in said], pa.string()), "decoded_sha256": pa.array([b for _, b in said], pa.string())}
+        return columns | ({"ids": _lists(found)} if ids else {})
 
-    return _run(rows, path, pattern, step, "ids array<int>, decoded string")
+    return _run(rows, path, pattern, step, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
