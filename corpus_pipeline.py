@@ -42,11 +42,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): tokens of each row, and what they decode to."""
-    coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return coded.select(
-        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True)
+    return coded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
