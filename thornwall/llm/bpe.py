@@ -28,7 +28,6 @@ import threading
 import types
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -136,12 +135,16 @@ class Vocabulary:
 class Transducer:
     """States: beginnings of tokens, the longest that the bytes so far end with.
 
-    At most ``max_moves`` moves and ``max_pairs`` pairs are kept; either table
-    starts anew when it is full.
+    At most ``max_moves`` moves and ``max_pairs`` pairs are kept, and what
+    ``max_heads`` beginnings of pieces lead to, so that they are one move; a
+    table starts anew when it is full.
     """
 
-    def __init__(self, vocabulary: Vocabulary, max_moves: int = 100_000, max_pairs: int = 150_000):
-        self.vocabulary, self.ranks, self.max_moves, self.max_pairs = vocabulary, vocabulary.ranks, max_moves, max_pairs
+    HEAD = 5
+
+    def __init__(self, vocabulary: Vocabulary, max_moves: int = 100_000, max_pairs: int = 150_000, max_heads: int = 50_000):
+        self.vocabulary, self.ranks, self.max_moves, self.max_pairs, self.max_heads = vocabulary, vocabulary.ranks, max_moves, max_pairs, max_heads
+        self._heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
         self._root = vocabulary.starts.get(b"", 0) << 8
         self._pairs: dict[int, bool] = {}
         self._moves: dict[int, tuple[int, tuple[tuple[int, int, int], ...]]] = {}
@@ -182,8 +185,18 @@ class Transducer:
 
     def _short(self, piece: bytes) -> list[int]:
         """All bytes, then back over the borders from the end."""
-        lasts = [0]
-        self._read(piece, self._root, lasts)
+        head = piece[: self.HEAD]
+        known = self._heads.get(head)
+        if known:
+            state, lasts = known[0], list(known[1])
+        else:
+            lasts = [0]
+            state = self._read(head, self._root, lasts)
+            if len(self._heads) >= self.max_heads:
+                self._heads.clear()
+            self._heads[head] = state, tuple(lasts)
+        if len(piece) > self.HEAD:
+            self._read(piece[self.HEAD :], state, lasts)
         end, tokens, out = len(piece), self.vocabulary.tokens, []
         while end:
             token = (lasts[end] >> 32) - 1
@@ -265,15 +278,15 @@ class Utf8Stream:
 
 
 class _Pieces(dict):
-    """The tokens of pieces met lately: those of the last ``most`` new ones, and of as many before."""
+    """The tokens of pieces met lately, four bytes each: those of the last ``most`` new ones, and of as many before."""
 
     def __init__(self, transducer: Transducer, most: int):
         super().__init__()
         self.transducer, self.most = transducer, most
-        self.before: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        found = self.before.get(piece) or tuple(self.transducer.encode(piece.encode()))
+    def __missing__(self, piece: str) -> bytes:
+        found = self.before.get(piece) or array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) <= 64:
             if len(self) >= self.most:
                 self.before = dict(self)
@@ -285,12 +298,13 @@ class _Pieces(dict):
 class Codec:
     """Encoder and decoder over one vocabulary; pieces of up to 64 characters are remembered, at most twice ``max_pieces``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 50_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 150_000):
         self.vocabulary = Vocabulary(ranks)
         self._pieces = _Pieces(Transducer(self.vocabulary, max_moves, max_pairs), max_pieces)
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
         self._split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self._border = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
+        self._names = [str(rank) for rank in range(len(self.vocabulary.tokens))]
 
     def encode(self, text: str) -> np.ndarray:
         """Whole texts, a megabyte at a time: before white space that follows something else, every piece ends."""
@@ -299,9 +313,9 @@ class Codec:
             cut = self._border.search(text, at + _PIECE) if len(text) - at > _PIECE else None
             end = cut.end() if cut else len(text)
             pieces = self._split.findall(text[at:end] if at or cut else text)
-            out.append(np.fromiter(chain.from_iterable(map(self._pieces.__getitem__, pieces)), np.int32))
+            out.append(b"".join(map(self._pieces.__getitem__, pieces)))
             at = end
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decoded(self, ids: np.ndarray) -> Iterator[str]:
         """The text in parts, none of them longer than a few hundred thousand characters."""
@@ -315,9 +329,9 @@ class Codec:
 
     def digests(self, ids: np.ndarray) -> tuple[str, str]:
         """SHA-256 of the ids, joined by commas, and of the bytes they decode to; nothing is held whole."""
-        said, text = hashlib.sha256(), hashlib.sha256()
+        said, text, names = hashlib.sha256(), hashlib.sha256(), self._names
         for at in range(0, len(ids), _CHUNK):
-            said.update((("," if at else "") + ",".join(map(str, ids[at : at + _CHUNK].tolist()))).encode())
+            said.update((("," if at else "") + ",".join(map(names.__getitem__, ids[at : at + _CHUNK].tolist()))).encode())
         for part in self.decoded(ids):
             text.update(part.encode())
         return said.hexdigest(), text.hexdigest()

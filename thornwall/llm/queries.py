@@ -26,7 +26,8 @@ def registered() -> dict[str, Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return configure(spark, path).read.parquet(path)
 
 
 @query
