@@ -60,7 +60,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over all documents."""
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    path = f"{sf_dir}/documents.parquet"
+    docs = configure(spark, path).read.parquet(path)
     scratch = Scratch(spark)
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))

@@ -16,7 +16,7 @@ from thornwall.operators.upsert import latest_by_key, latest_valid_by_key
 from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
 from thornwall.sources.files import file_system, hadoop_path
-from thornwall.sources.landing import evolve_schema, read_pages
+from thornwall.sources.landing import corrupt_pages, infer_pages, merged_type, read_pages, shown_type
 from thornwall.streaming.current_state import CurrentState
 from thornwall.streaming import ingest
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
@@ -491,7 +491,7 @@ def test_new_fields_join_on_restart(spark, tmp_path):
     assert "format" not in m.table("nvd_cves_raw").columns
     page(landing, 1, cve("CVE-2", cveTags=["disputed"]), format="NVD_CVE")
     m.run(evolve=False)
-    assert "format" not in m.table("nvd_cves_raw").columns
+    assert "format" not in m.table("nvd_cves_raw").columns  # typed columns only, as asked
     page(landing, 2, cve("CVE-3"))
     os.utime(landing / page(landing, 3, cve("CVE-4", tooOld=1)).name, (1_600_000_000, 1_600_000_000))
     m.run()
@@ -505,8 +505,56 @@ def test_new_fields_join_on_restart(spark, tmp_path):
     tags = raw.selectExpr("explode(vulnerabilities.cve) c").selectExpr("c.id", "c.cveTags").collect()
     assert sorted((r["id"], r["cveTags"]) for r in tags)[-1] == ("CVE-5", ["disputed"])
     assert m.table("cves").count() == 5
-    wide = evolve_schema(spark, str(landing), str(tmp_path / "root" / "schema"), everything=True)
-    assert "tooOld" in wide.simpleString() and "cveTags" in wide.simpleString()
+    wide = infer_pages(spark, str(landing)).simpleString()
+    assert "tooOld" in wide and "cveTags" in wide
+
+
+def test_no_field_is_lost_whenever_it_comes(spark, tmp_path):
+    """After a look, before the start that takes the page in; and under a query that runs on."""
+    landing = tmp_path / "landing"
+    page(landing, 0, cve("CVE-0"))
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    m.run()
+    page(landing, 1, cve("CVE-1", newField=1), top={"a b": [1]})
+    running = m.ingest("continuous", interval="200 milliseconds")
+    try:
+        running.processAllAvailable()
+        page(landing, 2, cve("CVE-2", newField=2.5), **{"it's": "x"})
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    m.run()
+    page(landing, 3, cve("CVE-3", newField="three", other={"K": None}), top=7)
+    (landing / "cves_20240101_20240131_p900_x.json").write_text('{"resultsPerPage": 3, "vulnerab')
+    m.run()
+    raw = m.table("nvd_cves_raw")
+    found = raw.selectExpr("`it's`", "cast(top as string) top", "inline_outer(vulnerabilities)").selectExpr("cve.id", "cast(cve.newField as string) n", "top", "`it's`").collect()
+    assert {r["id"]: (r["n"], r["top"], r["it's"]) for r in found} == {
+        None: (None, None, None), "CVE-0": (None, None, None), "CVE-1": ("1", '{"a b":[1]}', None), "CVE-2": ("2.5", None, "x"), "CVE-3": ("three", "7", None),
+    }
+    assert "other" not in raw.schema.simpleString()  # only ever null
+    assert m.table("cves").count() == 4
+    lost = corrupt_pages(raw).collect()
+    assert [(r["document"], r["lost"]) for r in lost] == [('{"resultsPerPage": 3, "vulnerab', True)]
+
+
+def test_fields_of_many_shapes(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    m = Medallion(spark, str(tmp_path / "root"), str(landing))
+    for n in range(6):
+        page(landing, n, cve(f"CVE-{n}", **{f"f{n}": n}))
+    monkeypatch.setattr("thornwall.sources.landing.MOST_SHAPES", 2)
+    m.run()
+    rows = m.table("nvd_cves_raw").selectExpr("inline(vulnerabilities)").selectExpr("cve.id", *(f"cve.f{n}" for n in range(6))).collect()
+    assert sorted(tuple(r) for r in rows) == [(f"CVE-{n}", *(n if k == n else None for k in range(6))) for n in range(6)]
+
+
+def test_types_that_pages_show():
+    kind = shown_type("OBJECT<`OBJECT<x`: ARRAY<OBJECT<a: BIGINT, n: VOID>>, b: DECIMAL(2,1)>")
+    assert kind.names == ["OBJECT<x", "b"] and kind["OBJECT<x"].dataType.elementType.names == ["a", "n"]
+    one, other = shown_type("OBJECT<a: BIGINT, b: VOID, c: ARRAY<BIGINT>>"), shown_type("OBJECT<a: DECIMAL(3,1), b: STRING, c: BIGINT, d: BOOLEAN>")
+    assert merged_type(one, other) == merged_type(other, one)
+    assert merged_type(one, other).simpleString() == "struct<a:double,b:string,c:variant,d:boolean>"
 
 
 def test_pages_taken_in_can_be_moved_away(spark, tmp_path):

@@ -17,7 +17,7 @@ from thornwall.plans import gold
 from thornwall.schema import DATASETS, EXPECTATIONS, INGEST_COLUMNS, KEY, SEQUENCE, SILVER_SCHEMA, page_schema
 from thornwall.session import configure
 from thornwall.sources.files import Versions, marked, qualified
-from thornwall.sources.landing import evolve_schema, page_index, stored_schema
+from thornwall.sources.landing import PageFields, page_index
 from thornwall.streaming.current_state import FOLD_RATIO, CurrentState
 from thornwall.streaming.ingest import raw_stream, start_raw, start_upsert
 
@@ -45,6 +45,7 @@ class Medallion:
         self.landing = landing or f"{self.root}/landing"
         self.raw_path = f"{self.root}/nvd_cves_raw"
         self.log_path = f"{self.root}/expectations"
+        self.fields = PageFields(spark, self.raw_path, f"{self.root}/schema")
         self.state = CurrentState(spark, f"{self.root}/cves", SILVER_SCHEMA, KEY, SEQUENCE)
 
     # --- refresh ---------------------------------------------------------------
@@ -52,13 +53,16 @@ class Medallion:
     def ingest(self, mode: str = "triggered", evolve: bool = True, **options) -> StreamingQuery:
         """Start the raw hop.
 
-        Its schema is first widened by new fields of pages that landed since the
-        last time. That takes a pass over those pages; ``evolve=False`` saves it
-        where no new fields are expected (or wanted).
+        Pages are kept whole beside their typed columns, so a field that is new
+        is in the table whenever it comes, also under a running query;
+        ``look_for_fields`` makes it a column. ``evolve=False`` keeps the typed
+        columns only, which halves the table where the feed's fields are known.
         """
-        store = f"{self.root}/schema"
-        schema = evolve_schema(self.spark, self.landing, store) if evolve else stored_schema(self.spark, store)
-        return start_raw(self.spark, self.landing, self.raw_path, f"{self.root}/checkpoints/raw", schema, mode, **options)
+        return start_raw(self.spark, self.landing, self.raw_path, f"{self.root}/checkpoints/raw", evolve, mode, **options)
+
+    def look_for_fields(self) -> None:
+        """Take up new fields of the pages that came since the last look."""
+        self.fields.look()
 
     def upsert(self, mode: str = "triggered", interval: str = "1 minute", **options) -> StreamingQuery:
         """Start the current-state hop. A continuous one folds its changes as it goes."""
@@ -98,6 +102,8 @@ class Medallion:
     def run(self, as_of: datetime.date | str | None = None, evolve: bool = True) -> None:
         """One triggered pass through all layers, in order."""
         self.ingest(evolve=evolve).awaitTermination()
+        if evolve:
+            self.look_for_fields()
         self.upsert().awaitTermination()
         self.state.fold_if_due()
         self.refresh_gold(as_of)
@@ -109,10 +115,8 @@ class Medallion:
 
     def table(self, name: str) -> DataFrame:
         if name == "nvd_cves_raw":
-            # Given, not merged from the footers of all files; files older than a field show NULL for it.
-            pages = stored_schema(self.spark, f"{self.root}/schema") or T.StructType.fromDDL(page_schema())
-            schema = T.StructType(pages.fields + T.StructType.fromDDL(INGEST_COLUMNS).fields)
-            return self.spark.read.schema(schema).parquet(self.raw_path)
+            # Its schema is given, not merged from the footers of all files.
+            return self.fields.read()
         if name == "cves_exploded":
             return expect_all_or_drop(flatten(occurrences(self.table("nvd_cves_raw"))), EXPECTATIONS)
         if name == "cves":

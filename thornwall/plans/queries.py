@@ -317,8 +317,8 @@ def corrupt_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def schema_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields that only the pages of a second landing have, of pages and of records."""
-    raw = workspace.evolved(spark, sf_dir).table("nvd_cves_raw")
+    """Fields that only some pages have, of pages and of records; those pages came between runs and under a running query."""
+    raw = workspace.evolved_on_the_way(spark, sf_dir).table("nvd_cves_raw")
     rows = raw.select("_ingest_file", "format", F.posexplode("vulnerabilities.cve").alias(POSITION, "cve"))
     return rows.select(*_place(), F.col("cve.id").alias("cve_id"), "format", F.concat_ws(",", "cve.cveTags").alias("cve_tags"))
 

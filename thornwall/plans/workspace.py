@@ -26,7 +26,8 @@ def once(spark: SparkSession, sf_dir: str, what: str, build):
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    path = f"{sf_dir}/events.parquet"
+    return configure(spark, path).read.parquet(path)
 
 
 def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -80,14 +81,42 @@ def evolved(spark: SparkSession, sf_dir: str) -> Medallion:
     found = Medallion(spark, folder(spark, sf_dir, "evolved/tables"), folder(spark, sf_dir, "evolved/landing"))
 
     def build() -> None:
-        for odd_pages in (False, True):
-            sample_feed.land_with_new_fields(events(spark, sf_dir), found.landing, odd_pages)
+        for rest in (0, 1):
+            sample_feed.land_with_new_fields(events(spark, sf_dir), found.landing, lambda page, rest=rest: page % 2 == rest)
             found.ingest().awaitTermination()
+            found.look_for_fields()
 
     once(spark, sf_dir, "evolved", build)
     return found
 
 
+def evolved_on_the_way(spark: SparkSession, sf_dir: str) -> Medallion:
+    """A raw table whose new fields come at the worst times: between a look for them and a start, and under a query that runs on."""
+    found = Medallion(spark, folder(spark, sf_dir, "on_the_way/tables"), folder(spark, sf_dir, "on_the_way/landing"))
+
+    def land(rest: int) -> None:
+        sample_feed.land_with_new_fields(events(spark, sf_dir), found.landing, lambda page: page % 4 == rest)
+
+    def build() -> None:
+        land(0)
+        found.ingest().awaitTermination()
+        found.look_for_fields()
+        land(1)
+        running = found.ingest("continuous", interval="200 milliseconds")
+        try:
+            running.processAllAvailable()
+            found.look_for_fields()
+            land(2)
+            land(3)
+            running.processAllAvailable()
+        finally:
+            running.stop()
+        found.look_for_fields()
+
+    once(spark, sf_dir, "evolved on the way", build)
+    return found
+
+
 def continuous(spark: SparkSession, sf_dir: str) -> Medallion:
     """The current-state table as two hops that run on keep it."""
     found = Medallion(spark, folder(spark, sf_dir, "continuous"), landed(spark, sf_dir).landing)

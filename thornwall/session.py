@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import threading
@@ -11,14 +12,25 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from thornwall.sources.files import size_in_bytes
+
 _SHUFFLE_START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# What this module last set that to: a value of the caller's own is left alone.
+_SHUFFLE_SET = "spark.thornwall.shuffleStart"
+_MOST_PARTITIONS = 100_000
 
 _lock = threading.Lock()
 _workdirs: dict[str, str] = {}
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set what the datasets rely on.
+def _bytes(size: str) -> int:
+    """A size as settings have it: ``64MB``, ``8m``, ``1048576b``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def configure(spark: SparkSession, *inputs: str) -> SparkSession:
+    """Set what the datasets rely on; shuffles start with as many partitions as the size of the ``inputs`` asks for.
 
     Source timestamps carry no zone, so every day boundary is a UTC one. A batch
     of page files is looked up in a job of up to 10,000 tasks by default, one
@@ -29,9 +41,15 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     cores = spark.sparkContext.defaultParallelism
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", min(10_000, 4 * cores))
-    # Adaptive execution merges small shuffle partitions but does not split large ones, so start with many.
-    if spark.conf.get(_SHUFFLE_START, None) is None:
-        spark.conf.set(_SHUFFLE_START, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores))
+    # Adaptive execution merges small shuffle partitions but does not split large ones, so start with many:
+    # Parquet unfolds to several times its size, hence half of what a partition should hold.
+    own = spark.conf.get(_SHUFFLE_START, None)
+    if own is None or own == spark.conf.get(_SHUFFLE_SET, None):
+        part = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        by_size = sum(size_in_bytes(spark, path) for path in inputs) // max(1, part // 2)
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores, min(by_size, _MOST_PARTITIONS))
+        spark.conf.set(_SHUFFLE_START, start)
+        spark.conf.set(_SHUFFLE_SET, start)
     return spark
 
 

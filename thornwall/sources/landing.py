@@ -8,13 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from thornwall.schema import CORRUPT, page_schema
-from thornwall.sources.files import Versions, marked, qualified
+from thornwall.schema import CORRUPT, INGEST_COLUMNS, page_schema
+from thornwall.sources.files import Versions, is_complete, marked, qualified, subdirectories
 
 # File name pattern of landed pages.
 FILE_GLOB = "cves_*.json"
 FILE_NAME = r"^cves_(\d{8})_(\d{8})_p(\d{3,})_(\w+)\.json$"
 
+# Columns of the raw table: a page as it came, and the schema it shows.
+PAGE, PAGE_FIELDS = "_page", "_page_fields"
+# As many schemas of pages are merged on the driver; of more, by the tasks that read the pages.
+MOST_SHAPES = 1_000
+
 # The driver holds the file names of a micro-batch; at 2000 records a page this many make some 600 GB.
 FILES_PER_BATCH = 100_000
 
@@ -61,6 +66,33 @@ def read_pages(
     )
 
 
+def read_whole_pages(spark: SparkSession, landing: str, stream: bool = False, **options) -> DataFrame:
+    """As ``read_pages``, and beside the typed columns the whole page as a VARIANT, with the schema it shows.
+
+    Every page is parsed once. Whatever field it has is in ``_page`` from then
+    on, known or not, so none is lost for want of a schema. A page that is no
+    JSON document, or too large for a VARIANT, has its text in the
+    corrupt-record column, and as many typed fields as can be read.
+    """
+    reader = spark.readStream if stream else spark.read
+    if stream:
+        options = stream_options(options, FILES_PER_BATCH)
+    typed = T.StructType(T.StructType.fromDDL(page_schema()).fields[:-1])
+    files = reader.format("text").options(wholetext="true", pathGlobFilter=FILE_GLOB, recursiveFileLookup="true").options(**options).load(landing)
+    pages = files.select("value", F.try_parse_json("value").alias(PAGE), F.col("_metadata.file_path").alias("_ingest_file"))
+    lost = F.col(PAGE).isNull()
+    read = F.when(lost, F.from_json("value", typed)).otherwise(F.try_variant_get(PAGE, "$", typed.simpleString()))
+    pages = pages.withColumn("_typed", read)
+    return pages.select(
+        *(F.col("_typed")[name].alias(name) for name in typed.names),
+        F.when(lost, F.col("value")).alias(CORRUPT),
+        F.current_timestamp().alias("_ingest_ts"),
+        "_ingest_file",
+        PAGE,
+        F.schema_of_variant(PAGE).alias(PAGE_FIELDS),
+    )
+
+
 def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
@@ -185,7 +217,7 @@ def write_pages(pages: DataFrame, landing: str) -> DataFrame:
 
 
 def infer_pages(spark: SparkSession, landing: str | list[str], **options) -> T.StructType:
-    """Typed columns found in the landed documents: one distributed pass over them."""
+    """Typed columns found in the landed documents: one distributed pass over them, for a first look at a feed."""
     return (
         spark.read.format("json")
         .options(multiLine="true", pathGlobFilter=FILE_GLOB, recursiveFileLookup="true", columnNameOfCorruptRecord=CORRUPT)
@@ -195,63 +227,115 @@ def infer_pages(spark: SparkSession, landing: str | list[str], **options) -> T.S
     )
 
 
+def shown_type(shown: str) -> T.DataType:
+    """The type that ``schema_of_variant`` shows. Objects are its word for structs; quoted names stay as they are."""
+    parts = shown.split("`")
+    return T.DataType.fromDDL("`".join(part if i % 2 else part.replace("OBJECT<", "STRUCT<") for i, part in enumerate(parts)))
+
+
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type of a field that is ``a`` in some pages and ``b`` in others, whichever comes first; what cannot be one is a VARIANT."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        types = {f.name: f.dataType for f in a}
+        for f in b:
+            types[f.name] = merged_type(types[f.name], f.dataType) if f.name in types else f.dataType
+        return T.StructType([T.StructField(name, types[name]) for name in sorted(types)])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_type(a.elementType, b.elementType))
+    numbers = (T.LongType, T.DecimalType, T.DoubleType)
+    return T.DoubleType() if isinstance(a, numbers) and isinstance(b, numbers) else T.VariantType()
+
+
 def with_new_fields(known: T.DataType, found: T.DataType) -> T.DataType:
-    """``known`` plus the fields only ``found`` has, at any depth. A known field keeps its type."""
+    """``known`` plus the fields only ``found`` has, at any depth. A known field keeps its type; nulls alone make no field."""
     if isinstance(known, T.StructType) and isinstance(found, T.StructType):
         # Names that differ in case only would be one column to Spark.
         theirs = {f.name.lower(): f.dataType for f in found}
         kept = [T.StructField(f.name, with_new_fields(f.dataType, theirs.pop(f.name.lower(), f.dataType))) for f in known]
-        new = {name: f for f in found if (name := f.name.lower()) in theirs}
-        return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in new.values()])
+        new = {f.name.lower(): T.StructField(f.name, held) for f in found if f.name.lower() in theirs and (held := _not_null(f.dataType)) is not None}
+        return T.StructType(kept + list(new.values()))
     if isinstance(known, T.ArrayType) and isinstance(found, T.ArrayType):
         return T.ArrayType(with_new_fields(known.elementType, found.elementType))
     return known
 
 
-def stored_schema(spark: SparkSession, store: str) -> T.StructType | None:
-    last = Versions(spark, store).latest()
-    return T.StructType.fromJson(json.loads(spark.read.text(last, wholetext=True).first()[0])) if last else None
+def _not_null(kind: T.DataType) -> T.DataType | None:
+    """``kind`` without what has only been null so far."""
+    if isinstance(kind, T.StructType):
+        fields = [T.StructField(f.name, held) for f in kind if (held := _not_null(f.dataType)) is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(kind, T.ArrayType):
+        held = _not_null(kind.elementType)
+        return None if held is None else T.ArrayType(held)
+    return None if isinstance(kind, T.NullType) else kind
 
 
-def evolve_schema(spark: SparkSession, landing: str, store: str, everything: bool = False) -> T.StructType:
-    """Widen the stored page schema by whatever new fields have landed, and store it.
+class PageFields:
+    """The fields that pages of a raw table have shown so far, kept in a folder of their own.
 
-    To be called before a query starts: a running one keeps its schema, and a
-    restart on the same checkpoint takes the wider one up. The pages are a stream
-    of their own, with its checkpoint in the store: each is looked at once,
-    whatever its file time, and none twice, unless ``everything`` is asked for.
-    A page that lands between this call and the query's start is taken in with
-    the schema as it is; the next call widens it for those that follow.
+    The table holds whole pages, so this is a matter of reading: a field found
+    late is there for all pages that have it.
     """
-    versions = Versions(spark, store)
-    now = {"known": stored_schema(spark, store) or T.StructType.fromDDL(page_schema()), "stored": versions.latest() is not None}
 
-    def widen(found: T.StructType) -> None:
-        wider = with_new_fields(now["known"], found)
-        if now["stored"] and wider == now["known"]:
+    def __init__(self, spark: SparkSession, raw: str, store: str):
+        self.spark, self.raw, self.store, self.versions = spark, raw, store, Versions(spark, store)
+
+    def found(self) -> T.StructType | None:
+        last = self.versions.latest()
+        return T.StructType.fromJson(json.loads(self.spark.read.text(last, wholetext=True).first()[0])) if last else None
+
+    def look(self) -> T.StructType | None:
+        """Take up the fields of pages that came since the last look; of each, one short column is read."""
+        if is_complete(self.spark, self.raw) or subdirectories(self.spark, self.raw):
+            shown = self.spark.readStream.schema(f"{PAGE_FIELDS} string, {PAGE} variant").options(**stream_options({}, FILES_PER_BATCH)).parquet(self.raw)
+            query = shown.writeStream.foreachBatch(self._widen).option("checkpointLocation", f"{self.store}/_checkpoint").trigger(availableNow=True).start()
+            query.awaitTermination()
+        return self.found()
+
+    def _widen(self, pages: DataFrame, batch_id: int) -> None:
+        kinds = [r[0] for r in pages.select(PAGE_FIELDS).where(F.col(PAGE_FIELDS).isNotNull()).distinct().limit(MOST_SHAPES + 1).collect()]
+        if len(kinds) > MOST_SHAPES:
+            # Few pages look alike: their schemas are merged by the tasks that read them.
+            kinds = [pages.agg(F.schema_of_variant_agg(PAGE)).first()[0]]
+        before = self.found()
+        after = before
+        for kind in sorted(kinds):
+            shape = shown_type(kind)
+            if isinstance(shape, T.StructType):
+                after = shape if after is None else merged_type(after, shape)
+        if after is None or after == before:
             return
-        text = spark.createDataFrame([(wider.json(),)], "value string").coalesce(1)
-        marked(text.write).text(versions.next())
-        versions.vacuum()
-        now.update(known=wider, stored=True)
-
-    def batch(pages: DataFrame, batch_id: int) -> None:
-        # The batch is bounded in files, and so are their names.
-        files = [r["file"] for r in pages.collect()]
-        if files:
-            widen(infer_pages(spark, files))
-
-    if everything:
-        if not _files(spark, landing).isEmpty():
-            widen(infer_pages(spark, landing))
-        return now["known"]
-    names = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")  # only the path is asked for
-        .options(pathGlobFilter=FILE_GLOB, recursiveFileLookup="true", **stream_options({}, FILES_PER_BATCH))
-        .load(landing)
-        .select(F.col("path").alias("file"))
-    )
-    query = names.writeStream.foreachBatch(batch).option("checkpointLocation", f"{store}/_checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return now["known"]
+        text = self.spark.createDataFrame([(after.json(),)], "value string").coalesce(1)
+        marked(text.write).text(self.versions.next())
+        self.versions.vacuum()
+
+    def read(self) -> DataFrame:
+        """The raw table with every field found. Pages taken in without their VARIANT have the typed ones."""
+        known = T.StructType.fromDDL(page_schema())
+        wide = with_new_fields(known, self.found() or T.StructType())
+        ingest = T.StructType.fromDDL(INGEST_COLUMNS)
+        pages = self.spark.read.schema(T.StructType([*wide.fields, *ingest.fields, T.StructField(PAGE, T.VariantType())])).parquet(self.raw)
+        typed = {f.name: f.dataType for f in known}
+
+        def shown(field: T.StructField) -> Column:
+            column = F.col("`" + field.name.replace("`", "``") + "`")
+            if typed.get(field.name) == field.dataType:
+                return column
+            # A struct of the one field: paths have no way to write every name.
+            whole = F.try_variant_get(PAGE, "$", _ddl(T.StructType([field])))
+            return F.when(F.col(PAGE).isNull(), column).otherwise(whole.getField(field.name)).alias(field.name)
+
+        return pages.select(*map(shown, wide), *ingest.names)
+
+
+def _ddl(kind: T.DataType) -> str:
+    """A type as SQL writes it, with all names quoted."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ",".join("`" + f.name.replace("`", "``") + "`:" + _ddl(f.dataType) for f in kind) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_ddl(kind.elementType)}>"
+    return kind.simpleString()

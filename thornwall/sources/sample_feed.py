@@ -148,8 +148,8 @@ def land(events: DataFrame, landing: str, page_size: int = PAGE_SIZE) -> int:
     return write_pages(page_documents(events, page_size), landing).count()
 
 
-def land_with_new_fields(events: DataFrame, landing: str, odd_pages: bool, page_size: int = PAGE_SIZE) -> int:
-    """Publish the even pages, or the odd ones, which have a field of the page and one of the records more."""
+def land_with_new_fields(events: DataFrame, landing: str, which: Callable[[Column], Column], page_size: int = PAGE_SIZE) -> int:
+    """Publish the pages whose number meets a condition. The odd ones have a field of the page and one of the records more."""
 
     def of_odd(page: Column, value: Column) -> Column:
         return F.when(page % 2 == 1, value)
@@ -160,8 +160,7 @@ def land_with_new_fields(events: DataFrame, landing: str, odd_pages: bool, page_
         {"format": of_odd(F.col("page"), F.lit("CVE_PAGE"))},
         lambda e: {"cveTags": of_odd(_div(e["event_id"], page_size), F.array(e["event_type"]))},
     )
-    page = file_parts(F.col("file_name"))["page"]
-    return write_pages(documents.where(page % 2 == int(odd_pages)), landing).count()
+    return write_pages(documents.where(which(file_parts(F.col("file_name"))["page"])), landing).count()
 
 
 def _daily_pages(events: DataFrame, page_size: int, block: int) -> DataFrame:

@@ -13,7 +13,7 @@ from thornwall.operators.upsert import latest_valid_by_key
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SEQUENCE, page_schema
 from thornwall.session import same_settings
 from thornwall.sources.files import marked
-from thornwall.sources.landing import read_pages, stream_options
+from thornwall.sources.landing import read_pages, read_whole_pages, stream_options
 from thornwall.streaming.current_state import CurrentState
 
 # Of the usual 128 MB each, somewhat more than 1 TB per micro-batch.
@@ -38,7 +38,7 @@ def start_raw(
     landing: str,
     table: str,
     checkpoint: str,
-    schema=None,
+    whole: bool = True,
     mode: str = "triggered",
     interval: str = "1 minute",
     sink_options: dict[str, str] | None = None,
@@ -46,13 +46,14 @@ def start_raw(
 ) -> StreamingQuery:
     """Append every landed page file once. Repeated content is kept: the upsert removes it.
 
-    ``sink_options`` may set ``retention`` (for instance ``90d``), after which
+    ``whole`` keeps each page whole beside its typed columns; without it, only
+    those columns. ``sink_options`` may set ``retention`` (for instance ``90d``), after which
     old pages leave the table.
     """
     # A task writes one file, so more pages per task make larger files without a shuffle.
     # The scan looks this up in the session of its reader, for every batch: hence one of its own.
     wide = same_settings(spark, {"spark.sql.files.maxPartitionBytes": RAW_SPLIT_BYTES})
-    pages = read_pages(wide, landing, schema, stream=True, **options)
+    pages = (read_whole_pages if whole else read_pages)(wide, landing, stream=True, **options)
     return (
         pages.writeStream.format("parquet")
         .outputMode("append")
