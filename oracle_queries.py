@@ -141,6 +141,19 @@ _TECHNIQUES = """select 'T' || event_id as technique_id, event_type || ' ' || ev
              from events where event_id % 5 <> 4 and event_id % 7 <> 0 and event_id % 11 <> 0"""
 
 
+_TAKEN_IN = r"""with r as (select *, event_id // 500 as pg, event_id % 50 as m, lpad(cast(event_id // 500 as varchar), 6, '0') as no from events),
+    lines as (select *, 'log_' || no || '.log' as ingest_file from r union all select *, 'copy_' || no || '.log' from r where pg % 5 = 0),
+    conns as (
+      select *, case when pg % 3 = 2 then 'dns' else 'conn' end as path, '10.0.' || (user_id % 250) || '.7' as asset,
+             case when pg % 3 = 2 then event_type || '.example.org' else '192.0.2.' || (event_id % 250) || ':' || case when event_type = 'error' then '22' else '443' end end as indicator,
+             case when event_type = 'error' then 'MEDIUM' else 'LOW' end as severity,
+             cast(epoch_us(ts) // 1000000 as varchar) || '.' || lpad(cast(epoch_us(ts) % 1000000 as varchar), 6, '0') as seconds
+      from lines),
+    ends as (select *, 'HOST-' || user_id as asset, 'C:\bin\' || event_type || '.exe' as indicator, case when event_type = 'error' then 'HIGH' else 'MEDIUM' end as severity from r)
+"""
+_MS = "strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f')"
+
+
 def all_sql() -> dict[str, str]:
     flat = _ALL + f"select {_SILVER_COLUMNS}"
     return {
@@ -303,4 +316,42 @@ def all_sql() -> dict[str, str]:
              x as (select * replace (case technique when 'TECH-1' then 'T1' when 'TECH-2' then 'T4' when 'TECH-3' then 'T3' else 'T2' end as technique) from t),
              k as ({_TECHNIQUES})
              select x.*, k.name as technique_name, coalesce(k.tactics, '') as tactics from x left join k on technique = technique_id""",
+        "telemetry_conformed": _TAKEN_IN
+        + f"""select strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", 'zeek' as source, asset, indicator, severity, ingest_file from conns where m not in (7, 8)
+             union all select {_MS}, 'sysmon', asset, indicator, severity, 'endpoint_' || no || x from ends, (values ('.json'), ('.xml')) k(x) where m not in (7, 8)""",
+        "telemetry_quarantine": _TAKEN_IN
+        + r"""select 'zeek' as kind, case when m = 7 then 'field_count' else 'valid_timestamp' end as failed_rules,
+                     case when path = 'conn' and pg % 3 = 1 then left(case when event_type = 'error' then 'REJ' else 'SF' end || '|' ||
+                            case when event_id % 4 = 0 then '-' else cast(value as varchar) end || '|' || case event_id % 3 when 0 then '(empty)' when 1 then '-' else 'ssl' end
+                            || '|tcp|' || case when event_type = 'error' then '22' else '443' end || '|192.0.2.' || (event_id % 250), 20)
+                          else left(case when m = 8 then '-' else seconds end || chr(9) || 'C' || event_id || chr(9) || asset || chr(9) || event_id % 60000 || chr(9) || '192.0.2.', 20) end as begins, ingest_file
+              from conns where m in (7, 8)
+              union all select 'sysmon_json', case when m = 7 then 'malformed' else 'valid_asset' end,
+                     left('{"EventID":' || case when event_type = 'error' then '8' else '1' end || case when m = 7 then ',"Computer"' else ',"UtcTime":' end, 20), 'endpoint_' || no || '.json'
+              from ends where m in (7, 8)
+              union all select 'sysmon_xml', case when m = 7 then 'malformed' else 'valid_asset' end, '<Event><System><Even', 'endpoint_' || no || '.xml' from ends where m in (7, 8)
+              union all select 'sysmon_xml', 'outside_events', 'noise ' || event_id, 'endpoint_' || no || '.xml' from ends where m = 9
+              union all select distinct 'attack', 'malformed', '{"type":"bundle","ob', 'bundle_' || no || '.json' from r where pg % 7 = 3""",
+        "telemetry_counts": _TAKEN_IN
+        + """, z as (select count(*) as n, count(*) filter (m in (7, 8)) as bad, count(distinct ingest_file) as files from conns),
+                  e as (select count(*) as n, count(*) filter (m in (7, 8)) as bad, count(*) filter (m = 9) as noise, count(distinct pg) as files from ends),
+                  b as (select count(*) filter (pg % 7 <> 3) as n, count(distinct pg) filter (pg % 7 = 3) as bad, count(distinct pg) as files from r)
+             select 'zeek' as source, n as records, n - bad as conformed, bad as quarantined, n + 8 * files as raw_records, files from z
+             union all select 'sysmon_json', n, n - bad, bad, n, files from e
+             union all select 'sysmon_xml', n + noise, n - bad, bad + noise, n + files, files from e
+             union all select 'attack', n + bad, n, bad, files, files from b""",
+        "telemetry_distinct": _TAKEN_IN
+        + """select distinct strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as "timestamp", asset, indicator, severity, 'C' || event_id as uid from conns where m not in (7, 8)""",
+        "zeek_by_header": _TAKEN_IN
+        + """select ingest_file, path, 'C' || event_id as uid,
+                    case when path = 'conn' then case event_id % 3 when 0 then '' when 2 then 'ssl' end end as service,
+                    case when path = 'conn' then case when event_type = 'error' then 'REJ' else 'SF' end end as conn_state,
+                    case when path = 'dns' then event_type || '.example.org' end as query,
+                    case when path = 'dns' then case when event_type = 'error' then 'NXDOMAIN' else 'NOERROR' end end as rcode_name,
+                    case when path = 'conn' and event_id % 4 <> 0 then value end as duration,
+                    case when path = 'dns' and event_type <> 'error' then '192.0.2.' || (event_id % 250) end as second_answer
+             from conns where m <> 7""",
+        "attack_taken_in": _TAKEN_IN
+        + """select 'T' || event_id as technique_id, event_type || ' ' || event_id as name, 'attack-pattern--' || event_id as stix_id
+             from r where pg % 7 <> 3 and event_id % 5 <> 4 and event_id % 7 <> 0""",
     }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thornwall.functions.cve import severity_any
-from thornwall.operators.quality import expect_all_or_drop
+from thornwall.operators.quality import expect_all_or_drop, holds
 
 COLUMNS = ["timestamp", "source", "asset", "indicator", "severity", "raw"]
 
@@ -76,6 +76,65 @@ def _cves() -> list[Column]:
     ]
 
 
+def _zeek_record() -> list[Column]:
+    """A line of any log, by the names of its header."""
+    field = F.col("fields")
+    seconds = field["ts"].try_cast("double")
+    place = F.concat_ws(":", field["id.resp_h"], field["id.resp_p"])
+    refused = (F.col("path") == "conn") & field["conn_state"].isin("REJ", "S0", "RSTO", "RSTR")
+    unknown = (F.col("path") == "dns") & (field["rcode_name"] == "NXDOMAIN")
+    return [
+        F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint")),
+        F.lit("zeek"),
+        field["id.orig_h"],
+        F.when(F.col("path") == "dns", field["query"]).when(F.col("path") == "http", F.concat_ws("", field["host"], field["uri"])).otherwise(F.nullif(place, F.lit(""))),
+        F.when(F.coalesce(refused | unknown, F.lit(False)), "MEDIUM").otherwise("LOW"),
+        F.col("raw"),
+    ]
+
+
+def _endpoint(event_id: Column, utc_time: Column, computer: Column, *indicators: Column) -> list[Column]:
+    grade = F.when(event_id.isin(8, 10, 25), "HIGH").when(event_id == 1, "MEDIUM").otherwise("LOW")
+    return [F.try_to_timestamp(utc_time), F.lit("sysmon"), computer, F.coalesce(*indicators), grade, F.col("raw")]
+
+
+def _sysmon_json_record() -> list[Column]:
+    def item(name: str, kind: str = "string") -> Column:
+        return F.try_variant_get("record", f"$.{name}", kind)
+
+    return _endpoint(item("EventID", "int"), item("UtcTime"), item("Computer"), item("Image"), item("TargetFilename"))
+
+
+def _sysmon_xml_record() -> list[Column]:
+    def item(name: str) -> Column:
+        return F.get(F.filter("record.EventData.Data", lambda d: d["_Name"] == name), F.lit(0))["_VALUE"]
+
+    system = F.col("record.System")
+    return _endpoint(system["EventID"], system["TimeCreated"]["_SystemTime"], system["Computer"], item("Image"), item("TargetFilename"))
+
+
+#: Parsed records (``sources.records``) in the common shape.
+RECORD_SHAPES = {"zeek": _zeek_record, "sysmon_json": _sysmon_json_record, "sysmon_xml": _sysmon_xml_record}
+
+
+def judged(parsed: DataFrame, source: str) -> DataFrame:
+    """Every record in the common shape, with the rules it fails; none is dropped.
+
+    A record that could not be read has only its ``value``, and its fault among
+    ``failed_rules``. Sound rows have no ``value``: ``raw`` says it all.
+    """
+    read = F.col("fault").isNull()
+    # A catalogue's records are no events: they have no shape, and nothing is required of them.
+    columns = RECORD_SHAPES[source]() if source in RECORD_SHAPES else [F.lit(None).cast("timestamp"), F.lit(source), *[F.lit(None).cast("string")] * 3, F.col("raw")]
+    shaped = [F.when(read, column).alias(name) for name, column in zip(COLUMNS, columns)]
+    rows = parsed.select(*shaped, "fault", "value", "_ingest_ts", "_ingest_file")
+    required = REQUIRED if source in RECORD_SHAPES else {}
+    failed = F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(~holds(p), F.lit(name)) for name, p in required.items())))
+    failed = F.when(F.col("fault").isNotNull(), F.array("fault")).otherwise(failed)
+    rows = rows.withColumn("failed_rules", failed)
+    return rows.select(*COLUMNS, "failed_rules", F.when(F.size("failed_rules") > 0, F.col("value")).alias("value"), "_ingest_ts", "_ingest_file")
+
+
 _SHAPES = {"events": _events, "zeek": _zeek_conn, "sysmon": _sysmon, "cves": _cves}
 
 

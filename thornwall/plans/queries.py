@@ -22,7 +22,7 @@ from thornwall.operators.flatten import flatten, occurrences
 from thornwall.plans import gold, workspace
 from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SILVER_SCHEMA, SEQUENCE, page_schema
-from thornwall.sources import landing, sample_feed, telemetry
+from thornwall.sources import landing, records, sample_feed, telemetry
 from thornwall.streaming.current_state import CurrentState
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
 
@@ -687,3 +687,62 @@ def triage_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = triage.cve_context(_cves(spark, sf_dir))
     triaged = triage.triage(found, context, _cve_source(), rules, _techniques(spark, sf_dir))
     return triaged.withColumns({"day": F.col("day").cast("string"), "tactics": F.concat_ws(",", "tactics")})
+
+
+# --- telemetry taken in with its raw records ------------------------------------
+
+_TAKEN_IN = ("zeek", "sysmon_json", "sysmon_xml")
+
+
+def _all_of(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def telemetry_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound records of all files; those of files that landed twice are there twice."""
+    tables = workspace.telemetry(spark, sf_dir)
+    rows = _all_of([tables.conformed(source) for source in _TAKEN_IN])
+    return rows.select(_stamp("timestamp"), "source", "asset", "indicator", "severity", _file())
+
+
+@query
+def telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record that could not be read or lacks what is required, with the beginning of its text."""
+    tables = workspace.telemetry(spark, sf_dir)
+    parts = [tables.quarantine(source).withColumn("kind", F.lit(source)) for source in (*_TAKEN_IN, "attack")]
+    return _all_of(parts).select("kind", F.concat_ws(",", "failed_rules").alias("failed_rules"), F.left("value", F.lit(20)).alias("begins"), _file())
+
+
+@query
+def telemetry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per source: as logged, and as they are in the raw table."""
+    tables = workspace.telemetry(spark, sf_dir)
+    logged = _all_of([tables.counts(source) for source in (*_TAKEN_IN, "attack")])
+    sums = [F.sum(name).alias(name) for name in ("records", "conformed", "quarantined")]
+    raw = _all_of([tables.raw(source).groupBy(F.lit(source).alias("source")).agg(F.count("_ingest_ts").alias("raw_records"), F.count_distinct("_ingest_file").alias("files")) for source in (*_TAKEN_IN, "attack")])
+    return logged.groupBy("source").agg(*sums).join(raw, "source")
+
+
+@query
+def telemetry_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each connection record once, though some files landed twice."""
+    rows = conform.deduplicated(workspace.telemetry(spark, sf_dir).conformed("zeek").select(*conform.COLUMNS))
+    return rows.select(_stamp("timestamp"), "asset", "indicator", "severity", F.get_json_object("raw", "$.uid").alias("uid"))
+
+
+@query
+def zeek_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields by the names of each file's header: two orders, two separators, two types of log."""
+    parsed = records.zeek_parsed(workspace.telemetry(spark, sf_dir).raw("zeek")).where("fault is null")
+    field = F.col("fields")
+    shown = {name: field[name] for name in ("uid", "service", "conn_state", "query", "rcode_name")}
+    duration = F.get_json_object("raw", "$.duration").cast("double")
+    return parsed.select(_file(), "path", *(c.alias(n) for n, c in shown.items()), duration.alias("duration"), F.get_json_object("raw", "$.answers[1]").alias("second_answer"))
+
+
+@query
+def attack_taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Techniques of the bundles that could be read."""
+    found = telemetry.techniques_of(workspace.telemetry(spark, sf_dir).conformed("attack"))
+    return found.select("technique_id", "name", "stix_id")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from thornwall.plans.medallion import Medallion
 from thornwall.session import configure, workdir
 from thornwall.sources import landing, sample_feed
+from thornwall.streaming.telemetry import Telemetry
 
 _lock = threading.RLock()
 _built: dict[tuple[str, str, str], object] = {}
@@ -131,3 +132,24 @@ def continuous(spark: SparkSession, sf_dir: str) -> Medallion:
 
     once(spark, sf_dir, "continuous", build)
     return found
+
+
+def telemetry(spark: SparkSession, sf_dir: str) -> Telemetry:
+    """Raw, conformed and quarantined records of four kinds of files, with broken records among them."""
+    found = Telemetry(spark, folder(spark, sf_dir, "telemetry/tables"))
+
+    def build() -> None:
+        rows = events(spark, sf_dir)
+        documents = {
+            "zeek": sample_feed.zeek_documents(rows),
+            "sysmon_json": sample_feed.sysmon_documents(rows, xml=False),
+            "sysmon_xml": sample_feed.sysmon_documents(rows, xml=True),
+            "attack": sample_feed.bundle_documents(rows),
+        }
+        for source, files in documents.items():
+            path = folder(spark, sf_dir, f"telemetry/{source}")
+            landing.write_pages(files, path).count()
+            found.start(source, path).awaitTermination()
+
+    once(spark, sf_dir, "telemetry", build)
+    return found

@@ -237,3 +237,108 @@ def daily_documents(events: DataFrame, page_size: int = 10, block: int = 100_000
         page_file_name(F.col("chunk_start"), F.col("chunk_end"), page, F.col("run_ts")).alias("file_name"),
         F.when(first & (n % 13 == 4) & (page == 0), cut).otherwise(document).alias("document"),
     )
+
+
+# --- telemetry files ----------------------------------------------------------------
+
+_ZEEK_LOGS = (
+    ("conn", "\t", "ts uid id.orig_h id.orig_p id.resp_h id.resp_p proto service duration conn_state", "time string addr port addr port enum string interval string"),
+    ("conn", "|", "conn_state duration service proto id.resp_p id.resp_h id.orig_p id.orig_h uid ts", "string interval string enum port addr port addr string time"),
+    ("dns", "\t", "ts uid id.orig_h id.orig_p id.resp_h id.resp_p proto query rcode_name answers", "time string addr port addr port enum string string vector[string]"),
+)
+
+
+def zeek_documents(events: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(file_name, document): logs of two types, one also with other separator and order of fields.
+
+    The line of an event with id % 50 = 7 is cut after 20 characters, that of
+    id % 50 = 8 has no time. Every fifth file is there twice, under two names.
+    """
+    pages = paged(events, page_size, F.struct("event_id", "ts", "user_id", "event_type", "value"))
+
+    def log(path: str, separator: str, fields: str, types: str) -> Column:
+        head = [f"#separator \\x{ord(separator):02x}", f"#set_separator{separator},", f"#empty_field{separator}(empty)", f"#unset_field{separator}-", f"#path{separator}{path}"]
+        head += ["#fields" + separator + separator.join(fields.split()), "#types" + separator + separator.join(types.split())]
+
+        def line(e: Column) -> Column:
+            h, failed = e["event_id"], e["event_type"] == "error"
+            micros = F.unix_micros(e["ts"].cast("timestamp"))
+            text = {
+                "ts": F.when(h % 50 == 8, "-").otherwise(F.concat_ws(".", _div(micros, 1_000_000).cast("string"), F.lpad((micros % 1_000_000).cast("string"), 6, "0"))),
+                "uid": F.concat(F.lit("C"), h),
+                "id.orig_h": F.concat(F.lit("10.0."), e["user_id"] % 250, F.lit(".7")),
+                "id.orig_p": (h % 60_000).cast("string"),
+                "id.resp_h": F.concat(F.lit("192.0.2."), h % 250),
+                "id.resp_p": F.when(failed, "22").otherwise("443"),
+                "proto": F.lit("tcp"),
+                "service": F.when(h % 3 == 0, "(empty)").when(h % 3 == 1, "-").otherwise("ssl"),
+                "duration": F.when(h % 4 == 0, "-").otherwise(e["value"].cast("string")),
+                "conn_state": F.when(failed, "REJ").otherwise("SF"),
+                "query": F.concat(e["event_type"], F.lit(".example.org")),
+                "rcode_name": F.when(failed, "NXDOMAIN").otherwise("NOERROR"),
+                "answers": F.when(failed, "(empty)").otherwise(F.concat_ws(",", F.lit("192.0.2.1"), F.concat(F.lit("192.0.2."), h % 250))),
+            }
+            whole = F.concat_ws(separator, *(text[name] for name in fields.split()))
+            return F.when(h % 50 == 7, F.substring(whole, 1, 20)).otherwise(whole)
+
+        return F.concat_ws("\n", F.array(*map(F.lit, head)), F.transform("items", line), F.array(F.lit("#close"), F.lit("")))
+
+    kinds = [log(*kind) for kind in _ZEEK_LOGS]
+    document = F.when(F.col("page") % 3 == 0, kinds[0]).when(F.col("page") % 3 == 1, kinds[1]).otherwise(kinds[2])
+    number = F.lpad(F.col("page").cast("string"), 6, "0")
+    copies = F.when(F.col("page") % 5 == 0, F.array(F.lit("log"), F.lit("copy"))).otherwise(F.array(F.lit("log")))
+    return pages.select(F.explode(copies).alias("kind"), number.alias("number"), document.alias("document")).select(
+        F.concat("kind", F.lit("_"), "number", F.lit(".log")).alias("file_name"), "document"
+    )
+
+
+def sysmon_documents(events: DataFrame, xml: bool, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(file_name, document): endpoint events, as JSON lines or XML.
+
+    Of id % 50 = 7 the line is cut after 20 characters or an end tag is missing;
+    id % 50 = 8 has no computer; in XML, text stands before id % 50 = 9.
+    """
+    pages = paged(events, page_size, F.struct("event_id", "ts", "user_id", "event_type"))
+
+    def line(e: Column) -> Column:
+        h = e["event_id"]
+        number = F.when(e["event_type"] == "error", 8).otherwise(1)
+        computer = F.when(h % 50 != 8, F.concat(F.lit("HOST-"), e["user_id"]))
+        image = F.concat(F.lit("C:\\bin\\"), e["event_type"], F.lit(".exe"))
+        if not xml:
+            time = F.date_format(e["ts"], "yyyy-MM-dd HH:mm:ss.SSS")
+            whole = F.to_json(F.struct(number.alias("EventID"), computer.alias("Computer"), time.alias("UtcTime"), image.alias("Image"), h.alias("RecordId")))
+            return F.when(h % 50 == 7, F.substring(whole, 1, 20)).otherwise(whole)
+        time = F.date_format(e["ts"], "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        system = F.concat(
+            F.lit("<System><EventID>"), number, F.lit("</EventID><TimeCreated SystemTime=\""), time, F.lit("\"/>"),
+            F.coalesce(F.concat(F.lit("<Computer>"), computer, F.lit("</Computer>")), F.lit("")), F.lit("</System>"),
+        )
+        data = F.concat(F.lit("<EventData><Data Name=\"Image\">"), image, F.lit("</Data><Data Name=\"RecordId\">"), h, F.lit("</Data>"))
+        noise = F.when(h % 50 == 9, F.concat(F.lit("noise "), h, F.lit(" "))).otherwise("")
+        return F.concat(noise, F.lit("<Event>"), system, data, F.when(h % 50 == 7, "").otherwise("</EventData>"), F.lit("</Event>"))
+
+    around = (["<?xml version=\"1.0\"?>", "<Events>"], ["</Events>", ""]) if xml else ([], [""])
+    head, tail = (F.array(*map(F.lit, part)).cast("array<string>") for part in around)
+    number = F.lpad(F.col("page").cast("string"), 6, "0")
+    return pages.select(F.concat(F.lit("endpoint_"), number, F.lit(".xml" if xml else ".json")).alias("file_name"), F.concat_ws("\n", head, F.transform("items", line), tail).alias("document"))
+
+
+def bundle_documents(events: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(file_name, document): a STIX bundle per page; on pages with number % 7 = 3 it is cut in half."""
+    pages = paged(events, page_size, F.struct("event_id", "event_type"))
+
+    def item(e: Column) -> Column:
+        h = e["event_id"]
+        return F.struct(
+            F.when(h % 5 == 4, "malware").otherwise("attack-pattern").alias("type"),
+            F.concat(F.lit("attack-pattern--"), h).alias("id"),
+            F.concat_ws(" ", e["event_type"], h.cast("string")).alias("name"),
+            F.when(h % 7 == 0, True).alias("revoked"),
+            F.array(F.struct(F.lit("mitre-attack").alias("source_name"), F.concat(F.lit("T"), h).alias("external_id"))).alias("external_references"),
+        )
+
+    document = F.to_json(F.struct(F.lit("bundle").alias("type"), F.transform("items", item).alias("objects")))
+    cut = F.substr(document, F.lit(1), (F.length(document) / 2).cast("int"))
+    number = F.lpad(F.col("page").cast("string"), 6, "0")
+    return pages.select(F.concat(F.lit("bundle_"), number, F.lit(".json")).alias("file_name"), F.when(F.col("page") % 7 == 3, cut).otherwise(document).alias("document"))

@@ -121,9 +121,25 @@ def read_techniques(spark: SparkSession, path: str, stream: bool = False, **opti
         .options(**options)
         .load(path)
         .select(F.explode("objects").alias("o"))
-        .where(F.col("o.type") == "attack-pattern")
-        .where(~F.coalesce("o.revoked", F.lit(False)) & ~F.coalesce("o.x_mitre_deprecated", F.lit(False)))
     )
+    return _techniques(_in_force(objects))
+
+
+def _in_force(objects: DataFrame) -> DataFrame:
+    gone = F.coalesce("o.revoked", F.lit(False)) | F.coalesce("o.x_mitre_deprecated", F.lit(False))
+    return objects.where((F.col("o.type") == "attack-pattern") & ~gone)
+
+
+STIX_OBJECT = STIX_BUNDLE[len("objects array<") : -1]
+
+
+def techniques_of(records: DataFrame) -> DataFrame:
+    """``read_techniques`` of stored records: ``raw`` has one STIX object a row."""
+    objects = records.select(F.from_json("raw", STIX_OBJECT).alias("o"))
+    return _techniques(_in_force(objects))
+
+
+def _techniques(objects: DataFrame) -> DataFrame:
     listed = F.filter("o.external_references", lambda r: r["source_name"] == "mitre-attack")
     return objects.select(
         F.get(listed, F.lit(0))["external_id"].alias("technique_id"),
