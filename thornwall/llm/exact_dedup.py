@@ -82,7 +82,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, keep_id, group_size, kept, sha, rows): a row per id and text, ``rows`` saying how often it occurs.
 
     Null texts count as empty. The smallest id of a group of equal texts stays,
-    null ids last. ``hash_bits`` below 64 makes hashes meet, for tests.
+    null ids last; its row here is ``kept``, however often it occurs. ``hash_bits`` below 64 makes hashes meet, for tests.
     """
     scratch = Scratch(docs.sparkSession)
     found = identities(scratch, docs, id_col, text_col, block_bytes, hash_bits)
@@ -92,5 +92,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(id, keep_id, group_size, kept, sha): as ``exact_groups``, a row per row of ``docs``."""
-    return repeated(exact_groups(docs, id_col, text_col, **options), "rows").drop("rows")
+    """(id, keep_id, group_size, kept, sha): as ``exact_groups``, a row per row of ``docs``.
+
+    One row of a group is ``kept``: where the row that stays is repeated, or its
+    id null, the first of those.
+    """
+    groups = exact_groups(docs, id_col, text_col, **options)
+    one = F.struct(F.col("kept").alias("stays"), F.lit(1).cast("long").alias("times"))
+    rest = F.struct(F.lit(False).alias("stays"), (F.col("rows") - F.when(F.col("kept"), 1).otherwise(0)).alias("times"))
+    split = groups.select("id", "keep_id", "group_size", "sha", F.inline(F.when(F.col("kept"), F.array(one, rest)).otherwise(F.array(rest))))
+    return repeated(split, "times").select("id", "keep_id", "group_size", F.col("stays").alias("kept"), "sha")

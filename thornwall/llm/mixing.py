@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import WORD, Scratch, fresh, named, ranked, repeated
+from thornwall.llm.common import WORD, Scratch, named, ranked, repeated
 
 _BITS, _LEVEL = 60, 12
 
@@ -63,11 +63,11 @@ def targets(scratch: Scratch, rows: DataFrame, weights: Sequence[int], share: fl
 
 
 def thresholds(scratch: Scratch, rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(source, threshold): hashes up to it come nearest to the source's budget; null: all.
+    """(source, threshold, some): hashes below it are within the source's budget, and ``some`` rows of it; null: all.
 
-    ``rows``: (source, h, size), ``budgets``: (source, rank, rest). Rows of one
-    hash, as repeated rows have, stand or fall together: they are taken if that
-    is nearer to the budget than leaving them.
+    ``rows``: (source, h, size), ``budgets``: (source, rank, rest). Of the rows of
+    the threshold, equal ones as a rule, as many are taken as come nearest to the
+    budget.
     """
     state = budgets.select("source", "rank", "rest", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("base"))
     found = []
@@ -75,13 +75,13 @@ def thresholds(scratch: Scratch, rows: DataFrame, budgets: DataFrame) -> DataFra
         of = state.withColumnRenamed("source", "s")
         inside = rows.join(of, rows["source"].eqNullSafe(of["s"]) & (F.shiftright("h", shift + _LEVEL) == F.col("prefix")))
         sums = inside.groupBy("rank", F.shiftright("h", shift).alias("bucket")).agg(
-            F.first("rest").alias("rest"), F.first("base").alias("base"), F.sum("size").alias("size"), F.min("h").alias("low"), F.max("h").alias("high")
+            F.first("rest").alias("rest"), F.first("base").alias("base"), F.sum("size").alias("size"), F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")
         )
         upto = F.sum("size").over(Window.partitionBy("rank").orderBy("bucket")) + F.col("base")
         sums = sums.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
         edge = scratch.keep(sums.filter("before <= rest and upto > rest"))
-        nearer = 2 * F.col("rest") >= F.col("before") + F.col("upto")
-        found.append(edge.filter("low = high").select("rank", F.when(nearer, F.col("low")).otherwise(F.col("low") - 1).alias("threshold")))
+        some = F.floor((F.col("rest") - F.col("before")) * F.col("n") / F.col("size") + 0.5)
+        found.append(edge.filter("low = high").select("rank", F.col("low").alias("threshold"), some.cast("long").alias("some")))
         open_ = edge.filter("low < high")
         if open_.isEmpty():
             break
@@ -89,28 +89,38 @@ def thresholds(scratch: Scratch, rows: DataFrame, budgets: DataFrame) -> DataFra
     limits = found[0]
     for part in found[1:]:
         limits = limits.union(part)
-    return budgets.select("source", "rank").join(limits, "rank", "left").select("source", "threshold")
+    return budgets.select("source", "rank").join(limits, "rank", "left").select("source", "threshold", "some")
 
 
-def _planned(docs: DataFrame, id_col: str, source_col: str, text_col: str, weights: Sequence[int], share: float, repeats: int) -> tuple[DataFrame, DataFrame]:
-    """(id, source, h, size), and (source, source_size, target, rounds, threshold)."""
-    scratch = Scratch(docs.sparkSession)
+def _planned(scratch: Scratch, docs: DataFrame, id_col: str, source_col: str, text_col: str, weights: Sequence[int], share: float, repeats: int) -> tuple[DataFrame, DataFrame]:
+    """(id, source, h, size), and (source, rank, source_size, target, rounds, threshold, some)."""
     rows = docs.select(named(id_col).alias("id"), named(source_col).cast("string").alias("source"), place(id_col, text_col).alias("h"), words(text_col).alias("size"))
     rows = scratch.keep(rows)
     goals = scratch.keep(targets(scratch, rows, weights, share, repeats))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goals = goals.withColumn("rounds", rounds).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
     limits = thresholds(scratch, rows.select("source", "h", "size"), goals.select("source", "rank", "rest")).withColumnRenamed("source", "s")
-    goals = goals.join(limits, goals["source"].eqNullSafe(limits["s"])).select("source", "source_size", "target", "rounds", "threshold")
+    goals = goals.join(limits, goals["source"].eqNullSafe(limits["s"])).select("source", "rank", "source_size", "target", "rounds", "threshold", "some")
     return rows, scratch.keep(goals)
 
 
-def _copies(h: Column) -> Column:
-    return F.col("_rounds") + F.when(F.col("_threshold").isNull() | (h <= F.col("_threshold")), 1).otherwise(0)
-
+def _taken(scratch: Scratch, df: DataFrame, goals: DataFrame, source: Column, h: Column) -> DataFrame:
+    """(row, source_size, target, copies): how often each row of ``df``, a struct here, is taken.
 
-def _plan_columns(goals: DataFrame) -> DataFrame:
-    return goals.select(*(F.col(c).alias(f"_{c}") for c in goals.columns))
+    Rows at a threshold, as many as repeated rows may be, are numbered by a
+    distributed sort; all others need no more than the goals.
+    """
+    hashed = [named(c) for c, kind in df.dtypes if not any(k in kind for k in ("map<", "variant"))]
+    rows = df.select(F.struct(*map(named, df.columns)).alias("row"), source.alias("of"), h.alias("h"), F.xxhash64(*hashed).alias("key"))
+    joined = rows.join(goals, rows["of"].eqNullSafe(goals["source"]))
+    at = F.coalesce(F.col("h") == F.col("threshold"), F.lit(False))
+    below = F.when(F.col("threshold").isNull() | (F.col("h") < F.col("threshold")), 1).otherwise(0)
+    plain = joined.filter(~at).select("row", "source_size", "target", (F.col("rounds") + below).alias("copies"))
+    edge = joined.filter(at).select("row", F.col("rank").alias("number"), "source_size", "target", "rounds", "some", "key")
+    edge = scratch.keep(ranked(scratch, edge, "number", "key"))
+    first = scratch.keep(edge.groupBy("number").agg(F.min("rank").alias("first")))
+    some = F.when(F.col("rank") - F.col("first") < F.col("some"), 1).otherwise(0)
+    return plain.union(edge.join(first, "number").select("row", "source_size", "target", (F.col("rounds") + some).alias("copies")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: Sequence[int] = (1, 2, 3), share: float = 1, repeats: int = 3) -> DataFrame:
@@ -118,20 +128,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
     Sizes are words; null texts have none. A null source is a source like others,
     the last. A source without words has nothing to take: its rows count once.
+    Of equal rows at a threshold as many are taken as the budget has room for.
     """
-    rows, goals = _planned(docs, id_col, source_col, text_col, weights, share, repeats)
-    of = _plan_columns(goals)
-    joined = rows.join(of, rows["source"].eqNullSafe(of["_source"]))
-    return joined.select("id", "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), _copies(F.col("h")).alias("copies"))
+    scratch = Scratch(docs.sparkSession)
+    rows, goals = _planned(scratch, docs, id_col, source_col, text_col, weights, share, repeats)
+    taken = _taken(scratch, rows, goals, rows["source"], rows["h"])
+    return taken.select("row.id", "row.source", "row.size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: Sequence[int] = (1, 2, 3), share: float = 1, repeats: int = 3) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken."""
-    _, goals = _planned(docs, id_col, source_col, text_col, weights, share, repeats)
-    names = fresh(docs, *(f"_{c}" for c in goals.columns), "_copies")
-    of = goals.select(*(F.col(c).alias(n) for c, n in zip(goals.columns, names, strict=False)))
-    source, _, _, rounds, threshold, copies = (*names[:5], names[5])
-    joined = docs.join(of, named(source_col).cast("string").eqNullSafe(named(source)))
-    h = place(id_col, text_col)
-    taken = named(rounds) + F.when(named(threshold).isNull() | (h <= named(threshold)), 1).otherwise(0)
-    return repeated(joined.withColumn(copies, taken), copies).select(*map(named, docs.columns))
+    """The mix itself: rows of ``docs`` with all their columns, each as often as it is taken."""
+    scratch = Scratch(docs.sparkSession)
+    _, goals = _planned(scratch, docs, id_col, source_col, text_col, weights, share, repeats)
+    taken = _taken(scratch, docs, goals, named(source_col).cast("string"), place(id_col, text_col))
+    return repeated(taken.select("row", "copies"), "copies").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -6,7 +6,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 _MIXING = rf"""
 with recursive rows as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as size,
+  select row_number() over () as row, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as size,
          ('0x' || md5(coalesce(cast(doc_id as varchar), 'null') || '|' || md5(coalesce(text, '')))[:15])::bigint as h
   from documents),
 sources as (
@@ -31,11 +31,12 @@ parts as (
          target - (case when n > 0 then floor(target / n) else 0 end) * n as rest
   from goals),
 hashes as (
-  select r.source, h, sum(size) as g, sum(sum(size)) over (partition by r.source order by h) as upto
-  from rows r group by r.source, h)
+  select r.source, h, sum(size) as g, count(*) as n, sum(sum(size)) over (partition by r.source order by h) - sum(size) as before
+  from rows r group by r.source, h),
+numbered as (select *, row_number() over (partition by source, h order by row) as nth from rows)
 select r.doc_id, r.size, p.n as source_size, p.target,
-       cast(r.size * (p.rounds + cast(2 * p.rest >= 2 * k.upto - k.g as int)) as bigint) as taken
-from rows r join parts p on r.source is not distinct from p.source
+       cast(r.size * (p.rounds + cast(r.nth <= coalesce(floor((p.rest - k.before) * k.n / nullif(k.g, 0) + 0.5), 0) as int)) as bigint) as taken
+from numbered r join parts p on r.source is not distinct from p.source
 join hashes k on r.source is not distinct from k.source and r.h = k.h
 """
 
@@ -78,8 +79,9 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from par
 
 _EXACT = r"""
 with texts as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
-marked as (select *, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size from texts)
-select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, sha256(t) as text_sha256 from marked
+marked as (
+  select *, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size, row_number() over (partition by t, doc_id) as nth from texts)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id and nth = 1 as kept, sha256(t) as text_sha256 from marked
 """
 
 
@@ -93,7 +95,7 @@ copies as (
   from pages_),
 written as (
   select page_id, there,
-         'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:' || coalesce(cast(page_id as varchar), '') || '>\r\nWARC-Target-URI: ' || url
+         'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:' || coalesce(cast(page_id as varchar), '') || '>\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Target-URI: ' || url
            || '\r\nContent-Type: text/html\r\nContent-Length: ' as head,
          coalesce(html, '') as html, coalesce(other, '') as other from copies),
 whole as (

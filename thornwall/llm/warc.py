@@ -1,44 +1,77 @@
-"""WARC archives and their fixity: a Merkle tree of each replica, over ranges of hashes.
-
-A replica counts its records by name and digest. Their hashes are dealt to
-ranges, whose number alone both sides share; a leaf is the digest of all that is
-in a range, a node the digest of up to ``fanout`` children in order. Each tree is
-built from its own listing, so replicas agree, with nothing lost and nothing
-extra, if their roots do. If not, the comparison descends: only children of nodes
-that differ are compared, and records only within the ranges that do.
+"""WARC archives and their fixity: Merkle trees over ordered offset ranges, one of each replica.
+
+Both sides are listed in their own order; a record's offset is the sum of the
+lengths before it. Ranges of ids are the leaves: ``fanout`` ids each, fixed
+without looking at either side. A leaf is the digest of its records in the order
+of the listing, each with its digest, length and offset from the leaf's first
+byte, so bytes lost in one range do not touch the digests of others. A node is
+the digest of up to ``fanout`` children in the order of the listing. Each tree is
+built from its own listing; replicas agree if their roots do. If not, the
+comparison descends: only children of nodes that differ are compared. A child
+with the same digest at another place among those both have was moved as a
+whole. Records are compared in leaves that differ only.
+
+A range of ids that many records share (or that have none) is split by the
+digests of the records, into as many leaves as the larger side needs.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import Scratch, ranked, repeated, running
+from thornwall.llm.common import Scratch, named, ranked, repeated, running
 
+_LEAF_RECORDS = 1024
 
-def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
-    """(id, name, record): a WARC record a row, as bytes; nulls are written as empty."""
-    body = F.coalesce(F.col(body_col), F.lit(""))
-    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+
+def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """(id, name, record): a WARC record a row, as bytes; null urls and bodies are written as empty.
+
+    ``date``: when the pages were captured, for the header. Further columns of
+    ``pages`` are left out; repeated rows are records of their own.
+    """
+    body = F.coalesce(named(body_col), F.lit(""))
+    name = F.concat(F.lit("urn:page:"), F.coalesce(named(id_col).cast("string"), F.lit("")))
     head = F.concat(
-        F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <"), name, F.lit(">\r\nWARC-Target-URI: "),
-        F.coalesce(F.col(url_col), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
+        F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <"), name, F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "),
+        F.coalesce(named(url_col), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"),
     )
-    return pages.select(F.col(id_col).alias("id"), name.alias("name"), F.concat(head, body, F.lit("\r\n\r\n")).cast("binary").alias("record"))
+    return pages.select(named(id_col).alias("id"), name.alias("name"), F.concat(head, body, F.lit("\r\n\r\n")).cast("binary").alias("record"))
+
+
+def parsed(archive: DataFrame) -> DataFrame:
+    """(id, name, url, date, length, body, sound): what records say; ``sound`` if the body has the length that the header states."""
+    text = F.col("record").cast("string")
+    head = F.substring_index(text, "\r\n\r\n", 1)
+
+    def field(name: str) -> Column:
+        return F.regexp_extract(head, f"(?m)^{name}: ?(.*?)\r?$", 1)
+
+    length = field("Content-Length").try_cast("long")
+    begin = F.octet_length(head) + 4
+    body = F.col("record").substr((begin + 1).cast("int"), F.octet_length("record") - begin - 4)
+    return archive.select(
+        "id", F.regexp_extract(field("WARC-Record-ID"), "^<(.*)>$", 1).alias("name"), field("WARC-Target-URI").alias("url"), field("WARC-Date").alias("date"),
+        length.alias("length"), body.cast("string").alias("body"), F.coalesce(F.octet_length(body) == length, F.lit(False)).alias("sound"),
+    )
 
 
 def digested(archive: DataFrame) -> DataFrame:
-    """(id, name, head, sha, length): ``head`` hashes a record up to its content length, so by name and URL."""
+    """(id, name, head, sha, length, and place if given): ``head`` hashes a record up to its content length, so by name and URL."""
     head = F.xxhash64(F.substring_index(F.col("record").cast("string"), "\r\nContent-Length:", 1))
-    return archive.select("id", "name", head.alias("head"), F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"))
+    place = ["place"] if "place" in archive.columns else []
+    return archive.select("id", "name", head.alias("head"), F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"), *place)
 
 
 def listing(scratch: Scratch, archive: DataFrame) -> DataFrame:
-    """(id, name, head, sha, length, rank): the records in order of id, name and digest."""
-    return ranked(scratch, digested(archive), F.col("id").asc_nulls_first(), "name", "sha", "length")
+    """(id, name, head, sha, length, rank, offset): the records in order of ``place``, if there is one, then id, name and digest."""
+    place = [F.col("place").asc_nulls_last()] if "place" in archive.columns else []
+    order = ranked(scratch, digested(archive), *place, F.col("id").asc_nulls_first(), "name", "sha", "length").drop("place")
+    return scratch.keep(running(scratch.keep(order), "length", "offset"))
 
 
 def copies(records: DataFrame) -> DataFrame:
@@ -85,64 +118,130 @@ def unlike(scratch: Scratch, ours: DataFrame, mine: DataFrame, theirs: DataFrame
     return reduce(DataFrame.union, found, lost), others.select("id", "sha", "length")
 
 
-def ranges(copied: DataFrame, size: int) -> DataFrame:
-    """``copied`` with ``node``: the range of each record, of ``size`` ranges."""
-    return copied.withColumn("node", F.pmod(F.xxhash64("name", "sha"), F.lit(size)))
+def ranges(scratch: Scratch, ours: DataFrame, theirs: DataFrame, fanout: int) -> tuple[DataFrame, DataFrame]:
+    """Both listings with ``node`` (the range of ids) and ``part`` (of a range with many records).
 
-
-def tree(scratch: Scratch, copied: DataFrame, size: int, fanout: int) -> list[DataFrame]:
-    """Levels (node, hash) from ``size`` ranges up to a single root; empty ranges have no node."""
-    said = F.sha2(F.concat_ws(":", "sha", "n", "length", "name"), 256)
-    level = scratch.keep(copied.groupBy("node").agg(F.sha2(F.array_join(F.sort_array(F.collect_list(said)), "\n"), 256).alias("hash")))
-    levels = [level]
-    while size > 1:
-        child = F.struct("node", F.concat_ws(":", F.col("node"), F.col("hash")).alias("said"))
-        parents = level.groupBy(F.floor(F.col("node") / fanout).alias("parent")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(child))["said"], "\n"), 256).alias("hash"))
-        level = scratch.keep(parents.select(F.col("parent").alias("node"), "hash"))
-        levels.append(level)
-        size = -(-size // fanout)
-    return levels
-
-
-def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fanout: int) -> DataFrame | None:
-    """(node): the ranges that differ, or None if the roots agree."""
-    frontier = None
+    Integer ids are cut into runs of ``fanout``; other ids stand in the order of
+    their hash; records without an id are one range.
+    """
+    kind = dict(ours.dtypes)["id"]
+    number = F.col("id").cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64("id")
+    node = F.coalesce(F.floor(number / fanout).cast("long"), F.lit(-(1 << 62)))
+    sides = [side.withColumn("node", node) for side in (ours, theirs)]
+    sizes = [side.groupBy("node").agg(F.count("*").alias("n")) for side in sides]
+    most = sizes[0].union(sizes[1]).groupBy("node").agg(F.max("n").alias("n")).filter(F.col("n") > _LEAF_RECORDS)
+    most = scratch.keep(most.select("node", F.ceil(F.col("n") / _LEAF_RECORDS).alias("parts")))
+    part = F.coalesce(F.pmod(F.xxhash64("sha"), F.col("parts")), F.lit(0))
+    return tuple(scratch.keep(side.join(most, "node", "left").withColumn("part", part).drop("parts")) for side in sides)
+
+
+def tree(scratch: Scratch, placed: DataFrame, fanout: int, levels: int) -> list[DataFrame]:
+    """Levels (node, part, begin, hash) from the leaves up; in all but the first ``part`` is 0. Empty ranges have no node."""
+
+    def hashed(rows: DataFrame, keys: list[str], said: Column) -> DataFrame:
+        """Digest of what is said, in the order of ``begin``. A leaf has some ``_LEAF_RECORDS`` rows, a node ``fanout`` children."""
+        held = F.sort_array(F.collect_list(F.struct("begin", "tie", said.alias("said"))))
+        first = F.min("begin").alias("begin")
+        grouped = rows.groupBy(*keys).agg(first, held.alias("held"))
+        text = F.transform("held", lambda x: F.concat_ws("@", x["said"], x["begin"] - F.col("begin")))
+        return grouped.select(*keys, "begin", F.sha2(F.array_join(text, "\n"), 256).alias("hash"))
+
+    leaves = placed.withColumn("begin", F.col("offset")).withColumn("tie", F.col("rank"))
+    level = scratch.keep(hashed(leaves, ["node", "part"], F.concat_ws(":", "name", "sha", "length")))
+    found = [level]
+    for _ in range(levels):
+        up = level.select(F.col("node").alias("child"), F.col("part").alias("tie"), "begin", "hash", F.floor(F.col("node") / fanout).alias("node"), F.lit(0).cast("long").alias("part"))
+        # Where a child begins depends on those before it; its place among them is what counts.
+        order = F.sort_array(F.collect_list(F.struct("begin", "tie", F.concat_ws(":", F.col("child"), F.col("tie"), F.col("hash")).alias("said"))))["said"]
+        up = up.groupBy("node", "part").agg(F.min("begin").alias("begin"), F.sha2(F.array_join(order, "\n"), 256).alias("hash"))
+        level = scratch.keep(up)
+        found.append(level)
+    return found
+
+
+def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fanout: int) -> tuple[DataFrame, list[DataFrame]] | None:
+    """None if the roots agree; else the leaves (node, part) that differ, and by level the nodes that were moved whole.
+
+    Between two levels only nodes that differ are kept. Of a node's children with
+    equal digests, those at another place among the children both sides have
+    were moved.
+    """
+    frontier, moved = None, []
+    keys = ["node", "part"]
 
     def below(level: DataFrame) -> DataFrame:
-        return level if frontier is None else level.withColumn("parent", F.floor(F.col("node") / fanout)).join(frontier, "parent", "left_semi").drop("parent")
+        level = level.withColumn("parent", F.floor(F.col("node") / fanout))
+        return level if frontier is None else level.join(frontier, "parent", "left_semi")
 
     for a, b in zip(reversed(one), reversed(other), strict=True):
-        pairs = below(a).join(below(b).withColumnRenamed("hash", "other"), "node", "full")
-        found = scratch.keep(pairs.filter(~F.col("hash").eqNullSafe(F.col("other"))).select("node"))
-        if found.isEmpty():
+        pairs = below(a).join(below(b).select(*keys, F.col("begin").alias("their_begin"), F.col("hash").alias("their_hash")), keys, "full")
+        pairs = pairs.withColumn("parent", F.floor(F.col("node") / fanout))
+        both = Window.partitionBy("parent", F.col("hash").isNotNull() & F.col("their_hash").isNotNull())
+        pairs = pairs.withColumn("place", F.row_number().over(both.orderBy("begin", *keys))).withColumn("their_place", F.row_number().over(both.orderBy("their_begin", *keys)))
+        pairs = scratch.keep(pairs)
+        moved.append(pairs.filter("hash = their_hash and place != their_place").select(*keys))
+        found = scratch.keep(pairs.filter(~F.col("hash").eqNullSafe(F.col("their_hash"))).select(*keys))
+        if frontier is None and found.isEmpty():
             return None
-        frontier = found.withColumnRenamed("node", "parent")
-    return frontier.withColumnRenamed("parent", "node")
+        frontier = found.select(F.col("node").alias("parent")).distinct()
+    return found, moved[::-1]
+
+
+def _levels(scratch: Scratch, sides: list[DataFrame], fanout: int) -> int:
+    """How many levels lead from the leaves to the roots: until all ranges are one."""
+    low, high = reduce(DataFrame.union, [side.select("node") for side in sides]).agg(F.min("node"), F.max("node")).first()
+    n = 0
+    while low is not None and low != high:
+        low, high, n = low // fanout, high // fanout, n + 1
+        if (low, high) == (-1, 0):
+            break  # these two never meet: they are compared as two roots
+    return n
 
 
 def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records: int = 1000) -> DataFrame:
     """(id, file, start, length, sha, status): every record of the archive, and what only the replica has.
 
-    ``archive`` and ``replica``: (id, name, record). Records are filed
+    ``archive`` and ``replica``: (id, name, record), and ``place`` where a side
+    has an order of its own; else it is that of the ids. Records are filed
     ``file_records`` at a time; ``start`` is the offset in the file. ``status``
-    is intact, missing, truncated (shorter), altered, or extra (file and start
-    are null then). Records that share a name are told apart by digest, URL and
-    length, so one lost or altered does not shift the others.
+    is intact, moved (the same bytes at another place among those both have),
+    missing, truncated (shorter), altered, or extra (file and start are null
+    then). Records that share a name are told apart by digest, URL and length, so
+    one lost or altered does not shift the others. Null ids are ids like others;
+    equal records are as many as they are. Either side may be empty; a record is
+    read whole where it is hashed and goes nowhere after that.
     """
     scratch = Scratch(archive.sparkSession)
-    ours = scratch.keep(listing(scratch, archive))
-    mine, theirs = scratch.keep(copies(ours)), scratch.keep(copies(digested(replica)))
-    size = max(1, -(-mine.count() // fanout))
-    mine, theirs = ranges(mine, size), ranges(theirs, size)
-    damaged = differing(scratch, tree(scratch, mine, size, fanout), tree(scratch, theirs, size, fanout), fanout)
+    ours, theirs = ranges(scratch, listing(scratch, archive), listing(scratch, replica), fanout)
+    levels = _levels(scratch, [ours, theirs], fanout)
+    damaged = differing(scratch, tree(scratch, ours, fanout, levels), tree(scratch, theirs, fanout, levels), fanout)
 
-    placed = running(ours, "length", "offset").withColumn("file", F.floor(F.col("rank") / file_records))
+    placed = ours.withColumn("file", F.floor(F.col("rank") / file_records))
     begin = placed.groupBy("file").agg(F.min("offset").alias("begin"))
     placed = placed.join(begin, "file").withColumn("start", F.col("offset") - F.col("begin"))
     if damaged is None:
         return placed.select("id", "file", "start", "length", "sha", F.lit("intact").alias("status"))
-    changed, extra = unlike(scratch, ours, *(side.join(damaged, "node", "left_semi") for side in (mine, theirs)))
-    placed = placed.join(changed, "rank", "left").withColumn("status", F.coalesce("kind", F.lit("intact")))
+    leaves, moved = damaged
+    inside = [scratch.keep(side.join(leaves, ["node", "part"], "left_semi")) for side in (ours, theirs)]
+    changed, extra = unlike(scratch, inside[0].drop("node", "part", "offset"), copies(inside[0]), copies(inside[1]))
+    changed = scratch.keep(changed)
+
+    # Of equal records in a leaf that differs: their places among those both sides have.
+    equal = ["node", "part", "name", "sha"]
+    sound = inside[0].join(changed, "rank", "left_anti")
+    mine = numbered(scratch, sound.select(*equal, F.col("rank").alias("at")), equal, "at")
+    other = numbered(scratch, inside[1].select(*equal, F.col("rank").alias("their_at")), equal, "their_at")
+    leaf = Window.partitionBy("node", "part")
+    both = mine.join(other, [*equal, "nth"])
+    both = both.withColumn("place", F.row_number().over(leaf.orderBy("at"))).withColumn("their_place", F.row_number().over(leaf.orderBy("their_at")))
+    kinds = changed.union(both.filter("place != their_place").select(F.col("at").alias("rank"), F.lit("moved").alias("kind")))
+    for level, nodes in enumerate(moved):
+        if not nodes.isEmpty():
+            up = ours.withColumn("node", F.floor(F.col("node") / fanout**level).cast("long")) if level else ours
+            whole = up.join(nodes, ["node", "part"] if not level else ["node"], "left_semi")
+            kinds = kinds.union(whole.select("rank", F.lit("moved").alias("kind")))
+    kinds = scratch.keep(kinds.groupBy("rank").agg(F.min("kind").alias("kind")))
+    placed = placed.join(kinds, "rank", "left").withColumn("status", F.coalesce("kind", F.lit("intact")))
     nothing = F.lit(None).cast("long")
     extra = extra.select("id", nothing.alias("file"), nothing.alias("start"), "length", "sha", F.lit("extra").alias("status"))
     return placed.select("id", "file", "start", "length", "sha", "status").union(extra)
