@@ -95,7 +95,7 @@ m as (
   union all select 'R3', 'LOW', 'TECH-3', asset, cast("timestamp" as date) from c where indicator = 'click:13'
   union all select 'R4', 'LOW', 'TECH-4', asset, cast("timestamp" as date) from c where value < 0),
 alerts as (
-  select sha256(concat_ws('|', rule_id, asset, cast(d as varchar))) as alert_id, rule_id, severity, technique, asset,
+  select sha256(length(rule_id) || ':' || rule_id || coalesce(length(asset) || ':' || asset, ':') || coalesce(length(cast(cast(d as date) as varchar)) || ':' || cast(cast(d as date) as varchar), ':')) as alert_id, rule_id, severity, technique, asset,
          cast(d as varchar) as day, count(*) as matched_rows
   from m group by rule_id, severity, technique, asset, d)
 """
@@ -274,7 +274,7 @@ def all_sql() -> dict[str, str]:
                union all select 'C2', 'MEDIUM', source_identifier, cast(modified_at as date) from silver
                  where vuln_status = 'Awaiting Analysis' and cvss_v31_severity = 'HIGH'
                union all select 'C3', 'LOW', source_identifier, cast(modified_at as date) from silver where nrefs = 0)
-             select sha256(concat_ws('|', rule_id, asset, cast(d as varchar))) as alert_id, rule_id, severity, asset,
+             select sha256(length(rule_id) || ':' || rule_id || coalesce(length(asset) || ':' || asset, ':') || coalesce(length(cast(cast(d as date) as varchar)) || ':' || cast(cast(d as date) as varchar), ':')) as alert_id, rule_id, severity, asset,
                     cast(d as varchar) as day, count(*) as matched_rows
              from m group by rule_id, severity, asset, d""",
         "alert_volume": _EVENTS
@@ -354,4 +354,33 @@ def all_sql() -> dict[str, str]:
         "attack_taken_in": _TAKEN_IN
         + """select 'T' || event_id as technique_id, event_type || ' ' || event_id as name, 'attack-pattern--' || event_id as stix_id
              from r where pg % 7 <> 3 and event_id % 5 <> 4 and event_id % 7 <> 0""",
+        "landing_inventory": _ALL
+        + """select ingest_file as file_name, strftime(make_timestamp((1900000000 + pg) * 1000000), '%Y-%m-%d %H:%M:%S.%f') as modified, true as has_size
+             from (select distinct ingest_file, pg from f) order by pg desc limit 20""",
+        "secured_rows": f"""with seen as (
+               select *, 'me' as reader from events where event_type <> 'purchase'
+               union all select *, case when length(event_type) % 2 = 1 then 'analyst_a' else 'analyst_b' end from events)
+             select reader, event_id, {_stamp('ts')}, sha256('example' || user_id) as user_id, event_type, cast(null as double) as value, cast(null as varchar) as props from seen""",
+        "top_vendors": _ALL
+        + """, x as (select s.h, u from silver s join e on e.h = s.h where s.h % 4 <> 0),
+                  v as (select h, 'vendor' || (u % 7) as vendor from x where h % 6 <> 1 union all select h, 'deep' || (u % 3) || ':co' from x where h % 5 <> 0)
+             select vendor, count(*) as cve_count from v group by vendor order by cve_count desc, vendor limit 20""",
+        "rule_cases": """with c as (select *, event_type || ':' || (props->>'$.k') as indicator from events where event_id % 20 = 0),
+             t as (
+               select 'R1' as rule_id, 'R1-' || event_id as "case", event_type = 'error' and value >= 50 as expected from c
+               union all select 'R2', 'R2-' || event_id, value >= 100 from c
+               union all select 'R3', 'R3-' || event_id, indicator = 'click:13' from c),
+             kinds as (select r as rule_id, e as expected from unnest(['R1', 'R2', 'R3', 'R4']) a(r), unnest([true, false]) b(e))
+             select *, expected as found, true as passed from t
+             union all select rule_id, case when expected then 'no positive case' else 'no negative case' end, expected, null, false
+             from kinds k where not exists (select 1 from t where t.rule_id = k.rule_id and t.expected = k.expected)""",
+        "dq_rate_changes": """with d as (
+               select cast(ts as date) as day, count(*) as records, count(*) filter (not coalesce(event_type <> 'error', false)) as no_error,
+                      count(*) filter (not coalesce(value < 100, false)) as in_range, count(*) filter (props->>'$.k' is null) as keyed from events where ts is not null group by 1),
+             r as (select day, 'no_error' as expectation, records, no_error as failed from d union all select day, 'in_range', records, in_range from d
+                   union all select day, 'keyed', records, keyed from d),
+             t as (select *, sum(failed) over w / sum(records) over w as trailing_rate
+                   from r window w as (partition by expectation order by day range between interval 7 days preceding and interval 1 day preceding))
+             select cast(day as varchar) as day, expectation, records, failed, failed / records as rate, trailing_rate, failed / records - trailing_rate as change from t""",
+        "base_layout": _ALL + """select cast(8 as bigint) as buckets, cast(1 as bigint) as files_a_bucket, count(*) as "rows", cast(0 as bigint) as misplaced from silver""",
     }

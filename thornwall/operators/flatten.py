@@ -39,8 +39,8 @@ def _columns() -> dict[str, Column]:
     }
 
 
-def flatten(occurrence_rows: DataFrame, *names: str, position: bool = False) -> DataFrame:
-    """The 15 record columns (or those named) plus ingest columns; works on batches and streams."""
+def flatten(occurrence_rows: DataFrame, *names: str, position: bool = False, **more: Column) -> DataFrame:
+    """The 15 record columns (or those named), ``more`` of the record, and the ingest columns; works on batches and streams."""
     columns = _columns()
-    picked = [columns[name].alias(name) for name in (names or columns)]
+    picked = [columns[name].alias(name) for name in (names or columns)] + [column.alias(name) for name, column in more.items()]
     return occurrence_rows.select(*picked, "_ingest_ts", "_ingest_file", *([POSITION] if position else []))

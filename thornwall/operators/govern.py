@@ -75,3 +75,49 @@ def masked_view(df: DataFrame, tags: dict[str, str], row_filter: str | None = No
             column = column.cast(field.dataType).alias(field.name)
         shown.append(column)
     return visible.select(*shown)
+
+
+# --- views by entitlement ---------------------------------------------------------
+
+TAG = "tag"
+
+
+def tagged(df: DataFrame, tags: dict[str, str]) -> DataFrame:
+    """``df`` with its columns' tags in their metadata, which a table keeps."""
+    for name, tag in tags.items():
+        df = df.withMetadata(name, {**df.schema[name].metadata, TAG: tag})
+    return df
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def secured_sql(spark: SparkSession, table: str, entitlements: str, scope: str, salt: str, user: str | None = None) -> str:
+    """A SELECT of the rows whose ``scope`` the user may see, columns shown by the tags in the table.
+
+    ``entitlements``: a table (user_name, scope). The user is whoever asks, or
+    the one given. Entitlements are met by a semi join, so one listed twice shows
+    no row twice, and a null scope is nobody's. Columns without a tag stay blank.
+    """
+    if not salt:
+        raise ValueError("hashed columns need a salt")
+    shown = []
+    for field in spark.table(table).schema:
+        name = "`" + field.name.replace("`", "``") + "`"
+        tag = field.metadata.get(TAG, SENSITIVE)
+        if tag == PUBLIC:
+            shown.append(f"t.{name}")
+        elif tag == PII:
+            shown.append(f"sha2(concat({_quoted(salt)}, CAST(t.{name} AS STRING)), 256) AS {name}")
+        elif tag == SENSITIVE:
+            shown.append(f"CAST(NULL AS {field.dataType.simpleString()}) AS {name}")
+        else:
+            raise ValueError(f"unknown tag: {tag}")
+    who = "current_user()" if user is None else _quoted(user)
+    return f"SELECT {', '.join(shown)} FROM {table} t LEFT SEMI JOIN {entitlements} e ON e.user_name = {who} AND e.scope = t.`{scope}`"
+
+
+def secured_view(spark: SparkSession, view: str, table: str, entitlements: str, scope: str, salt: str) -> None:
+    """``secured_sql`` as a view in the catalog: one for all users, each sees their own rows."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {secured_sql(spark, table, entitlements, scope, salt)}")

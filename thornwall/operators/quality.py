@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,19 @@ def observed(df: DataFrame, name: str | Observation, rules: dict[str, str]) -> D
     in front of a shuffle that run again, after an executor is lost, count again.
     """
     return df.observe(name, F.count(F.lit(1)).alias("records"), *(c.alias(n) for n, c in _failures(rules).items()))
+
+
+def rate_changes(df: DataFrame, rules: dict[str, str], day: str, days: int = 7) -> DataFrame:
+    """(day, expectation, records, failed, rate, trailing_rate, change): failures of a day against those of the ``days`` before it.
+
+    ``trailing_rate`` is over the days among them that have rows; null without
+    any. Rows are counted per day before anything is ordered.
+    """
+    counts = df.groupBy(F.to_date(day).alias("day")).agg(F.count(F.lit(1)).alias("records"), *(c.alias(f"_{name}") for name, c in _failures(rules).items()))
+    per_rule = F.explode(F.array(*(F.struct(F.lit(name).alias("expectation"), F.col(f"_{name}").alias("failed")) for name in rules)))
+    daily = counts.where("day is not null").select("day", "records", per_rule.alias("r")).select("day", "r.expectation", "records", "r.failed")
+    number = F.unix_date("day")
+    before = Window.partitionBy("expectation").orderBy(number).rangeBetween(-days, -1)
+    trailing = F.sum("failed").over(before) / F.sum("records").over(before)
+    rated = daily.withColumn("rate", F.col("failed") / F.col("records")).withColumn("trailing_rate", trailing)
+    return rated.withColumn("change", F.col("rate") - F.col("trailing_rate"))

@@ -92,3 +92,9 @@ def top_sources(cves: DataFrame, k: int | None = None) -> DataFrame:
         .orderBy(F.desc("cve_count"), "source_identifier")
     )
     return ranked if k is None else ranked.limit(k)
+
+
+def top_vendors(records: DataFrame, k: int = 20) -> DataFrame:
+    """The k vendors with most CVEs, from rows (cve_id, vendors) that hold each CVE once. Ties go to the smaller name."""
+    counts = records.select("cve_id", F.explode(F.array_distinct("vendors")).alias("vendor")).groupBy("vendor").agg(F.count(F.lit(1)).alias("cve_count"))
+    return counts.orderBy(F.desc("cve_count"), "vendor").limit(k)

@@ -6,6 +6,7 @@ import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,9 +18,10 @@ from thornwall.plans import gold
 from thornwall.schema import DATASETS, EXPECTATIONS, INGEST_COLUMNS, KEY, SEQUENCE, SILVER_SCHEMA, page_schema
 from thornwall.session import configure
 from thornwall.sources.files import Versions, marked, qualified
-from thornwall.sources.landing import PageFields, page_index
+from thornwall.sources.landing import PAGE, PageFields, page_index
+from thornwall.streaming.batches import Batches
 from thornwall.streaming.current_state import FOLD_RATIO, CurrentState
-from thornwall.streaming.ingest import raw_stream, start_raw, start_upsert
+from thornwall.streaming.ingest import LOG_SCHEMA, raw_stream, start_raw, start_upsert
 
 GOLD: dict[str, Callable[..., DataFrame]] = {
     "cve_severity_daily": gold.severity_daily,
@@ -44,7 +46,7 @@ class Medallion:
         self.root = qualified(spark, root)
         self.landing = landing or f"{self.root}/landing"
         self.raw_path = f"{self.root}/nvd_cves_raw"
-        self.log_path = f"{self.root}/expectations"
+        self.log = Batches(spark, f"{self.root}/expectations", LOG_SCHEMA)
         self.fields = PageFields(spark, self.raw_path, f"{self.root}/schema")
         self.state = CurrentState(spark, f"{self.root}/cves", SILVER_SCHEMA, KEY, SEQUENCE)
 
@@ -69,7 +71,7 @@ class Medallion:
         pages = raw_stream(self.spark, self.raw_path, **options)
         ratio = FOLD_RATIO if mode == "continuous" else None
         return start_upsert(
-            pages, self.state, self.log_path, f"{self.root}/checkpoints/cves", mode, interval, fold_ratio=ratio
+            pages, self.state, self.log, f"{self.root}/checkpoints/cves", mode, interval, fold_ratio=ratio
         )
 
     def refresh_gold(self, as_of: datetime.date | str | None = None) -> None:
@@ -128,20 +130,34 @@ class Medallion:
             return self.spark.read.parquet(path)
         raise LookupError(name)
 
+    def occurrences(self, **fields: str) -> DataFrame:
+        """One row per CVE in the raw pages, ``cve`` with the given fields of its record by type, known to the tables or not.
+
+        They are read from the whole pages, so pages taken in without those have none.
+        """
+        record = ",".join(f"`{name}`:{kind}" for name, kind in fields.items())
+        pages = self.spark.read.schema(f"{PAGE} variant, {INGEST_COLUMNS}").parquet(self.raw_path)
+        found = F.try_variant_get(PAGE, "$.vulnerabilities", f"array<struct<cve:struct<{record}>>>")
+        return occurrences(pages.withColumn("vulnerabilities", found))
+
     def page_index(self) -> DataFrame:
         """One row per page in the raw table, for the audits; of the records, only ids are read."""
         raw = self.spark.read.schema(f"{page_schema('id')}, {INGEST_COLUMNS}").parquet(self.raw_path)
         return page_index(raw)
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete superseded versions of the stored datasets. Readers of the newest ``keep`` are not disturbed."""
+        """Delete superseded versions of the stored datasets, and bring the log of each closed day into one file.
+
+        Readers of the newest ``keep`` versions are not disturbed.
+        """
         self.state.vacuum(keep)
-        for name in [*VERSIONED, "cves_published"]:
+        self.log.compact(datetime.datetime.now(datetime.timezone.utc).date())
+        for name in VERSIONED:
             self._versions(name).vacuum(keep)
 
     def expectation_log(self) -> DataFrame:
         """Passed and failed records per batch and rule."""
-        return self.spark.read.option("recursiveFileLookup", "true").parquet(self.log_path)
+        return self.log.read()
 
     def register_views(self) -> None:
         """Make every dataset known to SQL under its name; alerts only once there are some."""
@@ -153,21 +169,22 @@ class Medallion:
     def publish(self, database: str) -> None:
         """Put the stored datasets in a catalog, with description and layer, as they are now.
 
-        Nothing is folded for ``cves``, so another process may keep upserting: it
-        is the last base or, with changes pending, base and changes merged into a
-        version of their own. A table that is there already, with the same columns, is moved to its new version by one change
-        of its location.
+        ``cves`` is a view: base and pending changes are put together when it is
+        read, so publishing writes no row. Tables that are there already, with
+        the same columns, are moved to their new version by one change of location.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        cves = self._versions("cves_published").next() if self.state.pending() else None
-        if cves:
-            marked(self.state.read().write).parquet(cves)
-        paths = {"nvd_cves_raw": self.raw_path, "cves": cves or self.state.base.latest() or self.state.fold()}
-        paths |= {name: self._versions(name).latest() for name in VERSIONED}
+        paths = {"nvd_cves_raw": self.raw_path} | {name: self._versions(name).latest() for name in VERSIONED}
         for name, path in paths.items():
             if path is None:
                 continue
             self._publish_table(f"{database}.{name}", path, self.table(name).schema, *DATASETS[name])
+        self._publish_view(f"{database}.cves", self.state.view_sql(), *DATASETS["cves"])
+
+    def _publish_view(self, view: str, select: str, layer: str, text: str) -> None:
+        if self.spark.catalog.tableExists(view) and self.spark.catalog.getTable(view).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {view}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{text}' TBLPROPERTIES ('quality' = '{layer}') AS {select}")
 
     def _publish_table(self, table: str, path: str, schema: T.StructType, layer: str, text: str) -> None:
         catalog = self.spark.catalog

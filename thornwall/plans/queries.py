@@ -16,13 +16,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thornwall.functions import cpe
 from thornwall.functions.cve import iso_z
 from thornwall.operators import audit, conform, detect, govern, quality, trends, triage, upsert
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.plans import gold, workspace
 from thornwall.plans.medallion import Medallion
-from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SILVER_SCHEMA, SEQUENCE, page_schema
+from thornwall.schema import CVE_FIELDS, EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SILVER_SCHEMA, SEQUENCE, page_schema
 from thornwall.sources import landing, records, sample_feed, telemetry
+from thornwall.sources.files import bucket_count
+from thornwall.streaming.batches import Batches
 from thornwall.streaming.current_state import CurrentState
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
 
@@ -280,7 +283,8 @@ def landing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.landing_inventory(spark, workspace.landed(spark, sf_dir).landing)
+    found = landing.landing_inventory(spark, workspace.dated(spark, sf_dir))
+    return found.select("file_name", _stamp("modificationTime").alias("modified"), (F.col("size_kb") > 0).alias("has_size"))
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
@@ -448,14 +452,14 @@ def triage_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("day", _text("day"))
 
 
-def _alerted(spark: SparkSession, sf_dir: str) -> Medallion:
-    medallion = workspace.upserted(spark, sf_dir)
+def _refresh_alerts(spark: SparkSession, sf_dir: str, medallion: Medallion) -> None:
+    rows = workspace.events(spark, sf_dir).withColumns(conform.event_columns())
+    medallion.refresh_alerts(rows, detect.EVENT_RULES, "events", "asset", "ts", _cve_source())
 
-    def build() -> None:
-        rows = workspace.events(spark, sf_dir).withColumns(conform.event_columns())
-        medallion.refresh_alerts(rows, detect.EVENT_RULES, "events", "asset", "ts", _cve_source())
 
-    workspace.once(spark, sf_dir, "alerts", build)
+def _alerted(spark: SparkSession, sf_dir: str) -> Medallion:
+    medallion = workspace.upserted(spark, sf_dir)
+    workspace.once(spark, sf_dir, "alerts", lambda: _refresh_alerts(spark, sf_dir, medallion))
     return medallion
 
 
@@ -467,13 +471,14 @@ def alerts_triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored datasets in a catalog: layer and description of each, and its number of rows."""
-    medallion = _alerted(spark, sf_dir)
-    _reported(spark, sf_dir)
+    """The stored datasets in a catalog, with changes pending: layer and description of each, and its number of rows."""
+    medallion = workspace.half_folded(spark, sf_dir)
     location = workspace.folder(spark, sf_dir, "catalog")
     database = f"thornwall_{hashlib.sha256(location.encode()).hexdigest()[:12]}"
 
     def build() -> None:
+        medallion.refresh_gold(AS_OF)
+        _refresh_alerts(spark, sf_dir, medallion)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
         medallion.publish(database)
 
@@ -746,3 +751,82 @@ def attack_taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Techniques of the bundles that could be read."""
     found = telemetry.techniques_of(workspace.telemetry(spark, sf_dir).conformed("attack"))
     return found.select("technique_id", "name", "stix_id")
+
+
+# --- views by entitlement, vendors, cases of rules, rates, layout ------------------
+
+
+@query
+def secured_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table seen by two analysts, and by whoever runs this through the view in the catalog."""
+    location = workspace.folder(spark, sf_dir, "secured")
+    database = f"thornwall_{hashlib.sha256(location.encode()).hexdigest()[:12]}"
+    table, entitlements = f"{database}.events", f"{database}.entitlements"
+
+    def build() -> None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+        rows = workspace.events(spark, sf_dir)
+        tags = {"event_id": "public", "ts": "public", "event_type": "public", "user_id": "pii", "props": "sensitive"}
+        govern.tagged(rows, tags).write.format("parquet").saveAsTable(table)
+        kinds = rows.select(F.col("event_type").alias("scope")).distinct()
+        odd = F.length("scope") % 2 == 1
+        reader = F.when(odd, F.array(F.lit("analyst_a"), F.lit("analyst_a"))).otherwise(F.array(F.lit("analyst_b")))
+        own = kinds.where("scope <> 'purchase'").select(F.current_user().alias("user_name"), "scope")
+        nobody = spark.createDataFrame([("analyst_b", None)], "user_name string, scope string")
+        kinds.select(F.explode(reader).alias("user_name"), "scope").union(own).union(nobody).write.format("parquet").saveAsTable(entitlements)
+        govern.secured_view(spark, f"{database}.events_shown", table, entitlements, "event_type", "example")
+
+    workspace.once(spark, sf_dir, "secured", build)
+    seen = [spark.sql(govern.secured_sql(spark, table, entitlements, "event_type", "example", user)).withColumn("reader", F.lit(user)) for user in ("analyst_a", "analyst_b")]
+    rows = _all_of([*seen, spark.table(f"{database}.events_shown").withColumn("reader", F.lit("me"))])
+    return rows.withColumn("ts", _stamp("ts"))
+
+
+@query
+def top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors by number of CVEs whose newest version names one of their products as affected."""
+    known = {name: CVE_FIELDS[name] for name in _REQUIRED_FIELDS}
+    rows = workspace.configured(spark, sf_dir).occurrences(**known, configurations=cpe.CONFIGURATIONS)
+    flat = flatten(rows, *_REQUIRED_COLUMNS, position=True, vendors=cpe.vendors(F.col("cve.configurations")))
+    current = upsert.latest_by_key(quality.expect_all_or_drop(flat, EXPECTATIONS), KEY, BATCH_SEQUENCE)
+    return gold.top_vendors(current)
+
+
+@query
+def rule_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules tried on cases from files; a rule without cases of both kinds fails."""
+
+    def build() -> str:
+        path = workspace.folder(spark, sf_dir, "cases")
+        rows = workspace.events(spark, sf_dir).where("event_id % 20 = 0").withColumns(conform.event_columns())
+        expected = {
+            "R1": (F.col("event_type") == "error") & ~(F.col("value") < 50),
+            "R2": ~(F.col("value") < 100),
+            "R3": (F.col("event_type") == "click") & (F.get_json_object("props", "$.k") == "13"),
+        }
+        row = F.to_json(F.struct("event_type", "value", "indicator"))
+        cases = [rows.select(F.lit(rule).alias("rule_id"), F.concat(F.lit(f"{rule}-"), "event_id").alias("case"), e.alias("expected"), row.alias("row")) for rule, e in expected.items()]
+        _all_of(cases).write.json(path)
+        return path
+
+    cases = detect.read_cases(spark, workspace.once(spark, sf_dir, "cases", build))
+    return detect.tried(cases, detect.EVENT_RULES, "event_type string, value double, indicator string")
+
+
+@query
+def dq_rate_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily failure rates against the week before."""
+    rules = {"no_error": "event_type <> 'error'", "in_range": "value < 100", "keyed": "get_json_object(props, '$.k') IS NOT NULL"}
+    rows = quality.rate_changes(workspace.events(spark, sf_dir), rules, "ts")
+    return rows.withColumn("day", _text("day"))
+
+
+@query
+def base_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the base of the current-state table lies: buckets, files of the fullest one, rows, and rows in a wrong one."""
+    base = workspace.upserted(spark, sf_dir).state.base.latest()
+    buckets = bucket_count(base)
+    in_file = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5,})\.", 1).cast("int")
+    rows = spark.read.schema(SILVER_SCHEMA).parquet(base).select(in_file.alias("bucket"), F.pmod(F.hash(KEY), F.lit(buckets)).alias("own"), F.col("_metadata.file_path").alias("file"))
+    per = rows.groupBy("bucket").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("bucket") != F.col("own")).alias("wrong"))
+    return per.agg(F.lit(buckets).cast("bigint").alias("buckets"), F.max("files").alias("files_a_bucket"), F.sum("n").alias("rows"), F.sum("wrong").alias("misplaced"))

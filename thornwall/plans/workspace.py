@@ -6,10 +6,12 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from thornwall.plans.medallion import Medallion
 from thornwall.session import configure, workdir
 from thornwall.sources import landing, sample_feed
+from thornwall.sources.files import set_modified_at
 from thornwall.streaming.telemetry import Telemetry
 
 _lock = threading.RLock()
@@ -91,6 +93,49 @@ def evolved(spark: SparkSession, sf_dir: str) -> Medallion:
     return found
 
 
+def half_folded(spark: SparkSession, sf_dir: str) -> Medallion:
+    """A current-state table whose base holds the even pages; the changes of the odd ones are pending."""
+    found = Medallion(spark, folder(spark, sf_dir, "half/tables"), folder(spark, sf_dir, "half/landing"))
+
+    def build() -> None:
+        for rest in (0, 1):
+            sample_feed.land_with_new_fields(events(spark, sf_dir), found.landing, lambda page, rest=rest: page % 2 == rest)
+            found.ingest(evolve=False).awaitTermination()
+            found.upsert().awaitTermination()
+            if rest == 0:
+                found.state.fold()
+
+    once(spark, sf_dir, "half folded", build)
+    return found
+
+
+def configured(spark: SparkSession, sf_dir: str) -> Medallion:
+    """A raw table whose records have configurations, a field the tables do not know."""
+    found = Medallion(spark, folder(spark, sf_dir, "configured/tables"), folder(spark, sf_dir, "configured/landing"))
+
+    def build() -> None:
+        documents = sample_feed.page_documents(events(spark, sf_dir), record_fields=lambda e: {"configurations": sample_feed.configurations(e)})
+        landing.write_pages(documents, found.landing).count()
+        found.ingest().awaitTermination()
+
+    once(spark, sf_dir, "configured", build)
+    return found
+
+
+def dated(spark: SparkSession, sf_dir: str, newest: int = 20) -> str:
+    """A landing directory whose last pages have file times of their own, a second apart."""
+    path = folder(spark, sf_dir, "dated")
+
+    def build() -> None:
+        sample_feed.land(events(spark, sf_dir), path)
+        pages = landing.listed_pages(spark, path).select("path", landing.file_parts(landing.file_name(F.col("path")))["page"].alias("page"))
+        for row in pages.orderBy(F.desc("page")).limit(newest).collect():
+            set_modified_at(spark, row["path"], 1_900_000_000 + row["page"])
+
+    once(spark, sf_dir, "dated", build)
+    return path
+
+
 def evolved_on_the_way(spark: SparkSession, sf_dir: str) -> Medallion:
     """A raw table whose new fields come at the worst times: between a look for them and a start, and under a query that runs on."""
     found = Medallion(spark, folder(spark, sf_dir, "on_the_way/tables"), folder(spark, sf_dir, "on_the_way/landing"))

@@ -42,6 +42,10 @@ def modified_at(spark: SparkSession, path: str) -> float:
     return file_system(spark, path).getFileStatus(hadoop_path(spark, path)).getModificationTime() / 1000
 
 
+def set_modified_at(spark: SparkSession, path: str, seconds: float) -> None:
+    file_system(spark, path).setTimes(hadoop_path(spark, path), int(seconds * 1000), -1)
+
+
 def marked(writer: DataFrameWriter) -> DataFrameWriter:
     """Make sure the writer leaves the marker, also where the cluster turned it off."""
     return writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")

@@ -146,7 +146,7 @@ def corrupt_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def _files(spark: SparkSession, landing: str, **options) -> DataFrame:
+def listed_pages(spark: SparkSession, landing: str, **options) -> DataFrame:
     # The file content is not selected, so it is not read.
     return (
         spark.read.format("binaryFile")
@@ -157,7 +157,7 @@ def _files(spark: SparkSession, landing: str, **options) -> DataFrame:
 
 
 def landing_totals(spark: SparkSession, landing: str) -> DataFrame:
-    return _files(spark, landing).agg(
+    return listed_pages(spark, landing).agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
     )
 
@@ -166,7 +166,7 @@ def landing_inventory(spark: SparkSession, landing: str, n: int = 20) -> DataFra
     """The n page files modified last."""
     name = file_name(F.col("path"))
     return (
-        _files(spark, landing)
+        listed_pages(spark, landing)
         .select(name.alias("file_name"), "modificationTime", F.round(F.col("length") / 1024, 1).alias("size_kb"))
         .orderBy(F.col("modificationTime").desc(), F.col("file_name").desc())
         .limit(n)

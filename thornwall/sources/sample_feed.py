@@ -163,6 +163,27 @@ def land_with_new_fields(events: DataFrame, landing: str, which: Callable[[Colum
     return write_pages(documents.where(which(file_parts(F.col("file_name"))["page"])), landing).count()
 
 
+def configurations(event: Column) -> Column:
+    """A tree of affected products: two levels of nodes, platforms, negated nodes, wildcards and escaped names."""
+    h, user = event["event_id"], event["user_id"]
+
+    def match(vulnerable: bool, *parts: Column) -> Column:
+        name = F.concat(F.lit("cpe:2.3:"), *parts, F.lit(":*:*:*:*:*:*:*"))
+        return F.struct(F.lit(vulnerable).alias("vulnerable"), name.alias("criteria"))
+
+    def node(negate: Column, matches: list[Column], *below: Column) -> Column:
+        children = [F.array(*below).alias("children")] if below else []
+        return F.struct(F.lit("OR").alias("operator"), negate.alias("negate"), F.array(*matches).alias("cpeMatch"), *children)
+
+    vendor = F.when(h % 6 == 1, "*").otherwise(F.concat(F.lit("vendor"), user % 7))
+    own = match(True, F.lit("a:"), vendor, F.lit(":product\\:x:1.0"))
+    platform = match(False, F.lit("o:platform:os:-"))
+    deep = node(h % 5 == 0, [match(True, F.lit("a:deep"), user % 3, F.lit("\\:co:thing:*"))])
+    never = node(F.lit(True), [match(True, F.lit("a:never:x:1"))], deep)
+    tree = F.struct(F.lit("AND").alias("operator"), F.array(node(F.lit(False), [own, own, platform], deep), never).alias("nodes"))
+    return F.when(h % 4 != 0, F.array(tree))
+
+
 def _daily_pages(events: DataFrame, page_size: int, block: int) -> DataFrame:
     """(chunk_start, n, page, total, records): the pages of a run that asks for one window per day, n counting days.
 

@@ -177,6 +177,36 @@ class CurrentState:
         """Whether there are changes that the base does not hold."""
         return bool(self._change_sets(self.base.latest()))
 
+    def view_sql(self) -> str:
+        """The dataset as one SELECT on its base table and pending change sets, for a view that outlives the session.
+
+        The base is a bucketed table, so only the changes are shuffled. Later
+        changes are not in it; a fold leaves it right, as its files stay until
+        they are vacuumed.
+        """
+        base, columns = self.base.latest(), T.StructType.fromDDL(self.schema).names
+        sets = self._change_sets(base)
+        shown = ", ".join(columns)
+        order = ", ".join(f"{o} AS _order{i}" for i, o in enumerate(self.order))
+        if base:
+            self._bucketed(base)
+        current = self.spark.catalog.currentDatabase()
+        table = f"{current}.{self._table_name(base)}" if base else None
+        if not sets:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in T.StructType.fromDDL(self.schema))
+            return f"SELECT {shown} FROM {table}" if base else f"SELECT {nothing} WHERE false"
+        changes = " UNION ALL ".join(f"SELECT {shown} FROM parquet.`{path}`" for path in sets)
+        newest = (
+            f"SELECT {self.key}, max(struct({order}, struct({shown}) AS _row)) AS r "
+            f"FROM ({changes}) WHERE {self.key} IS NOT NULL GROUP BY {self.key}"
+        )
+        if not base:
+            return "SELECT " + ", ".join(f"r._row.{c} AS {c}" for c in columns) + f" FROM ({newest})"
+        sequence = lambda side: "struct(" + ", ".join(f"{side}._order{i}" for i in range(len(self.order))) + ")"
+        taken = f"n.{self.key} IS NOT NULL AND (b.{self.key} IS NULL OR {sequence('n.r')} > {sequence('b')})"
+        picked = ", ".join(f"CASE WHEN {taken} THEN n.r._row.{c} ELSE b.{c} END AS {c}" for c in columns)
+        return f"SELECT {picked} FROM (SELECT {shown}, {order} FROM {table}) b FULL OUTER JOIN ({newest}) n ON b.{self.key} = n.{self.key}"
+
     # --- parts -----------------------------------------------------------------
 
     def _write_list(self, path: str, names: set[str]) -> None:

@@ -12,8 +12,8 @@ from thornwall.operators.flatten import flatten, occurrences
 from thornwall.operators.upsert import latest_valid_by_key
 from thornwall.schema import EXPECTATIONS, INGEST_COLUMNS, KEY, POSITION, SEQUENCE, page_schema
 from thornwall.session import same_settings
-from thornwall.sources.files import marked
 from thornwall.sources.landing import read_pages, read_whole_pages, stream_options
+from thornwall.streaming.batches import Batches, batch_tag
 from thornwall.streaming.current_state import CurrentState
 
 # Of the usual 128 MB each, somewhat more than 1 TB per micro-batch.
@@ -70,48 +70,40 @@ def raw_stream(spark: SparkSession, table: str, **options) -> DataFrame:
     return spark.readStream.schema(f"{page_schema()}, {INGEST_COLUMNS}").options(**options).parquet(table)
 
 
-def upsert_batch(
-    state: CurrentState, log: str, fold_ratio: float | None
-) -> Callable[[DataFrame, int], None]:
+LOG_SCHEMA = "batch_id bigint, expectation string, passed_records bigint, failed_records bigint, logged_at timestamp"
+
+
+def upsert_batch(state: CurrentState, log: Batches, fold_ratio: float | None) -> Callable[[DataFrame, int], None]:
     """One micro-batch: drop and count what fails the expectations, store the newest row per CVE, in one pass."""
 
     def run(pages: DataFrame, batch_id: int) -> None:
         spark = pages.sparkSession
-        # A checkpoint numbers its batches from 0; the query id tells checkpoints apart.
-        tag = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:09d}"
+        tag = batch_tag(spark, batch_id)
         counts = Observation()
         flat = flatten(occurrences(pages), position=True)
         state.add_reduced(latest_valid_by_key(flat, KEY, BATCH_SEQUENCE, EXPECTATIONS, counts), tag)
-        _log_counts(spark, f"{log}/{tag}", batch_id, counts.get)
+        # The day is that of the pages, so that a replay finds its own rows again.
+        taken_in = pages.agg(F.max("_ingest_ts")).first()[0]
+        if taken_in is not None:
+            log.add(_counted(spark, batch_id, counts.get), tag, taken_in.date())
         if fold_ratio is not None:
             state.fold_if_due(fold_ratio)
 
     return run
 
 
-def _log_counts(spark: SparkSession, path: str, batch_id: int, counts: dict) -> None:
+def _counted(spark: SparkSession, batch_id: int, counts: dict) -> DataFrame:
     """One row per rule."""
-    rows = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(batch_id).cast("bigint").alias("batch_id"),
-                    F.lit(name).alias("expectation"),
-                    F.lit((counts["records"] or 0) - (counts[name] or 0)).cast("bigint").alias("passed_records"),
-                    F.lit(counts[name] or 0).cast("bigint").alias("failed_records"),
-                )
-                for name in EXPECTATIONS
-            )
-        )
-    )
-    log = spark.range(1, numPartitions=1).select(rows.alias("r"), F.current_timestamp().alias("logged_at"))
-    marked(log.select("r.*", "logged_at").write.mode("overwrite")).parquet(path)
+    failed = {name: counts[name] or 0 for name in EXPECTATIONS}
+    rows = [(batch_id, name, (counts["records"] or 0) - n, n) for name, n in failed.items()]
+    counted = spark.createDataFrame(rows, "batch_id bigint, expectation string, passed_records bigint, failed_records bigint")
+    return counted.coalesce(1).withColumn("logged_at", F.current_timestamp())
 
 
 def start_upsert(
     pages: DataFrame,
     state: CurrentState,
-    log: str,
+    log: Batches,
     checkpoint: str,
     mode: str = "triggered",
     interval: str = "1 minute",
