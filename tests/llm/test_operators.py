@@ -623,11 +623,29 @@ def test_chat_round_trip_and_tree(spark):
     assert rows(chat.read_back(chat.pack(frame.limit(0)))) == []
 
 
+def test_chat_of_long_turns_and_odd_columns(spark):
+    """Turns of a megabyte each travel in small batches; columns named like the operator's own do no harm."""
+    schema = "conv_id long, turn long, role string, text string, node string, owner int, `a.b` map<string,int>, conv string, Segment string"
+    base = spark.createDataFrame([(k % 3, k, "assistant" if k % 2 else "user", None, "n", 1, {"x": 1}, "c", "s") for k in range(60)], schema)
+    frame = base.withColumn("text", F.concat(F.repeat(F.lit("long \\ text "), 90_000), F.when(F.col("conv_id") == 2, F.col("turn").cast("string")).otherwise(F.col("conv_id").cast("string"))))
+    found = {r["conv"]: (r["n_turns"], r["loss_chars"]) for r in rows(chat.read_back(chat.pack(frame)))}
+    learned = {c: sum(12 * 90_000 + len(str(k) if c == 2 else str(c)) for k in range(60) if k % 3 == c and k % 2) for c in range(3)}
+    assert found == {f"v{c}": (20, n) for c, n in learned.items()}
+
+
+def test_batches_are_bounded_in_bytes():
+    import pyarrow as pa
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.string())])
+    made = list(chat._batches(iter([(k, "x" * (1 << 20)) for k in range(20)] + [(k, "") for k in range(3000)]), schema))
+    assert sum(b.num_rows for b in made) == 3020 and max(b.nbytes for b in made) < 5 << 20 and max(b.num_rows for b in made) <= 2000
+    assert [r[0] for r in chat._rows(iter(made))] == [*range(20), *range(3000)]
+
+
 def test_chat_reads_only_its_own_nodes(spark):
     data = [(0, k, "user", f"turn {k}") for k in range(100)]
     data += [(conv, k, "user", f"turn {k}" if k < conv % 4 else f"own {conv} {k}") for conv in range(1, 60) for k in range(5)]
     packed = chat.pack(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"))
-    shared = [c for c in packed.paths.columns if c in packed.nodes.columns]
-    assert packed.paths.join(packed.nodes, shared).count() == len(data)
+    assert chat.spans(packed).join(packed.nodes, ["owner", "through"]).count() == len(data)
     found = {r["conv"]: r["n_turns"] for r in rows(chat.read_back(packed))}
     assert found == {f"v{c}": n for c, n in Counter(d[0] for d in data).items()}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import Scratch, named, ranked, running
+from thornwall.llm.common import Scratch, named, ranked, running, small_batches
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Strings that a template or tokenizer may give a meaning to. None has its first character anywhere else.
@@ -32,6 +32,7 @@ CONTROL = (OPEN, CLOSE, "<|endoftext|>", "<|startoftext|>", "<|system|>", "<|use
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 LEARNED = "assistant"
+_BATCH_BYTES = 4 << 20
 
 
 def escape(text: str) -> str:
@@ -60,20 +61,24 @@ def read_turn(segment: str) -> tuple[str, str]:
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
+    """Batches of at most so many rows and, but for a single longer row, four megabytes."""
+    held, size = [], 0
     for row in rows:
-        held.append(row)
-        if len(held) == most:
+        own = sum(len(value) for value in row if isinstance(value, str | bytes))
+        if held and (len(held) == most or size + own > _BATCH_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
-            held = []
+            held, size = [], 0
+        held.append(row)
+        size += own
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            yield from zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns), strict=True)
+        step = max(1, min(2000, _BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield from zip(*(c.to_pylist() for c in batch.slice(at, step).columns), strict=True)
 
 
 def _chained(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -104,20 +109,22 @@ _CHAINED = "conv string, depth int, node binary, parent binary, tree binary, pos
 
 def _mapped(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    small_batches(df)
     arrow = pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
     return df.mapInArrow(lambda batches: _batches(fn(_rows(batches)), arrow), schema)
 
 
 class Packed:
     """``nodes``: (tree, node, parent, depth, owner, through, start, length, position, segment, learn_from, learn_to);
-    ``attends``: (owner, intervals): what the nodes of an owner attend to before themselves;
-    ``paths``: (conv, owner, through, begin, end): the intervals of each conversation.
+    ``attends``: (owner, intervals): what the nodes of an owner attend to before themselves,
+    each interval with the run of nodes it lies in, (owner, through);
+    ``convs``: (conv, owner): whose nodes end a conversation.
     ``through`` counts the conversations of a node. It falls along an owner's run where a
     path leaves, so nodes of one owner and count are in the same conversations.
     """
 
-    def __init__(self, nodes: DataFrame, attends: DataFrame, paths: DataFrame):
-        self.nodes, self.attends, self.paths = nodes, attends, paths
+    def __init__(self, nodes: DataFrame, attends: DataFrame, convs: DataFrame):
+        self.nodes, self.attends, self.convs = nodes, attends, convs
 
 
 def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> Packed:
@@ -149,31 +156,33 @@ def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     segments = steps.groupBy("node").agg(*(F.first(c).alias(c) for c in ["segment", "learn_from", "learn_to"]))
     nodes = scratch.keep(segments.join(starts, "node"))
 
-    # One row per conversation and part of an owner's run: its nodes there are neighbours.
+    # Of each distinct conversation, by one example: the runs it passes before its own nodes.
     places = starts.select("node", "owner", "through", "start", (F.col("start") + F.col("length")).alias("end"))
-    paths = steps.select("conv", "node").join(places, "node").groupBy("conv", "owner", "through").agg(F.min("start").alias("begin"), F.max("end").alias("end"))
-    paths = scratch.keep(paths)
-    example = leaves.select(F.col("example").alias("conv"), F.col("rank").alias("owner_of"))
-    before = paths.join(example, "conv").filter("owner != owner_of").groupBy("owner_of", "owner").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
-    before = before.groupBy("owner_of").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("intervals"))
-    attends = leaves.select(F.col("rank").alias("owner")).join(before, F.col("owner") == F.col("owner_of"), "left")
-    empty = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    return Packed(nodes, attends.select("owner", F.coalesce("intervals", empty).alias("intervals")), paths)
+    example = leaves.select(F.col("example").alias("conv"), F.col("rank").alias("of"))
+    passed = steps.select("conv", "node").join(example, "conv").join(places, "node").filter("owner != of")
+    before = passed.groupBy("of", "owner", "through").agg(F.min("start").alias("begin"), F.max("end").alias("end"))
+    before = before.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "owner", "through"))).alias("intervals"))
+    attends = leaves.select(F.col("rank").alias("owner")).join(before, F.col("owner") == F.col("of"), "left")
+    empty = F.array().cast("array<struct<begin:bigint,end:bigint,owner:bigint,through:bigint>>")
+    attends = scratch.keep(attends.select("owner", F.coalesce("intervals", empty).alias("intervals")))
+    return Packed(nodes, attends, ranks.select("conv", F.col("rank").alias("owner")))
 
 
 def _digested(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Rows (conv, segment, learn_from, learn_to) in order -> one per conversation."""
-    conv, state = None, None
+    """Rows (owner, position, segment, learn_from, learn_to) in order -> one per owner; positions must count on without a gap."""
+    owner, state = None, None
 
     def done() -> tuple:
         turns, all_, learned, learned_chars, chars = state
-        return conv, turns, all_.hexdigest(), learned_chars, learned.hexdigest(), chars
+        return owner, turns, all_.hexdigest(), learned_chars, learned.hexdigest(), chars
 
-    for own, segment, begin, end in rows:
-        if own != conv:
-            if conv is not None:
+    for own, position, segment, begin, end in rows:
+        if own != owner:
+            if owner is not None:
                 yield done()
-            conv, state = own, [0, hashlib.sha256(), hashlib.sha256(), 0, 0]
+            owner, state = own, [0, hashlib.sha256(), hashlib.sha256(), 0, 0]
+        if position != state[4]:
+            raise ValueError("position ids do not count on")
         role, text = read_turn(segment)
         masked = unescape(segment[begin:end])
         state[0] += 1
@@ -181,18 +190,28 @@ def _digested(rows: Iterator[tuple]) -> Iterator[tuple]:
         state[2].update(masked.encode())
         state[3] += len(masked)
         state[4] += len(segment)
-    if conv is not None:
+    if owner is not None:
         yield done()
 
 
+def spans(packed: Packed) -> DataFrame:
+    """(of, owner, through, begin, end): all that a distinct conversation reads: what its own nodes attend to, and these."""
+    attended = packed.attends.select(F.col("owner").alias("of"), F.inline("intervals"))
+    own = packed.nodes.groupBy("owner", "through").agg(F.min("start").alias("begin"), F.max(F.col("start") + F.col("length")).alias("end"))
+    columns = ["of", "owner", "through", "begin", "end"]
+    return attended.select(columns).union(own.withColumn("of", F.col("owner")).select(columns))
+
+
 def read_back(packed: Packed) -> DataFrame:
     """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the laid-out sequence alone.
 
-    A conversation reads the segments in its intervals, one after the other.
-    ``conv`` is the id as text after a ``v``, or ``n`` for null.
+    A conversation reads the segments that its last node attends to, then its
+    own, one after the other; equal conversations are read once. ``conv`` is the
+    id as text after a ``v``, or ``n`` for null.
     """
-    nodes = packed.nodes.select("owner", "through", "start", "segment", "learn_from", "learn_to")
-    found = packed.paths.join(nodes, ["owner", "through"]).filter("start >= begin and start < end")
-    found = found.select("conv", "start", "segment", "learn_from", "learn_to").repartition("conv").sortWithinPartitions("conv", "start")
-    schema = "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return _mapped(found.select("conv", "segment", "learn_from", "learn_to"), _digested, schema)
+    nodes = packed.nodes.select("owner", "through", "start", "position", "segment", "learn_from", "learn_to")
+    found = spans(packed).join(nodes, ["owner", "through"]).filter("start >= begin and start < end")
+    found = found.select("of", "start", "position", "segment", "learn_from", "learn_to").repartition("of").sortWithinPartitions("of", "start")
+    schema = "owner long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    digests = _mapped(found.select("of", "position", "segment", "learn_from", "learn_to"), _digested, schema)
+    return packed.convs.join(digests, "owner").drop("owner")
