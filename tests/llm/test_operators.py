@@ -1,6 +1,7 @@
 """Every operator against brute force, on small tables with all irregularities."""
 
 import hashlib
+import math
 import random
 import re
 import tracemalloc
@@ -471,6 +472,77 @@ def test_url_rules_without_a_path(spark):
         assert found == expected
 
 
+LANGUAGES_TRAIN = [
+    (" ".join(random.Random(k).choices(vocabulary.split(), k=30)), lang)
+    for lang, vocabulary in {
+        "en": "the house and of with water that this is not walking thing where", "de": "das haus und mit wasser der nicht ist ich über gehen wo die",
+        "fr": "la maison et avec eau que ce est pas où marcher les été", "es": "la casa y con agua que esto es no donde andar niño el",
+    }.items()
+    for k in range(8)
+]
+
+
+def plain_counts(text):
+    """Letter n-grams of one to three bytes, hashed, one after the other."""
+    data = " " + "".join(chr(c) if c >= 0x80 or 0x61 <= c <= 0x7A else " " for c in text.lower().encode()) + " "
+    found = [0] * language._SIZE
+    for n in (1, 2, 3):
+        for i in range(len(data) - n + 1):
+            gram = data[i : i + n]
+            if gram.strip(" "):
+                number = 0
+                for c in gram:
+                    number = (number * 257 + ord(c)) % 2**32
+                found[((number * 2654435761 + n * 40503) % 2**32) >> (32 - language.BITS)] += 1
+    return found
+
+
+def test_language_model_against_plain_loops(spark):
+    """Counts, vectors, nearest centroids, scores and rejection, each by a loop."""
+    frame = table(spark, [t for t, _ in LANGUAGES_TRAIN])
+    frame = frame.drop("lang").join(spark.createDataFrame(list(enumerate(x for _, x in LANGUAGES_TRAIN)), "doc_id long, lang string"), "doc_id")
+    model = language.fit(frame)
+    texts = [t for t, _ in LANGUAGES_TRAIN[:12]] + ["", None, "123", "zzz qqq xxx", "É é", "the house"]
+    found = {r["id"]: r for r in rows(language.predict(table(spark, texts), model))}
+    for i, text in enumerate(texts):
+        if not any(map(str.isalpha, text or "")):
+            assert (found[i]["lang"], found[i]["score"]) == ("und", 0.0)
+            continue
+        counts = plain_counts(text)
+        assert counts == language.counts(text).tolist()
+        vector = [math.log1p(c) * float(w) for c, w in zip(counts, model.idf, strict=True)]
+        length = math.sqrt(sum(v * v for v in vector))
+        cosines = [sum(v / length * float(c) for v, c in zip(vector, centroid, strict=True)) for centroid in model.centroids]
+        best = max(range(len(cosines)), key=lambda k: cosines[k])
+        assert found[i]["score"] == pytest.approx(min(1.0, cosines[best]), abs=1e-5)
+        if sorted(cosines)[-1] - sorted(cosines)[-2] > 1e-5:
+            assert found[i]["lang"] == model.languages[best]
+        if abs(cosines[best] - model.reach[best]) > 1e-5:
+            assert found[i]["rejected"] == (cosines[best] < model.reach[best])
+    # Document frequencies, and clusters whose centroid is the mean direction of the texts nearest to it.
+    seen = [plain_counts(t) for t, _ in LANGUAGES_TRAIN]
+    idf = [math.log((1 + len(seen)) / (1 + sum(x[g] > 0 for x in seen))) + 1 for g in range(language._SIZE)]
+    assert model.idf.tolist() == pytest.approx(idf, rel=1e-5)
+    x = model.vectors([np.array(c) for c in seen])
+    for lang in set(model.languages):
+        own = [k for k, name in enumerate(model.languages) if name == lang]
+        members = {c: [] for c in own}
+        for vector, (_, name) in zip(x, LANGUAGES_TRAIN, strict=True):
+            if name == lang:
+                members[max(own, key=lambda c: float(vector @ model.centroids[c]))].append(vector)
+        for c in own:
+            if members[c]:
+                mean = np.sum(members[c], axis=0)
+                assert model.centroids[c] @ (mean / np.linalg.norm(mean)) > 0.999
+
+
+def test_languages_are_bounded(spark):
+    made = [("alpha beta gamma", "a")] * 3 + [("delta eps", "b"), ("zeta eta", "b"), ("one", "c"), ("two", "d")]
+    frame = spark.createDataFrame([(t + " x" * i, lang) for i, (t, lang) in enumerate(made)], "text string, lang string")
+    assert sorted(set(language.fit(frame, max_languages=2).languages)) == ["a", "b"]
+    assert sorted(set(language.fit(frame, max_languages=3).languages)) == ["a", "b", "c"]
+
+
 # --- 8 BPE ---
 
 tiktoken = pytest.importorskip("tiktoken")

@@ -10,6 +10,7 @@ import corpus_pipeline
 from conftest import TESTDATA
 from test_queries import canonical, views
 from thornwall.llm import queries, quality, simhash, sql
+from thornwall.llm.common import Scratch
 
 SF = str(TESTDATA / "sf0.001")
 
@@ -44,6 +45,18 @@ def test_license_query(spark, documents):
         assert r["base_labels"] == ",".join(sorted({label for _, label in hits})) and {*filter(None, r["base_labels"].split(","))} <= {*r["labels"].split(",")}
 
 
+def test_license_query_judges_tags(spark, tmp_path):
+    """Texts with identifier tags, which the given documents have none of."""
+    texts = {
+        1: "// SPDX-License-Identifier: MIT OR (GPL-2.0-only AND Apache-2.0)", 2: "SPDX-License-Identifier: GPL-3.0-only\nall rights reserved", 3: "no tag here", 4: None,
+        5: "SPDX-License-Identifier: MIT AND GPL-3.0-only",
+    }
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.op1_license_scans(spark, str(tmp_path)).collect()}
+    assert {i: r["permitted"] for i, r in found.items()} == {1: True, 2: False, 3: None, 4: None, 5: False}
+    assert found[1]["expressions"] == "mit gpl-2.0-only apache-2.0 and or" and found[2]["base_labels"] == "reserved" and found[3]["expressions"] == ""
+
+
 def test_language_query(spark, documents):
     found = queries.op6_language_id(spark, SF).collect()
     held_out = [r for r in found if r["held_out"]]
@@ -63,10 +76,15 @@ def test_bpe_query(spark, documents):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_native_queries_run_no_python(spark):
-    for name in ("op2_mixing", "op4_quality_rules", "op7_url_filters", "op9_exact_dedup"):
-        plan = queries.registered()[name](spark, SF)._jdf.queryExecution().toString()
-        assert not re.search("Python|Pandas|Arrow", plan), name
+def test_native_queries_run_no_python(spark, monkeypatch):
+    for name in ("op2_mixing", "op4_quality_rules", "op7_url_filters", "op9_exact_dedup", "op12_benchmark_decontamination"):
+        plans, keep = [], Scratch.keep
+        # Also what is stored on the way.
+        monkeypatch.setattr(Scratch, "keep", lambda self, df, keep=keep, plans=plans: plans.append(df) or keep(self, df))
+        plans.append(queries.registered()[name](spark, SF))
+        monkeypatch.setattr(Scratch, "keep", keep)
+        for df in plans:
+            assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString()), name
 
 
 def test_pipeline_stage_by_stage(spark, documents):
@@ -94,3 +112,15 @@ def test_pipeline_stage_by_stage(spark, documents):
     assert set(kept[3]) <= set(kept[2]) and all(kept[3].count(i) <= 3 for i in set(kept[3]))
     last = corpus_pipeline.run(spark, SF).agg(F.count("*"), F.countDistinct("doc_id")).first()
     assert tuple(last) == (len(kept[3]), len(set(kept[3])))
+
+
+def test_pipeline_on_irregular_tables(spark, tmp_path):
+    """Nulls, repeated rows, no rows at all."""
+    good = " ".join(f"word{k} other{k}" for k in range(60))
+    rows = [(None, good, "s"), (None, good, "s"), (1, good + " x", None), (1, good + " x", None), (2, None, "s"), (3, "", "t"), (4, good.upper(), "t"), (5, "é " + good[::-1], None)]
+    for name, data in (("odd", rows), ("none", [])):
+        frame = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in data], "doc_id long, text string, lang string, source string, n_chars long")
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert {r["doc_id"] for r in found} <= {None, 1, 4, 5} and bool(found) == bool(data)
+        assert all(r["n_tokens"] == len(r["ids"]) for r in found)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ SPACES = " \t\n\x0b\f\r"
 _BUCKET_ROWS = 16_384
 
 
+_collectors: list[list[Scratch]] = []
+
+
 class Scratch:
     """Working tables of one call, below the folder that all executors share.
 
@@ -30,6 +34,8 @@ class Scratch:
         self.root = f"{workdir(spark)}/llm-{uuid.uuid4().hex[:12]}"
         self._paths: dict[int, str] = {}
         self._tables = 0
+        for collector in _collectors:
+            collector.append(self)
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self._tables}"
@@ -39,6 +45,22 @@ class Scratch:
         self._paths[id(stored)] = path
         return stored
 
+    def keep_only(self, build: Callable[[], DataFrame]) -> DataFrame:
+        """Store what ``build`` returns, and delete the working tables it made on the way."""
+        made: list[Scratch] = []
+        _collectors.append(made)
+        try:
+            stored = self.keep(build())
+        finally:
+            _collectors.remove(made)
+        for scratch in made:
+            scratch.remove()
+        return stored
+
+    def remove(self) -> None:
+        """Delete all tables; nothing may read them any more."""
+        file_system(self.spark, self.root).delete(hadoop_path(self.spark, self.root), True)
+
     def drop(self, stored: DataFrame) -> None:
         """Delete a table that nothing reads any more."""
         path = self._paths.pop(id(stored))

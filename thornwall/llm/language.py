@@ -103,14 +103,17 @@ def _limits(distinct: DataFrame, sizes: dict[str, int], each: int) -> DataFrame:
     return session.createDataFrame(sorted(found.items()), "l string, upto long")
 
 
-def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", centroids: int = 4, sample_rows: int = 2000) -> Model:
+def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroids: int = 4, sample_rows: int = 2000, max_languages: int = 256) -> Model:
     """A model of rows with a language and a letter; others are left out.
 
     Document frequencies are counted over all rows. Clusters are fitted on
     distinct texts, each whole: of every language ``sample_rows`` / languages, 20
     at least, or all it has. Those with the smallest hashes are taken, so that
     neither copies nor repeated rows change a language's share, and about that
-    many vectors come to the driver, at any size of the input. Ids play no part.
+    many vectors come to the driver, at any size of the input. Of very many
+    languages, as a column that is no language may hold, the ``max_languages``
+    with most texts are learned, ties in order of name; so a model has at most
+    that many times ``centroids`` rows of 16 KB. Ids play no part.
     """
     rows = rows.select(F.xxhash64(F.lit("sample"), named(text_col)).alias("digest"), named(lang_col).alias("lang"), named(text_col).alias("text"))
     rows = rows.filter("text is not null and lang is not null")
@@ -140,7 +143,8 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     idf = (np.log((1 + docs[-1]) / (1 + docs[:-1])) + 1).astype(np.float32)
 
     distinct = scratch.keep(seen.filter("lang is not null").select("lang", "digest").distinct())
-    sizes = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
+    largest = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["count"] for r in largest.collect()}
     each = max(20, sample_rows // max(1, len(sizes)))
     limits = _limits(distinct, sizes, each)
     sample = rows.join(F.broadcast(limits), F.col("lang") == F.col("l")).filter("digest <= upto")

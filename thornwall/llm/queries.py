@@ -34,7 +34,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan(_table(spark, sf_dir, "documents"))
     base = F.filter("hits", lambda hit: hit["phrase"].isin(*licenses.BASE))
-    scanned = scanned.withColumn("base", base)
+    permitted = F.when(F.size("expressions") > 0, F.forall("expressions", lambda e: e["permitted"]))
+    scanned = scanned.withColumns({"base": base, "permitted": permitted})
     return scanned.select(
         F.col("id").alias("doc_id"),
         "n_words",
@@ -44,6 +45,8 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"),
         "score",
+        F.array_join("expressions.postfix", ";").alias("expressions"),
+        "permitted",
     )
 
 
