@@ -59,10 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over all documents."""
+    """The stages one after the other over all documents. A stage's working tables, and what it read, go once its result is stored."""
     path = f"{sf_dir}/documents.parquet"
     docs = configure(spark, path).read.parquet(path)
-    scratch = Scratch(spark)
+    scratch, last = Scratch(spark), None
     for _, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir))
+        kept = scratch.keep_only(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if last is not None:
+            scratch.drop(last)
+        docs = last = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -383,4 +383,8 @@ def all_sql() -> dict[str, str]:
                    from r window w as (partition by expectation order by day range between interval 7 days preceding and interval 1 day preceding))
              select cast(day as varchar) as day, expectation, records, failed, failed / records as rate, trailing_rate, failed / records - trailing_rate as change from t""",
         "base_layout": _ALL + """select cast(8 as bigint) as buckets, cast(1 as bigint) as files_a_bucket, count(*) as "rows", cast(0 as bigint) as misplaced from silver""",
+        "top_iocs_ranges": _EVENTS
+        + """, d(a, b) as (values (date '2024-01-01', date '2024-01-31'), (date '2024-01-05', date '2024-01-11'), (date '2024-01-20', date '2024-01-20')),
+             n as (select a, b, indicator, count(*) as sightings from c join d on cast(c."timestamp" as date) between a and b where indicator is not null group by all)
+             select indicator, sightings, a || '..' || b as days from n qualify row_number() over (partition by a order by sightings desc, indicator) <= 10""",
     }

@@ -114,3 +114,31 @@ def test_the_log_of_a_closed_day_is_one_file(spark, tmp_path):
     assert len(before) == 12 and len(m.log.sets(m.log.days()[0])) == 4
     m.log.compact(datetime.date(2100, 1, 1))
     assert sorted(map(str, m.expectation_log().collect())) == before and len(m.log.sets(m.log.days()[0])) == 1
+
+
+def test_top_indicators_of_a_range_are_exact(spark):
+    import random
+    from collections import Counter
+
+    dice = random.Random(4)
+    seen = [(f"2024-01-{dice.randint(1, 9):02d} 12:00:00", f"i{min(dice.randint(0, 40), dice.randint(0, 40))}") for _ in range(3000)] + [(None, "i0"), ("2024-01-02 00:00:00", None)]
+    rows = spark.createDataFrame(seen, "t string, indicator string").select(F.col("t").cast("timestamp").alias("timestamp"), "indicator")
+    for m in (1, 5, 12, 100):
+        state = detect.daily_top(rows, m).cache()
+        for first, last in ((1, 9), (3, 5), (7, 7), (20, 21)):
+            found = detect.top_iocs_between(rows, state, f"2024-01-{first:02d}", f"2024-01-{last:02d}", 4).collect()
+            counts = Counter(i for t, i in seen if t and i and first <= int(t[8:10]) <= last)
+            assert [(r["indicator"], r["sightings"]) for r in found] == sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:4]
+
+
+def test_working_folder_can_be_cleared(spark, tmp_path):
+    from thornwall import session
+
+    path = session.workdir(spark)
+    spark.range(3).write.mode("overwrite").parquet(f"{path}/thing")
+    try:
+        session.clear(spark)
+        assert not spark._jvm.java.io.File(path.removeprefix("file:")).exists()
+    finally:
+        with session._lock:
+            session._workdirs[spark.sparkContext.applicationId] = path

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -101,6 +101,45 @@ def top_iocs(conformed: DataFrame, k: int) -> DataFrame:
     )
 
 
+# --- top indicators over any range of days ----------------------------------------
+
+
+def daily_top(conformed: DataFrame, m: int) -> DataFrame:
+    """(day, indicator, sightings): of each day the m indicators seen most often, and with a null indicator the most sightings any other has.
+
+    A day's state never changes once the day is over, and states of several days
+    are put together by ``top_iocs_between``. Rows without a day are of none.
+    """
+    counts = conformed.where("timestamp is not null and indicator is not null").groupBy(F.to_date("timestamp").alias("day"), "indicator").agg(F.count(F.lit(1)).alias("sightings"))
+    place = F.row_number().over(Window.partitionBy("day").orderBy(F.desc("sightings"), "indicator"))
+    # The (m + 1)-th row tells how many sightings an indicator that is not listed has at most.
+    first = counts.withColumn("place", place).where(F.col("place") <= m + 1)
+    return first.select("day", F.when(F.col("place") <= m, F.col("indicator")).alias("indicator"), "sightings")
+
+
+def top_iocs_between(conformed: DataFrame, state: DataFrame, first: str, last: str, k: int) -> DataFrame:
+    """``top_iocs`` of the days from ``first`` to ``last``, exact, from day states.
+
+    Listed sightings are a lower bound for an indicator, and with the bounds of
+    the days on which it is not listed an upper one. Only indicators whose upper
+    bound reaches the k-th lower one are counted again, in those days. If one that
+    no day lists might reach it, all are.
+    """
+    days = F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    inside = state.where(days)
+    listed = inside.where("indicator is not null")
+    bounds = inside.where("indicator is null").select("day", F.col("sightings").alias("bound"))
+    all_bounds = bounds.agg(F.coalesce(F.sum("bound"), F.lit(0)).alias("unlisted"))
+    low = listed.join(bounds, "day", "left").groupBy("indicator").agg(F.sum("sightings").alias("low"), F.sum(F.coalesce("bound", F.lit(0))).alias("own"))
+    floor = low.orderBy(F.desc("low"), "indicator").limit(k).agg(F.min("low").alias("floor"), F.count(F.lit(1)).alias("n"))
+    floor_row, unlisted = floor.first(), all_bounds.first()["unlisted"]
+    rows = conformed.where(F.to_date("timestamp").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).where("indicator is not null")
+    if floor_row["n"] < k or unlisted >= floor_row["floor"]:
+        return top_iocs(rows, k)
+    candidates = low.where(F.col("low") + F.lit(unlisted) - F.col("own") >= F.lit(floor_row["floor"])).select("indicator")
+    return top_iocs(rows.join(candidates, "indicator", "left_semi"), k)
+
+
 # --- cases of rules -------------------------------------------------------------
 
 

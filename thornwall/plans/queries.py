@@ -830,3 +830,21 @@ def base_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.schema(SILVER_SCHEMA).parquet(base).select(in_file.alias("bucket"), F.pmod(F.hash(KEY), F.lit(buckets)).alias("own"), F.col("_metadata.file_path").alias("file"))
     per = rows.groupBy("bucket").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("bucket") != F.col("own")).alias("wrong"))
     return per.agg(F.lit(buckets).cast("bigint").alias("buckets"), F.max("files").alias("files_a_bucket"), F.sum("n").alias("rows"), F.sum("wrong").alias("misplaced"))
+
+
+_IOC_RANGES = (("2024-01-01", "2024-01-31"), ("2024-01-05", "2024-01-11"), ("2024-01-20", "2024-01-20"))
+
+
+@query
+def top_iocs_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten indicators seen most in each of three ranges of days, by way of one state per day."""
+    rows = conform.conform(workspace.events(spark, sf_dir), "events")
+
+    def build() -> str:
+        path = workspace.folder(spark, sf_dir, "ioc-days")
+        detect.daily_top(rows, 500).write.parquet(path)
+        return path
+
+    state = spark.read.parquet(workspace.once(spark, sf_dir, "ioc days", build))
+    found = [detect.top_iocs_between(rows, state, first, last, 10).withColumn("days", F.lit(f"{first}..{last}")) for first, last in _IOC_RANGES]
+    return _all_of(found)

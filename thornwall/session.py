@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from thornwall.sources.files import size_in_bytes
+from thornwall.sources.files import file_system, hadoop_path, size_in_bytes
 
 _SHUFFLE_START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # What this module last set that to: a value of the caller's own is left alone.
@@ -96,3 +96,11 @@ def workdir(spark: SparkSession) -> str:
                 atexit.register(shutil.rmtree, shared, ignore_errors=True)
             _workdirs[app] = f"{shared.rstrip('/')}/thornwall/{app}-{uuid.uuid4().hex[:8]}"
         return _workdirs[app]
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's working folder. What has not been stored elsewhere can no longer be read."""
+    path = workdir(spark)
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
+    with _lock:
+        _workdirs.pop(spark.sparkContext.applicationId, None)
