@@ -3,16 +3,17 @@
 Both sides are listed in their own order; a record's offset is the sum of the
 lengths before it. Ranges of ids are the leaves: ``fanout`` ids each, fixed
 without looking at either side. A leaf is the digest of its records in the order
-of the listing, each with its digest, length and offset from the leaf's first
-byte, so bytes lost in one range do not touch the digests of others. A node is
+of the listing, each with its digest, length and place behind the leaf's first
+one (which make its offset there), so bytes lost in one range do not touch the
+digests of others. A node is
 the digest of up to ``fanout`` children in the order of the listing. Each tree is
 built from its own listing; replicas agree if their roots do. If not, the
 comparison descends: only children of nodes that differ are compared. A child
 with the same digest at another place among those both have was moved as a
 whole. Records are compared in leaves that differ only.
 
-A range of ids that many records share (or that have none) is split by the
-digests of the records, into as many leaves as the larger side needs.
+A range of ids that very many records share (or that have none) is cut into
+runs of consecutive records, each a leaf.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thornwall.llm.common import Scratch, named, ranked, repeated, running
+from thornwall.llm.common import Scratch, measured, named, ranked, repeated, running
 
 _LEAF_RECORDS = 1024
 
@@ -68,10 +69,9 @@ def digested(archive: DataFrame) -> DataFrame:
 
 
 def listing(scratch: Scratch, archive: DataFrame) -> DataFrame:
-    """(id, name, head, sha, length, rank, offset): the records in order of ``place``, if there is one, then id, name and digest."""
+    """(id, name, head, sha, length, rank): the records in order of ``place``, if there is one, then id, name and digest."""
     place = [F.col("place").asc_nulls_last()] if "place" in archive.columns else []
-    order = ranked(scratch, digested(archive), *place, F.col("id").asc_nulls_first(), "name", "sha", "length").drop("place")
-    return scratch.keep(running(scratch.keep(order), "length", "offset"))
+    return scratch.keep(ranked(scratch, digested(archive), *place, F.col("id").asc_nulls_first(), "name", "sha", "length").drop("place"))
 
 
 def copies(records: DataFrame) -> DataFrame:
@@ -118,49 +118,53 @@ def unlike(scratch: Scratch, ours: DataFrame, mine: DataFrame, theirs: DataFrame
     return reduce(DataFrame.union, found, lost), others.select("id", "sha", "length")
 
 
-def ranges(scratch: Scratch, ours: DataFrame, theirs: DataFrame, fanout: int) -> tuple[DataFrame, DataFrame]:
-    """Both listings with ``node`` (the range of ids) and ``part`` (of a range with many records).
+def ranges(ours: DataFrame, theirs: DataFrame, fanout: int) -> tuple[DataFrame, DataFrame, int]:
+    """Both listings with ``node`` (the range of ids) and ``part`` (of a range with many records), and the levels above the leaves.
 
     Integer ids are cut into runs of ``fanout``; other ids stand in the order of
-    their hash; records without an id are one range.
+    their hash; records without an id are the range before all others.
     """
     kind = dict(ours.dtypes)["id"]
     number = F.col("id").cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64("id")
-    node = F.coalesce(F.floor(number / fanout).cast("long"), F.lit(-(1 << 62)))
-    sides = [side.withColumn("node", node) for side in (ours, theirs)]
-    sizes = [side.groupBy("node").agg(F.count("*").alias("n")) for side in sides]
-    most = sizes[0].union(sizes[1]).groupBy("node").agg(F.max("n").alias("n")).filter(F.col("n") > _LEAF_RECORDS)
-    most = scratch.keep(most.select("node", F.ceil(F.col("n") / _LEAF_RECORDS).alias("parts")))
-    part = F.coalesce(F.pmod(F.xxhash64("sha"), F.col("parts")), F.lit(0))
-    return tuple(scratch.keep(side.join(most, "node", "left").withColumn("part", part).drop("parts")) for side in sides)
+    sides = [side.withColumn("node", F.floor(number / fanout).cast("long")) for side in (ours, theirs)]
+    low, high = sides[0].select("node").union(sides[1].select("node")).agg(F.min("node"), F.max("node")).first()
+    low, high = (low, high) if low is not None else (0, 0)
+    nothing, levels = low - 1, 0
+    found = []
+    for side in sides:
+        side = side.fillna(nothing, ["node"])
+        large = side.groupBy("node").agg(F.count("*").alias("n"), F.min("rank").alias("first")).filter(F.col("n") > _LEAF_RECORDS).drop("n")
+        part = F.coalesce(F.floor((F.col("rank") - F.col("first")) / _LEAF_RECORDS), F.lit(0).cast("long"))
+        found.append(side.join(measured(large), "node", "left").withColumn("part", part).drop("first"))
+    low = nothing
+    while low != high and (low, high) != (-1, 0):  # those two never meet: they are compared as two roots
+        low, high, levels = low // fanout, high // fanout, levels + 1
+    return found[0], found[1], levels
 
 
 def tree(scratch: Scratch, placed: DataFrame, fanout: int, levels: int) -> list[DataFrame]:
-    """Levels (node, part, begin, hash) from the leaves up; in all but the first ``part`` is 0. Empty ranges have no node."""
-
-    def hashed(rows: DataFrame, keys: list[str], said: Column) -> DataFrame:
-        """Digest of what is said, in the order of ``begin``. A leaf has some ``_LEAF_RECORDS`` rows, a node ``fanout`` children."""
-        held = F.sort_array(F.collect_list(F.struct("begin", "tie", said.alias("said"))))
-        first = F.min("begin").alias("begin")
-        grouped = rows.groupBy(*keys).agg(first, held.alias("held"))
-        text = F.transform("held", lambda x: F.concat_ws("@", x["said"], x["begin"] - F.col("begin")))
-        return grouped.select(*keys, "begin", F.sha2(F.array_join(text, "\n"), 256).alias("hash"))
-
-    leaves = placed.withColumn("begin", F.col("offset")).withColumn("tie", F.col("rank"))
-    level = scratch.keep(hashed(leaves, ["node", "part"], F.concat_ws(":", "name", "sha", "length")))
+    """Levels (node, part, begin, hash) from the leaves up; above them ``part`` is 0. Empty ranges have no node.
+
+    A leaf has ``_LEAF_RECORDS`` records at most, a node ``fanout`` children, or
+    as many as the runs of a large range.
+    """
+    said = F.struct("rank", F.concat_ws(":", "name", "sha", "length").alias("said"))
+    leaves = placed.groupBy("node", "part").agg(F.min("rank").alias("begin"), F.sort_array(F.collect_list(said)).alias("held"))
+    lines = F.transform("held", lambda x: F.concat_ws("@", x["said"], x["rank"] - F.col("begin")))
+    level = scratch.keep(leaves.select("node", "part", "begin", F.sha2(F.array_join(lines, "\n"), 256).alias("hash")))
     found = [level]
     for _ in range(levels):
-        up = level.select(F.col("node").alias("child"), F.col("part").alias("tie"), "begin", "hash", F.floor(F.col("node") / fanout).alias("node"), F.lit(0).cast("long").alias("part"))
         # Where a child begins depends on those before it; its place among them is what counts.
-        order = F.sort_array(F.collect_list(F.struct("begin", "tie", F.concat_ws(":", F.col("child"), F.col("tie"), F.col("hash")).alias("said"))))["said"]
-        up = up.groupBy("node", "part").agg(F.min("begin").alias("begin"), F.sha2(F.array_join(order, "\n"), 256).alias("hash"))
-        level = scratch.keep(up)
+        child = F.struct("begin", F.concat_ws(":", "node", "part", "hash").alias("said"))
+        up = level.withColumn("child", child).groupBy(F.floor(F.col("node") / fanout).alias("up"))
+        up = up.agg(F.min("begin").alias("begin"), F.sha2(F.array_join(F.sort_array(F.collect_list("child"))["said"], "\n"), 256).alias("hash"))
+        level = scratch.keep(up.select(F.col("up").alias("node"), F.lit(0).cast("long").alias("part"), "begin", "hash"))
         found.append(level)
     return found
 
 
-def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fanout: int) -> tuple[DataFrame, list[DataFrame]] | None:
-    """None if the roots agree; else the leaves (node, part) that differ, and by level the nodes that were moved whole.
+def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fanout: int) -> tuple[DataFrame, list[tuple[int, DataFrame]]] | None:
+    """None if the roots agree; else the leaves (node, part) that differ, and (level, nodes) that were moved whole.
 
     Between two levels only nodes that differ are kept. Of a node's children with
     equal digests, those at another place among the children both sides have
@@ -173,29 +177,21 @@ def differing(scratch: Scratch, one: list[DataFrame], other: list[DataFrame], fa
         level = level.withColumn("parent", F.floor(F.col("node") / fanout))
         return level if frontier is None else level.join(frontier, "parent", "left_semi")
 
-    for a, b in zip(reversed(one), reversed(other), strict=True):
+    for level, (a, b) in reversed(list(enumerate(zip(one, other, strict=True)))):
         pairs = below(a).join(below(b).select(*keys, F.col("begin").alias("their_begin"), F.col("hash").alias("their_hash")), keys, "full")
         pairs = pairs.withColumn("parent", F.floor(F.col("node") / fanout))
         both = Window.partitionBy("parent", F.col("hash").isNotNull() & F.col("their_hash").isNotNull())
         pairs = pairs.withColumn("place", F.row_number().over(both.orderBy("begin", *keys))).withColumn("their_place", F.row_number().over(both.orderBy("their_begin", *keys)))
-        pairs = scratch.keep(pairs)
-        moved.append(pairs.filter("hash = their_hash and place != their_place").select(*keys))
-        found = scratch.keep(pairs.filter(~F.col("hash").eqNullSafe(F.col("their_hash"))).select(*keys))
-        if frontier is None and found.isEmpty():
+        same = F.col("hash").eqNullSafe(F.col("their_hash"))
+        pairs = scratch.keep(pairs.select(*keys, same.alias("same"), (F.col("place") != F.col("their_place")).alias("away")).filter("not same or away"))
+        n = pairs.agg(F.count_if(~F.col("same")).alias("differ"), F.count_if("same").alias("moved")).first()
+        if n["moved"]:
+            moved.append((level, pairs.filter("same").select(*keys)))
+        if not n["differ"] and frontier is None:
             return None
+        found = pairs.filter("not same").select(*keys)
         frontier = found.select(F.col("node").alias("parent")).distinct()
-    return found, moved[::-1]
-
-
-def _levels(scratch: Scratch, sides: list[DataFrame], fanout: int) -> int:
-    """How many levels lead from the leaves to the roots: until all ranges are one."""
-    low, high = reduce(DataFrame.union, [side.select("node") for side in sides]).agg(F.min("node"), F.max("node")).first()
-    n = 0
-    while low is not None and low != high:
-        low, high, n = low // fanout, high // fanout, n + 1
-        if (low, high) == (-1, 0):
-            break  # these two never meet: they are compared as two roots
-    return n
+    return found, moved
 
 
 def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records: int = 1000) -> DataFrame:
@@ -212,34 +208,32 @@ def audit(archive: DataFrame, replica: DataFrame, fanout: int = 64, file_records
     read whole where it is hashed and goes nowhere after that.
     """
     scratch = Scratch(archive.sparkSession)
-    ours, theirs = ranges(scratch, listing(scratch, archive), listing(scratch, replica), fanout)
-    levels = _levels(scratch, [ours, theirs], fanout)
+    listed = listing(scratch, archive)
+    ours, theirs, levels = ranges(listed, listing(scratch, replica), fanout)
     damaged = differing(scratch, tree(scratch, ours, fanout, levels), tree(scratch, theirs, fanout, levels), fanout)
 
-    placed = ours.withColumn("file", F.floor(F.col("rank") / file_records))
+    placed = running(listed, "length", "offset").withColumn("file", F.floor(F.col("rank") / file_records))
     begin = placed.groupBy("file").agg(F.min("offset").alias("begin"))
     placed = placed.join(begin, "file").withColumn("start", F.col("offset") - F.col("begin"))
     if damaged is None:
         return placed.select("id", "file", "start", "length", "sha", F.lit("intact").alias("status"))
     leaves, moved = damaged
     inside = [scratch.keep(side.join(leaves, ["node", "part"], "left_semi")) for side in (ours, theirs)]
-    changed, extra = unlike(scratch, inside[0].drop("node", "part", "offset"), copies(inside[0]), copies(inside[1]))
+    changed, extra = unlike(scratch, inside[0].drop("node", "part"), copies(inside[0]), copies(inside[1]))
     changed = scratch.keep(changed)
 
     # Of equal records in a leaf that differs: their places among those both sides have.
-    equal = ["node", "part", "name", "sha"]
-    sound = inside[0].join(changed, "rank", "left_anti")
-    mine = numbered(scratch, sound.select(*equal, F.col("rank").alias("at")), equal, "at")
-    other = numbered(scratch, inside[1].select(*equal, F.col("rank").alias("their_at")), equal, "their_at")
-    leaf = Window.partitionBy("node", "part")
+    equal, leaf = ["node", "part", "name", "sha"], Window.partitionBy("node", "part")
+    nth = F.row_number().over(Window.partitionBy(*equal).orderBy("rank"))
+    mine = inside[0].join(changed, "rank", "left_anti").select(*equal, nth.alias("nth"), F.col("rank").alias("at"))
+    other = inside[1].select(*equal, nth.alias("nth"), F.col("rank").alias("their_at"))
     both = mine.join(other, [*equal, "nth"])
     both = both.withColumn("place", F.row_number().over(leaf.orderBy("at"))).withColumn("their_place", F.row_number().over(leaf.orderBy("their_at")))
     kinds = changed.union(both.filter("place != their_place").select(F.col("at").alias("rank"), F.lit("moved").alias("kind")))
-    for level, nodes in enumerate(moved):
-        if not nodes.isEmpty():
-            up = ours.withColumn("node", F.floor(F.col("node") / fanout**level).cast("long")) if level else ours
-            whole = up.join(nodes, ["node", "part"] if not level else ["node"], "left_semi")
-            kinds = kinds.union(whole.select("rank", F.lit("moved").alias("kind")))
+    for level, nodes in moved:
+        up = ours.withColumn("node", F.floor(F.col("node") / fanout**level).cast("long")) if level else ours
+        whole = up.join(nodes, ["node"] if level else ["node", "part"], "left_semi")
+        kinds = kinds.union(whole.select("rank", F.lit("moved").alias("kind")))
     kinds = scratch.keep(kinds.groupBy("rank").agg(F.min("kind").alias("kind")))
     placed = placed.join(kinds, "rank", "left").withColumn("status", F.coalesce("kind", F.lit("intact")))
     nothing = F.lit(None).cast("long")
