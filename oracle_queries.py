@@ -387,4 +387,14 @@ def all_sql() -> dict[str, str]:
         + """, d(a, b) as (values (date '2024-01-01', date '2024-01-31'), (date '2024-01-05', date '2024-01-11'), (date '2024-01-20', date '2024-01-20')),
              n as (select a, b, indicator, count(*) as sightings from c join d on cast(c."timestamp" as date) between a and b where indicator is not null group by all)
              select indicator, sightings, a || '..' || b as days from n qualify row_number() over (partition by a order by sightings desc, indicator) <= 10""",
+        "triage_related": _then(_ALL, _EVENTS)
+        + """, t as (select cve_id, list_distinct(regexp_extract_all(lower(coalesce(description_en, '')), '[a-z0-9]+')) as terms from silver),
+             p as (select cve_id, unnest(terms) as term from t),
+             w as (select term, (select count(*) from silver) // count(*) as weight from p group by term),
+             r(rule_id, said) as (values ('R1', ['event', 'type', 'error', 'and', 'value', '50']), ('R2', ['value', '100']),
+                                         ('R3', ['indicator', 'click', '13']), ('R4', ['value', '0'])),
+             q as (select rule_id, unnest(said) as term from r),
+             s as (select rule_id, cve_id, sum(weight)::bigint as score from q join p using (term) join w using (term) group by all),
+             b as (select *, row_number() over (partition by rule_id order by score desc, cve_id) as place from s qualify place <= 3)
+             select alert_id, cve_id, score, place from alerts join b using (rule_id)""",
     }

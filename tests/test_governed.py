@@ -142,3 +142,28 @@ def test_working_folder_can_be_cleared(spark, tmp_path):
     finally:
         with session._lock:
             session._workdirs[spark.sparkContext.applicationId] = path
+
+
+def test_related_cves_are_exact(spark):
+    import random
+    import re
+    from collections import Counter
+
+    from thornwall.operators import related
+
+    dice = random.Random(9)
+    words = ["the"] * 30 + ["remote", "Code", "Überlauf"] * 4 + [f"w{i}" for i in range(40)]
+    cves = [(f"CVE-{i:04d}", " ".join(dice.choices(words, k=dice.randint(0, 6))) if i % 17 else None) for i in range(400)] + [(None, "remote")]
+    cves += [(f"CVE-9{i:03d}", "the remote, the CODE") for i in range(100)]
+    alerts = [(f"a{i}", " ".join(dice.choices(words + ["unknown"], k=dice.randint(0, 5)))) for i in range(60)] + [("n", None), ("t", "the"), ("t", "the"), ("u", "nothing known")]
+    split = lambda text: set(re.findall(r"\w+", (text or "").lower()))
+    sound = [(c, split(t)) for c, t in cves if c]
+    frequency = Counter(w for _, t in sound for w in t)
+    expected = Counter()
+    for key, text in alerts:
+        scores = [(-sum(len(sound) // frequency[w] for w in split(text) & t), c) for c, t in sound if split(text) & t]
+        for place, (score, c) in enumerate(sorted(scores)[:5], 1):
+            expected[key, c, -score, place] += 1
+    index = related.TermIndex(spark.createDataFrame(cves, "cve_id string, description_en string"), 5)
+    found = related.related(spark.createDataFrame(alerts, "alert_id string, text string"), index, F.col("text")).collect()
+    assert Counter((r["alert_id"], r["cve_id"], r["score"], r["place"]) for r in found) == expected and len(expected) > 150

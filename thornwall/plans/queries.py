@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from thornwall.functions import cpe
 from thornwall.functions.cve import iso_z
-from thornwall.operators import audit, conform, detect, govern, quality, trends, triage, upsert
+from thornwall.operators import audit, conform, detect, govern, quality, related, trends, triage, upsert
 from thornwall.operators.flatten import flatten, occurrences
 from thornwall.plans import gold, workspace
 from thornwall.plans.medallion import Medallion
@@ -848,3 +848,12 @@ def top_iocs_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = spark.read.parquet(workspace.once(spark, sf_dir, "ioc days", build))
     found = [detect.top_iocs_between(rows, state, first, last, 10).withColumn("days", F.lit(f"{first}..{last}")) for first, last in _IOC_RANGES]
     return _all_of(found)
+
+
+@query
+def triage_related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each alert the three CVEs whose descriptions have most in common with what its rule says."""
+    said = spark.createDataFrame([(r.rule_id, r.predicate) for r in detect.EVENT_RULES], "rule_id string, said string")
+    alerts = detection_alerts(spark, sf_dir).select("alert_id", "rule_id").join(said, "rule_id")
+    index = related.TermIndex(_cves(spark, sf_dir), 3)
+    return related.related(alerts, index, F.col("said"))
