@@ -17,6 +17,7 @@ from thornwall.plans.medallion import Medallion
 from thornwall.schema import EXPECTATIONS, KEY, SEQUENCE, SILVER_SCHEMA
 from thornwall.sources.files import file_system, hadoop_path
 from thornwall.sources.landing import corrupt_pages, infer_pages, merged_type, read_pages, shown_type
+from thornwall.streaming.batches import Batches
 from thornwall.streaming.current_state import CurrentState
 from thornwall.streaming import ingest
 from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
@@ -273,6 +274,10 @@ def batch_result(spark, landing):
     return latest_by_key(expect_all_or_drop(flat, EXPECTATIONS), KEY, BATCH_SEQUENCE).drop("_position")
 
 
+def log_of(spark, root):
+    return Batches(spark, str(root / "log"), ingest.LOG_SCHEMA)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_stream_equals_batch_shuffled_and_replayed(spark, tmp_path, seed):
     landing = landing_of(tmp_path, seed)
@@ -283,7 +288,7 @@ def test_stream_equals_batch_shuffled_and_replayed(spark, tmp_path, seed):
     state = CurrentState(spark, str(tmp_path / "cves"), SILVER_SCHEMA, KEY, SEQUENCE)
     for checkpoint in ("first", "second"):
         pages = read_pages(spark, str(landing), stream=True, maxFilesPerTrigger=3)
-        query = start_upsert(pages, state, str(tmp_path / "log"), str(tmp_path / checkpoint), fold_ratio=0.5)
+        query = start_upsert(pages, state, log_of(spark, tmp_path), str(tmp_path / checkpoint), fold_ratio=0.5)
         query.awaitTermination()
         assert comparable(state.read()) == comparable(batch_result(spark, landing))
 
@@ -292,19 +297,19 @@ def test_crash_after_the_rows_were_stored(spark, tmp_path, monkeypatch):
     """The batch was written but not committed: it runs again, under the same tag, and nothing is doubled or lost."""
     landing = landing_of(tmp_path, 9)
     state = CurrentState(spark, str(tmp_path / "cves"), SILVER_SCHEMA, KEY, SEQUENCE)
-    calls, real = [], ingest._log_counts
+    calls, real = [], ingest._counted
 
     def dies_on_the_second(*args):
         calls.append(args)
         if len(calls) == 2:
             raise RuntimeError("lost driver")
-        real(*args)
+        return real(*args)
 
-    monkeypatch.setattr(ingest, "_log_counts", dies_on_the_second)
+    monkeypatch.setattr(ingest, "_counted", dies_on_the_second)
 
     def run():
         pages = read_pages(spark, str(landing), stream=True, maxFilesPerTrigger=3)
-        start_upsert(pages, state, str(tmp_path / "log"), str(tmp_path / "cp")).awaitTermination()
+        start_upsert(pages, state, log_of(spark, tmp_path), str(tmp_path / "cp")).awaitTermination()
 
     with pytest.raises(StreamingQueryException):
         run()
@@ -312,7 +317,7 @@ def test_crash_after_the_rows_were_stored(spark, tmp_path, monkeypatch):
     run()
     assert len(state._change_sets(state.base.latest())) == 3
     assert comparable(state.read()) == comparable(batch_result(spark, landing))
-    log = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "log"))
+    log = log_of(spark, tmp_path).read()
     assert log.where("expectation = 'valid_cve_id'").selectExpr("sum(passed_records + failed_records)").first()[0] == 120
 
 
@@ -334,7 +339,7 @@ def test_equal_sequence_goes_to_the_later_run(spark, tmp_path):
             (root / f"landing{i}").mkdir(parents=True)
             (root / f"landing{i}" / name).write_text(json.dumps({"vulnerabilities": [cve("CVE-1", vulnStatus=status)]}))
             pages = read_pages(spark, str(root / f"landing{i}"), stream=True)
-            start_upsert(pages, state, str(root / "log"), str(root / f"cp{i}")).awaitTermination()
+            start_upsert(pages, state, log_of(spark, root), str(root / f"cp{i}")).awaitTermination()
             if i == 0:
                 state.fold()
         assert [r["vuln_status"] for r in state.read().collect()] == ["late"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -170,16 +171,27 @@ class Medallion:
         """Put the stored datasets in a catalog, with description and layer, as they are now.
 
         ``cves`` is a view: base and pending changes are put together when it is
-        read, so publishing writes no row. Tables that are there already, with
+        read, so publishing writes no row. So are the raw pages, whose new fields
+        are read from the whole page. Tables that are there already, with
         the same columns, are moved to their new version by one change of location.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        paths = {"nvd_cves_raw": self.raw_path} | {name: self._versions(name).latest() for name in VERSIONED}
+        paths = {name: self._versions(name).latest() for name in VERSIONED}
         for name, path in paths.items():
             if path is None:
                 continue
             self._publish_table(f"{database}.{name}", path, self.table(name).schema, *DATASETS[name])
         self._publish_view(f"{database}.cves", self.state.view_sql(), *DATASETS["cves"])
+        self._publish_view(f"{database}.nvd_cves_raw", f"SELECT {', '.join(self.fields.shown())} FROM {self._raw_files()}", *DATASETS["nvd_cves_raw"])
+
+    def _raw_files(self) -> str:
+        """A table on the raw files as they are read now; another one once there are more fields."""
+        schema = self.fields.stored()
+        name = f"{self.spark.catalog.currentDatabase()}.thornwall_raw_{hashlib.md5((self.raw_path + schema.json()).encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.catalog.createTable(name, path=self.raw_path, source="parquet", schema=schema)
+        self.spark.catalog.refreshTable(name)
+        return name
 
     def _publish_view(self, view: str, select: str, layer: str, text: str) -> None:
         if self.spark.catalog.tableExists(view) and self.spark.catalog.getTable(view).tableType != "VIEW":

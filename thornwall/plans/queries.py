@@ -27,7 +27,7 @@ from thornwall.sources import landing, records, sample_feed, telemetry
 from thornwall.sources.files import bucket_count
 from thornwall.streaming.batches import Batches
 from thornwall.streaming.current_state import CurrentState
-from thornwall.streaming.ingest import BATCH_SEQUENCE, start_upsert
+from thornwall.streaming.ingest import BATCH_SEQUENCE, LOG_SCHEMA, start_upsert
 
 AS_OF = "2024-01-31"
 RECENT_DAYS = 20
@@ -200,7 +200,8 @@ def cves_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = landing.read_pages(
             spark, medallion.landing, stream=True, maxFilesPerTrigger=per_batch, latestFirst="true"
         )
-        start_upsert(pages, state, f"{root}/log", f"{root}/checkpoint", fold_ratio=0.5).awaitTermination()
+        log = Batches(spark, f"{root}/log", LOG_SCHEMA)
+        start_upsert(pages, state, log, f"{root}/checkpoint", fold_ratio=0.5).awaitTermination()
 
     workspace.once(spark, sf_dir, "stream", build)
     return _shown(state.read())

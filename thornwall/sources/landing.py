@@ -313,23 +313,27 @@ class PageFields:
         marked(text.write).text(self.versions.next())
         self.versions.vacuum()
 
+    def stored(self) -> T.StructType:
+        """What the files are read as: every field found, by its type, and the whole page."""
+        wide = with_new_fields(T.StructType.fromDDL(page_schema()), self.found() or T.StructType())
+        return T.StructType([*wide.fields, *T.StructType.fromDDL(INGEST_COLUMNS).fields, T.StructField(PAGE, T.VariantType())])
+
+    def shown(self) -> list[str]:
+        """The columns of the raw table in SQL, on its files. Pages taken in without their VARIANT have the typed ones."""
+        typed = {f.name: f.dataType for f in T.StructType([*T.StructType.fromDDL(page_schema()), *T.StructType.fromDDL(INGEST_COLUMNS)])}
+        columns = []
+        for field in self.stored().fields[:-1]:
+            name = "`" + field.name.replace("`", "``") + "`"
+            if typed.get(field.name) != field.dataType:
+                # A struct of the one field: paths have no way to write every name.
+                kind = _ddl(T.StructType([field])).replace("\\", "\\\\").replace("'", "\\'")
+                name = f"CASE WHEN {PAGE} IS NULL THEN {name} ELSE try_variant_get({PAGE}, '$', '{kind}').{name} END AS {name}"
+            columns.append(name)
+        return columns
+
     def read(self) -> DataFrame:
-        """The raw table with every field found. Pages taken in without their VARIANT have the typed ones."""
-        known = T.StructType.fromDDL(page_schema())
-        wide = with_new_fields(known, self.found() or T.StructType())
-        ingest = T.StructType.fromDDL(INGEST_COLUMNS)
-        pages = self.spark.read.schema(T.StructType([*wide.fields, *ingest.fields, T.StructField(PAGE, T.VariantType())])).parquet(self.raw)
-        typed = {f.name: f.dataType for f in known}
-
-        def shown(field: T.StructField) -> Column:
-            column = F.col("`" + field.name.replace("`", "``") + "`")
-            if typed.get(field.name) == field.dataType:
-                return column
-            # A struct of the one field: paths have no way to write every name.
-            whole = F.try_variant_get(PAGE, "$", _ddl(T.StructType([field])))
-            return F.when(F.col(PAGE).isNull(), column).otherwise(whole.getField(field.name)).alias(field.name)
-
-        return pages.select(*map(shown, wide), *ingest.names)
+        """The raw table with every field found."""
+        return self.spark.read.schema(self.stored()).parquet(self.raw).selectExpr(*self.shown())
 
 
 def _ddl(kind: T.DataType) -> str:

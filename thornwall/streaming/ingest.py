@@ -82,10 +82,10 @@ def upsert_batch(state: CurrentState, log: Batches, fold_ratio: float | None) ->
         counts = Observation()
         flat = flatten(occurrences(pages), position=True)
         state.add_reduced(latest_valid_by_key(flat, KEY, BATCH_SEQUENCE, EXPECTATIONS, counts), tag)
-        # The day is that of the pages, so that a replay finds its own rows again.
-        taken_in = pages.agg(F.max("_ingest_ts")).first()[0]
-        if taken_in is not None:
-            log.add(_counted(spark, batch_id, counts.get), tag, taken_in.date())
+        # The day is that of a page, the same one in a replay, which so finds its own rows again.
+        page = pages.select("_ingest_ts").first()
+        if page is not None:
+            log.add(_counted(spark, batch_id, counts.get), tag, page[0].date())
         if fold_ratio is not None:
             state.fold_if_due(fold_ratio)
 
