@@ -298,7 +298,7 @@ class _Pieces(dict):
 class Codec:
     """Encoder and decoder over one vocabulary; pieces of up to 64 characters are remembered, at most twice ``max_pieces``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 60_000):
         self.vocabulary = Vocabulary(ranks)
         self._pieces = _Pieces(Transducer(self.vocabulary, max_moves, max_pairs), max_pieces)
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
