@@ -298,7 +298,7 @@ class _Pieces(dict):
 class Codec:
     """Encoder and decoder over one vocabulary; pieces of up to 64 characters are remembered, at most twice ``max_pieces``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 60_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_moves: int = 100_000, max_pairs: int = 150_000, max_pieces: int = 150_000):
         self.vocabulary = Vocabulary(ranks)
         self._pieces = _Pieces(Transducer(self.vocabulary, max_moves, max_pairs), max_pieces)
         # White space as Unicode has it; the pattern's library also counts four separators of ASCII.
@@ -396,15 +396,15 @@ def _parts(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
         yield batch.slice(begin)
 
 
-def _run(rows: DataFrame, path: str, pattern: str, step, columns: str) -> DataFrame:
+def _run(rows: DataFrame, path: str, pattern: str, step, columns: str, max_pieces: int = 150_000) -> DataFrame:
     small_batches(rows)
     ranks = read_ranks(path)
-    shared, key = rows.sparkSession.sparkContext.broadcast(ranks), (path, len(ranks), pattern)
+    shared, key = rows.sparkSession.sparkContext.broadcast(ranks), (path, len(ranks), pattern, max_pieces)
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = sys.modules.setdefault(_Home.NAME, _Home())
-        codec = home.take(key, lambda: Codec(shared.value, pattern))
+        codec = home.take(key, lambda: Codec(shared.value, pattern, max_pieces=max_pieces))
         try:
             for batch in batches:
                 for part in _parts(batch, _sizes(batch)):
@@ -441,12 +441,13 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "id", ids_c
     return _run(rows, path, pattern, step, "text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False, max_pieces: int = 150_000) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256), and ``ids`` if asked for: what each row's text is encoded to, and what that decodes to.
 
     A null text counts as empty; repeated rows and null ids are rows like others,
     further columns are left out. Texts are encoded and decoded whole, in one
-    pass, and only their digests leave the worker.
+    pass, and only their digests leave the worker. ``max_pieces`` bounds what a
+    worker remembers (some 400 bytes each): fewer cost time, never a token.
     """
     rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
 
@@ -456,4 +457,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         columns = {"n_tokens": pa.array(map(len, found), pa.int64()), "ids_sha256": pa.array([a for a, _ in said], pa.string()), "decoded_sha256": pa.array([b for _, b in said], pa.string())}
         return columns | ({"ids": _lists(found)} if ids else {})
 
-    return _run(rows, path, pattern, step, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
+    return _run(rows, path, pattern, step, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids, max_pieces)
