@@ -42,7 +42,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): tokens of each row, and what they decode to."""
-    coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True)
+    # Executors still hold what the stages before have taken, so workers remember less than on their own.
+    coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True, max_pieces=60_000)
     return coded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
