@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from thornwall import session
 from thornwall.functions.cve import iso_z
+from thornwall.plans import workspace
 from thornwall.sources import landing, sample_feed
 from thornwall.sources.files import Versions
 
@@ -59,6 +60,43 @@ def test_published_pages_are_whole_and_repeatable(spark, tmp_path):
     assert spark.read.option("multiLine", "true").json(target).where("a like 'ü%'").count() == 40
 
 
+def events_of(spark, n, users=40):
+    return spark.range(n).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 20) ts", f"id % {users} user_id", "'click' event_type", "double(id) value", "'{\"k\": 1}' props"
+    )
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_packed_pages_read_like_files(spark, tmp_path, whole):
+    pages = spark.createDataFrame(
+        [
+            (NAME.format(page=0), '{"totalResults": 3, "vulnerabilities": [{"cve": {"id": "CVE-ü"}}, {"cve": {"id": "CVE-1"}}]}'),
+            (NAME.format(page=1), '{"totalResults": 3, "vulnerabilities": [{"cve": {"id": "CV'),
+            (NAME.format(page=2), '{"totalResults": "x", "vulnerabilities": [{"cve": {"id": "CVE-2"}}]}'),
+            (NAME.format(page=3), '{"vulnerabilities": []}'),
+        ],
+        "file_name string, document string",
+    )
+    landing.write_pages(pages, str(tmp_path / "files")).count()
+    landing.write_packs(pages, str(tmp_path / "packs"))
+    files = (landing.read_whole_pages if whole else landing.read_pages)(spark, str(tmp_path / "files"))
+    packs = landing.read_packed_pages(spark, str(tmp_path / "packs"), whole)
+    assert packs.columns == files.columns
+
+    def rows(df):
+        name = landing.file_name(F.col("_ingest_file")).alias("name")
+        return sorted(map(str, df.select(name, "totalResults", F.to_json("vulnerabilities"), landing.CORRUPT).collect()))
+
+    assert rows(packs) == rows(files)
+
+
+def test_small_pages_do_not_land_file_by_file(spark, tmp_path):
+    events_of(spark, 3000).write.parquet(str(tmp_path / "events.parquet"))
+    audited = workspace.audited(spark, str(tmp_path))
+    landed = [p for p in Path(audited.landing.removeprefix("file:")).rglob("*") if p.is_file() and not p.name.startswith((".", "_"))]
+    assert audited.page_index().count() > 250 and len(landed) < 30
+
+
 def test_derived_feed_has_its_irregularities(spark, tmp_path):
     events = spark.range(1200).selectExpr(
         "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 20) ts", "id % 40 user_id", "'click' event_type"
