@@ -97,6 +97,24 @@ def test_small_pages_do_not_land_file_by_file(spark, tmp_path):
     assert audited.page_index().count() > 250 and len(landed) < 30
 
 
+def test_writers_get_few_documents_at_a_time(spark, tmp_path):
+    """Pages grow with the records they hold: the memory of a worker must not grow with the pages of its task."""
+    pages = spark.range(0, 60, 1, 1).select(
+        F.format_string("cves_20240101_20240130_p%03d_x.json", "id").alias("file_name"), F.repeat(F.lit("ü"), 100_000).alias("document")
+    )
+
+    def counted(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    assert landing.write_pages(pages, str(tmp_path / "landing")).agg(F.sum("bytes")).first()[0] == 60 * 200_000
+    assert max(r["rows"] for r in pages.mapInArrow(counted, "rows bigint").collect()) < 30
+    assert (tmp_path / "landing" / "cves_20240101_20240130_p059_x.json").read_text() == "ü" * 100_000
+
+
 def test_derived_feed_has_its_irregularities(spark, tmp_path):
     events = spark.range(1200).selectExpr(
         "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 20) ts", "id % 40 user_id", "'click' event_type"
