@@ -107,3 +107,14 @@ def test_batches_by_day(spark, tmp_path):
     assert rows() == sorted([*everything, 5])
     assert b.expire(days[1]) == ["2024-01-01"] and rows() == [10, 11, 12, 13, 20, 21, 22, 23]
     assert not (tmp_path / "b" / "day=2024-01-01").exists()
+
+
+def test_objects_do_not_carry_their_bundle(spark):
+    """A sound bundle's text would be copied for each of its objects."""
+    sound = '{"objects": [' + ", ".join('{"id": "a%d"}' % i for i in range(50)) + "]}"
+    raw = spark.createDataFrame([(sound, None, "f1"), ('{"objects": [', None, "f2"), ('{"objects": []}', None, "f3")], records.RAW_SCHEMA)
+    rows = records.attack_parsed(raw)
+    found = [tuple(r) for r in rows.select("raw", "fault", "value", "_ingest_file").collect()]
+    assert len(found) == 51 and (None, "malformed", '{"objects": [', "f2") in found and ('{"id":"a7"}', None, None, "f1") in found
+    node = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1].split("\n")[1]
+    assert "CASE WHEN isnull(objects" in node and " value#" not in node.split("AS value#")[0].replace("THEN value#", "")

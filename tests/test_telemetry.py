@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from thornwall.operators import conform, detect, govern, trends, triage
 from thornwall.operators.detect import Rule
 from thornwall.session import settings
-from thornwall.sources import telemetry
+from thornwall.sources import records, telemetry
 
 ZEEK = """#separator \\x09
 #set_separator\t,
@@ -328,3 +328,39 @@ def test_large_day_is_split_over_files(spark, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").glob("day=*")}
     assert len(files) == 6 and files["day=2024-01-10"] > 3
     assert spark.read.parquet(str(tmp_path / "days")).count() == 60_000
+
+
+def test_each_kind_of_files_is_taken_in_on_its_own(spark, tmp_path):
+    """A query on the logs of one kind does not wait for the others."""
+    spark.range(600).selectExpr("id event_id", "timestamp_ntz'2024-01-01 00:00:00' ts", "id % 9 user_id", "'click' event_type", "1.5D value", "'{}' props").write.parquet(str(tmp_path / "events.parquet"))
+    from thornwall.plans import queries, workspace
+
+    assert queries.zeek_by_header(spark, str(tmp_path)).count() > 600
+    tables = workspace.Telemetry(spark, workspace.folder(spark, str(tmp_path), "telemetry/tables"))
+    assert tables.counts("zeek").count() == 1 and tables.counts("sysmon_xml").count() == 0
+    counts = {r["source"]: r["records"] for r in queries.telemetry_counts(spark, str(tmp_path)).collect()}
+    assert set(counts) == {"zeek", "sysmon_json", "sysmon_xml", "attack"} and counts["sysmon_json"] == 600
+
+
+def test_events_of_one_row_group_are_read_by_many_tasks(spark, tmp_path):
+    spark.range(600).coalesce(1).selectExpr("id event_id", "timestamp_ntz'2024-01-01 00:00:00' ts", "id % 9 user_id", "'click' event_type", "1.5D value", "'{}' props").write.parquet(str(tmp_path / "events.parquet"))
+    from thornwall.plans import queries
+
+    read = queries._sysmon(spark, str(tmp_path))
+    assert read.count() == 600 and len(read.inputFiles()) > 8
+
+
+def test_zeek_values_are_json_whatever_they_hold(spark, tmp_path):
+    """Texts that need escapes, other separators, types that are missing; the lines are not sorted to meet their header."""
+    head = "#separator \\x{code}\n#set_separator{s};\n#path{s}x\n#fields{s}a{s}b\"c{s}n{s}v\n#types{s}string{s}string{s}double{s}set[string]\n"
+    for name, s in (("t", "\t"), ("c", ","), ("p", "|")):
+        text = head.format(code=f"{ord(s):02x}", s=s) + s.join(['q"\\', "ü", "1.5", "(empty)"]) + "\n" + s.join(["(empty)", "-", "NaN", "y"]) + "\n"
+        (tmp_path / f"{name}.log").write_text(text)
+    parsed = records.zeek_parsed(records.raw_records(spark, str(tmp_path), "zeek"))
+    found = [(json.loads(r["raw"]), r["fields"]) for r in parsed.where("fault is null").collect()]
+    assert len(found) == 6
+    one = {"a": 'q"\\', 'b"c': "ü", "n": 1.5, "v": []}
+    other = {"a": "", 'b"c': None, "n": "NaN", "v": ["y"]}
+    assert sorted(str(raw) for raw, _ in found) == sorted([str(one)] * 3 + [str(other)] * 3)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan

@@ -40,6 +40,7 @@ def raw_records(spark: SparkSession, path: str, source: str, stream: bool = Fals
 # What stands in a log's header, and its types that are numbers.
 _HEADER = ("separator", "set_separator", "empty_field", "unset_field", "path", "fields", "types")
 _NUMBERS = ("time", "interval", "double", "count", "int", "port")
+_PLAIN = r'^[ !#-\[\]-~]*\z'
 _JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
 
 
@@ -72,8 +73,20 @@ def zeek_headers(records: DataFrame) -> DataFrame:
 
 
 def _text_json(text: Column) -> Column:
+    """A text as JSON writes it. Most have nothing to escape and only need their quotes."""
     whole = F.to_json(F.array(text))
-    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+    return F.when(text.rlike(_PLAIN), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.substring(whole, F.lit(2), F.length(whole) - 2))
+
+
+def _split(text: Column, separator: Column) -> Column:
+    """Cut at a separator that differs from row to row; at the usual ones without a pattern compiled for each row."""
+    return F.when(separator == "\t", F.split(text, "\t")).when(separator == ",", F.split(text, ",")).otherwise(F.split(text, _quoted(separator)))
+
+
+def _kind(shown: Column) -> Column:
+    """How values of a type are written as JSON."""
+    many = shown.startswith("set[") | shown.startswith("vector[")
+    return F.when(shown.isin(*_NUMBERS), "number").when(shown == "bool", "bool").when(many, "many").otherwise("string")
 
 
 def zeek_parsed(records: DataFrame) -> DataFrame:
@@ -84,12 +97,17 @@ def zeek_parsed(records: DataFrame) -> DataFrame:
     different ones in one file, a name twice, or another number of fields than
     the header names.
     """
+    # What follows from a header alone is worked out once a file, not for every line of it.
+    heads = zeek_headers(records).withColumns(
+        {"names": F.transform("fields", lambda f: F.concat(_text_json(f), F.lit(":"))), "kinds": F.transform("types", _kind), "repeated": F.size(F.array_distinct("fields")) != F.size("fields")}
+    )
     lines = records.where((F.length("value") > 0) & ~F.startswith("value", F.lit("#")))
-    rows = lines.join(zeek_headers(records), "_ingest_file", "left").withColumn("parts", F.split("value", _quoted(F.col("separator"))))
+    # A row per file: kept in memory by partition, so the lines, hashed by file, are not sorted.
+    rows = lines.join(heads.hint("shuffle_hash"), "_ingest_file", "left").withColumn("parts", _split(F.col("value"), F.col("separator")))
     fault = (
         F.when(F.col("headers").isNull() | (F.col("headers") == 0), "no_header")
         .when(F.col("headers") > 1, "several_headers")
-        .when(F.size(F.array_distinct("fields")) != F.size("fields"), "repeated_field")
+        .when(F.col("repeated"), "repeated_field")
         .when(F.size("parts") != F.size("fields"), "field_count")
     )
     rows = rows.withColumn("fault", fault)
@@ -98,20 +116,20 @@ def zeek_parsed(records: DataFrame) -> DataFrame:
         return F.when(text == F.col("unset_field"), None).when(text == F.col("empty_field"), "").otherwise(text)
 
     def document(x: Column) -> Column:
-        kind, text = F.coalesce(x["types"], F.lit("string")), x["parts"]
-        many = F.when(text == F.col("empty_field"), F.array().cast("array<string>")).otherwise(F.split(text, _quoted(F.col("set_separator"))))
+        kind, text = x["kinds"], x["parts"]
+        many = F.when(text == F.col("empty_field"), F.array().cast("array<string>")).otherwise(_split(text, F.col("set_separator")))
         value = (
             F.when(text == F.col("unset_field"), "null")
-            .when(kind.isin(*_NUMBERS) & text.rlike(_JSON_NUMBER), text)
+            .when((kind == "number") & text.rlike(_JSON_NUMBER), text)
             .when((kind == "bool") & text.isin("T", "F"), F.when(text == "T", "true").otherwise("false"))
-            .when(kind.startswith("set[") | kind.startswith("vector["), F.to_json(many))
-            .otherwise(_text_json(plain(text)))
+            .when(kind == "many", F.to_json(many))
+            .otherwise(_text_json(F.when(text == F.col("empty_field"), "").otherwise(text)))
         )
-        return F.concat(_text_json(x["fields"]), F.lit(":"), value)
+        return F.concat(x["names"], value)
 
     good = F.col("fault").isNull()
     fields = F.when(good, F.map_from_arrays("fields", F.transform("parts", plain)))
-    raw = F.when(good, F.concat(F.lit("{"), F.array_join(F.transform(F.arrays_zip("fields", "types", "parts"), document), ","), F.lit("}")))
+    raw = F.when(good, F.concat(F.lit("{"), F.array_join(F.transform(F.arrays_zip("names", "kinds", "parts"), document), ","), F.lit("}")))
     return rows.select("path", fields.alias("fields"), raw.alias("raw"), "fault", *_RAW)
 
 
@@ -146,11 +164,13 @@ def attack_parsed(records: DataFrame) -> DataFrame:
     """(record, raw, fault, value, ...): each object of STIX bundles as a VARIANT; a file that is no bundle is a fault."""
     bundle = records.withColumn("bundle", F.try_parse_json("value"))
     objects = bundle.withColumn("objects", F.try_variant_get("bundle", "$.objects", "array<variant>"))
-    rows = objects.select("objects", F.explode_outer("objects").alias("record"), *_RAW)
     fault = F.when(F.col("objects").isNull(), "malformed")
+    # Only a faulty file's text goes along: each object of a sound one would have a copy of the whole bundle.
+    files = objects.select("objects", fault.alias("fault"), F.when(F.col("objects").isNull(), F.col("value")).alias("value"), "_ingest_ts", "_ingest_file")
+    rows = files.select(F.explode_outer("objects").alias("record"), "fault", *_RAW)
     # A bundle without objects is sound and has no records.
-    rows = rows.where("objects is null or record is not null")
-    return rows.select("record", F.to_json("record").alias("raw"), fault.alias("fault"), F.when(fault.isNotNull(), F.col("value")).alias("value"), "_ingest_ts", "_ingest_file")
+    rows = rows.where("fault is not null or record is not null")
+    return rows.select("record", F.to_json("record").alias("raw"), "fault", *_RAW)
 
 
 PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
